@@ -60,9 +60,9 @@ def feature_aggs(df: DataFrame, grain: str, onehot_cols: Sequence[str] | None =
     sums = [c for c in S.SUM_COLUMNS if c in cols]
     if include_total_cost and "TotalCost" in cols:
         sums.append("TotalCost")
-    if "SalesAmount" in cols:
-        sums.append("SalesAmount")
     aggs += [_sum0(c) for c in sums]
+    if "SalesAmount" in cols:  # the raw target: an exact money sum
+        aggs.append(money_sum("SalesAmount"))
     aggs += [F.avg(c).alias(c) for c in S.MEAN_COLUMNS + onehot_cols if c in cols]
     firsts = ([] if "CalendarYear" in keys else ["CalendarYear"]) + S.CYCLIC_FIRST[grain]
     aggs += [_first(c) for c in firsts if c in cols]
@@ -92,13 +92,20 @@ FULL_EXTRA_AGGS = {"DiscountPercent": "mean", "IsWorkDay": "mean", "IsHoliday":
                    "Weight": "sum", "EmployeeCount": "mean", "SellingAreaSize": "mean"}
 
 
-MONEY_COLUMNS = {"UnitCost", "UnitPrice", "ReturnAmount", "DiscountAmount", "TotalCost",
-                 "SalesAmount"}
+# Columns whose values are exact at 4 decimals: summed as DECIMAL, and
+# averaged as exact sum / count (both independent of summation order).
+MONEY_COLUMNS = {"UnitCost", "ReturnAmount", "DiscountAmount", "TotalCost", "SalesAmount",
+                 "DiscountPercent", "SellingAreaSize"}
+
+
+def money_mean(c: str) -> Column:
+    """Mean of a 4-decimal column: exact DECIMAL sum, then one division."""
+    return (F.sum(F.col(c).cast(MONEY)).cast("double") / F.count(c)).alias(c)
 
 
 def _agg_from_map(df: DataFrame, spec: dict[str, str], money: bool = True) -> list[Column]:
     """Aggregates from a {column: "sum"|"mean"} map; money columns are
-    summed / averaged exactly at DECIMAL(18,4) when ``money``."""
+    summed exactly at DECIMAL(18,4) when ``money`` (means stay double)."""
     out = []
     for c, how in spec.items():
         if c not in df.columns:
@@ -106,14 +113,12 @@ def _agg_from_map(df: DataFrame, spec: dict[str, str], money: bool = True) -> li
         val = F.col(c)
         if c == "IsWorkDay" and dict(df.dtypes)[c] == "string":
             val = F.when(val == "WorkDay", 1.0).when(val.isNotNull(), 0.0)
-        if money and c in MONEY_COLUMNS:
-            val = val.cast(MONEY)
         if how == "mean":
-            agg = (F.sum(val).cast("double") / F.count(val)) if money and c in MONEY_COLUMNS \
-                else F.avg(val)
+            out.append(money_mean(c) if money and c in MONEY_COLUMNS else F.avg(val).alias(c))
+        elif money and c in MONEY_COLUMNS:
+            out.append(money_sum(c))
         else:
-            agg = F.coalesce(F.sum(val), F.lit(0))
-        out.append(agg.cast("double").alias(c) if money and c in MONEY_COLUMNS else agg.alias(c))
+            out.append(F.coalesce(F.sum(val), F.lit(0)).alias(c))
     return out
 
 

@@ -97,3 +97,205 @@ def q_daily_revenue(spark, d):
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return daily_revenue(spark, d)
+
+
+# ------------------------------------------------------- 2.2 / 2.9 scalars
+from tillcast.functions import scalars as scl  # noqa: E402
+from tillcast.functions.calendar import create_facts, cyclic, date_spine_of  # noqa: E402
+from tillcast.operators import features as fea  # noqa: E402
+
+
+def _prepared(spark, d):
+    return fea.prepare_rows(denorm_ml(spark, d))
+
+
+@query("impute_const")
+def q_impute_const(spark, d):
+    return scl.impute_const(denorm_ml(spark, d)).select("SalesKey", *S.IMPUTE_ZERO_COLUMNS)
+
+
+@query("fill_na_label")
+def q_fill_na_label(spark, d):
+    return scl.fill_na_label(denorm_ml(spark, d)).select("SalesKey", "BrandName")
+
+
+@query("strip_strings")
+def q_strip_strings(spark, d):
+    star = denorm_ml(spark, d)
+    return scl.strip_strings(star).select("SalesKey", "BrandName", "StoreType", "CityName",
+                                          "WeightUnitMeasureID", "IsWorkDay")
+
+
+@query("promo_flag")
+def q_promo_flag(spark, d):
+    return denorm_ml(spark, d).select("SalesKey", scl.promo_flag(F.col("PromotionKey"))
+                                      .alias("PromotionKey"))
+
+
+@query("stock_swap")
+def q_stock_swap(spark, d):
+    return denorm_ml(spark, d).select("SalesKey", scl.stock_swap(F.col("StockTypeID"))
+                                      .alias("StockTypeID"))
+
+
+@query("weight_to_grams")
+def q_weight_to_grams(spark, d):
+    star = denorm_ml(spark, d)
+    return round_doubles(star.select("SalesKey", scl.weight_to_grams(
+        F.col("Weight"), F.col("WeightUnitMeasureID")).alias("Weight_grams")))
+
+
+@query("quarter_number")
+def q_quarter_number(spark, d):
+    return denorm_ml(spark, d).select(
+        "SalesKey", scl.quarter_number(F.col("CalendarQuarterLabel")).alias("quarter"))
+
+
+def _cyclic_query(col_expr, period: int, name: str):
+    def fn(spark, d):
+        star = denorm_ml(spark, d)
+        s, c = cyclic(col_expr(), period)
+        return round_doubles(star.select("SalesKey", s.alias(f"sin_{name}"),
+                                         c.alias(f"cos_{name}")))
+    return fn
+
+
+QUERIES["cyclic_month"] = _cyclic_query(lambda: F.col("MonthNumber"), S.MONTHS_IN_YEAR,
+                                        "MonthNumber")
+QUERIES["cyclic_dow"] = _cyclic_query(lambda: F.col("CalendarDayOfWeekNumber"), S.DAYS_IN_WEEK,
+                                      "CalendarDayOfWeekNumber")
+QUERIES["cyclic_quarter"] = _cyclic_query(
+    lambda: scl.quarter_number(F.col("CalendarQuarterLabel")), S.QUARTERS_IN_YEAR,
+    "CalendarQuarterLabel")
+
+
+@query("prepare_rows")
+def q_prepare_rows(spark, d):
+    p = _prepared(spark, d)
+    return round_doubles(p.select(
+        "SalesKey", "PromotionKey", "StockTypeID", "Weight_grams", "CalendarQuarterLabel",
+        "BrandName", "ClassID", "ProductSubcategoryKey", "sin_CalendarDayOfWeekNumber",
+        "cos_CalendarQuarterLabel"))
+
+
+@query("date_spine")
+def q_date_spine(spark, d):
+    return date_spine_of(denorm_ml(spark, d).select("DateKey"))
+
+
+@query("create_facts")
+def q_create_facts(spark, d):
+    return round_doubles(create_facts(date_spine_of(denorm_ml(spark, d).select("DateKey"))))
+
+
+@query("drop_nulls")
+def q_drop_nulls(spark, d):
+    return flt.drop_nulls(denorm_ml(spark, d)).select("SalesKey", "BrandName", "ClassID")
+
+
+@query("nonzero_filter")
+def q_nonzero_filter(spark, d):
+    return flt.nonzero_filter(denorm_ml(spark, d), "ReturnAmount").select(
+        "SalesKey", "ReturnAmount")
+
+
+@query("threshold_count")
+def q_threshold_count(spark, d):
+    star = denorm_ml(spark, d).select("SalesKey", "DateKey", "SalesAmount", "BrandName",
+                                      "ClassID", "WeightUnitMeasureID")
+    return flt.threshold_count(star, "SalesAmount", 90000.0)
+
+
+@query("key_value_filter")
+def q_key_value_filter(spark, d):
+    star = denorm_ml(spark, d)
+    return flt.key_value_filter(star, ["StoreType", "channelKey"], ["BUILDING", "2"]).select(
+        "SalesKey", "DateKey", "SalesAmount")
+
+
+# ------------------------------------------------------ 2.11 fitted encoders
+from tillcast.operators import encoders as enc  # noqa: E402
+
+
+@query("robust_scale")
+def q_robust_scale(spark, d):
+    p = _prepared(spark, d)
+    params = enc.fit_robust(p, S.ROBUST_SCALE_COLUMNS)
+    out = enc.apply_robust(p, params, rename={"CalendarYear": fea.SCALED_YEAR})
+    cols = [fea.SCALED_YEAR if c == "CalendarYear" else c for c in S.ROBUST_SCALE_COLUMNS]
+    return round_doubles(out.select("SalesKey", *cols))
+
+
+@query("one_hot")
+def q_one_hot(spark, d):
+    p = _prepared(spark, d)
+    params = enc.fit_onehot(p, S.ONE_HOT_COLUMNS)
+    out = enc.apply_onehot(p, params)
+    return out.select("SalesKey", *params.output_columns())
+
+
+@query("label_encode")
+def q_label_encode(spark, d):
+    p = _prepared(spark, d)
+    params = enc.fit_label(p, S.LABEL_COLUMNS)
+    return enc.apply_label(p, params).select("SalesKey", *S.LABEL_COLUMNS)
+
+
+@query("simple_preprocess")
+def q_simple_preprocess(spark, d):
+    star = denorm_ml(spark, d).select("SalesKey", "UnitPrice", "SalesQuantity", "TotalCost",
+                                      "StoreType")
+    return round_doubles(fea.simple_preprocess(star))
+
+
+# --------------------------------------------------------- 2.5 grain aggregates
+def features(spark: SparkSession, d: str, min_date: str | None = None,
+             max_date: str | None = None, clean: bool = False) -> DataFrame:
+    star = denorm_ml(spark, d, min_date=min_date, max_date=max_date)
+    if clean:
+        star = flt.clean_outliers(star)
+    model = fea.fit_features(star)
+    return fea.transform_features(star, model)
+
+
+def _seasonalize_query(grain: str):
+    def fn(spark, d):
+        return round_doubles(sea.seasonalize(features(spark, d), grain))
+    return fn
+
+
+def _seasonalize_y_query(grain: str):
+    def fn(spark, d):
+        return sea.seasonalize_y(denorm_ml(spark, d), grain)
+    return fn
+
+
+def _seasonal_simple_query(grain: str, full: bool = False):
+    def fn(spark, d):
+        return round_doubles(sea.seasonal_simple(denorm_ml(spark, d), grain, full=full),
+                             exclude=sea.MONEY_COLUMNS)
+    return fn
+
+
+for _g in S.GRAINS:
+    QUERIES[f"seasonalize_{_g}"] = _seasonalize_query(_g)
+    QUERIES[f"seasonalize_y_{_g}"] = _seasonalize_y_query(_g)
+    QUERIES[f"seasonal_simple_{_g}"] = _seasonal_simple_query(_g)
+QUERIES["seasonal_full_daily"] = _seasonal_simple_query("daily", full=True)
+
+
+@query("multi_grain")
+def q_multi_grain(spark, d):
+    return round_doubles(sea.multi_grain(denorm_ml(spark, d)), exclude=sea.MONEY_COLUMNS)
+
+
+@query("grouped_forecast_agg")
+def q_grouped_forecast_agg(spark, d):
+    return round_doubles(sea.grouped_agg(denorm_ml(spark, d), ["StoreType"]))
+
+
+@query("group_all_sum")
+def q_group_all_sum(spark, d):
+    star = denorm_ml(spark, d).select("DateKey", "SalesQuantity", "ReturnQuantity",
+                                      "DiscountQuantity", "StoreKey")
+    return sea.group_all_sum(star, "DateKey")

@@ -47,3 +47,153 @@ SELECT DateKey,
 FROM sales
 WHERE SalesAmount <= 2.5 * (SELECT stddev_samp(SalesAmount) FROM sales)
 GROUP BY DateKey""", where=date_where("1996-01-01", "1996-12-31")))
+
+
+# ------------------------------------------------------------------ scalars
+from tillcast import schema as S  # noqa: E402
+from tillcast.plans import oracle_features as OF  # noqa: E402
+
+_IMP = ", ".join(f"coalesce({c}, 0) AS {c}" for c in S.IMPUTE_ZERO_COLUMNS)
+sql("impute_const", with_sales(f"SELECT SalesKey, {_IMP} FROM sales"))
+sql("fill_na_label", with_sales("SELECT SalesKey, coalesce(BrandName, 'N/A') AS BrandName "
+                                "FROM sales"))
+_T = "trim({0}, " + OF.WS + ") AS {0}"
+sql("strip_strings", with_sales("SELECT SalesKey, " + ", ".join(_T.format(c) for c in (
+    "BrandName", "StoreType", "CityName", "WeightUnitMeasureID", "IsWorkDay")) + " FROM sales"))
+sql("promo_flag", with_sales("SELECT SalesKey, CASE WHEN PromotionKey = 1 THEN 1 ELSE 0 END "
+                             "AS PromotionKey FROM sales"))
+sql("stock_swap", with_sales("SELECT SalesKey, CASE StockTypeID WHEN 1 THEN 3 WHEN 3 THEN 1 "
+                             "ELSE StockTypeID END AS StockTypeID FROM sales"))
+sql("weight_to_grams", with_sales(
+    "SELECT SalesKey, ROUND(Weight * CASE WeightUnitMeasureID WHEN 'pounds' THEN 453.592 "
+    "WHEN 'ounces' THEN 28.3495 WHEN 'grams' THEN 1.0 END, 6) AS Weight_grams FROM sales"))
+sql("quarter_number", with_sales(
+    "SELECT SalesKey, TRY_CAST(regexp_extract(CalendarQuarterLabel, '(\\d)', 1) AS INTEGER) "
+    "AS quarter FROM sales"))
+for _name, _expr, _p, _col in (
+        ("cyclic_month", "MonthNumber", 12, "MonthNumber"),
+        ("cyclic_dow", "CalendarDayOfWeekNumber", 7, "CalendarDayOfWeekNumber"),
+        ("cyclic_quarter", "CAST(regexp_extract(CalendarQuarterLabel, '(\\d)', 1) AS INTEGER)", 4,
+         "CalendarQuarterLabel")):
+    sql(_name, with_sales(
+        f"SELECT SalesKey, ROUND(sin(2 * pi() * {_expr} / {_p}.0), 6) AS sin_{_col}, "
+        f"ROUND(cos(2 * pi() * {_expr} / {_p}.0), 6) AS cos_{_col} FROM sales"))
+sql("prepare_rows", with_sales(
+    "SELECT SalesKey, PromotionKey, StockTypeID, ROUND(Weight_grams, 6) AS Weight_grams, "
+    "CalendarQuarterLabel, BrandName, ClassID, ProductSubcategoryKey, "
+    "ROUND(sin_CalendarDayOfWeekNumber, 6) AS sin_CalendarDayOfWeekNumber, "
+    "ROUND(cos_CalendarQuarterLabel, 6) AS cos_CalendarQuarterLabel FROM prep",
+    extra_ctes=OF.PREP))
+sql("date_spine", with_sales(
+    "SELECT CAST(d AS DATE) AS DateKey FROM (SELECT min(DateKey) AS lo, max(DateKey) AS hi "
+    "FROM sales) b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) g(d)"))
+sql("create_facts", with_sales(
+    "SELECT DateKey, CASE WHEN isodow(DateKey) > 5 THEN 1 ELSE 0 END AS IsWorkDay_WeekEnd, "
+    "CASE WHEN isodow(DateKey) <= 5 THEN 1 ELSE 0 END AS IsWorkDay_WorkDay, "
+    "ROUND(sin(2 * pi() * month(DateKey) / 12.0), 6) AS sin_MonthNumber, "
+    "ROUND(cos(2 * pi() * month(DateKey) / 12.0), 6) AS cos_MonthNumber, "
+    "ROUND(sin(2 * pi() * isodow(DateKey) / 7.0), 6) AS sin_CalendarDayOfWeekNumber, "
+    "ROUND(cos(2 * pi() * isodow(DateKey) / 7.0), 6) AS cos_CalendarDayOfWeekNumber, "
+    "ROUND(sin(2 * pi() * quarter(DateKey) / 4.0), 6) AS sin_CalendarQuarterLabel, "
+    "ROUND(cos(2 * pi() * quarter(DateKey) / 4.0), 6) AS cos_CalendarQuarterLabel "
+    "FROM (SELECT CAST(d AS DATE) AS DateKey FROM (SELECT min(DateKey) AS lo, max(DateKey) AS hi "
+    "FROM sales) b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) g(d)) s"))
+sql("drop_nulls", with_sales(
+    "SELECT SalesKey, BrandName, ClassID FROM sales WHERE " + " AND ".join(
+        f"{c} IS NOT NULL" for c in S.ML_COLUMNS)))
+sql("nonzero_filter", with_sales("SELECT SalesKey, ReturnAmount FROM sales "
+                                 "WHERE ReturnAmount <> 0"))
+sql("threshold_count", with_sales(
+    "SELECT " + ", ".join(f"count({c}) AS {c}" for c in (
+        "SalesKey", "DateKey", "SalesAmount", "BrandName", "ClassID", "WeightUnitMeasureID"))
+    + " FROM sales WHERE SalesAmount >= 90000.0"))
+sql("key_value_filter", with_sales(
+    "SELECT SalesKey, DateKey, SalesAmount FROM sales WHERE StoreType = 'BUILDING' "
+    "AND channelKey = 2"))
+
+# ------------------------------------------------------------------ encoders
+_SCALED = ", ".join(
+    f"ROUND({OF.scaled_expr(c)}, 6) AS {'CalendarYear_scaled' if c == 'CalendarYear' else c}"
+    for c in S.ROBUST_SCALE_COLUMNS)
+sql("robust_scale", with_sales(f"SELECT SalesKey, {_SCALED} FROM prep, rstats",
+                               extra_ctes=OF.PREP + ",\n" + OF._stats_cte()))
+sql("one_hot", with_sales("SELECT SalesKey, " + ", ".join(OF.onehot_exprs()) + " FROM prep",
+                          extra_ctes=OF.PREP))
+sql("label_encode", with_sales(
+    "SELECT prep.SalesKey, "
+    + ", ".join(f"CASE WHEN prep.{c} IS NULL THEN (SELECT count(*) FROM lab_{c}) "
+                f"ELSE lab_{c}.code END AS {c}" for c in S.LABEL_COLUMNS)
+    + " FROM prep " + " ".join(f"LEFT JOIN lab_{c} ON prep.{c} = lab_{c}.v"
+                               for c in S.LABEL_COLUMNS),
+    extra_ctes=OF.PREP + ",\n" + OF.label_ctes()))
+sql("simple_preprocess", with_sales(
+    "SELECT SalesKey, "
+    + ", ".join(f"ROUND((CAST({c} AS DOUBLE) - {c}__m) / CASE WHEN {c}__i = 0 THEN 1.0 "
+                f"ELSE {c}__i END, 6) AS {c}" for c in ("UnitPrice", "SalesQuantity", "TotalCost"))
+    + ", StoreType FROM sales, (SELECT "
+    + ", ".join(f"quantile_cont({c}, 0.5) AS {c}__m, quantile_cont({c}, 0.75) - "
+                f"quantile_cont({c}, 0.25) AS {c}__i"
+                for c in ("UnitPrice", "SalesQuantity", "TotalCost")) + " FROM sales) st"))
+
+# ------------------------------------------------------------- grain aggregates
+for _g in S.GRAINS:
+    sql(f"seasonalize_{_g}", with_sales(OF.grain_select(_g),
+                                        extra_ctes=OF.features_ctes()))
+    _keys = ", ".join(S.GRAIN_KEYS[_g])
+    _nn = " AND ".join(f"{k} IS NOT NULL" for k in S.GRAIN_KEYS[_g])
+    sql(f"seasonalize_y_{_g}", with_sales(
+        f"SELECT {_keys}, CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) AS DOUBLE) "
+        f"AS SalesAmount FROM sales WHERE {_nn} GROUP BY {_keys}"))
+
+
+def _simple_aggs(full: bool) -> str:
+    money = {"UnitCost", "ReturnAmount", "DiscountAmount", "TotalCost", "SalesAmount",
+             "DiscountPercent", "SellingAreaSize"}
+    spec = {"UnitCost": "mean", "UnitPrice": "mean", "ReturnQuantity": "sum",
+            "ReturnAmount": "sum", "DiscountQuantity": "sum", "DiscountAmount": "sum",
+            "TotalCost": "sum", "SalesQuantity": "sum", "SalesAmount": "sum"}
+    if full:
+        spec.update({"DiscountPercent": "mean", "IsWorkDay": "mean", "Weight": "sum",
+                     "EmployeeCount": "mean", "SellingAreaSize": "mean"})
+    parts = []
+    for c, how in spec.items():
+        v = c
+        if c == "IsWorkDay":
+            v = "CASE WHEN IsWorkDay = 'WorkDay' THEN 1.0 WHEN IsWorkDay IS NOT NULL THEN 0.0 END"
+        if c in money:
+            dv = f"CAST({v} AS DECIMAL(18,4))"
+            parts.append(f"CAST(SUM({dv}) AS DOUBLE) / COUNT({v}) AS {c}" if how == "mean"
+                         else f"CAST(coalesce(SUM({dv}), 0) AS DOUBLE) AS {c}")
+        elif how == "mean":
+            parts.append(f"ROUND(AVG({v}), 6) AS {c}")
+        elif c in ("ReturnQuantity", "DiscountQuantity", "SalesQuantity"):
+            parts.append(f"CAST(coalesce(SUM({v}), 0) AS BIGINT) AS {c}")
+        else:
+            parts.append(f"ROUND(coalesce(SUM({v}), 0), 6) AS {c}")
+    return ", ".join(parts)
+
+
+for _g in S.GRAINS:
+    _keys = ", ".join(S.GRAIN_KEYS[_g])
+    _nn = " AND ".join(f"{k} IS NOT NULL" for k in S.GRAIN_KEYS[_g])
+    sql(f"seasonal_simple_{_g}", with_sales(
+        f"SELECT {_keys}, {_simple_aggs(False)} FROM sales WHERE {_nn} GROUP BY {_keys}"))
+sql("seasonal_full_daily", with_sales(
+    f"SELECT DateKey, {_simple_aggs(True)} FROM sales WHERE DateKey IS NOT NULL GROUP BY DateKey"))
+
+_GRAIN_CASE = ("CASE grouping(DateKey, CalendarYear, CalendarWeekLabel, MonthNumber, "
+               "CalendarQuarterLabel) WHEN 15 THEN 'daily' WHEN 19 THEN 'weekly' "
+               "WHEN 21 THEN 'monthly' WHEN 22 THEN 'quarterly' WHEN 23 THEN 'yearly' END")
+sql("multi_grain", with_sales(
+    f"SELECT DateKey, CalendarYear, CalendarWeekLabel, MonthNumber, CalendarQuarterLabel, "
+    f"{_simple_aggs(False)}, {_GRAIN_CASE} AS grain FROM sales "
+    "WHERE DateKey IS NOT NULL AND CalendarYear IS NOT NULL "
+    "GROUP BY GROUPING SETS ((DateKey), (CalendarYear, CalendarWeekLabel), "
+    "(CalendarYear, MonthNumber), (CalendarYear, CalendarQuarterLabel), (CalendarYear))"))
+sql("grouped_forecast_agg", with_sales(
+    "SELECT DateKey, StoreType, ROUND(coalesce(SUM(SalesAmount), 0), 6) AS SalesAmount "
+    "FROM sales WHERE DateKey IS NOT NULL GROUP BY DateKey, StoreType"))
+sql("group_all_sum", with_sales(
+    "SELECT DateKey, " + ", ".join(f"CAST(coalesce(SUM({c}), 0) AS BIGINT) AS {c}" for c in (
+        "SalesQuantity", "ReturnQuantity", "DiscountQuantity", "StoreKey"))
+    + " FROM sales WHERE DateKey IS NOT NULL GROUP BY DateKey"))
