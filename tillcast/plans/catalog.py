@@ -299,3 +299,187 @@ def q_group_all_sum(spark, d):
     star = denorm_ml(spark, d).select("DateKey", "SalesQuantity", "ReturnQuantity",
                                       "DiscountQuantity", "StoreKey")
     return sea.group_all_sum(star, "DateKey")
+
+
+# ------------------------------------------------------------ 2.5 profiling
+from tillcast.operators import profile as prof  # noqa: E402
+from tillcast.operators import timeseries as ts  # noqa: E402
+from tillcast.operators.ranking import every_nth  # noqa: E402
+
+PROFILE_COLS = ["SalesAmount", "UnitPrice", "SalesQuantity", "DiscountAmount", "UnitCost",
+                "ReturnAmount"]
+
+
+@query("global_stats")
+def q_global_stats(spark, d):
+    star = denorm_ml(spark, d)
+    return star.agg(sea.money_sum("SalesAmount").alias("total"),
+                    F.round(F.stddev_samp("SalesAmount"), 4).alias("std"),
+                    sea.money_mean("SalesAmount").alias("mean"))
+
+
+@query("describe")
+def q_describe(spark, d):
+    out = prof.describe(denorm_ml(spark, d), ["SalesAmount", "UnitPrice", "SalesQuantity",
+                                              "DiscountAmount"])
+    return out.withColumns({c: F.round(c, 4) for c in ("mean", "std")}).transform(round_doubles)
+
+
+@query("null_counts")
+def q_null_counts(spark, d):
+    return prof.null_counts(denorm_ml(spark, d))
+
+
+@query("value_counts")
+def q_value_counts(spark, d):
+    return prof.value_counts(denorm_ml(spark, d), "StoreType")
+
+
+@query("distinct_values")
+def q_distinct_values(spark, d):
+    return prof.distinct_values(denorm_ml(spark, d), "BrandName")
+
+
+@query("count_distinct")
+def q_count_distinct(spark, d):
+    return prof.count_distinct(denorm_ml(spark, d), "DateKey")
+
+
+@query("min_value")
+def q_min_value(spark, d):
+    return prof.min_value(denorm_ml(spark, d), "SalesAmount")
+
+
+@query("histogram")
+def q_histogram(spark, d):
+    return round_doubles(prof.histogram(denorm_ml(spark, d), "SalesAmount", 30))
+
+
+@query("box_stats")
+def q_box_stats(spark, d):
+    return round_doubles(prof.box_stats(denorm_ml(spark, d), "SalesAmount"))
+
+
+@query("outliers_zscore")
+def q_outliers_zscore(spark, d):
+    return round_doubles(flt.zscore_summary(denorm_ml(spark, d), "SalesAmount"))
+
+
+@query("outliers_iqr")
+def q_outliers_iqr(spark, d):
+    return flt.outliers_iqr(denorm_ml(spark, d), "SalesAmount").select("SalesKey", "SalesAmount")
+
+
+@query("outliers_quantile")
+def q_outliers_quantile(spark, d):
+    return flt.outliers_quantile(denorm_ml(spark, d), "SalesAmount").select(
+        "SalesKey", "SalesAmount")
+
+
+@query("correlation_pairs")
+def q_correlation_pairs(spark, d):
+    return round_doubles(prof.correlation_pairs(denorm_ml(spark, d), PROFILE_COLS))
+
+
+@query("top_correlated_pairs")
+def q_top_correlated_pairs(spark, d):
+    return round_doubles(prof.top_correlated_pairs(denorm_ml(spark, d), PROFILE_COLS, 5))
+
+
+@query("anderson_darling")
+def q_anderson_darling(spark, d):
+    out = prof.anderson_darling(denorm_ml(spark, d), "SalesAmount")
+    return out.withColumn("statistic", F.round("statistic", 4)).transform(round_doubles)
+
+
+# ------------------------------------------------- 2.6 time-series operators
+def daily_series(spark: SparkSession, d: str) -> DataFrame:
+    """(DateKey, SalesAmount): the daily revenue series of the whole star."""
+    star = denorm_ml(spark, d).select("DateKey", "SalesAmount")
+    return star.groupBy("DateKey").agg(sea.money_sum("SalesAmount"))
+
+
+@query("lag_baseline")
+def q_lag_baseline(spark, d):
+    return round_doubles(ts.lag_baseline(daily_series(spark, d)))
+
+
+@query("lag_baseline_rows")
+def q_lag_baseline_rows(spark, d):
+    star = denorm_ml(spark, d).select("SalesKey", "SalesAmount")
+    pred = ts.lag_rows(star, "SalesAmount", ["SalesKey"])
+    return round_doubles(ts.r2_by(pred, "SalesAmount", "y_pred"))
+
+
+@query("diff")
+def q_diff(spark, d):
+    return round_doubles(ts.diff(daily_series(spark, d)))
+
+
+@query("diff_backfill")
+def q_diff_backfill(spark, d):
+    return round_doubles(ts.diff_backfill(daily_series(spark, d)))
+
+
+@query("chrono_split")
+def q_chrono_split(spark, d):
+    return ts.chrono_split_series(daily_series(spark, d)).select("DateKey", "rn", "is_train")
+
+
+@query("log_split")
+def q_log_split(spark, d):
+    out = ts.chrono_split_series(daily_series(spark, d), as_log=True)
+    return round_doubles(out.select("DateKey", "log_y", "is_train"))
+
+
+@query("every_nth")
+def q_every_nth(spark, d):
+    star = denorm_ml(spark, d).select("SalesKey", "SalesAmount")
+    return every_nth(star, ["SalesKey"], 500)
+
+
+def _decompose_query(model: str):
+    def fn(spark, d):
+        out = ts.decompose(daily_series(spark, d), period=365, model=model, money=True)
+        return round_doubles(out.select("DateKey", "trend", "seasonal", "resid"))
+    return fn
+
+
+QUERIES["decompose_additive"] = _decompose_query("additive")
+QUERIES["decompose_multiplicative"] = _decompose_query("multiplicative")
+
+
+@query("deseasonalize")
+def q_deseasonalize(spark, d):
+    out = ts.decompose(daily_series(spark, d), period=365, model="multiplicative", money=True)
+    # money-scale output (~1e6): rounded to cents
+    return round_doubles(ts.deseasonalize(out).select("DateKey", "deseasonalized"), 2)
+
+
+@query("acf")
+def q_acf(spark, d):
+    return round_doubles(ts.acf(daily_series(spark, d), nlags=30))
+
+
+@query("pacf")
+def q_pacf(spark, d):
+    return round_doubles(ts.pacf(daily_series(spark, d), nlags=30))
+
+
+@query("sort_by_date")
+def q_sort_by_date(spark, d):
+    return daily_series(spark, d).orderBy("DateKey")
+
+
+@query("head")
+def q_head(spark, d):
+    return daily_series(spark, d).orderBy("DateKey").limit(10)
+
+
+@query("zip_dates")
+def q_zip_dates(spark, d):
+    """Calendar spine over the data's date range, left-joined to the daily
+    series (a missing day yields a null, never a shifted value)."""
+    series = daily_series(spark, d)
+    spine = date_spine_of(series)
+    return spine.join(series, "DateKey", "left")

@@ -197,3 +197,187 @@ sql("group_all_sum", with_sales(
     "SELECT DateKey, " + ", ".join(f"CAST(coalesce(SUM({c}), 0) AS BIGINT) AS {c}" for c in (
         "SalesQuantity", "ReturnQuantity", "DiscountQuantity", "StoreKey"))
     + " FROM sales WHERE DateKey IS NOT NULL GROUP BY DateKey"))
+
+
+# ---------------------------------------------------------------- profiling
+_PC = ["SalesAmount", "UnitPrice", "SalesQuantity", "DiscountAmount", "UnitCost", "ReturnAmount"]
+sql("global_stats", with_sales(
+    "SELECT CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) AS DOUBLE) AS total, "
+    "ROUND(stddev_samp(SalesAmount), 4) AS std, "
+    "CAST(SUM(CAST(SalesAmount AS DECIMAL(18,4))) AS DOUBLE) / COUNT(SalesAmount) AS mean "
+    "FROM sales"))
+sql("describe", with_sales(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, ROUND(AVG({c}), 4) AS mean, "
+    f"ROUND(stddev_samp({c}), 4) AS std, ROUND(MIN(CAST({c} AS DOUBLE)), 6) AS min, "
+    f"ROUND(quantile_cont({c}, 0.25), 6) AS q25, ROUND(quantile_cont({c}, 0.5), 6) AS q50, "
+    f"ROUND(quantile_cont({c}, 0.75), 6) AS q75, ROUND(MAX(CAST({c} AS DOUBLE)), 6) AS max "
+    f"FROM sales" for c in ("SalesAmount", "UnitPrice", "SalesQuantity", "DiscountAmount"))))
+sql("null_counts", with_sales(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT(*) - COUNT({c}) AS nulls FROM sales"
+    for c in S.ML_COLUMNS)))
+sql("value_counts", with_sales("SELECT StoreType, COUNT(*) AS count FROM sales "
+                               "GROUP BY StoreType"))
+sql("distinct_values", with_sales("SELECT DISTINCT BrandName FROM sales"))
+sql("count_distinct", with_sales("SELECT COUNT(DISTINCT DateKey) AS n_DateKey FROM sales"))
+sql("min_value", with_sales("SELECT MIN(SalesAmount) AS min_SalesAmount FROM sales"))
+sql("histogram", with_sales("""
+SELECT b.bin, ROUND(r.lo + b.bin * ((r.hi - r.lo) / 30), 6) AS "left",
+       ROUND(r.lo + (b.bin + 1) * ((r.hi - r.lo) / 30), 6) AS "right",
+       coalesce(c.count, 0) AS count
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(30)) b
+CROSS JOIN (SELECT MIN(SalesAmount) AS lo, MAX(SalesAmount) AS hi FROM sales) r
+LEFT JOIN (
+  SELECT CAST(coalesce(least(floor((s.SalesAmount - r2.lo) / nullif((r2.hi - r2.lo) / 30, 0)),
+                             29), 0) AS INTEGER) AS bin, COUNT(*) AS count
+  FROM sales s CROSS JOIN (SELECT MIN(SalesAmount) AS lo, MAX(SalesAmount) AS hi FROM sales) r2
+  WHERE s.SalesAmount IS NOT NULL GROUP BY 1) c ON b.bin = c.bin"""))
+sql("box_stats", with_sales("""
+SELECT ROUND(q.q1, 6) AS q1, ROUND(q.med, 6) AS median, ROUND(q.q3, 6) AS q3,
+  ROUND(MIN(CASE WHEN s.SalesAmount BETWEEN q.q1 - 1.5 * (q.q3 - q.q1) AND q.q3 + 1.5 * (q.q3 - q.q1)
+            THEN s.SalesAmount END), 6) AS lower_whisker,
+  ROUND(MAX(CASE WHEN s.SalesAmount BETWEEN q.q1 - 1.5 * (q.q3 - q.q1) AND q.q3 + 1.5 * (q.q3 - q.q1)
+            THEN s.SalesAmount END), 6) AS upper_whisker,
+  CAST(SUM(CASE WHEN s.SalesAmount IS NOT NULL AND NOT (s.SalesAmount BETWEEN
+       q.q1 - 1.5 * (q.q3 - q.q1) AND q.q3 + 1.5 * (q.q3 - q.q1)) THEN 1 ELSE 0 END) AS BIGINT)
+    AS n_outliers
+FROM sales s CROSS JOIN (SELECT quantile_cont(SalesAmount, 0.25) AS q1,
+  quantile_cont(SalesAmount, 0.5) AS med, quantile_cont(SalesAmount, 0.75) AS q3 FROM sales) q
+GROUP BY q.q1, q.med, q.q3"""))
+sql("outliers_zscore", with_sales("""
+SELECT COUNT(*) AS total,
+  SUM(CASE WHEN abs((SalesAmount - m.mu) / nullif(m.sd, 0)) > 2.5 THEN 1 ELSE 0 END) AS num_outliers,
+  ROUND(100.0 * SUM(CASE WHEN abs((SalesAmount - m.mu) / nullif(m.sd, 0)) > 2.5 THEN 1 ELSE 0 END)
+        / COUNT(*), 6) AS pct_outliers
+FROM sales CROSS JOIN (SELECT AVG(SalesAmount) AS mu, stddev_pop(SalesAmount) AS sd FROM sales) m"""))
+sql("outliers_iqr", with_sales("""
+SELECT SalesKey, SalesAmount FROM sales CROSS JOIN (SELECT quantile_cont(SalesAmount, 0.25) AS q1,
+  quantile_cont(SalesAmount, 0.75) AS q3 FROM sales) q
+WHERE SalesAmount < q.q1 - 1.5 * (q.q3 - q.q1) OR SalesAmount > q.q3 + 1.5 * (q.q3 - q.q1)"""))
+sql("outliers_quantile", with_sales("""
+SELECT SalesKey, SalesAmount FROM sales CROSS JOIN (SELECT quantile_cont(SalesAmount, 0.01) AS lo,
+  quantile_cont(SalesAmount, 0.99) AS hi FROM sales) q
+WHERE SalesAmount < q.lo OR SalesAmount > q.hi"""))
+_PAIRS = [(a, b) for i, a in enumerate(_PC) for b in _PC[i + 1:]]
+_CORR = " UNION ALL ".join(
+    f"SELECT '{a}' AS var1, '{b}' AS var2, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) "
+    f"AS correlation FROM sales" for a, b in _PAIRS)
+sql("correlation_pairs", with_sales(
+    f"SELECT var1, var2, ROUND(correlation, 6) AS correlation, "
+    f"ROUND(abs(correlation), 6) AS absolute_correlation FROM ({_CORR}) t"))
+sql("top_correlated_pairs", with_sales(
+    f"SELECT var1, var2, ROUND(correlation, 6) AS correlation, "
+    f"ROUND(abs(correlation), 6) AS absolute_correlation FROM ({_CORR}) t "
+    f"WHERE correlation IS NOT NULL ORDER BY abs(correlation) DESC, var1, var2 LIMIT 5"))
+
+
+def _erfc_sql(x: str) -> str:
+    coeffs = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
+              0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+    t = f"(1.0 / (1.0 + 0.5 * abs({x})))"
+    poly = f"{coeffs[-1]}"
+    for c in reversed(coeffs[:-1]):
+        poly = f"({c} + {t} * {poly})"
+    ans = f"({t} * exp(-abs({x}) * abs({x}) + {poly}))"
+    return f"(CASE WHEN {x} >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
+
+
+_Z = "((v - st.mu) / st.sd)"
+_LCDF = f"ln(0.5 * {_erfc_sql(f'(-{_Z} / sqrt(2.0))')})"
+_LSF = f"ln(0.5 * {_erfc_sql(f'({_Z} / sqrt(2.0))')})"
+sql("anderson_darling", with_sales(f"""
+SELECT a.n, ROUND(a.statistic, 4) AS statistic, l.significance,
+  ROUND(l.base / (1.0 + 4.0 / a.n - 25.0 / (a.n * a.n)), 6) AS critical,
+  a.statistic < l.base / (1.0 + 4.0 / a.n - 25.0 / (a.n * a.n)) AS looks_normal
+FROM (
+  SELECT MAX(st.n) AS n, -MAX(st.n) - SUM(
+      (CAST(r1 AS DOUBLE) * r1 - CAST(r1 - w AS DOUBLE) * (r1 - w)) * {_LCDF}
+    + (w * (2.0 * st.n + 1) - (CAST(r1 AS DOUBLE) * (r1 + 1) - CAST(r1 - w AS DOUBLE) * (r1 - w + 1)))
+      * {_LSF}) / MAX(st.n) AS statistic
+  FROM (SELECT v, w, SUM(w) OVER (ORDER BY v) AS r1
+        FROM (SELECT CAST(SalesAmount AS DOUBLE) AS v, COUNT(*) AS w FROM sales
+              WHERE SalesAmount IS NOT NULL GROUP BY 1)) p
+  CROSS JOIN (SELECT COUNT(*) AS n, AVG(SalesAmount) AS mu, stddev_samp(SalesAmount) AS sd
+              FROM sales WHERE SalesAmount IS NOT NULL) st
+) a CROSS JOIN (VALUES (15.0, 0.576), (10.0, 0.656), (5.0, 0.787), (2.5, 0.918), (1.0, 1.092))
+  l(significance, base)"""))
+
+# --------------------------------------------------------------- time series
+DAILY = ("daily AS (SELECT DateKey, CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) "
+         "AS DOUBLE) AS SalesAmount FROM sales GROUP BY DateKey)")
+sql("lag_baseline", with_sales("""
+SELECT COUNT(*) AS n, ROUND(1.0 - SUM((y - yp) * (y - yp)) / nullif(SUM((y - mu) * (y - mu)), 0), 6)
+  AS r2
+FROM (SELECT SalesAmount AS y, LAG(SalesAmount) OVER (ORDER BY DateKey) AS yp FROM daily) t
+CROSS JOIN (SELECT AVG(y) AS mu FROM (SELECT SalesAmount AS y,
+  LAG(SalesAmount) OVER (ORDER BY DateKey) AS yp FROM daily) u WHERE yp IS NOT NULL) m
+WHERE yp IS NOT NULL""", extra_ctes=DAILY))
+sql("lag_baseline_rows", with_sales("""
+SELECT COUNT(*) AS n, ROUND(1.0 - SUM((y - yp) * (y - yp)) / nullif(SUM((y - mu) * (y - mu)), 0), 6)
+  AS r2
+FROM (SELECT SalesAmount AS y, LAG(SalesAmount) OVER (ORDER BY SalesKey) AS yp FROM sales) t
+CROSS JOIN (SELECT AVG(y) AS mu FROM (SELECT SalesAmount AS y,
+  LAG(SalesAmount) OVER (ORDER BY SalesKey) AS yp FROM sales) u WHERE yp IS NOT NULL) m
+WHERE yp IS NOT NULL"""))
+sql("diff", with_sales("SELECT DateKey, SalesAmount, ROUND(SalesAmount - LAG(SalesAmount) OVER "
+                       "(ORDER BY DateKey), 6) AS diff FROM daily", extra_ctes=DAILY))
+sql("diff_backfill", with_sales(
+    "SELECT DateKey, SalesAmount, ROUND(coalesce(SalesAmount - LAG(SalesAmount) OVER "
+    "(ORDER BY DateKey), LEAD(SalesAmount) OVER (ORDER BY DateKey) - SalesAmount), 6) AS diff "
+    "FROM daily", extra_ctes=DAILY))
+_SPLIT = ("SELECT DateKey, SalesAmount, CAST(row_number() OVER (ORDER BY DateKey) AS INTEGER) AS rn,"
+          " row_number() OVER (ORDER BY DateKey) <= round_even(COUNT(*) OVER () * 0.7, 0) "
+          "AS is_train FROM daily")
+sql("chrono_split", with_sales(f"SELECT DateKey, rn, is_train FROM ({_SPLIT}) t",
+                               extra_ctes=DAILY))
+sql("log_split", with_sales(
+    f"SELECT DateKey, ROUND(CASE WHEN SalesAmount > 0 THEN ln(SalesAmount) END, 6) AS log_y, "
+    f"is_train FROM ({_SPLIT}) t", extra_ctes=DAILY))
+sql("every_nth", with_sales(
+    "SELECT SalesKey, SalesAmount, rn FROM (SELECT SalesKey, SalesAmount, "
+    "row_number() OVER (ORDER BY SalesKey) AS rn FROM sales) t WHERE (rn - 1) % 500 = 0"))
+
+
+def _decompose_sql(mult: bool, select: str) -> str:
+    op, inv = ("/", "*") if mult else ("-", "+")
+    trend = ("CASE WHEN COUNT(SalesAmount) OVER w = 365 THEN "
+             "CAST(SUM(CAST(SalesAmount AS DECIMAL(18,4))) OVER w AS DOUBLE) / 365.0 END")
+    base = (f"SELECT DateKey, SalesAmount, (row_number() OVER (ORDER BY DateKey) - 1) % 365 AS phase,"
+            f" {trend} AS trend FROM daily "
+            f"WINDOW w AS (ORDER BY DateKey ROWS BETWEEN 182 PRECEDING AND 182 FOLLOWING)")
+    centre = "pm / c" if mult else "pm - c"
+    resid = ("SalesAmount / (trend * seasonal)" if mult
+             else "SalesAmount - trend - seasonal")
+    return with_sales(f"""
+SELECT {select} FROM (
+  SELECT b.DateKey, b.SalesAmount, b.trend, s.seasonal, {resid} AS resid
+  FROM ({base}) b
+  LEFT JOIN (SELECT phase, {centre} AS seasonal FROM (
+      SELECT phase, AVG(SalesAmount {op} trend) AS pm FROM ({base}) x GROUP BY phase) pp
+    CROSS JOIN (SELECT AVG(pm) AS c FROM (SELECT phase, AVG(SalesAmount {op} trend) AS pm
+      FROM ({base}) y GROUP BY phase) q) cc) s ON b.phase = s.phase) t""", extra_ctes=DAILY)
+
+
+_DEC_COLS = ("DateKey, ROUND(trend, 6) AS trend, ROUND(seasonal, 6) AS seasonal, "
+             "ROUND(resid, 6) AS resid")
+sql("decompose_additive", _decompose_sql(False, _DEC_COLS))
+sql("decompose_multiplicative", _decompose_sql(True, _DEC_COLS))
+sql("deseasonalize", _decompose_sql(True, "DateKey, ROUND(SalesAmount / seasonal, 2) AS "
+                                          "deseasonalized"))
+sql("acf", with_sales("""
+SELECT l.lag, ROUND(SUM(a.e * b.e) / MAX(d.den), 6) AS acf
+FROM (SELECT row_number() OVER (ORDER BY DateKey) AS rn,
+             SalesAmount - AVG(SalesAmount) OVER () AS e FROM daily) a
+CROSS JOIN (SELECT CAST(range AS INTEGER) AS lag FROM range(31)) l
+JOIN (SELECT row_number() OVER (ORDER BY DateKey) AS rn,
+             SalesAmount - AVG(SalesAmount) OVER () AS e FROM daily) b ON b.rn = a.rn + l.lag
+CROSS JOIN (SELECT SUM(e * e) AS den FROM (SELECT SalesAmount - AVG(SalesAmount) OVER () AS e
+            FROM daily) z) d
+GROUP BY l.lag""", extra_ctes=DAILY))
+sql("sort_by_date", with_sales("SELECT DateKey, SalesAmount FROM daily ORDER BY DateKey",
+                               extra_ctes=DAILY))
+sql("head", with_sales("SELECT DateKey, SalesAmount FROM daily ORDER BY DateKey LIMIT 10",
+                       extra_ctes=DAILY))
+sql("zip_dates", with_sales(
+    "SELECT CAST(g.d AS DATE) AS DateKey, daily.SalesAmount FROM (SELECT MIN(DateKey) AS lo, "
+    "MAX(DateKey) AS hi FROM daily) b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) g(d) "
+    "LEFT JOIN daily ON daily.DateKey = CAST(g.d AS DATE)", extra_ctes=DAILY))
