@@ -78,11 +78,13 @@ def seasonalize(df: DataFrame, grain: str = "daily", onehot_cols: Sequence[str]
 
 
 def seasonalize_y(df: DataFrame, grain: str = "daily", target: str = "SalesAmount",
-                  money: bool = True) -> DataFrame:
-    """Target only, per grain, ordered by the grain key."""
+                  money: bool = True, ordered: bool = True) -> DataFrame:
+    """Target only, per grain (ordered by the grain key unless the result
+    feeds a join)."""
     keys = S.GRAIN_KEYS[grain]
     agg = money_sum(target) if money else _sum0(target)
-    return _drop_null_keys(df, keys).groupBy(*keys).agg(agg).orderBy(*keys)
+    out = _drop_null_keys(df, keys).groupBy(*keys).agg(agg)
+    return out.orderBy(*keys) if ordered else out
 
 
 SIMPLE_AGGS = {"UnitCost": "mean", "UnitPrice": "mean", "ReturnQuantity": "sum",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillcast import schema as S
@@ -483,3 +483,325 @@ def q_zip_dates(spark, d):
     series = daily_series(spark, d)
     spine = date_spine_of(series)
     return spine.join(series, "DateKey", "left")
+
+
+# ---------------------------------------------------- 2.12 models, metrics
+from tillcast.operators import forecast as fc  # noqa: E402
+from tillcast.operators import model as mdl  # noqa: E402
+from tillcast.operators import registry as reg  # noqa: E402
+from tillcast.operators import synth as syn  # noqa: E402
+from tillcast.operators.metrics import mean_baseline, metrics  # noqa: E402
+from tillcast.plans import pipelines as pl  # noqa: E402
+from tillcast.sources import sinks  # noqa: E402
+from tillcast.sources.tables import read_range, scan_csv, select_except  # noqa: E402
+
+# Boosting size of the registered model queries (the library default is
+# the original 500 rounds of depth 10; see README).
+Q_TREES, Q_DEPTH = 20, 5
+TRAIN_END, TEST_START, TEST_END = "2000-12-31", "2001-01-01", "2001-11-04"
+
+
+def _round_metrics(m: DataFrame) -> DataFrame:
+    """Money-scale errors to cents (MSE, in squared money, to units)."""
+    return m.withColumns({"mae": F.round("mae", 2), "rmse": F.round("rmse", 2),
+                          "mse": F.round("mse", 0), "r2": F.round("r2", 6)})
+
+
+@query("metrics")
+def q_metrics(spark, d):
+    """MAE / MSE / RMSE / R^2 of the previous-day forecast of daily revenue."""
+    s = daily_series(spark, d).withColumn(
+        "prediction", F.lag("SalesAmount").over(Window.orderBy("DateKey")))
+    return _round_metrics(metrics(s.where(F.col("prediction").isNotNull()), "SalesAmount",
+                                  "prediction"))
+
+
+@query("mean_baseline")
+def q_mean_baseline(spark, d):
+    split = ts.chrono_split_series(daily_series(spark, d))
+    return _round_metrics(mean_baseline(split.where("is_train"),
+                                        split.where(~F.col("is_train"))))
+
+
+@query("holdout_split")
+def q_holdout_split(spark, d):
+    return mdl.holdout_split(daily_series(spark, d), 0.1).select("DateKey", "is_train")
+
+
+def processed(spark: SparkSession, d: str, lo: str | None = None, hi: str | None = None
+              ) -> pl.Processed:
+    return pl.pipeline_preprocess(spark, d, lo, hi)
+
+
+@query("pipeline_preprocess")
+def q_pipeline_preprocess(spark, d):
+    return round_doubles(processed(spark, d).daily)
+
+
+@query("attach_target")
+def q_attach_target(spark, d):
+    return round_doubles(processed(spark, d).daily.select("DateKey", "CalendarYear",
+                                                         "SalesQuantity", "SalesAmount"))
+
+
+@query("train_gbt")
+def q_train_gbt(spark, d):
+    daily = processed(spark, d).daily
+    split = mdl.holdout_split(daily, 0.1)
+    res = mdl.train_gbt(split.where("is_train").drop("is_train"), "SalesAmount",
+                        split.where(~F.col("is_train")).drop("is_train"),
+                        n_trees=Q_TREES, max_depth=Q_DEPTH)
+    return res.history.withColumn("best_iter", F.lit(res.best_iter))
+
+
+@query("predict")
+def q_predict(spark, d):
+    proc = processed(spark, d, None, TRAIN_END)
+    res = mdl.train_gbt(proc.daily, "SalesAmount", None, n_trees=Q_TREES, max_depth=Q_DEPTH)
+    return pl.pipeline_predict(spark, d, proc, res.model, res.features, TEST_START, TEST_END)
+
+
+@query("forecast_past")
+def q_forecast_past(spark, d):
+    proc = processed(spark, d, None, TRAIN_END)
+    res = mdl.train_gbt(proc.daily, "SalesAmount", None, n_trees=Q_TREES, max_depth=Q_DEPTH)
+    return pl.forecast_past(spark, d, proc, res.model, res.features, TEST_START, TEST_END,
+                            scale=2.0)
+
+
+@query("forecast")
+def q_forecast(spark, d):
+    """Past days from actual features, days after the last actual date from
+    synthetic features (straddling range)."""
+    proc = processed(spark, d, None, TRAIN_END)
+    daily = proc.daily.persist()
+    res = mdl.train_gbt(daily, "SalesAmount", None, n_trees=Q_TREES, max_depth=Q_DEPTH)
+    cop = pl.fit_synthesizer(daily)
+    last = daily.agg(F.max("DateKey")).first()[0].isoformat()
+    return pl.forecast(spark, d, proc, res.model, res.features, cop, "2000-12-01",
+                       "2001-01-31", last)
+
+
+@query("pipeline_train")
+def q_pipeline_train(spark, d):
+    root = sinks.warehouse_dir(spark) + "/registry-" + sinks.cache_key(d)
+    out = pl.pipeline_train(processed(spark, d).daily, 0.1, runs_path=root + "/runs",
+                            model_root=root + "/models", n_trees=Q_TREES, max_depth=Q_DEPTH)
+    return reg.latest_by_name(reg.read_runs(spark, root + "/runs"), "train").select(
+        "context", "row_count", F.lit(out.val_mae).alias("val_mae"))
+
+
+@query("pipeline_evaluate")
+def q_pipeline_evaluate(spark, d):
+    root = sinks.warehouse_dir(spark) + "/registry-" + sinks.cache_key(d)
+    proc = processed(spark, d)
+    res = mdl.train_gbt(proc.daily, "SalesAmount", None, n_trees=Q_TREES, max_depth=Q_DEPTH)
+    path = reg.save_model(res.model, root + "/models")
+    latest = reg.load_latest(spark, root + "/models", mdl.GBTRegressionModel)
+    assert latest is not None and path
+    return _round_metrics(pl.pipeline_evaluate(proc.daily, latest, res.features, TEST_START,
+                                               TEST_END, runs_path=root + "/runs"))
+
+
+@query("cross_validate")
+def q_cross_validate(spark, d):
+    return mdl.cross_validate(processed(spark, d).daily, k=5, kind="tree", max_depth=8)
+
+
+@query("learning_curve")
+def q_learning_curve(spark, d):
+    return mdl.learning_curve(processed(spark, d).daily, fractions=(0.1, 0.3, 0.5), k=5,
+                              kind="tree", max_depth=8)
+
+
+@query("train_forest")
+def q_train_forest(spark, d):
+    return mdl.cross_validate(processed(spark, d).daily, k=5, kind="forest", n_trees=10,
+                              max_depth=8)
+
+
+@query("latest_by_time")
+def q_latest_by_time(spark, d):
+    root = sinks.warehouse_dir(spark) + "/runs-" + sinks.cache_key("q", d)
+    for i, ctx in enumerate(("train", "evaluate", "train")):
+        reg.save_run(spark, root, ctx, 1.0, i, float(i))
+    return reg.latest_by_time(reg.read_runs(spark, root)).select("context", "row_count")
+
+
+# ------------------------------------------------------ 2.6 forecasting (P3)
+@query("ar_forecast")
+def q_ar_forecast(spark, d):
+    return fc.ar_forecast(daily_series(spark, d), order=fc.ArOrder(p=3, trend=True), horizon=30)
+
+
+@query("seasonal_ar_forecast")
+def q_seasonal_ar_forecast(spark, d):
+    monthly = sea.seasonalize_y(denorm_ml(spark, d), "monthly", ordered=False).withColumn(
+        "ds", F.make_date("CalendarYear", "MonthNumber", F.lit(1)))
+    return fc.ar_forecast(monthly, ds="ds", order=fc.ArOrder(p=1, seasonal_p=1, m=12, d=0),
+                          horizon=6, log=True, step_days=31)
+
+
+@query("order_search")
+def q_order_search(spark, d):
+    return fc.order_search(daily_series(spark, d), max_p=6, seasonal_ps=(0, 1), m=7)
+
+
+@query("adf_test")
+def q_adf_test(spark, d):
+    return fc.adf_test(daily_series(spark, d))
+
+
+# ------------------------------------------------------------ 2.13 synthesis
+def _copula_daily(spark, d):
+    daily = processed(spark, d).daily.persist()
+    return daily, pl.fit_synthesizer(daily)
+
+
+@query("sample_copula")
+def q_sample_copula(spark, d):
+    _daily, cop = _copula_daily(spark, d)
+    return syn.sample_copula(spark, cop, factor=1, seed=7)
+
+
+@query("sample_with_facts")
+def q_sample_with_facts(spark, d):
+    daily, cop = _copula_daily(spark, d)
+    last = daily.agg(F.max("DateKey")).first()[0]
+    spine = daily.sparkSession.range(1).select(F.explode(F.sequence(
+        F.date_add(F.lit(last), 1), F.date_add(F.lit(last), 30))).alias("DateKey"))
+    return syn.sample_with_facts(cop, create_facts(spine), "DateKey")
+
+
+@query("union_actual_synth")
+def q_union_actual_synth(spark, d):
+    daily, cop = _copula_daily(spark, d)
+    last = daily.agg(F.max("DateKey")).first()[0]
+    spine = spark.range(1).select(F.explode(F.sequence(
+        F.date_add(F.lit(last), 1), F.date_add(F.lit(last), 30))).alias("DateKey"))
+    synth = syn.sample_with_facts(cop, create_facts(spine), "DateKey")
+    return daily.withColumn("source", F.lit("actual")).unionByName(
+        synth.withColumn("source", F.lit("synthetic")), allowMissingColumns=True)
+
+
+@query("synthetic_quality")
+def q_synthetic_quality(spark, d):
+    daily, cop = _copula_daily(spark, d)
+    synth = syn.sample_copula(spark, cop, seed=11)
+    cols = ["SalesAmount", "UnitCost", "UnitPrice", "SalesQuantity"]
+    ks = syn.ks_complement(daily, synth, cols)
+    corr = syn.correlation_similarity(daily, synth, cols)
+    return ks.select("column", F.col("ks_complement").alias("score"),
+                     F.lit("ks_complement").alias("metric")).unionByName(
+        corr.select(F.concat_ws("~", "col_a", "col_b").alias("column"),
+                    F.col("correlation_similarity").alias("score"),
+                    F.lit("correlation_similarity").alias("metric")))
+
+
+@query("diagnostic")
+def q_diagnostic(spark, d):
+    daily, cop = _copula_daily(spark, d)
+    synth = syn.sample_copula(spark, cop, seed=5)
+    return syn.diagnostic(daily, synth, ["SalesAmount", "UnitCost", "SalesQuantity"],
+                          ["DiscountPercent"])
+
+
+@query("synthetic_backtest")
+def q_synthetic_backtest(spark, d):
+    return pl.synthetic_backtest(spark, d, TRAIN_END, TEST_START, TEST_END)
+
+
+# Similarity scores between two real halves (SQL-checkable).
+def _halves(spark, d):
+    s = seasonal_simple_daily_half(spark, d)
+    return s.where(F.year("DateKey") <= 1997), s.where(F.year("DateKey") >= 1998)
+
+
+def seasonal_simple_daily_half(spark, d):
+    return sea.seasonal_simple(denorm_ml(spark, d), "daily")
+
+
+@query("ks_complement")
+def q_ks_complement(spark, d):
+    a, b = _halves(spark, d)
+    return round_doubles(syn.ks_complement(a, b, ["SalesAmount", "UnitCost", "SalesQuantity"]))
+
+
+@query("correlation_similarity")
+def q_correlation_similarity(spark, d):
+    a, b = _halves(spark, d)
+    return round_doubles(syn.correlation_similarity(a, b, ["SalesAmount", "UnitCost",
+                                                           "SalesQuantity"]))
+
+
+def _star_halves(spark, d):
+    star = denorm_ml(spark, d)
+    return star.where(F.col("CalendarYear") <= 1997), star.where(F.col("CalendarYear") >= 1998)
+
+
+@query("tv_complement")
+def q_tv_complement(spark, d):
+    a, b = _star_halves(spark, d)
+    return round_doubles(syn.tv_complement(a, b, ["StoreType", "BrandName", "IsWorkDay"]))
+
+
+@query("contingency_similarity")
+def q_contingency_similarity(spark, d):
+    a, b = _star_halves(spark, d)
+    return round_doubles(syn.contingency_similarity(a, b, "StoreType", "IsWorkDay"))
+
+
+@query("detect_metadata")
+def q_detect_metadata(spark, d):
+    """Column kinds of the daily table: numeric vs categorical (few distinct
+    values, or forced), with approximate distinct counts."""
+    daily = processed(spark, d).daily
+    cols = [c for c in daily.columns if c != "DateKey"]
+    nd = daily.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    forced = set(pl.DISCOUNT_GROUP) | {"GeographyType_City"}
+    rows = [(c, int(nd[c]), "categorical" if c in forced or nd[c] <= 2 else "numerical")
+            for c in cols]
+    return spark.createDataFrame(rows, "column string, n_distinct long, sdtype string")
+
+
+# ---------------------------------------------------------- 2.1 sources/sinks
+@query("write_csv")
+def q_write_csv(spark, d):
+    """Write the daily revenue series as headed CSV and scan it back with a
+    declared schema."""
+    path = sinks.warehouse_dir(spark) + "/csv-" + sinks.cache_key(d)
+    sinks.write_csv(daily_series(spark, d), path)
+    return scan_csv(spark, path, "DateKey date, SalesAmount double")
+
+
+@query("write_table")
+def q_write_table(spark, d):
+    path = sinks.warehouse_dir(spark) + "/table-" + sinks.cache_key(d)
+    sinks.write_table(daily_series(spark, d).withColumn("year", F.year("DateKey")), path,
+                      truncate=True, partition_by=["year"])
+    return spark.read.parquet(path).where(F.col("year") == 1996).drop("year")
+
+
+@query("materialize")
+def q_materialize(spark, d):
+    key = sinks.cache_key("daily_series", d)
+    return sinks.materialize(spark, key, lambda: daily_series(spark, d))
+
+
+@query("materialize_filtered")
+def q_materialize_filtered(spark, d):
+    key = sinks.cache_key("daily_series", d)
+    return sinks.materialize_filtered(spark, key, lambda: daily_series(spark, d),
+                                      "1996-01-01", "1996-12-31")
+
+
+@query("read_table_ordered")
+def q_read_table_ordered(spark, d):
+    return read_range(daily_series(spark, d), "1996-01-01", "1996-12-31", ordered=True)
+
+
+@query("select_except")
+def q_select_except(spark, d):
+    return select_except(denorm_ml(spark, d).select("SalesKey", "DateKey", "SalesAmount",
+                                                    "StoreKey"),
+                         "StoreKey")

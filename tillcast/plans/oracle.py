@@ -381,3 +381,96 @@ sql("zip_dates", with_sales(
     "SELECT CAST(g.d AS DATE) AS DateKey, daily.SalesAmount FROM (SELECT MIN(DateKey) AS lo, "
     "MAX(DateKey) AS hi FROM daily) b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) g(d) "
     "LEFT JOIN daily ON daily.DateKey = CAST(g.d AS DATE)", extra_ctes=DAILY))
+
+
+# ------------------------------------------------------- models and metrics
+sql("metrics", with_sales("""
+SELECT COUNT(*) AS n, ROUND(AVG(abs(y - p)), 2) AS mae, ROUND(AVG((y - p) * (y - p)), 0) AS mse,
+  ROUND(sqrt(AVG((y - p) * (y - p))), 2) AS rmse,
+  ROUND(1.0 - SUM((y - p) * (y - p)) / nullif(SUM((y - m.mu) * (y - m.mu)), 0), 6) AS r2
+FROM (SELECT SalesAmount AS y, LAG(SalesAmount) OVER (ORDER BY DateKey) AS p FROM daily) t
+CROSS JOIN (SELECT AVG(y) AS mu FROM (SELECT SalesAmount AS y, LAG(SalesAmount) OVER
+  (ORDER BY DateKey) AS p FROM daily) u WHERE p IS NOT NULL) m
+WHERE p IS NOT NULL""", extra_ctes=DAILY))
+_SPLIT_T = (f"split AS ({_SPLIT})")
+sql("mean_baseline", with_sales("""
+SELECT COUNT(*) AS n, ROUND(AVG(abs(y - p)), 2) AS mae, ROUND(AVG((y - p) * (y - p)), 0) AS mse,
+  ROUND(sqrt(AVG((y - p) * (y - p))), 2) AS rmse,
+  ROUND(1.0 - SUM((y - p) * (y - p)) / nullif(SUM((y - m.mu) * (y - m.mu)), 0), 6) AS r2
+FROM (SELECT SalesAmount AS y, (SELECT AVG(SalesAmount) FROM split WHERE is_train) AS p
+      FROM split WHERE NOT is_train) t
+CROSS JOIN (SELECT AVG(SalesAmount) AS mu FROM split WHERE NOT is_train) m""",
+    extra_ctes=DAILY + ",\n" + _SPLIT_T))
+sql("holdout_split", with_sales(
+    "SELECT DateKey, row_number() OVER (ORDER BY DateKey) <= floor(COUNT(*) OVER () * 0.9) "
+    "AS is_train FROM daily", extra_ctes=DAILY))
+
+_CLEANED = ("cleaned AS (SELECT * FROM sales WHERE SalesAmount <= 2.5 * "
+            "(SELECT stddev_samp(SalesAmount) FROM sales))")
+sql("pipeline_preprocess", with_sales(
+    OF.grain_select("daily"),
+    extra_ctes=_CLEANED + ",\n" + OF.features_ctes(base="cleaned")))
+sql("attach_target", with_sales(
+    "SELECT DateKey, CalendarYear, SalesQuantity, SalesAmount FROM (" + OF.grain_select("daily")
+    + ") t", extra_ctes=_CLEANED + ",\n" + OF.features_ctes(base="cleaned")))
+
+# -------------------------------------------------------- similarity scores
+_SIMPLE_DAILY = ("simple AS (SELECT DateKey, ROUND(AVG(UnitCost), 6) AS UnitCost, "
+                 "CAST(SUM(SalesQuantity) AS BIGINT) AS SalesQuantity, "
+                 "CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) AS DOUBLE) "
+                 "AS SalesAmount FROM sales GROUP BY DateKey), "
+                 "ha AS (SELECT * FROM simple WHERE year(DateKey) <= 1997), "
+                 "hb AS (SELECT * FROM simple WHERE year(DateKey) >= 1998)")
+
+
+def _ks(c: str) -> str:
+    return (f"SELECT '{c}' AS \"column\", ROUND(1.0 - MAX(abs(fr - fs)), 6) AS ks_complement "
+            f"FROM (SELECT v, SUM(nr) OVER (ORDER BY v) / SUM(nr) OVER () AS fr, "
+            f"SUM(ns) OVER (ORDER BY v) / SUM(ns) OVER () AS fs FROM ("
+            f"SELECT coalesce(x.v, y.v) AS v, coalesce(x.n, 0) AS nr, coalesce(y.n, 0) AS ns "
+            f"FROM (SELECT CAST({c} AS DOUBLE) AS v, COUNT(*) AS n FROM ha WHERE {c} IS NOT NULL "
+            f"GROUP BY 1) x FULL JOIN (SELECT CAST({c} AS DOUBLE) AS v, COUNT(*) AS n FROM hb "
+            f"WHERE {c} IS NOT NULL GROUP BY 1) y ON x.v = y.v) u) w")
+
+
+sql("ks_complement", with_sales(" UNION ALL ".join(
+    _ks(c) for c in ("SalesAmount", "UnitCost", "SalesQuantity")), extra_ctes=_SIMPLE_DAILY))
+_SIM_PAIRS = [("SalesAmount", "UnitCost"), ("SalesAmount", "SalesQuantity"),
+              ("UnitCost", "SalesQuantity")]
+sql("correlation_similarity", with_sales(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, ROUND(1.0 - abs((SELECT corr(CAST({a} AS DOUBLE), "
+    f"CAST({b} AS DOUBLE)) FROM ha) - (SELECT corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) "
+    f"FROM hb)) / 2.0, 6) AS correlation_similarity" for a, b in _SIM_PAIRS),
+    extra_ctes=_SIMPLE_DAILY))
+_STAR_HALVES = ("sa AS (SELECT * FROM sales WHERE CalendarYear <= 1997), "
+                "sb AS (SELECT * FROM sales WHERE CalendarYear >= 1998)")
+
+
+def _tv(cols: list[str], name: str) -> str:
+    keys = ", ".join(cols)
+    on = " AND ".join(f"x.{c} IS NOT DISTINCT FROM y.{c}" for c in cols)
+    return (f"SELECT ROUND(1.0 - 0.5 * SUM(abs(coalesce(x.p, 0) - coalesce(y.q, 0))), 6) AS {name} "
+            f"FROM (SELECT {keys}, COUNT(*) * 1.0 / (SELECT COUNT(*) FROM sa) AS p FROM sa "
+            f"GROUP BY {keys}) x FULL JOIN (SELECT {keys}, COUNT(*) * 1.0 / "
+            f"(SELECT COUNT(*) FROM sb) AS q FROM sb GROUP BY {keys}) y ON {on}")
+
+
+sql("tv_complement", with_sales(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", tv_complement FROM ({_tv([c], 'tv_complement')}) t"
+    for c in ("StoreType", "BrandName", "IsWorkDay")), extra_ctes=_STAR_HALVES))
+sql("contingency_similarity", with_sales(
+    f"SELECT 'StoreType' AS col_a, 'IsWorkDay' AS col_b, contingency_similarity FROM "
+    f"({_tv(['StoreType', 'IsWorkDay'], 'contingency_similarity')}) t", extra_ctes=_STAR_HALVES))
+
+# ------------------------------------------------------------ sources/sinks
+sql("write_csv", with_sales("SELECT DateKey, SalesAmount FROM daily", extra_ctes=DAILY))
+sql("write_table", with_sales("SELECT DateKey, SalesAmount FROM daily WHERE year(DateKey) = 1996",
+                              extra_ctes=DAILY))
+sql("materialize", with_sales("SELECT DateKey, SalesAmount FROM daily", extra_ctes=DAILY))
+sql("materialize_filtered", with_sales(
+    "SELECT DateKey, SalesAmount FROM daily WHERE DateKey BETWEEN DATE '1996-01-01' AND "
+    "DATE '1996-12-31'", extra_ctes=DAILY))
+sql("read_table_ordered", with_sales(
+    "SELECT DateKey, SalesAmount FROM daily WHERE DateKey BETWEEN DATE '1996-01-01' AND "
+    "DATE '1996-12-31' ORDER BY DateKey", extra_ctes=DAILY))
+sql("select_except", with_sales("SELECT SalesKey, DateKey, SalesAmount FROM sales"))

@@ -18,7 +18,8 @@ ONEHOT_CATEGORIES = {
 WS = ("' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(28) || chr(29) || "
       "chr(30) || chr(31)")
 
-PREP = f"""prep AS (
+def prep_cte(src: str = "sales") -> str:
+    return f"""prep AS (
   SELECT SalesKey, DateKey, channelKey, StoreKey, ProductKey,
     CASE WHEN PromotionKey = 1 THEN 1 ELSE 0 END AS PromotionKey,
     UnitCost, UnitPrice, SalesQuantity, ReturnQuantity, ReturnAmount, DiscountQuantity,
@@ -48,10 +49,13 @@ PREP = f"""prep AS (
       AS sin_CalendarQuarterLabel,
     cos(2 * pi() * CAST(regexp_extract(CalendarQuarterLabel, '(\\d)', 1) AS INTEGER) / 4.0)
       AS cos_CalendarQuarterLabel
-  FROM sales
+  FROM {src}
 )"""
 
 
+PREP = prep_cte("sales")
+
+
 def _stats_cte(src: str = "prep") -> str:
     parts = []
     for c in S.ROBUST_SCALE_COLUMNS:
@@ -83,8 +87,8 @@ def label_ctes() -> str:
     return ",\n".join(ctes)
 
 
-def features_ctes(src: str = "prep") -> str:
-    """prep, rstats, feat (scaled + one-hot + raw grain keys)."""
+def features_ctes(src: str = "prep", base: str = "sales") -> str:
+    """prep (over ``base``), rstats, feat (scaled + one-hot + raw grain keys)."""
     scaled = []
     for c in S.ROBUST_SCALE_COLUMNS:
         name = "CalendarYear_scaled" if c == "CalendarYear" else c
@@ -93,7 +97,7 @@ def features_ctes(src: str = "prep") -> str:
             "CalendarQuarterLabel", "SalesQuantity", "SalesAmount"]
     feat = (f"feat AS (SELECT {', '.join('prep.' + k + ' AS ' + k for k in keep)}, "
             f"{', '.join(scaled)}, {', '.join(onehot_exprs())} FROM prep, rstats)")
-    return f"{PREP},\n{_stats_cte(src)},\n{feat}"
+    return f"{prep_cte(base)},\n{_stats_cte(src)},\n{feat}"
 
 
 def grain_select(grain: str, include_total_cost: bool = True) -> str:
