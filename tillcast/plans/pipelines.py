@@ -42,13 +42,14 @@ def daily_features(rows: DataFrame, model: fea.FeatureModel) -> DataFrame:
 
 def pipeline_preprocess(spark: SparkSession, sf_dir: str, min_date: str | None = None,
                         max_date: str | None = None, ratio: float | None = None,
-                        out_path: str | None = None, quantile_method: str = "auto"
-                        ) -> Processed:
+                        out_path: str | None = None, quantile_method: str = "auto",
+                        clean: bool = True) -> Processed:
     """Range read -> 2.5 sigma clean -> daily target -> row features (fit on
     the cleaned rows) -> daily features -> join target on DateKey ->
     optional overwrite of the processed table."""
     star = denorm_ml(spark, sf_dir, ratio=ratio, min_date=min_date, max_date=max_date)
-    clean = flt.clean_outliers(star).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = flt.clean_outliers(star) if clean else star
+    clean = rows.persist(StorageLevel.MEMORY_AND_DISK)
     y = sea.seasonalize_y(clean, "daily", ordered=False)
     model = fea.fit_features(clean.drop("SalesAmount"), quantile_method=quantile_method,
                              persist=False)
@@ -171,7 +172,7 @@ def synthetic_backtest(spark: SparkSession, sf_dir: str, train_end: str, test_st
     """Train on days up to ``train_end``; synthesise the test days from their
     calendar facts; score them against the actual daily revenue and
     against the training-mean baseline."""
-    proc = pipeline_preprocess(spark, sf_dir, None, train_end)
+    proc = pipeline_preprocess(spark, sf_dir, None, train_end, clean=False)
     daily = proc.daily.persist()
     res = mdl.train_gbt(daily, "SalesAmount", None, n_trees=n_trees, max_depth=max_depth)
     copula = fit_synthesizer(daily)
