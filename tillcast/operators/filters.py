@@ -17,15 +17,20 @@ from tillcast import schema as S
 from tillcast.operators.quantiles import quantiles
 
 
-def _with_stats(df: DataFrame, *stats: Column) -> DataFrame:
-    return df.crossJoin(F.broadcast(df.agg(*stats)))
+def _with_stats(df: DataFrame, *stats: Column, stats_df: DataFrame | None = None) -> DataFrame:
+    src = df if stats_df is None else stats_df
+    return df.crossJoin(F.broadcast(src.agg(*stats)))
 
 
-def clean_outliers(df: DataFrame, col: str = "SalesAmount", sigma: float = S.OUTLIER_SIGMA
-                   ) -> DataFrame:
+def clean_outliers(df: DataFrame, col: str = "SalesAmount", sigma: float = S.OUTLIER_SIGMA,
+                   stats_df: DataFrame | None = None) -> DataFrame:
     """Keep rows with ``col <= sigma * stddev_samp(col)`` (not mean-centred;
-    null values and a one-row input drop out, as NaN comparisons do)."""
-    out = _with_stats(df, (F.lit(sigma) * F.stddev_samp(col)).alias("__thr"))
+    null values and a one-row input drop out, as NaN comparisons do).
+
+    ``stats_df``: a narrower frame with the same multiset of ``col`` values
+    (e.g. the fact before row-preserving dimension joins) to compute the
+    threshold from."""
+    out = _with_stats(df, (F.lit(sigma) * F.stddev_samp(col)).alias("__thr"), stats_df=stats_df)
     return out.where(F.col(col) <= F.col("__thr")).drop("__thr")
 
 

@@ -19,14 +19,31 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan, or None when unavailable."""
+    """Optimizer size estimate of a plan, or None when unavailable.
+
+    Without column statistics Spark estimates a join as the product of its
+    inputs, so for join-derived frames prefer ``bounded_bytes``."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # Spark Connect or an unexpected plan: no estimate
         return None
 
 
+_TYPE_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
+               "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16}
+
+
+def row_width(df: DataFrame) -> int:
+    """Bytes per row of a hashed broadcast (strings and other variable-width
+    values counted as 32 bytes)."""
+    return 16 + sum(_TYPE_BYTES.get(f.dataType.typeName(), 32) for f in df.schema.fields)
+
+
+def bounded_bytes(df: DataFrame, max_rows: int) -> int:
+    """Size bound of a frame known to hold at most ``max_rows`` rows."""
+    return max_rows * row_width(df)
+
+
 def broadcast_limit(df: DataFrame) -> int:
     try:
         raw = df.sparkSession.conf.get("tillcast.broadcast.maxBytes", None)
@@ -35,27 +52,32 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(raw) if raw else DEFAULT_BROADCAST_BYTES
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Hint a broadcast only if the estimated size is within the bound."""
+def checked_broadcast(df: DataFrame, max_rows: int | None = None,
+                      max_bytes: int | None = None) -> DataFrame:
+    """Hint a broadcast only if the frame's size is within the bound.
+
+    ``max_rows`` is a proven row bound (e.g. the row count of the table
+    the dimension is derived from by projection / unique-key left joins);
+    without it the optimizer's estimate is used."""
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
-    size = estimated_bytes(df)
+    size = bounded_bytes(df, max_rows) if max_rows is not None else estimated_bytes(df)
     if size is not None and size <= limit:
         return F.broadcast(df)
     return df
 
 
 def left_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
-              broadcast: bool = True) -> DataFrame:
+              broadcast: bool = True, max_rows: int | None = None) -> DataFrame:
     """Left outer equi-join of a fact with a dimension (dim keys unique)."""
-    right = checked_broadcast(dim) if broadcast else dim
+    right = checked_broadcast(dim, max_rows) if broadcast else dim
     return fact.join(right, on=on, how="left")
 
 
 def left_join_renamed(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                      rename_to: str | None = None) -> DataFrame:
+                      rename_to: str | None = None, max_rows: int | None = None) -> DataFrame:
     """Left join where the key names differ (``f.a == d.b``); the dim key
     is dropped and the fact key optionally renamed afterwards."""
-    right = checked_broadcast(dim)
+    right = checked_broadcast(dim, max_rows)
     out = fact.join(right, fact[fact_key] == right[dim_key], "left").drop(right[dim_key])
     if rename_to and rename_to != fact_key:
         out = out.withColumnRenamed(fact_key, rename_to)
@@ -69,6 +91,7 @@ class DimSpec:
     frame: DataFrame
     key: str
     columns: Sequence[str] = field(default_factory=tuple)
+    max_rows: int | None = None  # proven row bound for the broadcast check
 
     def projected(self) -> DataFrame:
         cols = [self.key] + [c for c in self.columns if c != self.key]
@@ -77,4 +100,5 @@ class DimSpec:
 
 def fold_star(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     """Fold a declarative list of dimensions into chained left joins."""
-    return reduce(lambda acc, d: left_join(acc, d.projected(), d.key), dims, fact)
+    return reduce(lambda acc, d: left_join(acc, d.projected(), d.key, max_rows=d.max_rows),
+                  dims, fact)

@@ -18,7 +18,7 @@ from tillcast.operators import seasonal as sea
 from tillcast.functions.calendar import with_cyclic
 from tillcast.functions.scalars import select_facts
 from tillcast.plans.frames import round_doubles
-from tillcast.plans.star import denorm_dashboard, denorm_ml, join_bushy
+from tillcast.plans.star import denorm_dashboard, denorm_ml, fact_measures, join_bushy
 from tillcast.sources.tables import date_range
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,7 +69,8 @@ def q_select_facts(spark, d):
 # --------------------------------------------------------------------- 2.3
 @query("clean_outliers")
 def q_clean_outliers(spark, d):
-    return flt.clean_outliers(denorm_ml(spark, d)).select("SalesKey", "DateKey", "SalesAmount")
+    return flt.clean_outliers(denorm_ml(spark, d), stats_df=fact_measures(spark, d)).select(
+        "SalesKey", "DateKey", "SalesAmount")
 
 
 # ------------------------------------------------------------ minimal slice
@@ -78,7 +79,7 @@ def daily_revenue(spark: SparkSession, d: str, lo: str = MINIMAL_RANGE[0],
     """Daily revenue features for a date range: star -> range -> 2.5 sigma
     filter -> cyclic month -> daily aggregate."""
     star = denorm_ml(spark, d, min_date=lo, max_date=hi)
-    clean = flt.clean_outliers(star)
+    clean = flt.clean_outliers(star, stats_df=fact_measures(spark, d, min_date=lo, max_date=hi))
     feats = with_cyclic(clean, "MonthNumber", S.MONTHS_IN_YEAR)
     daily = feats.groupBy("DateKey").agg(
         sea.money_sum("SalesAmount"),

@@ -23,7 +23,7 @@ from tillcast.operators import registry as reg
 from tillcast.operators import seasonal as sea
 from tillcast.operators import synth as syn
 from tillcast.operators.metrics import mean_baseline, metrics
-from tillcast.plans.star import denorm_ml
+from tillcast.plans.star import denorm_ml, fact_measures
 from tillcast.sources.sinks import write_table
 from tillcast.sources.tables import date_range
 
@@ -48,7 +48,8 @@ def pipeline_preprocess(spark: SparkSession, sf_dir: str, min_date: str | None =
     the cleaned rows) -> daily features -> join target on DateKey ->
     optional overwrite of the processed table."""
     star = denorm_ml(spark, sf_dir, ratio=ratio, min_date=min_date, max_date=max_date)
-    rows = flt.clean_outliers(star) if clean else star
+    stats = fact_measures(spark, sf_dir, ratio=ratio, min_date=min_date, max_date=max_date)
+    rows = flt.clean_outliers(star, stats_df=stats) if clean else star
     clean = rows.persist(StorageLevel.MEMORY_AND_DISK)
     y = sea.seasonalize_y(clean, "daily", ordered=False)
     model = fea.fit_features(clean.drop("SalesAmount"), quantile_method=quantile_method,

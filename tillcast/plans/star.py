@@ -12,13 +12,24 @@ from tillcast.sources.sample import sample_rows
 
 
 def _sampled_fact(spark: SparkSession, sf_dir: str, ratio: float | None, seed: int,
-                  min_date: str | None, max_date: str | None) -> DataFrame:
-    fact = st.fact_sales(spark, sf_dir, min_date, max_date)
+                  min_date: str | None, max_date: str | None,
+                  with_order_attrs: bool = True) -> DataFrame:
+    fact = st.fact_sales(spark, sf_dir, min_date, max_date, with_order_attrs)
     if ratio is not None and ratio < 1.0:
         fact = sample_rows(fact, ratio, key_cols=["SalesKey"], seed=seed)
     return fact
 
 
+def fact_measures(spark: SparkSession, sf_dir: str, ratio: float | None = None, seed: int = 42,
+                  min_date: str | None = None, max_date: str | None = None) -> DataFrame:
+    """The fact rows of ``denorm_ml`` with the same range and sample, before
+    any dimension join.  The star's left joins are on unique dimension keys,
+    so they keep this row multiset: statistics of fact measures (the
+    outlier threshold) are computed here, on one narrow scan, instead of
+    re-running the star."""
+    return _sampled_fact(spark, sf_dir, ratio, seed, min_date, max_date, with_order_attrs=False)
+
+
 def denorm_ml(spark: SparkSession, sf_dir: str, ratio: float | None = None, seed: int = 42,
               min_date: str | None = None, max_date: str | None = None) -> DataFrame:
     """The ML wide table (40 columns): fact + promotion + date + product +
@@ -37,13 +48,17 @@ def denorm_ml(spark: SparkSession, sf_dir: str, ratio: float | None = None, seed
     dims = [
         DimSpec("product", st.dim_product(spark, sf_dir), "ProductKey",
                 ["UnitCost", "ProductSubcategoryKey", "BrandName", "ClassID", "StyleID",
-                 "ColorID", "Weight", "WeightUnitMeasureID", "StockTypeID"]),
+                 "ColorID", "Weight", "WeightUnitMeasureID", "StockTypeID"],
+                st.dim_rows(spark, sf_dir, "product")),
         DimSpec("subcategory", st.dim_subcategory(spark, sf_dir), "ProductSubcategoryKey",
-                ["ProductCategoryKey"]),
+                ["ProductCategoryKey"],
+                st.dim_rows(spark, sf_dir, "subcategory")),
         DimSpec("store", st.dim_store(spark, sf_dir), "StoreKey",
-                ["GeographyKey", "EmployeeCount", "SellingAreaSize", "CityName"]),
+                ["GeographyKey", "EmployeeCount", "SellingAreaSize", "CityName"],
+                st.dim_rows(spark, sf_dir, "store")),
         DimSpec("geography", st.dim_geography(spark, sf_dir), "GeographyKey",
-                ["GeographyType", "ContinentName", "StateProvinceName", "RegionCountryName"]),
+                ["GeographyType", "ContinentName", "StateProvinceName", "RegionCountryName"],
+                st.dim_rows(spark, sf_dir, "geography")),
     ]
     wide = fold_star(fact, dims)
     wide = wide.withColumn("TotalCost", F.col("UnitCost") * F.col("SalesQuantity"))
@@ -57,7 +72,7 @@ def denorm_dashboard(spark: SparkSession, sf_dir: str, ratio: float | None = Non
     date, product, subcategory, category, store, geography."""
     fact = _sampled_fact(spark, sf_dir, ratio, seed, min_date, max_date).drop("ChannelName")
     fact = left_join_renamed(fact, st.dim_channel(spark, sf_dir), "channelKey", "ChannelKey",
-                             rename_to="ChannelKey")
+                             rename_to="ChannelKey", max_rows=st.dim_rows(spark, sf_dir, "channel"))
     promo = st.promotion_attrs(F.col("PromotionKey"))
     fact = fact.withColumns({k: promo[k] for k in ("PromotionName", "PromotionType")})
     cal = st.date_attrs("DateKey")
@@ -66,13 +81,18 @@ def denorm_dashboard(spark: SparkSession, sf_dir: str, ratio: float | None = Non
         "MonthNumber", "CalendarDayOfWeekNumber")})
     dims = [
         DimSpec("product", st.dim_product(spark, sf_dir), "ProductKey",
-                ["UnitCost", "ProductName", "ProductSubcategoryKey"]),
+                ["UnitCost", "ProductName", "ProductSubcategoryKey"],
+                st.dim_rows(spark, sf_dir, "product")),
         DimSpec("subcategory", st.dim_subcategory(spark, sf_dir), "ProductSubcategoryKey",
-                ["ProductSubcategoryName", "ProductCategoryKey"]),
+                ["ProductSubcategoryName", "ProductCategoryKey"],
+                st.dim_rows(spark, sf_dir, "subcategory")),
         DimSpec("category", st.dim_category(spark, sf_dir), "ProductCategoryKey",
-                ["ProductCategoryName"]),
-        DimSpec("store", st.dim_store(spark, sf_dir), "StoreKey", ["GeographyKey", "StoreName"]),
-        DimSpec("geography", st.dim_geography(spark, sf_dir), "GeographyKey", ["ContinentName"]),
+                ["ProductCategoryName"],
+                st.dim_rows(spark, sf_dir, "category")),
+        DimSpec("store", st.dim_store(spark, sf_dir), "StoreKey", ["GeographyKey", "StoreName"],
+                st.dim_rows(spark, sf_dir, "store")),
+        DimSpec("geography", st.dim_geography(spark, sf_dir), "GeographyKey", ["ContinentName"],
+                st.dim_rows(spark, sf_dir, "geography")),
     ]
     wide = fold_star(fact, dims)
     wide = wide.withColumn("TotalCost", F.col("UnitCost") * F.col("SalesQuantity"))
@@ -83,8 +103,9 @@ def join_bushy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimension joined to dimension first (store with geography), then the
     fact with the result."""
     store_geo = left_join(st.dim_store(spark, sf_dir), st.dim_geography(spark, sf_dir),
-                          "GeographyKey")
+                          "GeographyKey", max_rows=st.dim_rows(spark, sf_dir, "geography"))
     fact = st.fact_sales(spark, sf_dir, with_order_attrs=False)
     return left_join(fact.select("SalesKey", "DateKey", "StoreKey", "SalesAmount"),
                      store_geo.select("StoreKey", "StoreName", "RegionCountryName",
-                                      "ContinentName"), "StoreKey")
+                                      "ContinentName"), "StoreKey",
+                     max_rows=st.dim_rows(spark, sf_dir, "store"))

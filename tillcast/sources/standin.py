@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tillcast.functions.calendar import calendar_parts
 from tillcast.operators.joins import checked_broadcast
 from tillcast.operators.ranking import dense_code
-from tillcast.sources.tables import read_table
+from tillcast.sources.tables import read_table, table_rows
 
 # Fixed values of the stand-in mapping.
 WEIGHT_UNIT_BY_MOD4 = {0: "pounds", 1: "ounces", 2: "grams"}
@@ -61,7 +61,7 @@ def orders_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     the attributes the fact needs (channel, channel name, store type)."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
-    joined = orders.join(checked_broadcast(customer),
+    joined = orders.join(checked_broadcast(customer, table_rows(spark, sf_dir, "customer")),
                          orders.o_custkey == customer.c_custkey, "left")
     return joined.select(
         "o_orderkey",
@@ -107,7 +107,7 @@ def fact_sales(spark: SparkSession, sf_dir: str, min_date: str | None = None,
     )
     if not with_order_attrs:
         return fact.drop("l_orderkey")
-    oc = checked_broadcast(orders_channel(spark, sf_dir))
+    oc = checked_broadcast(orders_channel(spark, sf_dir), table_rows(spark, sf_dir, "orders"))
     return (fact.join(oc, fact.l_orderkey == oc.o_orderkey, "left")
             .drop("l_orderkey", "o_orderkey"))
 
@@ -135,7 +135,8 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part",
                       ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
     sub = checked_broadcast(dim_subcategory(spark, sf_dir).select(
-        F.col("ProductSubcategoryName").alias("_ptype"), "ProductSubcategoryKey"))
+        F.col("ProductSubcategoryName").alias("_ptype"), "ProductSubcategoryKey"),
+        table_rows(spark, sf_dir, "part"))
     k = F.col("p_partkey")
     unit = F.when(k % 4 == 0, F.lit(WEIGHT_UNIT_BY_MOD4[0])) \
         .when(k % 4 == 1, F.lit(WEIGHT_UNIT_BY_MOD4[1])) \
@@ -173,7 +174,8 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    g = n.join(checked_broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+    g = n.join(checked_broadcast(r, table_rows(spark, sf_dir, "region")),
+               n.n_regionkey == r.r_regionkey, "left")
     return g.select(
         F.col("n_nationkey").alias("GeographyKey"),
         F.lit(GEOGRAPHY_TYPE).alias("GeographyType"),
@@ -206,3 +208,13 @@ def promotion_attrs(promo_key: Column) -> dict[str, Column]:
 
 def date_attrs(date_col: str = "DateKey") -> dict[str, Column]:
     return calendar_parts(date_col)
+
+
+# Proven row bounds of each dimension: the table it is derived from by
+# projection, distinct or unique-key left joins.
+DIM_SOURCE = {"product": "part", "subcategory": "part", "category": "part",
+              "store": "supplier", "geography": "nation", "channel": "orders"}
+
+
+def dim_rows(spark: SparkSession, sf_dir: str, dim: str) -> int:
+    return table_rows(spark, sf_dir, DIM_SOURCE[dim])

@@ -20,6 +20,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+_ROWS: dict[str, int] = {}
+
+
+def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Row count of a Parquet table (footer metadata only; cached)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _ROWS:
+        _ROWS[path] = spark.read.parquet(path).count()
+    return _ROWS[path]
+
+
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str,
              header: bool = True) -> DataFrame:
     """Header CSV scan with a declared schema (no inference)."""
