@@ -97,12 +97,16 @@ FULL_EXTRA_AGGS = {"DiscountPercent": "mean", "IsWorkDay": "mean", "IsHoliday":
 # Columns whose values are exact at 4 decimals: summed as DECIMAL, and
 # averaged as exact sum / count (both independent of summation order).
 MONEY_COLUMNS = {"UnitCost", "ReturnAmount", "DiscountAmount", "TotalCost", "SalesAmount",
-                 "DiscountPercent", "SellingAreaSize"}
+                 "DiscountPercent", "SellingAreaSize", "UnitPrice"}
+# Unit price (amount / quantity) has up to 7 decimals: averaged at 10.
+PRICE_COLUMNS = {"UnitPrice"}
+PRICE = "decimal(28,10)"
 
 
 def money_mean(c: str) -> Column:
-    """Mean of a 4-decimal column: exact DECIMAL sum, then one division."""
-    return (F.sum(F.col(c).cast(MONEY)).cast("double") / F.count(c)).alias(c)
+    """Mean of a money column: exact DECIMAL sum, then one division."""
+    dec = PRICE if c in PRICE_COLUMNS else MONEY
+    return (F.sum(F.col(c).cast(dec)).cast("double") / F.count(c)).alias(c)
 
 
 def _agg_from_map(df: DataFrame, spec: dict[str, str], money: bool = True) -> list[Column]:
@@ -117,7 +121,7 @@ def _agg_from_map(df: DataFrame, spec: dict[str, str], money: bool = True) -> li
             val = F.when(val == "WorkDay", 1.0).when(val.isNotNull(), 0.0)
         if how == "mean":
             out.append(money_mean(c) if money and c in MONEY_COLUMNS else F.avg(val).alias(c))
-        elif money and c in MONEY_COLUMNS:
+        elif money and c in MONEY_COLUMNS and c not in PRICE_COLUMNS:
             out.append(money_sum(c))
         else:
             out.append(F.coalesce(F.sum(val), F.lit(0)).alias(c))

@@ -148,7 +148,7 @@ for _g in S.GRAINS:
 
 def _simple_aggs(full: bool) -> str:
     money = {"UnitCost", "ReturnAmount", "DiscountAmount", "TotalCost", "SalesAmount",
-             "DiscountPercent", "SellingAreaSize"}
+             "DiscountPercent", "SellingAreaSize", "UnitPrice"}
     spec = {"UnitCost": "mean", "UnitPrice": "mean", "ReturnQuantity": "sum",
             "ReturnAmount": "sum", "DiscountQuantity": "sum", "DiscountAmount": "sum",
             "TotalCost": "sum", "SalesQuantity": "sum", "SalesAmount": "sum"}
@@ -161,7 +161,8 @@ def _simple_aggs(full: bool) -> str:
         if c == "IsWorkDay":
             v = "CASE WHEN IsWorkDay = 'WorkDay' THEN 1.0 WHEN IsWorkDay IS NOT NULL THEN 0.0 END"
         if c in money:
-            dv = f"CAST({v} AS DECIMAL(18,4))"
+            dv = (f"CAST({v} AS DECIMAL(28,10))" if c == "UnitPrice"
+                  else f"CAST({v} AS DECIMAL(18,4))")
             parts.append(f"CAST(SUM({dv}) AS DOUBLE) / COUNT({v}) AS {c}" if how == "mean"
                          else f"CAST(coalesce(SUM({dv}), 0) AS DOUBLE) AS {c}")
         elif how == "mean":
