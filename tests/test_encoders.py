@@ -54,8 +54,10 @@ def test_onehot_unseen_modes_and_null_last(spark):
     p = enc.fit_onehot(fit, ["c"])
     assert p.categories["c"] == ["x", "y", None]
     assert p.output_columns() == ["c_x", "c_y", "c_None"]
+    with pytest.raises(Exception, match="unknown category in c: z"):
+        enc.apply_onehot(apply, p).collect()  # fails inside the Spark job
     with pytest.raises(ValueError):
-        enc.apply_onehot(apply, p).collect()
+        enc.check_unknown(apply, p)  # the explicit up-front validation
     p_ignore = enc.fit_onehot(fit, ["c"], handle_unknown="ignore")
     rows = enc.apply_onehot(apply, p_ignore).collect()
     assert (rows[1].c_x, rows[1].c_y, rows[1].c_None) == (0.0, 0.0, 0.0)

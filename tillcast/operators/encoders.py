@@ -17,6 +17,7 @@ from tillcast.functions.scalars import sanitize_name
 from tillcast.operators.joins import checked_broadcast
 from tillcast.operators.quantiles import quantiles
 from tillcast.operators.ranking import dense_code
+from tillcast.session import ensure_checkpoint_dir
 
 MAX_CATEGORIES = 10_000
 
@@ -113,6 +114,15 @@ def onehot_columns(params: OneHotParams, as_type: str = "double") -> dict[str, C
     return exprs
 
 
+def _known(c: str, cats: list) -> Column:
+    s = F.col(c).cast("string")
+    known = [v for v in cats if v is not None]
+    ok = s.isin(known) if known else F.lit(False)
+    if None in cats:
+        ok = ok | s.isNull()
+    return F.coalesce(ok, F.lit(False))
+
+
 def check_unknown(df: DataFrame, params: OneHotParams) -> None:
     """Raise when ``df`` holds a category that was not seen in the fit."""
     conds = []
@@ -131,37 +141,54 @@ def check_unknown(df: DataFrame, params: OneHotParams) -> None:
 
 def apply_onehot(df: DataFrame, params: OneHotParams, drop_original: bool = True,
                  as_type: str = "double") -> DataFrame:
+    """Wide 0/1 columns, all in one projection.  With ``handle_unknown =
+    "error"`` an unseen category fails the job when the row is encoded
+    (``raise_error`` inside the expression: no extra pass over the data)."""
+    exprs = onehot_columns(params, as_type)
     if params.handle_unknown == "error":
-        check_unknown(df, params)
-    out = df.withColumns(onehot_columns(params, as_type))
+        for c, cats in params.categories.items():
+            use = cats[1:] if params.drop_binary and len(cats) == 2 else cats
+            if not use:
+                continue
+            first = onehot_name(c, use[0])
+            exprs[first] = F.when(~_known(c, cats), F.raise_error(
+                F.concat(F.lit(f"unknown category in {c}: "),
+                         F.coalesce(F.col(c).cast("string"), F.lit("null"))))
+            ).otherwise(exprs[first]).cast(as_type)
+    out = df.withColumns(exprs)
     return out.drop(*params.categories) if drop_original else out
 
 
 # ---------------------------------------------------------------------- label
 @dataclass
 class LabelParams:
-    maps: dict[str, DataFrame] = field(default_factory=dict)  # value -> code
-    null_code: dict[str, Column] = field(default_factory=dict)
+    maps: dict[str, DataFrame] = field(default_factory=dict)  # value -> code (materialized)
+    sizes: dict[str, int] = field(default_factory=dict)       # number of codes
 
 
 def fit_label(df: DataFrame, cols: Sequence[str]) -> LabelParams:
     """Sorted distinct values -> 0..n-1 (two-level rank, no single-task
-    window); a null value gets code n (sorted last)."""
+    window); a null value gets code n (sorted last).  The code tables are
+    fitted parameters: checkpointed once, with their size."""
     params = LabelParams()
+    ensure_checkpoint_dir(df.sparkSession)
     for c in cols:
-        codes = dense_code(df, c, out=f"{c}__code", start=0).withColumnRenamed(c, f"{c}__value")
+        codes = dense_code(df, c, out=f"{c}__code", start=0, materialize=True) \
+            .withColumnRenamed(c, f"{c}__value").checkpoint(eager=True)
         params.maps[c] = codes
+        params.sizes[c] = codes.count()
     return params
 
 
 def apply_label(df: DataFrame, params: LabelParams) -> DataFrame:
+    """Join each code table (broadcast when its known size is within the
+    bound, else a shuffle join); unseen values get null, nulls get n."""
     out = df
     for c, codes in params.maps.items():
-        n = codes.agg(F.count(F.lit(1)).alias(f"{c}__n"))
-        joined = out.join(checked_broadcast(codes), out[c] == codes[f"{c}__value"], "left")
-        joined = joined.crossJoin(F.broadcast(n))  # one row
+        n = params.sizes[c]
+        right = checked_broadcast(codes, max_rows=n)
+        joined = out.join(right, out[c] == right[f"{c}__value"], "left")
         joined = joined.withColumn(
-            c, F.when(F.col(c).isNull(), F.col(f"{c}__n").cast("int"))
-            .otherwise(F.col(f"{c}__code")))
-        out = joined.drop(f"{c}__value", f"{c}__code", f"{c}__n")
+            c, F.when(F.col(c).isNull(), F.lit(n)).otherwise(F.col(f"{c}__code")).cast("int"))
+        out = joined.drop(f"{c}__value", f"{c}__code")
     return out

@@ -82,16 +82,37 @@ def _distributed(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return out
 
 
+MAX_SINGLE_NDV = 1_000_000  # bounds the percentile buffer per column
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              method: str = "auto", accuracy: int = 100000) -> dict[str, list[float] | None]:
+              method: str = "auto", accuracy: int = 100000,
+              max_single_ndv: int = MAX_SINGLE_NDV) -> dict[str, list[float] | None]:
     """``{column: [q(p) for p in probs]}`` over non-null values (None when a
-    column has no non-null value)."""
+    column has no non-null value).
+
+    ``auto``: a small input (optimizer estimate) uses one ``percentile``
+    aggregate.  Otherwise one HyperLogLog pass splits the columns: those
+    with at most ``max_single_ndv`` distinct values (the size of the
+    ``percentile`` buffer) share one aggregate, the others take the
+    distributed exact path."""
     cols = list(cols)
     if not cols:
         return {}
     if method == "auto":
         size = estimated_bytes(df)
-        method = "single" if size is not None and size <= broadcast_limit(df) else "distributed"
+        if size is not None and size <= broadcast_limit(df):
+            return _single(df, cols, probs)
+        ndv = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(f"n{i}")
+                       for i, c in enumerate(cols)]).first()
+        low = [c for i, c in enumerate(cols) if ndv[f"n{i}"] <= max_single_ndv]
+        high = [c for c in cols if c not in low]
+        out: dict = {}
+        if low:
+            out.update(_single(df, low, probs))
+        if high:
+            out.update(_distributed(df, high, probs))
+        return out
     if method == "single":
         return _single(df, cols, probs)
     if method == "distributed":

@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.operators.joins import broadcast_limit, estimated_bytes
+from tillcast.operators.joins import broadcast_limit, bounded_bytes, estimated_bytes
 from tillcast.session import ensure_checkpoint_dir
 
 _LOW_BITS = (1 << 33) - 1
@@ -25,14 +25,15 @@ def _orders(order: Sequence[str | Column]) -> list[Column]:
 
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "rn",
-                      force_distributed: bool = False) -> DataFrame:
+                      force_distributed: bool = False, max_rows: int | None = None) -> DataFrame:
     """Append ``out`` = 1-based position of each row in ``order``.
 
     ``order`` must be a total order (add a unique tie-break) for the
-    result to be deterministic.
+    result to be deterministic.  ``max_rows``: a known row bound, used
+    instead of the optimizer estimate to choose the single-window plan.
     """
     ords = _orders(order)
-    size = estimated_bytes(df)
+    size = bounded_bytes(df, max_rows) if max_rows is not None else estimated_bytes(df)
     if not force_distributed and size is not None and size <= broadcast_limit(df):
         return df.withColumn(out, F.row_number().over(Window.orderBy(*ords)))
 
@@ -54,11 +55,22 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
             .drop("_pid", "_lr", "_off"))
 
 
-def dense_code(df: DataFrame, col: str, out: str = "code", start: int = 1) -> DataFrame:
+def dense_code(df: DataFrame, col: str, out: str = "code", start: int = 1,
+               materialize: bool = False) -> DataFrame:
     """Distinct non-null values of ``col`` with consecutive codes in sorted
-    order (``start``, ``start+1``, ...): a dense rank over the value set."""
+    order (``start``, ``start+1``, ...): a dense rank over the value set.
+
+    When the input is not known to be small (or ``materialize``), the
+    distinct values are checkpointed once and counted, so the ranking plan
+    is chosen from the real number of values."""
     values = df.select(col).where(F.col(col).isNotNull()).distinct()
-    ranked = global_row_number(values, [col], out="_rn")
+    size = estimated_bytes(values)
+    if not materialize and size is not None and size <= broadcast_limit(values):
+        ranked = global_row_number(values, [col], out="_rn")
+    else:
+        ensure_checkpoint_dir(df.sparkSession)
+        values = values.checkpoint(eager=True)
+        ranked = global_row_number(values, [col], out="_rn", max_rows=values.count())
     return ranked.select(col, (F.col("_rn") + F.lit(start - 1)).cast("int").alias(out))
 
 

@@ -34,6 +34,15 @@ def money_sum(c: str) -> Column:
     return F.coalesce(F.sum(F.col(c).cast(MONEY)), F.lit(0)).cast("double").alias(c)
 
 
+SCALED = "decimal(38,12)"
+
+
+def exact_mean(c: str) -> Column:
+    """Mean whose sum does not depend on the summation order: values are
+    rounded to 12 decimals, summed as DECIMAL, then divided once."""
+    return (F.sum(F.col(c).cast(SCALED)).cast("double") / F.count(c)).alias(c)
+
+
 def _first(c: str, order: str = "DateKey") -> Column:
     return F.min_by(F.col(c), F.col(order)).alias(c)
 
@@ -63,7 +72,10 @@ def feature_aggs(df: DataFrame, grain: str, onehot_cols: Sequence[str] | None =
     aggs += [_sum0(c) for c in sums]
     if "SalesAmount" in cols:  # the raw target: an exact money sum
         aggs.append(money_sum("SalesAmount"))
-    aggs += [F.avg(c).alias(c) for c in S.MEAN_COLUMNS + onehot_cols if c in cols]
+    # means of few-level scaled values can land on exact decimal ties, so
+    # they are summed order-independently (DECIMAL) before the division
+    aggs += [exact_mean(c) for c in S.MEAN_COLUMNS if c in cols]
+    aggs += [F.avg(c).alias(c) for c in onehot_cols if c in cols]
     firsts = ([] if "CalendarYear" in keys else ["CalendarYear"]) + S.CYCLIC_FIRST[grain]
     aggs += [_first(c) for c in firsts if c in cols]
     return aggs

@@ -108,7 +108,7 @@ def grain_select(grain: str, include_total_cost: bool = True) -> str:
               else f"{r.format(f'coalesce(SUM({c}), 0)')} AS {c}") for c in sums]
     parts.append("ROUND(CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) AS DOUBLE), 6)"
                  " AS SalesAmount")
-    parts += [f"{r.format('AVG(DiscountPercent)')} AS DiscountPercent"]
+    parts += [f"{r.format('CAST(SUM(CAST(DiscountPercent AS DECIMAL(38,12))) AS DOUBLE) / COUNT(DiscountPercent)')} AS DiscountPercent"]
     for c, cats in ONEHOT_CATEGORIES.items():
         for v in cats:
             name = sanitize_name(f"{c}_{v}")

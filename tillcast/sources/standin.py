@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tillcast.functions.calendar import calendar_parts
 from tillcast.operators.joins import checked_broadcast
 from tillcast.operators.ranking import dense_code
-from tillcast.sources.tables import read_table, table_rows
+from tillcast.sources.tables import read_table, spread_small, table_rows
 
 # Fixed values of the stand-in mapping.
 WEIGHT_UNIT_BY_MOD4 = {0: "pounds", 1: "ounces", 2: "grams"}
@@ -84,6 +84,7 @@ def fact_sales(spark: SparkSession, sf_dir: str, min_date: str | None = None,
     cond = ship_date_bounds(min_date, max_date)
     if cond is not None:
         li = li.where(cond)
+    li = spread_small(li)
     ship = F.col("l_shipdate").cast("date")
     qty = F.col("l_quantity").cast("bigint")
     price = F.col("l_extendedprice")

@@ -20,6 +20,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Round-robin an input that arrives in fewer partitions than the
+    session's parallelism (a small file with few row groups), so later
+    stages use every core.  Large inputs (many splits) are returned
+    unchanged: no shuffle is added at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:
+        return df
+    return df.repartition(target) if n < target else df
+
+
 _ROWS: dict[str, int] = {}
 
 
