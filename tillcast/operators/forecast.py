@@ -157,36 +157,34 @@ def order_search(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
                  keys: Sequence[str] = (), max_p: int = 5, seasonal_ps: Sequence[int] = (0,),
                  m: int = 0, ds_: Sequence[int] = (0,), trend: bool = True, log: bool = False
                  ) -> DataFrame:
-    """Fit every candidate order per series and keep the lowest AIC: the
-    series is paired with a small candidate table, each (series, order)
-    is fitted in its own group, then ``min_by(order, aic)``."""
+    """Fit every candidate order of each series and keep the lowest AIC
+    (ties: the smaller order).  One group per series; the small candidate
+    grid is looped inside the group."""
     ship_package(df.sparkSession)
-    spark = df.sparkSession
     src, gk = _series_frame(df, keys, ds, y)
-    cands = spark.createDataFrame(
-        [(p, d, sp) for p in range(1, max_p + 1) for d in ds_ for sp in seasonal_ps],
-        "p int, d int, sp int")
-    paired = src.crossJoin(F.broadcast(cands))  # candidates: a fixed, tiny list
-    schema = _key_schema(src, gk) + ", p int, d int, sp int, aic double, n int"
+    cands = [(p, d, sp) for p in range(1, max_p + 1) for d in ds_ for sp in seasonal_ps]
+    schema = _key_schema(src, gk) + ", p int, d int, sp int, aic double, n int, candidates int"
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ds)
-        vals = pdf["y"].to_numpy(dtype=float)
+        vals = pdf.sort_values(ds)["y"].to_numpy(dtype=float)
         if log:
             vals = np.log(vals[vals > 0])
-        o = ArOrder(int(pdf["p"].iloc[0]), int(pdf["d"].iloc[0]), int(pdf["sp"].iloc[0]), m,
-                    trend)
-        fit = fit_ar(vals, o)
+        best = None
+        for p, d, sp in cands:
+            fit = fit_ar(vals, ArOrder(p, d, sp, m, trend))
+            if fit is None or not np.isfinite(fit["aic"]):
+                continue
+            cand = (fit["aic"], p, d, sp, fit["n"])
+            if best is None or cand[:4] < best[:4]:
+                best = cand
         row = {k: pdf[k].iloc[0] for k in gk}
-        row.update(p=o.p, d=o.d, sp=o.seasonal_p,
-                   aic=(fit["aic"] if fit else float("nan")), n=(fit["n"] if fit else 0))
-        return pd.DataFrame([row])[gk + ["p", "d", "sp", "aic", "n"]]
-
-    fits = paired.groupBy(*gk, "p", "d", "sp").applyInPandas(fn, schema)
-    best = fits.where(~F.isnan("aic")).groupBy(*gk).agg(
-        F.min_by(F.struct("p", "d", "sp"), F.struct("aic", "p", "d", "sp")).alias("best"),
-        F.min("aic").alias("aic"))
-    return best.select(*gk, "best.p", "best.d", "best.sp", "aic")
+        if best is None:
+            return pd.DataFrame(columns=gk + ["p", "d", "sp", "aic", "n", "candidates"])
+        row.update(p=best[1], d=best[2], sp=best[3], aic=best[0], n=best[4],
+                   candidates=len(cands))
+        return pd.DataFrame([row])[gk + ["p", "d", "sp", "aic", "n", "candidates"]]
+
+    return src.groupBy(*gk).applyInPandas(fn, schema)
 
 
 # MacKinnon (2010) response-surface coefficients for the

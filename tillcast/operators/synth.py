@@ -337,20 +337,31 @@ def diagnostic(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
 
 
 def ks_complement(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """1 - max |F_real - F_synth| per column, over value counts of the union
-    (windows partitioned by column, ordered by value)."""
+    """1 - max |F_real - F_synth| per column, over the union of values.
+
+    Value counts per (column, value) of each side are full-joined; the two
+    empirical CDFs come from weighted positions (two-level ranking when the
+    value set is large), so no task holds a whole column."""
+    from tillcast.operators.ranking import cumulative_positions
+
+    idx = {c: i for i, c in enumerate(cols)}
+
     def long(df, tag):
         return df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+            F.struct(F.lit(idx[c]).alias("k"), F.col(c).cast("double").alias("v"))
             for c in cols])).alias("p")).select("p.*").where(F.col("v").isNotNull()) \
-            .groupBy("column", "v").agg(F.count(F.lit(1)).alias(tag))
-    both = long(real, "nr").join(long(synth, "ns"), ["column", "v"], "full").na.fill(0)
-    w = Window.partitionBy("column").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy("column")
-    cdf = both.select("column", (F.sum("nr").over(w) / F.sum("nr").over(tot)).alias("fr"),
-                      (F.sum("ns").over(w) / F.sum("ns").over(tot)).alias("fs"))
-    return cdf.groupBy("column").agg((F.lit(1.0) - F.max(F.abs(F.col("fr") - F.col("fs"))))
-                                     .alias("ks_complement"))
+            .groupBy("k", "v").agg(F.count(F.lit(1)).alias(tag))
+    both = long(real, "nr").join(long(synth, "ns"), ["k", "v"], "full").na.fill(0, ["nr", "ns"])
+    cr = cumulative_positions(both.select("k", "v", F.col("nr").alias("w"))) \
+        .select("k", "v", F.col("r1").alias("cr"))
+    cs = cumulative_positions(both.select("k", "v", F.col("ns").alias("w"))) \
+        .select("k", "v", F.col("r1").alias("cs"))
+    tot = both.groupBy("k").agg(F.sum("nr").alias("tr"), F.sum("ns").alias("ts"))
+    cdf = cr.join(cs, ["k", "v"]).join(F.broadcast(tot), "k")
+    names = F.create_map(*[x for c in cols for x in (F.lit(idx[c]), F.lit(c))])
+    return cdf.groupBy("k").agg((F.lit(1.0) - F.max(F.abs(
+        F.col("cr") / F.col("tr") - F.col("cs") / F.col("ts")))).alias("ks_complement")) \
+        .select(names[F.col("k")].alias("column"), "ks_complement")
 
 
 def _freq(df: DataFrame, cols: Sequence[str], tag: str) -> DataFrame:

@@ -145,8 +145,8 @@ def acf(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey", keys: Sequen
     mean = pos.groupBy(*keys).agg(F.avg("y").alias("m"))
     cen = (pos.join(F.broadcast(mean), list(keys)) if keys else pos.crossJoin(F.broadcast(mean)))
     cen = cen.select(*keys, "rn", (F.col("y") - F.col("m")).alias("e"))
-    lags = cen.sparkSession.range(nlags + 1).select(F.col("id").cast("int").alias("lag"))
-    left = cen.crossJoin(F.broadcast(lags)).select(
+    left = cen.select(*keys, "rn", "e", F.explode(F.sequence(F.lit(0), F.lit(nlags)))
+                      .alias("lag")).select(
         *keys, "lag", (F.col("rn") + F.col("lag")).alias("rn"), F.col("e").alias("e0"))
     pairs = left.join(cen.withColumnRenamed("e", "e1"), [*keys, "rn"], "inner")
     num = pairs.groupBy(*keys, "lag").agg(F.sum(F.col("e0") * F.col("e1")).alias("num"))

@@ -97,7 +97,10 @@ def q_daily_revenue(spark, d):
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
-    return daily_revenue(spark, d)
+    """The daily feature table of the preprocess pipeline (star -> 2.5 sigma
+    clean -> encoders fitted on the cleaned rows -> daily features joined
+    with the daily revenue target)."""
+    return round_doubles(pl.pipeline_preprocess(spark, d).daily)
 
 
 # ------------------------------------------------------- 2.2 / 2.9 scalars
@@ -331,6 +334,16 @@ def q_null_counts(spark, d):
     return prof.null_counts(denorm_ml(spark, d))
 
 
+@query("shape_schema")
+def q_shape_schema(spark, d):
+    """Row count, column count and type of every column of the ML star."""
+    star = denorm_ml(spark, d)
+    n = star.agg(F.count(F.lit(1)).alias("rows"))
+    types = spark.createDataFrame([(i, c, t) for i, (c, t) in enumerate(star.dtypes)],
+                                  "position int, column string, dtype string")
+    return types.crossJoin(F.broadcast(n)).withColumn("columns", F.lit(len(star.columns)))
+
+
 @query("value_counts")
 def q_value_counts(spark, d):
     return prof.value_counts(denorm_ml(spark, d), "StoreType")

@@ -1 +1,8 @@
-"""tillcast: retail sales analytics and forecasting on Spark."""
+"""Streaming.
+
+The pipeline this engine re-expresses is batch only: it has no stream
+source, watermark, event-time window, session or state store, so no
+streaming operator is provided.  Incremental loads use the batch writer
+(``sources.sinks.write_table(truncate=False)``) and the read-through cache
+(``sources.sinks.materialize``).
+"""
