@@ -39,7 +39,7 @@ sql("clean_outliers", with_sales(
 sql("daily_revenue", with_sales("""
 SELECT DateKey,
   CAST(SUM(CAST(SalesAmount AS DECIMAL(18,4))) AS DOUBLE) AS SalesAmount,
-  SUM(SalesQuantity) AS SalesQuantity,
+  CAST(SUM(SalesQuantity) AS BIGINT) AS SalesQuantity,
   CAST(SUM(CAST(DiscountAmount AS DECIMAL(18,4))) AS DOUBLE) AS DiscountAmount,
   ROUND(AVG(CASE WHEN IsWorkDay = 'WorkDay' THEN 1.0 ELSE 0.0 END), 6) AS workday_share,
   ROUND(arg_min(sin(2 * pi() * MonthNumber / 12.0), DateKey), 6) AS sin_MonthNumber,
@@ -121,8 +121,8 @@ sql("one_hot", with_sales("SELECT SalesKey, " + ", ".join(OF.onehot_exprs()) + "
                           extra_ctes=OF.PREP))
 sql("label_encode", with_sales(
     "SELECT prep.SalesKey, "
-    + ", ".join(f"CASE WHEN prep.{c} IS NULL THEN (SELECT count(*) FROM lab_{c}) "
-                f"ELSE lab_{c}.code END AS {c}" for c in S.LABEL_COLUMNS)
+    + ", ".join(f"CAST(CASE WHEN prep.{c} IS NULL THEN (SELECT count(*) FROM lab_{c}) "
+                f"ELSE lab_{c}.code END AS INTEGER) AS {c}" for c in S.LABEL_COLUMNS)
     + " FROM prep " + " ".join(f"LEFT JOIN lab_{c} ON prep.{c} = lab_{c}.v"
                                for c in S.LABEL_COLUMNS),
     extra_ctes=OF.PREP + ",\n" + OF.label_ctes()))
@@ -246,7 +246,8 @@ FROM sales s CROSS JOIN (SELECT quantile_cont(SalesAmount, 0.25) AS q1,
 GROUP BY q.q1, q.med, q.q3"""))
 sql("outliers_zscore", with_sales("""
 SELECT COUNT(*) AS total,
-  SUM(CASE WHEN abs((SalesAmount - m.mu) / nullif(m.sd, 0)) > 2.5 THEN 1 ELSE 0 END) AS num_outliers,
+  CAST(SUM(CASE WHEN abs((SalesAmount - m.mu) / nullif(m.sd, 0)) > 2.5 THEN 1 ELSE 0 END) AS BIGINT)
+    AS num_outliers,
   ROUND(100.0 * SUM(CASE WHEN abs((SalesAmount - m.mu) / nullif(m.sd, 0)) > 2.5 THEN 1 ELSE 0 END)
         / COUNT(*), 6) AS pct_outliers
 FROM sales CROSS JOIN (SELECT AVG(SalesAmount) AS mu, stddev_pop(SalesAmount) AS sd FROM sales) m"""))
@@ -286,7 +287,7 @@ _Z = "((v - st.mu) / st.sd)"
 _LCDF = f"ln(0.5 * {_erfc_sql(f'(-{_Z} / sqrt(2.0))')})"
 _LSF = f"ln(0.5 * {_erfc_sql(f'({_Z} / sqrt(2.0))')})"
 sql("anderson_darling", with_sales(f"""
-SELECT a.n, ROUND(a.statistic, 4) AS statistic, l.significance,
+SELECT a.n, ROUND(a.statistic, 4) AS statistic, CAST(l.significance AS DOUBLE) AS significance,
   ROUND(l.base / (1.0 + 4.0 / a.n - 25.0 / (a.n * a.n)), 6) AS critical,
   a.statistic < l.base / (1.0 + 4.0 / a.n - 25.0 / (a.n * a.n)) AS looks_normal
 FROM (

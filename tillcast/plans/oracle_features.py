@@ -73,7 +73,7 @@ def onehot_exprs(agg: str | None = None) -> list[str]:
     out = []
     for c, cats in ONEHOT_CATEGORIES.items():
         for v in cats:
-            e = f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END"
+            e = f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE)"
             name = sanitize_name(f"{c}_{v}")
             out.append(f'{agg}({e}) AS "{name}"' if agg else f'{e} AS "{name}"')
     return out
