@@ -10,7 +10,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.operators.quantiles import quantiles
+from tillcast.operators.quantiles import MAX_SINGLE_NDV, quantiles
 from tillcast.operators.ranking import cumulative_positions
 
 
@@ -22,13 +22,22 @@ def global_stats(df: DataFrame, col: str = "SalesAmount") -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max per column - exact
     quartiles (``df.summary`` quartiles are approximate).  One row per
-    column."""
+    column; the moments and the distinct-count estimate that picks the
+    quantile plan share one pass."""
     spark = df.sparkSession
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method)
     base = df.agg(*[e for c in cols for e in (
         F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
         F.stddev_samp(c).alias(f"{c}__std"), F.min(F.col(c).cast("double")).alias(f"{c}__min"),
-        F.max(F.col(c).cast("double")).alias(f"{c}__max"))]).first()
+        F.max(F.col(c).cast("double")).alias(f"{c}__max"),
+        F.approx_count_distinct(c, 0.05).alias(f"{c}__ndv"))]).first()
+    low = [c for c in cols if base[f"{c}__ndv"] <= MAX_SINGLE_NDV]
+    high = [c for c in cols if c not in low]
+    q = {}
+    if low:
+        q.update(quantiles(df, low, [0.25, 0.5, 0.75], method="single"))
+    if high:
+        q.update(quantiles(df, high, [0.25, 0.5, 0.75], method=method if method != "auto"
+                           else "distributed"))
     rows = []
     for c in cols:
         qs = q[c] or [None, None, None]

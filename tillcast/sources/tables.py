@@ -36,11 +36,26 @@ def spread_small(df: DataFrame) -> DataFrame:
 _ROWS: dict[str, int] = {}
 
 
+DIMENSION_TABLES = ["region", "nation", "customer", "supplier", "part", "orders"]
+
+
 def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Row count of a Parquet table (footer metadata only; cached)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    """Row count of a Parquet table (cached per path).  The first call for a
+    folder counts all dimension tables in one job (count(*) over Parquet
+    reads no column data)."""
+    base = sf_dir.rstrip("/")
+    path = f"{base}/{name}.parquet"
     if path not in _ROWS:
-        _ROWS[path] = spark.read.parquet(path).count()
+        names = [t for t in DIMENSION_TABLES if f"{base}/{t}.parquet" not in _ROWS]
+        if name not in names:
+            names.append(name)
+        parts = [spark.read.parquet(f"{base}/{t}.parquet").agg(F.count(F.lit(1)).alias("n"))
+                 .select(F.lit(t).alias("t"), "n") for t in names]
+        union = parts[0]
+        for p in parts[1:]:
+            union = union.unionByName(p)
+        for r in union.collect():  # one row per table
+            _ROWS[f"{base}/{r['t']}.parquet"] = int(r["n"])
     return _ROWS[path]
 
 
