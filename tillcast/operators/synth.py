@@ -314,6 +314,20 @@ def sample_with_facts(model: CopulaModel, facts: DataFrame, id_col: str = "DateK
     return src.mapInPandas(gen, schema)
 
 
+def detect_metadata(df: DataFrame, forced: Sequence[str] = (), exclude: Sequence[str] = (),
+                    max_binary: int = 2) -> DataFrame:
+    """Per column: exact number of distinct non-null values and its kind
+    (categorical when forced or with at most ``max_binary`` values).  One
+    aggregate over all columns."""
+    cols = [c for c in df.columns if c not in set(exclude)]
+    wide = df.agg(*[F.countDistinct(F.col(c)).alias(c) for c in cols])
+    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
+    long = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column, n_distinct)")
+    return long.withColumn("sdtype", F.when(
+        F.col("column").isin(list(forced)) | (F.col("n_distinct") <= max_binary),
+        F.lit("categorical")).otherwise(F.lit("numerical")))
+
+
 # ------------------------------------------------------------ quality scores
 def diagnostic(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
                categorical: Sequence[str] = ()) -> DataFrame:

@@ -782,15 +782,12 @@ def q_contingency_similarity(spark, d):
 
 @query("detect_metadata")
 def q_detect_metadata(spark, d):
-    """Column kinds of the daily table: numeric vs categorical (few distinct
-    values, or forced), with approximate distinct counts."""
-    daily = processed(spark, d).daily
-    cols = [c for c in daily.columns if c != "DateKey"]
-    nd = daily.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    forced = set(pl.DISCOUNT_GROUP) | {"GeographyType_City"}
-    rows = [(c, int(nd[c]), "categorical" if c in forced or nd[c] <= 2 else "numerical")
-            for c in cols]
-    return spark.createDataFrame(rows, "column string, n_distinct long, sdtype string")
+    """Column kinds of the daily table: categorical when forced (the
+    discount triple, the geography type) or binary, else numerical; exact
+    distinct counts (the table has one row per day)."""
+    daily = round_doubles(processed(spark, d).daily)  # values as reported (6 dp)
+    return syn.detect_metadata(daily, forced=pl.DISCOUNT_GROUP + ["GeographyType_City"],
+                               exclude=["DateKey"])
 
 
 # ---------------------------------------------------------- 2.1 sources/sinks

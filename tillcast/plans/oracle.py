@@ -476,3 +476,20 @@ sql("read_table_ordered", with_sales(
     "SELECT DateKey, SalesAmount FROM daily WHERE DateKey BETWEEN DATE '1996-01-01' AND "
     "DATE '1996-12-31' ORDER BY DateKey", extra_ctes=DAILY))
 sql("select_except", with_sales("SELECT SalesKey, DateKey, SalesAmount FROM sales"))
+
+
+# ------------------------------------------------------------- metadata
+def _daily_columns() -> list[str]:
+    sums = list(S.SUM_COLUMNS) + ["TotalCost", "SalesAmount"]
+    onehots = [OF.sanitize_name(f"{c}_{v}") for c, cats in OF.ONEHOT_CATEGORIES.items()
+               for v in cats]
+    return sums + ["DiscountPercent"] + onehots + ["CalendarYear"] + S.CYCLIC_FIRST["daily"]
+
+
+_FORCED = ("DiscountAmount", "DiscountPercent", "DiscountQuantity", "GeographyType_City")
+sql("detect_metadata", with_sales(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT(DISTINCT \"{c}\") AS n_distinct, "
+    f"CASE WHEN {'TRUE' if c in _FORCED else 'FALSE'} OR COUNT(DISTINCT \"{c}\") <= 2 "
+    f"THEN 'categorical' ELSE 'numerical' END AS sdtype FROM pp" for c in _daily_columns()),
+    extra_ctes=_CLEANED + ",\n" + OF.features_ctes(base="cleaned") + ",\npp AS ("
+    + OF.grain_select("daily") + ")"))
