@@ -808,6 +808,16 @@ def q_write_table(spark, d):
     return spark.read.parquet(path).where(F.col("year") == 1996).drop("year")
 
 
+@query("write_clustered")
+def q_write_clustered(spark, d):
+    """The ML star written date-clustered (year directories), read back for
+    one year: directory pruning plus pushed date bounds."""
+    path = sinks.warehouse_dir(spark) + "/star-" + sinks.cache_key(d)
+    sinks.write_clustered(denorm_ml(spark, d).select("SalesKey", "DateKey", "SalesAmount",
+                                                     "StoreType"), path)
+    return sinks.read_clustered(spark, path, "1996-01-01", "1996-12-31")
+
+
 @query("materialize")
 def q_materialize(spark, d):
     key = sinks.cache_key("daily_series", d)

@@ -493,3 +493,5 @@ sql("detect_metadata", with_sales(" UNION ALL ".join(
     f"THEN 'categorical' ELSE 'numerical' END AS sdtype FROM pp" for c in _daily_columns()),
     extra_ctes=_CLEANED + ",\n" + OF.features_ctes(base="cleaned") + ",\npp AS ("
     + OF.grain_select("daily") + ")"))
+sql("write_clustered", with_sales("SELECT SalesKey, DateKey, SalesAmount, StoreType FROM sales",
+                                  where=date_where("1996-01-01", "1996-12-31")))
