@@ -91,50 +91,62 @@ def chrono_split(df: DataFrame, order: Sequence[str | Column], train_frac: float
     return ranked.withColumn(flag, F.col(rn) <= cut)
 
 
-def _running_counts(batches):
+def _running_sums(weights):
     """Rows arrive sorted by (k, v) inside one range partition: running sum
-    of ``w`` per ``k``, carried across Arrow batches."""
-    carry: dict = {}
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        base = pdf["k"].map(lambda k: carry.get(k, 0)).astype("int64")
-        pdf = pdf.assign(cum=pdf.groupby("k", sort=False)["w"].cumsum().astype("int64") + base)
-        carry.update(pdf.groupby("k", sort=False)["cum"].last().to_dict())
-        yield pdf[["pid", "k", "v", "w", "cum"]]
-
-
-def cumulative_positions(counts: DataFrame, force_distributed: bool = False) -> DataFrame:
-    """Rank intervals of weighted sorted values.
-
-    Input: distinct ``(k, v)`` with a positive count ``w``.  Output adds
-    ``r0``/``r1``: the 1-based first and last position that ``v`` occupies
-    in the sorted multiset of its group ``k``.  Small inputs use a window;
-    large ones range-partition on (k, v), run the counts inside each
-    partition, checkpoint, and add per-partition offsets (one row per
-    partition and group)."""
+    of each weight per ``k``, carried across Arrow batches."""
+    def fn(batches):
+        carry: dict = {w: {} for w in weights}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            out = pdf.copy()
+            for w in weights:
+                base = pdf["k"].map(lambda k, w=w: carry[w].get(k, 0)).astype("int64")
+                out[f"{w}_cum"] = pdf.groupby("k", sort=False)[w].cumsum().astype("int64") + base
+                carry[w].update(out.groupby("k", sort=False)[f"{w}_cum"].last().to_dict())
+            yield out[["pid", "k", "v", *weights, *[f"{w}_cum" for w in weights]]]
+    return fn
+
+
+def cumulative_sums(counts: DataFrame, weights: Sequence[str],
+                    force_distributed: bool = False) -> DataFrame:
+    """Running sums of several non-negative integer weights over distinct
+    ``(k, v)`` ordered by ``v`` within ``k``: adds ``<w>_cum`` per weight.
+    Small inputs use a window; large ones the two-level plan (range
+    partitions, per-partition running sums, checkpoint, partition offsets)."""
     from tillcast.session import ship_package
 
+    weights = list(weights)
     size = estimated_bytes(counts)
     if not force_distributed and size is not None and size <= broadcast_limit(counts):
-        w = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-        return counts.withColumn("r1", F.sum("w").over(w)).withColumn(
-            "r0", F.col("r1") - F.col("w") + 1)
-
+        win = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        return counts.withColumns({f"{w}_cum": F.sum(w).over(win) for w in weights})
     spark = counts.sparkSession
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     vtype = dict(counts.dtypes)["v"]
     ktype = dict(counts.dtypes)["k"]
-    ranged = (counts.select("k", "v", F.col("w").cast("long").alias("w"))
+    ranged = (counts.select("k", "v", *[F.col(w).cast("long").alias(w) for w in weights])
               .repartitionByRange("k", "v").sortWithinPartitions("k", "v")
-              .select(F.spark_partition_id().alias("pid"), "k", "v", "w"))
-    local = ranged.mapInPandas(
-        _running_counts, f"pid int, k {ktype}, v {vtype}, w long, cum long").checkpoint(eager=True)
-    totals = local.groupBy("pid", "k").agg(F.max("cum").alias("t"))
-    offsets = totals.select("pid", "k", F.coalesce(F.sum("t").over(
-        Window.partitionBy("k").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("off"))
-    return local.join(F.broadcast(offsets), ["pid", "k"]).select(
-        "k", "v", "w", (F.col("off") + F.col("cum") - F.col("w") + 1).alias("r0"),
-        (F.col("off") + F.col("cum")).alias("r1"))
+              .select(F.spark_partition_id().alias("pid"), "k", "v", *weights))
+    schema = ", ".join([f"pid int, k {ktype}, v {vtype}"] + [f"{w} long" for w in weights]
+                       + [f"{w}_cum long" for w in weights])
+    local = ranged.mapInPandas(_running_sums(weights), schema).checkpoint(eager=True)
+    totals = local.groupBy("pid", "k").agg(*[F.max(f"{w}_cum").alias(f"{w}_t") for w in weights])
+    before = Window.partitionBy("k").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("pid", "k", *[F.coalesce(F.sum(f"{w}_t").over(before), F.lit(0))
+                                          .alias(f"{w}_off") for w in weights])
+    out = local.join(F.broadcast(offsets), ["pid", "k"])
+    return out.select("k", "v", *weights, *[(F.col(f"{w}_off") + F.col(f"{w}_cum"))
+                                            .alias(f"{w}_cum") for w in weights])
+
+
+def cumulative_positions(counts: DataFrame, force_distributed: bool = False) -> DataFrame:
+    """Rank intervals of weighted sorted values.
+
+    Input: distinct ``(k, v)`` with a positive count ``w``.  Output adds
+    ``r0``/``r1``: the 1-based first and last position that ``v`` occupies
+    in the sorted multiset of its group ``k`` (see ``cumulative_sums``)."""
+    cum = cumulative_sums(counts.select("k", "v", "w"), ["w"], force_distributed)
+    return cum.select("k", "v", "w", (F.col("w_cum") - F.col("w") + 1).alias("r0"),
+                      F.col("w_cum").alias("r1"))

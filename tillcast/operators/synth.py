@@ -356,7 +356,7 @@ def ks_complement(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> Dat
     Value counts per (column, value) of each side are full-joined; the two
     empirical CDFs come from weighted positions (two-level ranking when the
     value set is large), so no task holds a whole column."""
-    from tillcast.operators.ranking import cumulative_positions
+    from tillcast.operators.ranking import cumulative_sums
 
     idx = {c: i for i, c in enumerate(cols)}
 
@@ -366,12 +366,9 @@ def ks_complement(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> Dat
             for c in cols])).alias("p")).select("p.*").where(F.col("v").isNotNull()) \
             .groupBy("k", "v").agg(F.count(F.lit(1)).alias(tag))
     both = long(real, "nr").join(long(synth, "ns"), ["k", "v"], "full").na.fill(0, ["nr", "ns"])
-    cr = cumulative_positions(both.select("k", "v", F.col("nr").alias("w"))) \
-        .select("k", "v", F.col("r1").alias("cr"))
-    cs = cumulative_positions(both.select("k", "v", F.col("ns").alias("w"))) \
-        .select("k", "v", F.col("r1").alias("cs"))
+    cum = cumulative_sums(both, ["nr", "ns"]).withColumnsRenamed({"nr_cum": "cr", "ns_cum": "cs"})
     tot = both.groupBy("k").agg(F.sum("nr").alias("tr"), F.sum("ns").alias("ts"))
-    cdf = cr.join(cs, ["k", "v"]).join(F.broadcast(tot), "k")
+    cdf = cum.join(F.broadcast(tot), "k")
     names = F.create_map(*[x for c in cols for x in (F.lit(idx[c]), F.lit(c))])
     return cdf.groupBy("k").agg((F.lit(1.0) - F.max(F.abs(
         F.col("cr") / F.col("tr") - F.col("cs") / F.col("ts")))).alias("ks_complement")) \
