@@ -29,10 +29,11 @@ class RobustParams:
     scale: dict[str, float | None]
 
 
-def fit_robust(df: DataFrame, cols: Sequence[str], method: str = "auto") -> RobustParams:
+def fit_robust(df: DataFrame, cols: Sequence[str], method: str = "auto",
+               max_rows: int | None = None) -> RobustParams:
     """Median and inter-quartile range per column, all in one pass; an IQR
     of 0 scales by 1."""
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method)
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method, max_rows=max_rows)
     center, scale = {}, {}
     for c in cols:
         if q[c] is None:

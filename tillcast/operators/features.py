@@ -61,14 +61,17 @@ class FeatureModel:
 
 
 def fit_features(df: DataFrame, quantile_method: str = "auto", handle_unknown: str = "error",
-                 persist: bool = True) -> FeatureModel:
+                 persist: bool = True, max_rows: int | None = None) -> FeatureModel:
     """Learn scaler / one-hot / label statistics from ``df``.  The prepared
     rows are persisted for the duration of the fit (several passes)."""
     prepared = prepare_rows(df)
+    rows = max_rows
     if persist:
         prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = prepared.count()  # materializes the cache; bounds every distinct count
     try:
-        robust = enc.fit_robust(prepared, S.ROBUST_SCALE_COLUMNS, method=quantile_method)
+        robust = enc.fit_robust(prepared, S.ROBUST_SCALE_COLUMNS, method=quantile_method,
+                                max_rows=rows)
         onehot = enc.fit_onehot(prepared, S.ONE_HOT_COLUMNS, handle_unknown=handle_unknown)
         labels = enc.fit_label(prepared, S.LABEL_COLUMNS)
     finally:

@@ -87,7 +87,8 @@ MAX_SINGLE_NDV = 1_000_000  # bounds the percentile buffer per column
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               method: str = "auto", accuracy: int = 100000,
-              max_single_ndv: int = MAX_SINGLE_NDV) -> dict[str, list[float] | None]:
+              max_single_ndv: int = MAX_SINGLE_NDV, max_rows: int | None = None
+              ) -> dict[str, list[float] | None]:
     """``{column: [q(p) for p in probs]}`` over non-null values (None when a
     column has no non-null value).
 
@@ -95,13 +96,16 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     aggregate.  Otherwise one HyperLogLog pass splits the columns: those
     with at most ``max_single_ndv`` distinct values (the size of the
     ``percentile`` buffer) share one aggregate, the others take the
-    distributed exact path."""
+    distributed exact path.  A known row bound ``max_rows`` at or below
+    ``max_single_ndv`` bounds every column's distinct count, so the
+    estimate pass is skipped."""
     cols = list(cols)
     if not cols:
         return {}
     if method == "auto":
         size = estimated_bytes(df)
-        if size is not None and size <= broadcast_limit(df):
+        if (size is not None and size <= broadcast_limit(df)) or \
+                (max_rows is not None and max_rows <= max_single_ndv):
             return _single(df, cols, probs)
         ndv = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(f"n{i}")
                        for i, c in enumerate(cols)]).first()

@@ -51,9 +51,10 @@ def pipeline_preprocess(spark: SparkSession, sf_dir: str, min_date: str | None =
     stats = fact_measures(spark, sf_dir, ratio=ratio, min_date=min_date, max_date=max_date)
     rows = flt.clean_outliers(star, stats_df=stats) if clean else star
     clean = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    n_rows = clean.count()  # materializes the cache once for every fit pass
     y = sea.seasonalize_y(clean, "daily", ordered=False)
     model = fea.fit_features(clean.drop("SalesAmount"), quantile_method=quantile_method,
-                             persist=False)
+                             persist=False, max_rows=n_rows)
     daily = daily_features(clean, model).join(y, "DateKey", "inner")
     if out_path:
         write_table(daily, out_path, truncate=True)
