@@ -106,10 +106,14 @@ def _forecast(fit: dict, y: np.ndarray, order: ArOrder, h: int):
 
 
 def _series_frame(df: DataFrame, keys: Sequence[str], ds: str, y: str) -> tuple[DataFrame, list]:
-    if keys:
-        return df.select(*keys, ds, F.col(y).cast("double").alias("y")), list(keys)
-    return df.select(F.lit("all").alias("series_id"), ds,
-                     F.col(y).cast("double").alias("y")), ["series_id"]
+    """One point per (series, date): rows sharing a date are summed before
+    the per-series shuffle (map-side partial aggregation), so a group holds
+    at most one row per calendar step however the input rows are spread."""
+    gk = list(keys) if keys else ["series_id"]
+    src = df if keys else df.withColumn("series_id", F.lit("all"))
+    pts = src.where(F.col(ds).isNotNull()).groupBy(*gk, ds).agg(
+        F.sum(F.col(y).cast("double")).alias("y"))
+    return pts, gk
 
 
 def _key_schema(df: DataFrame, keys: list[str]) -> str:
