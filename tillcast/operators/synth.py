@@ -189,7 +189,9 @@ def fit_copula(df: DataFrame, columns: Sequence[str] | None = None,
     grouped = {c for g in groups for c in g}
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     cols = [c for c in (columns or num) if c not in grouped]
-    src = df.select(*cols, *grouped).na.drop()
+    # the fit input is calendar-aggregated (bounded by days): few partitions
+    src = df.select(*cols, *grouped).na.drop().coalesce(
+        df.sparkSession.sparkContext.defaultParallelism)
     q = quantiles(src, cols, GRID)
     mm = src.agg(*[e for c in cols for e in (F.min(c).alias(f"{c}__lo"),
                                               F.max(c).alias(f"{c}__hi"))]).first()

@@ -410,7 +410,9 @@ def q_anderson_darling(spark, d):
 def daily_series(spark: SparkSession, d: str) -> DataFrame:
     """(DateKey, SalesAmount): the daily revenue series of the whole star."""
     star = denorm_ml(spark, d).select("DateKey", "SalesAmount")
-    return star.groupBy("DateKey").agg(sea.money_sum("SalesAmount"))
+    # one row per day (calendar-bounded): few partitions for the windows
+    return star.groupBy("DateKey").agg(sea.money_sum("SalesAmount")).coalesce(
+        spark.sparkContext.defaultParallelism)
 
 
 @query("lag_baseline")

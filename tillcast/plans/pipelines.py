@@ -56,6 +56,9 @@ def pipeline_preprocess(spark: SparkSession, sf_dir: str, min_date: str | None =
     model = fea.fit_features(clean.drop("SalesAmount"), quantile_method=quantile_method,
                              persist=False, max_rows=n_rows)
     daily = daily_features(clean, model).join(y, "DateKey", "inner")
+    # one row per day: a calendar-bounded table, kept in few partitions so
+    # the small downstream fits (copula, boosting, per-series) run few tasks
+    daily = daily.coalesce(spark.sparkContext.defaultParallelism)
     if out_path:
         write_table(daily, out_path, truncate=True)
     return Processed(daily, model)
