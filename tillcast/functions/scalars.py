@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -99,7 +98,3 @@ def select_facts(df: DataFrame, with_datekey: bool = False) -> DataFrame:
 
 def parse_date(c: Column, fmt: str = "yyyy-MM-dd") -> Column:
     return F.to_date(c, fmt)
-
-
-def is_valid_identifier(name: str) -> bool:
-    return re.fullmatch(r"[A-Za-z_][A-Za-z0-9_#&+\-]*", name) is not None

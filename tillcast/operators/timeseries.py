@@ -13,7 +13,6 @@ thousand points.
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 import numpy as np
