@@ -673,6 +673,28 @@ def q_seasonal_ar_forecast(spark, d):
                           horizon=6, log=True, step_days=31)
 
 
+def _grain_series(spark, d, grain: str) -> DataFrame:
+    """Revenue per calendar period with the period's first date as ``ds``."""
+    keys = S.GRAIN_KEYS[grain]
+    star = denorm_ml(spark, d)
+    return star.groupBy(*keys).agg(sea.money_sum("SalesAmount"),
+                                   F.min("DateKey").alias("ds"))
+
+
+@query("seasonal_ar_forecast_weekly")
+def q_seasonal_ar_forecast_weekly(spark, d):
+    return fc.ar_forecast(_grain_series(spark, d, "weekly"), ds="ds",
+                          order=fc.ArOrder(p=1, seasonal_p=1, m=52), horizon=8, log=True,
+                          step_days=7)
+
+
+@query("seasonal_ar_forecast_quarterly")
+def q_seasonal_ar_forecast_quarterly(spark, d):
+    return fc.ar_forecast(_grain_series(spark, d, "quarterly"), ds="ds",
+                          order=fc.ArOrder(p=1, seasonal_p=1, m=4, trend=False), horizon=4,
+                          log=True, step_days=91)
+
+
 @query("order_search")
 def q_order_search(spark, d):
     return fc.order_search(daily_series(spark, d), max_p=6, seasonal_ps=(0, 1), m=7)
