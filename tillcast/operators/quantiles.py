@@ -2,9 +2,9 @@
 
 Two plans:
 
-* ``single`` - one ``percentile`` aggregate over all columns.  The
-  aggregation buffer holds a count per distinct value, so it is used only
-  when the input's size estimate is within the broadcast bound.
+* ``single`` - ``percentile`` grouped by column (map-side combine, one
+  final merge task per column).  The buffer holds a count per distinct
+  value, so it is used only when the distinct counts are bounded.
 * ``distributed`` - exact at any size: unpivot to (column, value), count
   per distinct pair (map-side partial aggregation), range-partition the
   pairs, take running counts inside each partition (Arrow batches),
@@ -28,11 +28,16 @@ from tillcast.operators.ranking import cumulative_positions
 
 
 def _single(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+    """Exact ``percentile`` per column, grouped by column index: each task
+    combines its values map-side, and every column's final merge runs in
+    its own task (one global aggregate would merge all columns in one)."""
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    row = df.agg(*[F.percentile(F.col(c).cast("double"), arr).alias(f"q{i}")
-                   for i, c in enumerate(cols)]).first()
-    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else None)
-            for i, c in enumerate(cols)}
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v"))
+        for i, c in enumerate(cols)])).alias("p")).select("p.k", "p.v")
+    rows = pairs.groupBy("k").agg(F.percentile("v", arr).alias("q")).collect()  # one per column
+    got = {r["k"]: r["q"] for r in rows}
+    return {c: (list(got[i]) if got.get(i) is not None else None) for i, c in enumerate(cols)}
 
 
 def _approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> dict:
