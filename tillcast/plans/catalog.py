@@ -766,14 +766,11 @@ def q_synthetic_backtest(spark, d):
 
 # Similarity scores between two real halves (SQL-checkable).
 def _halves(spark, d):
-    s = seasonal_simple_daily_half(spark, d)
+    """The raw daily aggregates split into 1995-1997 and 1998 onwards."""
+    s = sea.seasonal_simple(denorm_ml(spark, d), "daily")
     return s.where(F.year("DateKey") <= 1997), s.where(F.year("DateKey") >= 1998)
 
 
-def seasonal_simple_daily_half(spark, d):
-    return sea.seasonal_simple(denorm_ml(spark, d), "daily")
-
-
 @query("ks_complement")
 def q_ks_complement(spark, d):
     a, b = _halves(spark, d)
