@@ -72,7 +72,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -81,7 +81,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg_dir)
@@ -96,4 +96,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, f)
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(zpath)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)
