@@ -3,18 +3,32 @@ parameters, and their SQL twins for DuckDB where SQL can express them."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tillcast.llm.bpe import bpe_digest, bpe_encode
 from tillcast.llm.common import table
 from tillcast.llm.exact_dedup import exact_dedup
+from tillcast.llm.language_id import language_id
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe_digest(bpe_encode(table(spark, sf_dir, "documents"), path, decoded_col="decoded"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_bpe": op9_bpe,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE = {
