@@ -10,6 +10,11 @@ from tillcast.llm.bpe import bpe_digest, bpe_encode
 from tillcast.llm.common import table
 from tillcast.llm.exact_dedup import exact_dedup
 from tillcast.llm.language_id import language_id
+from tillcast.llm.simhash import simhash_components
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +31,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
