@@ -198,9 +198,9 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest
-    id.  All rows that repeat that id stay (and all rows of a component
-    without any id); all columns stay."""
+    id.  All rows that repeat that id stay, and so do rows with a null id,
+    which no link can name; all columns stay."""
     found = simhash_components(docs, id_col, text_col, words, max_bits)
-    gone = stored(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct(), "dropped")
+    gone = stored(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "dropped")
     flat, at = numbered(docs), f"c{place(docs, id_col)}"
-    return flat.join(gone, F.col(at).eqNullSafe(F.col("gone")), "left_anti").toDF(*docs.columns)
+    return flat.join(gone, F.col(at) == F.col("gone"), "left_anti").toDF(*docs.columns)
