@@ -5,11 +5,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillcast.llm.bpe import bpe_digest, bpe_encode
 from tillcast.llm.common import table
 from tillcast.llm.exact_dedup import exact_dedup
 from tillcast.llm.language_id import language_id
+from tillcast.llm.line_dedup import line_dedup
 from tillcast.llm.simhash import simhash_components
 
 
@@ -17,6 +19,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"), counts=True)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -32,12 +39,32 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_line_dedup": op2_line_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE = {
+    "op2_line_dedup": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+l AS (
+  SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+hot AS (
+  SELECT key, max(doc_id) AS top FROM (SELECT DISTINCT r, doc_id, key FROM k WHERE length(key) >= 40)
+  GROUP BY key HAVING count(*) >= 5 AND max(doc_id) IS NOT NULL),
+m AS (
+  SELECT k.*, (hot.key IS NOT NULL AND k.doc_id IS DISTINCT FROM hot.top) AS gone
+  FROM k LEFT JOIN hot USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r""",
     "op8_exact_dedup": """
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS raw, length(coalesce(text, '')) AS chars,
