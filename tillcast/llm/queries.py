@@ -13,6 +13,7 @@ from tillcast.llm.exact_dedup import exact_dedup
 from tillcast.llm.language_id import language_id
 from tillcast.llm.line_dedup import line_dedup
 from tillcast.llm.simhash import simhash_components
+from tillcast.llm.warc import archive_pages
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -40,6 +45,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
+    "op3_warc": op3_warc,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
@@ -65,6 +71,19 @@ m AS (
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r""",
+    "op3_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
+         count(*) OVER (PARTITION BY coalesce(html, '')) AS n,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS least
+  FROM pages),
+r AS (SELECT *, (n > 1 AND least IS NOT NULL AND page_id IS DISTINCT FROM least) AS again FROM p)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(((CAST('0x' || substr(h, CAST((i // 4) * 5 + 1 AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1 AS INT), 1)), '') AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN least END AS refers_to
+FROM r""",
     "op8_exact_dedup": """
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS raw, length(coalesce(text, '')) AS chars,
