@@ -12,6 +12,7 @@ from tillcast.llm.common import table
 from tillcast.llm.exact_dedup import exact_dedup
 from tillcast.llm.language_id import language_id
 from tillcast.llm.line_dedup import line_dedup
+from tillcast.llm.mixing import mix_to_weights
 from tillcast.llm.simhash import simhash_components
 from tillcast.llm.warc import archive_pages
 
@@ -29,6 +30,27 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+# The mixture of op4 and of the pipeline.
+DOMAINS = {"src0": "crawl"} | {f"src{i}": "forum" for i in range(1, 8)} | {f"src{i}": "reference" for i in range(8, 14)}
+OTHER_DOMAIN = "books"
+DOMAIN_WEIGHTS = {"crawl": 30, "forum": 15, "reference": 30, "books": 25}
+LANG_WEIGHTS = {"en": 50, "de": 20, "fr": 20, "es": 10}
+SOURCE_WEIGHTS = {"src3": 2, "src9": 3, "src17": 2}
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    domain = F.lit(OTHER_DOMAIN)
+    for source, name in DOMAINS.items():
+        domain = F.when(F.col("source") == source, name).otherwise(domain)
+    return docs.withColumn("domain", domain)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents"))
+    taken = mix_to_weights(docs, ["domain", "lang", "source"], [DOMAIN_WEIGHTS, LANG_WEIGHTS, SOURCE_WEIGHTS], share=(3, 4), max_epochs=3, seed=17)
+    return taken.select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "take_tokens")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -42,10 +64,63 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def _fill(level: str, parent: str, above: str) -> str:
+    """One level of water filling: nodes of ``level`` share the pool of their
+    parent in the table ``above``."""
+    keys = f"{parent}, {level}" if parent else level
+    pool = f"{above} USING ({parent})" if parent else above
+    over = f"PARTITION BY {parent} " if parent else ""
+    return f"""
+{level}_caps AS (SELECT {keys}, sum(cap)::HUGEINT AS cap, max(w_{level})::HUGEINT AS w FROM leaf GROUP BY ALL),
+{level}_in AS (SELECT c.*, a.budget AS pool FROM {level}_caps c JOIN {pool.replace(above, above + ' a', 1)}{'' if parent else ' ON true'}),
+{level}_run AS (
+  SELECT *, sum(w) OVER ({over}ORDER BY cap::DOUBLE / w::DOUBLE, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS w_rest,
+         coalesce(sum(cap) OVER ({over}ORDER BY cap::DOUBLE / w::DOUBLE, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c_before
+  FROM {level}_in),
+{level}_full AS (SELECT *, (pool - c_before) * w >= cap * w_rest AS is_full FROM {level}_run),
+{level}_part AS (
+  SELECT *, pool - coalesce(sum(cap) FILTER (is_full) OVER ({over}), 0) AS rest, sum(w) FILTER (NOT is_full) OVER ({over}) AS w_open,
+         sum(w) FILTER (NOT is_full) OVER ({over}ORDER BY cap::DOUBLE / w::DOUBLE, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS w_upto
+  FROM {level}_full),
+{level}_budget AS (
+  SELECT {keys}, (CASE WHEN is_full THEN cap ELSE (rest * w_upto)::HUGEINT // w_open::HUGEINT - (rest * (w_upto - w))::HUGEINT // w_open::HUGEINT END)::HUGEINT AS budget
+  FROM {level}_part),"""
+
+
+def _case(column: str, values: dict, other: object) -> str:
+    show = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {show(v)}" for k, v in values.items()) + f" ELSE {show(other)} END"
+
+
+MIXING_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_case('source', DOMAINS, OTHER_DOMAIN)} AS domain,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n
+  FROM documents),
+leaf AS (
+  SELECT domain, lang, source, sum(n) AS supply, sum(n) * 3 AS cap, {_case('domain', DOMAIN_WEIGHTS, 1)} AS w_domain,
+         {_case('lang', LANG_WEIGHTS, 1)} AS w_lang, {_case('source', SOURCE_WEIGHTS, 1)} AS w_source
+  FROM d WHERE n > 0 GROUP BY ALL),
+whole AS (SELECT least((sum(supply) * 3)::HUGEINT // 4, sum(cap)::HUGEINT) AS budget FROM leaf),
+{_fill('domain', '', 'whole')}{_fill('lang', 'domain', 'domain_budget')}{_fill('source', 'domain, lang', 'lang_budget')}
+plan AS (
+  SELECT domain, lang, source, supply, (budget // supply::HUGEINT)::INT AS n_full, (budget % supply::HUGEINT)::BIGINT AS rest
+  FROM source_budget JOIN leaf USING (domain, lang, source)),
+seats AS (
+  SELECT d.*, n_full, rest, md5('17:' || (n_full + 1) || ':' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM d JOIN plan USING (domain, lang, source) WHERE n > 0),
+runs AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY domain, lang, source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM seats)
+SELECT doc_id, domain, lang, source, epoch::INT AS epoch, n::BIGINT AS n_tokens, n::BIGINT AS take_tokens
+FROM runs, range(1, n_full + 1) e(epoch)
+UNION ALL
+SELECT doc_id, domain, lang, source, n_full + 1, n::BIGINT, least(n, rest - before)::BIGINT FROM runs WHERE before < rest"""
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
+    "op4_mixing": op4_mixing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
@@ -84,6 +159,7 @@ SELECT page_id, strlen(html) AS payload_bytes,
        CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN again THEN least END AS refers_to
 FROM r""",
+    "op4_mixing": MIXING_SQL,
     "op8_exact_dedup": """
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS raw, length(coalesce(text, '')) AS chars,
