@@ -249,9 +249,10 @@ def bpe_decode(rows: DataFrame, vocabulary: str, ids_col: str = "ids", decoded_c
     return done.select(*keep, F.col("decoded").alias(decoded_col))
 
 
-def bpe_digest(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of an encoded table."""
+def bpe_digest(encoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of an encoded table, and the
+    columns of ``more``."""
     return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import pick, ready
+from tillcast.llm.common import numbered, pick, place, ready
 
 SAMPLE_CHARS = 256_000   # of labelled text, all languages together
 SAMPLE_DOCS = 64         # labelled documents that a language's sample is drawn from, about
@@ -240,3 +240,15 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
     parser = fit_parser(rows.filter(~held_out("doc_id")))
     return predict_language(rows.select("doc_id", "text", held_out("doc_id").alias("held_out")), parser).drop("text")
+
+
+def known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text is in a language (lang_pred isn't
+    ``und``), with all columns: rows with null text and texts without a
+    letter go."""
+    rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
+    parser = fit_parser(rows.filter(~held_out("doc_id")))
+    at = f"c{place(docs, text_col)}"
+    flat = numbered(docs).withColumnRenamed(at, "text")
+    found = predict_language(flat, parser).filter(F.col("lang_pred") != NO_LANGUAGE).drop("lang_pred", "score")
+    return found.toDF(*docs.columns)
