@@ -13,6 +13,7 @@ from tillcast.llm.exact_dedup import exact_dedup
 from tillcast.llm.language_id import language_id
 from tillcast.llm.line_dedup import line_dedup
 from tillcast.llm.mixing import mix_to_weights
+from tillcast.llm.quality_rules import quality_rules
 from tillcast.llm.simhash import simhash_components
 from tillcast.llm.warc import archive_pages
 
@@ -51,6 +52,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "take_tokens")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -121,6 +126,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
+    "op5_quality_rules": op5_quality_rules,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
