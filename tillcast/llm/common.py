@@ -40,10 +40,15 @@ def pick(df: DataFrame, **wanted: str) -> DataFrame:
     return flat.select([F.col(f"c{place(df, c)}").alias(k) for k, c in wanted.items()])
 
 
+ARROW_BYTES = 8 << 20   # of an Arrow batch that goes to a Python worker
+
+
 def ready(spark: SparkSession) -> None:
-    """Executors get the package, the session its shared checkpoint folder."""
+    """Executors get the package, the session its shared checkpoint folder and
+    Arrow batches that keep a worker's memory small for long texts too."""
     ship_package(spark)
     ensure_checkpoint_dir(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def scratch(spark: SparkSession, what: str) -> str:
