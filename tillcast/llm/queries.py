@@ -15,6 +15,7 @@ from tillcast.llm.line_dedup import line_dedup
 from tillcast.llm.mixing import mix_to_weights
 from tillcast.llm.quality_rules import quality_rules
 from tillcast.llm.simhash import simhash_components
+from tillcast.llm.substring_dedup import substring_dedup
 from tillcast.llm.warc import archive_pages
 
 
@@ -56,6 +57,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -127,6 +132,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
