@@ -4,12 +4,13 @@ parameters, and their SQL twins for DuckDB where SQL can express them."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm.bpe import bpe_digest, bpe_encode
 from tillcast.llm.common import table
 from tillcast.llm.exact_dedup import exact_dedup
+from tillcast.llm.kneser_ney import kneser_ney_quality
 from tillcast.llm.language_id import language_id
 from tillcast.llm.line_dedup import line_dedup
 from tillcast.llm.mixing import mix_to_weights
@@ -57,6 +58,21 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+TRUSTED_SOURCES = [s for s, domain in DOMAINS.items() if domain == "reference"]
+
+
+def trusted_text() -> Column:
+    """Texts of the reference sources that are long enough and have few symbols
+    and few capitals."""
+    n = F.length("text")
+    symbols, capitals = n - F.length(F.translate("text", "#*$%&|<>!", "")), F.length(F.regexp_replace("text", "[^\\p{Lu}]", ""))
+    return F.col("source").isin(TRUSTED_SOURCES) & (n >= 200) & (symbols <= 0.005 * n) & (capitals <= 0.1 * n)
+
+
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney_quality(table(spark, sf_dir, "documents"), trusted_text())
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -132,6 +148,7 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_kneser_ney": op6_kneser_ney,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
