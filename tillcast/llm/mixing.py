@@ -103,9 +103,10 @@ def mix_to_weights(docs: DataFrame, levels: list[str], weights: list[dict[str, i
     plan = stored(plan.select(*tree, F.expr("budget div supply").cast("int").alias("_full"),
                               F.expr("budget - (budget div supply) * supply").cast("long").alias("_rest")), "plan")
     last = stored(narrow.join(plan.filter("_rest > 0"), tree).withColumn("_h", seat(seed)).select(*tree, "_h", "_n", "_rest"), "last")
-    cut = last.select(*tree, "_rest").distinct().select(*tree, F.lit("").alias("_p"), "_rest")
-    for depth in range(DESCENTS):
-        cut = stored(descend(last, cut, tree, depth), "cut")
+    cut = stored(descend(last, tree, 0), "cut")
+    for depth in range(1, DESCENTS):
+        here = last.drop("_rest").withColumn("_p", F.substring("_h", 1, 2 * depth)).join(cut, [*tree, "_p"])
+        cut = stored(descend(here, tree, depth), "cut")
     rows = last.drop("_rest").withColumn("_p", F.substring("_h", 1, 2 * DESCENTS)).join(cut, [*tree, "_p"])
     units = rows.groupBy(*tree, "_rest", "_h").agg(F.sum("_n").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(*tree).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -127,10 +128,11 @@ def seat(seed: int, ident: str = "_id") -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("_full") + 1).cast("string"), F.coalesce(F.col(ident).cast("string"), F.lit(""))))
 
 
-def descend(last: DataFrame, cut: DataFrame, tree: list[str], depth: int) -> DataFrame:
-    """cut: by leaf a prefix of the hash and the tokens that are still to be
-    taken there.  The same, with the prefix two digits longer."""
-    here = last.drop("_rest").withColumn("_p", F.substring("_h", 1, 2 * depth)).join(cut, [*tree, "_p"])
+def descend(here: DataFrame, tree: list[str], depth: int) -> DataFrame:
+    """here: by leaf the documents whose hash begins with the leaf's prefix of
+    2 * depth digits, and the tokens that are still to be taken among them.
+    The prefix of two digits more in which the leaf's budget ends, and the
+    tokens to be taken there."""
     slices = here.groupBy(*tree, "_rest", F.substring("_h", 1, 2 * depth + 2).alias("_q")).agg(F.sum("_n").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(*tree).orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (slices.withColumn("_before", before).filter("_before < _rest AND _before + _n >= _rest")
