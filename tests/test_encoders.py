@@ -10,24 +10,25 @@ from tillcast.operators.quantiles import quantiles
 from tillcast.operators.ranking import dense_code, global_row_number
 
 
-def test_quantile_methods_agree_with_numpy(spark):
+def test_quantiles_agree_with_numpy(spark):
     rng = np.random.default_rng(1)
     a = rng.integers(0, 20, 300).astype(float)
     b = rng.normal(5, 2, 300)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    single = quantiles(df, ["a", "b"], probs, method="single")
-    dist = quantiles(df, ["a", "b"], probs, method="distributed")
+    got = quantiles(df, ["a", "b"], probs)
     for c, arr in (("a", a), ("b", b)):
-        np.testing.assert_allclose(single[c], np.quantile(arr, probs), rtol=1e-12)
-        np.testing.assert_allclose(dist[c], np.quantile(arr, probs), rtol=1e-12)
+        np.testing.assert_allclose(got[c], np.quantile(arr, probs), rtol=1e-12)
+    near = quantiles(df, ["b"], [0.5], method="approx")["b"][0]
+    assert abs(near - np.median(b)) < 0.2
+    assert quantiles(df.where("a < 0"), ["a"], probs) == {"a": None}
 
 
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=40))
-def test_distributed_quantiles_property(spark, xs):
+def test_quantiles_property(spark, xs):
     df = spark.createDataFrame([(x,) for x in xs], "x double")
-    got = quantiles(df, ["x"], [0.1, 0.5, 0.9], method="distributed")["x"]
+    got = quantiles(df, ["x"], [0.1, 0.5, 0.9])["x"]
     np.testing.assert_allclose(got, np.quantile(xs, [0.1, 0.5, 0.9]), rtol=1e-9, atol=1e-6)
 
 
@@ -56,8 +57,6 @@ def test_onehot_unseen_modes_and_null_last(spark):
     assert p.output_columns() == ["c_x", "c_y", "c_None"]
     with pytest.raises(Exception, match="unknown category in c: z"):
         enc.apply_onehot(apply, p).collect()  # fails inside the Spark job
-    with pytest.raises(ValueError):
-        enc.check_unknown(apply, p)  # the explicit up-front validation
     p_ignore = enc.fit_onehot(fit, ["c"], handle_unknown="ignore")
     rows = enc.apply_onehot(apply, p_ignore).collect()
     assert (rows[1].c_x, rows[1].c_y, rows[1].c_None) == (0.0, 0.0, 0.0)
@@ -85,3 +84,23 @@ def test_global_row_number_two_level_matches_window(spark):
     assert two.where(F.col("rn") != F.col("k") + 1).count() == 0
     codes = dense_code(spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "v string"), "v")
     assert sorted(codes.collect()) == sorted([("a", 1), ("b", 2)])
+
+
+def test_more_categories_than_any_old_limit(spark):
+    df = spark.range(12_000).select(F.concat(F.lit("v"), F.col("id")).alias("c"), (F.col("id") % 3).alias("n"))
+    p = enc.fit_onehot(df, ["c", "n"])
+    assert len(p.categories["c"]) == 12_000 and p.categories["n"] == ["0", "1", "2"]
+    with pytest.raises(ValueError, match="12000 categories"):
+        enc.fit_onehot(df, ["c"], max_categories=10_000)
+    long = enc.onehot_long(df, ["n"], ["c"])
+    assert long.count() == 12_000 and long.select("category").distinct().count() == 12_000
+    labels = enc.fit_label(df, ["c"])
+    assert labels.sizes["c"] == 12_000
+    assert enc.apply_label(df, labels).agg(F.countDistinct("c"), F.min("c"), F.max("c")).first() == (12_000, 0, 11_999)
+
+
+def test_numeric_categories_sort_by_value(spark):
+    df = spark.createDataFrame([(10,), (9,), (None,), (100,)], "c int")
+    assert enc.fit_onehot(df, ["c"]).categories["c"] == ["9", "10", "100", None]
+    coded = enc.apply_label(df.withColumn("was", F.col("c")), enc.fit_label(df, ["c"])).collect()
+    assert {r.was: r.c for r in coded} == {9: 0, 10: 1, 100: 2, None: 3}

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tillcast.operators import model as mdl
@@ -104,3 +105,58 @@ def test_hashed_normals_moments():
 def test_norm_ppf_cdf_roundtrip():
     u = np.linspace(0.001, 0.999, 50)
     np.testing.assert_allclose(syn.norm_cdf(syn.norm_ppf(u)), u, atol=1e-6)
+
+
+def test_any_number_of_combinations(spark):
+    df = spark.range(120_000).select(F.col("id").cast("double").alias("a"), (F.col("id") * 2).cast("double").alias("b"),
+                                     (F.col("id") % 10).cast("double").alias("x"))
+    model = syn.fit_copula(df, ["x"], groups=[["a", "b"]])
+    assert model.numbered[0].count() == 120_000
+    drawn = syn.sample_copula(spark, model, rows=1000, seed=3)
+    assert drawn.where("b <> 2 * a OR a IS NULL").count() == 0 and drawn.count() == 1000
+
+
+def test_unfitted_combination_fails(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (1.0, 2.0, 6.0), (3.0, 4.0, 7.0)], "a double, b double, x double")
+    model = syn.fit_copula(df, ["x"], groups=[["a", "b"]])
+    with pytest.raises(Exception, match="that was not fitted"):
+        syn.with_group_scores(df.withColumn("b", F.lit(9.0)), model).collect()
+    mid = sorted(r["__grp0"] for r in syn.with_group_scores(df, model).collect())
+    np.testing.assert_allclose(mid, [1 / 3, 1 / 3, 5 / 6])
+
+
+def test_missing_features(spark):
+    df = _signal(spark).withColumn("BrandName_A", F.lit(1.0))
+    res = mdl.train_gbt(df, "SalesAmount", None, n_trees=2, max_depth=2)
+    mdl.predict(res.model, df.drop("BrandName_A"), res.features).collect()
+    with pytest.raises(ValueError, match="x2"):
+        mdl.predict(res.model, df.drop("x2"), res.features)
+
+
+def test_train_guard_and_load_newest(spark, tmp_path):
+    from tillcast.plans import pipelines as pl
+    df = _signal(spark, 60)
+    root = str(tmp_path)
+    assert pl.pipeline_train(df.limit(9), model_root=root) is None
+    assert pl.train_or_load(df.limit(9), root, n_trees=2, max_depth=2) is None
+    first = pl.train_or_load(df, root, n_trees=2, max_depth=2)
+    again = pl.train_or_load(df.limit(9), root)   # too few rows to train: it was loaded
+    assert again.features == first.features and again.model.getNumTrees == first.model.getNumTrees
+    new = pl.train_or_load(df, root, forcenew=True, n_trees=3, max_depth=2)
+    assert new.model.getNumTrees <= 3 and len(list(tmp_path.glob("2*"))) == 2
+
+
+def test_val_mae_is_the_saved_rounds(spark):
+    from tillcast.plans import pipelines as pl
+    out = pl.pipeline_train(_signal(spark, 120), 0.3, n_trees=12, max_depth=3)
+    kept = {r.iteration: r.val_mae for r in out.gbt.history.collect()}
+    assert out.val_mae == kept[out.gbt.best_iter]
+
+
+def test_folds_cut_between_days(spark):
+    df = _signal(spark, 50).crossJoin(spark.range(7))
+    folded = mdl.date_folds(df, 5)
+    assert folded.groupBy("DateKey").agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
+    assert sorted(r["count"] for r in folded.groupBy("fold").count().collect()) == [70] * 5
+    cut = mdl.cut_date_at(df, 0.7)
+    assert mdl.cut_date_split(df, cut).where("is_train").count() == 245

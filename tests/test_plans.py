@@ -39,5 +39,58 @@ def test_series_groups_are_preaggregated(spark):
     base = dt.date(2000, 1, 1)
     rows = [(base + dt.timedelta(days=i % 100), float(i % 7)) for i in range(3000)]
     df = spark.createDataFrame(rows, "DateKey date, SalesAmount double")
-    out = fc.ar_forecast(df, order=fc.ArOrder(p=1), horizon=3).collect()
+    out = fc.ar_forecast(df.selectExpr("*", "'a' AS k"), keys=["k"], order=fc.ArOrder(p=1), horizon=3).collect()
     assert len(out) == 3  # 100 daily points fitted, not 3000 rows
+
+
+def _tables(df) -> set:
+    import re
+    return set(re.findall(r"/(\w+)\.parquet", _explained(df)))
+
+
+def _explained(df) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_only_the_hops_that_the_columns_need(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    for name in ("promo_flag", "daily", "cyclic_month", "date_range", "seasonalize_y_daily"):
+        df = q[name](spark, SF001) if name in q else __import__("tillcast.plans.catalog", fromlist=["x"]).daily_series(spark, SF001)
+        assert _tables(df) == {"lineitem"}, name
+    assert _tables(q["stock_swap"](spark, SF001)) == {"lineitem", "part"}
+    assert _tables(q["value_counts"](spark, SF001)) == {"lineitem", "orders", "customer"}
+
+
+def test_small_dimensions_of_large_tables_are_broadcast(spark, monkeypatch):
+    """With the row counts of a much larger scale, dimensions of a few distinct
+    values are still joined without a shuffle of the fact on their keys."""
+    from tillcast.plans.star import denorm_dashboard
+    from tillcast.sources import standin as st
+    real = st.counted_rows
+    monkeypatch.setattr(st, "counted_rows", lambda s, d, name, what="", frame=None:
+                        real(s, d, name, what, frame) if what else real(s, d, name) * 100_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = _explained(denorm_dashboard(spark, SF001))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    import re
+    merged = set(re.findall(r"SortMergeJoin[^\n]*\nLeft keys \[1\]: \[(\w+)#", text))
+    assert not merged & {"channelKey", "ChannelKey", "ProductSubcategoryKey", "ProductCategoryKey", "p_type"}, merged
+    assert "l_orderkey" in merged   # the large hops are
+
+
+def test_star_over_given_tables(spark):
+    from tillcast.operators.joins import DimSpec, build_star
+    fact = spark.createDataFrame([(1, 10, 2.0), (2, 11, 3.0), (3, None, 4.0)], "id int, shop int, amount double")
+    shop = spark.createDataFrame([(10, 7, "x"), (11, 8, "y")], "shop_id int, town int, label string")
+    town = spark.createDataFrame([(7, "T7"), (8, "T8")], "town int, name string")
+    dims = [DimSpec("shop", shop, "shop", ["town", "label"], dim_key="shop_id"), DimSpec("town", town, "town", ["name"])]
+    out = build_star(fact, dims, ["id", "name"])
+    assert sorted(map(tuple, out.collect())) == [(1, "T7"), (2, "T8"), (3, None)]
+    assert build_star(fact, dims).columns == ["id", "shop", "amount", "town", "label", "name"]
+    assert "Join" not in _plan(build_star(fact, dims, ["id", "amount"]))

@@ -27,19 +27,42 @@ def test_tv_and_contingency_with_null_category(spark):
     q = {"a": 0.25, None: 0.5, "c": 0.25}
     keys = set(p) | set(q)
     assert abs(tv - (1 - 0.5 * sum(abs(p.get(k, 0) - q.get(k, 0)) for k in keys))) < 1e-12
-    cs = syn.contingency_similarity(ra, sb, "c", "d").first().contingency_similarity
+    cs = syn.contingency_similarity(ra, sb, [("c", "d")]).first().contingency_similarity
     pj = {("a", 1): .25, ("a", 2): .25, (None, 1): .25, ("b", 1): .25}
     qj = {("a", 1): .25, (None, 2): .5, ("c", 1): .25}
     kj = set(pj) | set(qj)
     assert abs(cs - (1 - 0.5 * sum(abs(pj.get(k, 0) - qj.get(k, 0)) for k in kj))) < 1e-12
 
 
-def test_ks_two_level_path_equals_window_path(spark):
+def test_running_sums_match_a_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
     from tillcast.operators.ranking import cumulative_sums
-    rows = [(0, float(v), int(w1), int(w2)) for v, w1, w2 in
+    rows = [(v % 2, float(v), int(w1), int(w2)) for v, w1, w2 in
             zip(range(300), np.arange(300) % 5, np.arange(300) % 3)]
     df = spark.createDataFrame(rows, "k int, v double, a long, b long")
-    small = {(r.v): (r.a_cum, r.b_cum) for r in cumulative_sums(df, ["a", "b"]).collect()}
-    big = {(r.v): (r.a_cum, r.b_cum) for r in
-           cumulative_sums(df, ["a", "b"], force_distributed=True).collect()}
-    assert small == big
+    w = Window.partitionBy("k").orderBy("v")
+    want = {(r.k, r.v): (r.x, r.y) for r in df.select("k", "v", F.sum("a").over(w).alias("x"), F.sum("b").over(w).alias("y")).collect()}
+    assert {(r.k, r.v): (r.a_cum, r.b_cum) for r in cumulative_sums(df, ["a", "b"]).collect()} == want
+
+
+def test_diagnostic_reports_missing_and_odd_columns(spark):
+    real = spark.createDataFrame([(1.0, "a", 1), (3.0, None, 2)], "x double, c string, gone int")
+    synth = spark.createDataFrame([(2.0, "a"), (9.0, "z"), (1.0, None), (3.0, "a")], "x float, c string")
+    got = {r.column: r for r in syn.diagnostic(real, synth, ["x", "gone"], ["c", "never"]).collect()}
+    assert (got["x"].present, got["x"].same_type, got["x"].valid_share) == (True, False, 0.75)
+    assert (got["c"].present, got["c"].valid_share) == (True, 0.75)
+    assert (got["gone"].present, got["gone"].valid_share) == (False, None)
+    assert got["never"].present is False
+
+
+def test_quality_report_of_equal_frames_is_one(spark):
+    df = spark.createDataFrame([(float(i % 7), float(i * i % 11), 5.0, "ab"[i % 2], None) for i in range(60)],
+                               "x double, y double, k double, c string, n string")
+    rows = {(r.section, r.name): r.score for r in syn.quality_report(df, df, ["x", "y", "k"], ["c", "n"]).collect()}
+    assert all(abs(v - 1) < 1e-9 for v in rows.values())
+    assert ("trend", "x~y") in rows and ("trend", "x~c") in rows and ("trend", "c~n") in rows and ("mean", "overall") in rows
+    assert ("trend", "x~k") not in rows   # a constant column has no correlation
+    other = df.withColumn("x", df.x + 100)
+    worse = {(r.section, r.name): r.score for r in syn.quality_report(df, other, ["x", "y", "k"], ["c", "n"]).collect()}
+    assert worse["shape", "x"] == 0 and worse["mean", "overall"] < 1

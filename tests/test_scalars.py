@@ -52,11 +52,11 @@ def test_calendar_parts(spark):
     df = spark.createDataFrame([(d,) for d in days], "DateKey date")
     parts = calendar_parts("DateKey")
     rows = df.select(*[v.alias(k) for k, v in parts.items()]).collect()
-    assert rows[0].CalendarDayOfWeekNumber == 1 and rows[0].CalendarWeekLabel == "Week 1"
+    assert rows[0].CalendarDayOfWeekNumber == 1 and rows[0].CalendarWeekLabel == "Week 53"
     assert rows[0].CalendarYear == 2001 and rows[0].IsWorkDay == "WorkDay"
     assert rows[1].MonthNumber == 2 and rows[1].CalendarQuarterLabel == "Q1"
     assert rows[2].CalendarDayOfWeekNumber == 7 and rows[2].IsWorkDay == "WeekEnd"
-    assert rows[2].CalendarWeekLabel == "Week 53"
+    assert rows[2].CalendarWeekLabel == "Week 1"
     assert rows[3].CalendarDayOfWeekLabel == "Thursday"
 
 

@@ -102,9 +102,29 @@ def test_acf_pacf_of_ar1(spark):
 
 
 def test_lag_rows_two_level(spark):
+    from tillcast.operators.ranking import lag_rows
     from tillcast.operators.ranking import global_row_number
     df = spark.range(0, 200).select(F.col("id").alias("k"), (F.col("id") * 2.0).alias("y"))
-    out = ts.lag_rows(df, "y", ["k"]).collect()
+    out = lag_rows(df, "y", ["k"]).collect()
     assert len(out) == 199 and all(r.y - r.y_pred == 2.0 for r in out)
     r = global_row_number(df, ["k"], force_distributed=True).agg(F.max("rn")).first()[0]
     assert r == 200
+
+
+def test_divisions_by_zero_are_null(spark):
+    rows = [("c", dt.date(2020, 1, 1) + dt.timedelta(days=i), 0.0) for i in range(12)]
+    df = spark.createDataFrame(rows, "k string, ds date, y double")
+    assert [r.acf for r in ts.acf(df, "y", "ds", ["k"], nlags=2).collect()] == [None] * 3
+    mult = ts.decompose(df, "y", "ds", ["k"], period=3, model="multiplicative")
+    assert mult.where("seasonal IS NOT NULL OR resid IS NOT NULL").count() == 0
+    assert ts.deseasonalize(mult, "y").where("deseasonalized IS NOT NULL").count() == 0
+    from tillcast.operators.profile import anderson_darling
+    assert anderson_darling(df, "y").where("statistic IS NOT NULL").count() == 0
+
+
+def test_weeks_never_join_both_ends_of_a_year(spark):
+    from tillcast.functions.calendar import date_spine
+    days = with_calendar(date_spine(spark, "1995-01-01", "2012-12-31"), "DateKey", ["CalendarYear", "CalendarWeekLabel"])
+    week = days.groupBy("CalendarYear", "CalendarWeekLabel").agg(
+        F.count("*").alias("n"), F.datediff(F.max("DateKey"), F.min("DateKey")).alias("span"), F.countDistinct(F.date_trunc("week", "DateKey")).alias("mondays"))
+    assert week.where("n <> span + 1 OR mondays > 1 OR n > 7").count() == 0

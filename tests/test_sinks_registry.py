@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillcast.operators import registry as reg
 from tillcast.sources import sinks
-from tillcast.sources.tables import scan_csv, spread_small
+from tillcast.sources.tables import scan_csv
 
 
 def _daily(spark):
@@ -62,11 +62,15 @@ def test_runs_and_models(spark):
     assert abs(again.coefficients[0] - 2.0) < 1e-6
 
 
-def test_spread_small_only_when_few_partitions(spark):
-    few = spark.range(10).coalesce(1)
-    assert spread_small(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, 1, spark.sparkContext.defaultParallelism * 2)
-    assert spread_small(many) is many
+def test_counts_follow_the_table(spark, tmp_path):
+    from tillcast.sources.tables import counted_rows, data_version
+    path = f"{tmp_path}/t.parquet"
+    spark.range(5).write.parquet(path)
+    before = data_version(spark, str(tmp_path), ["t"])
+    assert counted_rows(spark, str(tmp_path), "t") == 5
+    spark.range(3).write.mode("append").parquet(path)
+    assert counted_rows(spark, str(tmp_path), "t") == 8
+    assert data_version(spark, str(tmp_path), ["t"]) != before
 
 
 def test_fit_transform_shape_is_stable(spark):

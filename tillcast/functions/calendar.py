@@ -32,7 +32,12 @@ def quarter_label(d: str | Column) -> Column:
 
 
 def week_label(d: str | Column) -> Column:
-    return F.concat(F.lit("Week "), F.weekofyear(_c(d)).cast("string"))
+    """Week of the calendar year, from Monday on; the first and the last week of
+    a year can be short.  (An ISO week next to a calendar year would give days
+    of both ends of a year one label.)"""
+    new_year = F.weekday(F.trunc(_c(d), "year"))
+    week = F.floor((F.dayofyear(_c(d)) - 1 + new_year) / F.lit(7)) + 1
+    return F.concat(F.lit("Week "), week.cast("string"))
 
 
 def is_workday(dow: Column) -> Column:

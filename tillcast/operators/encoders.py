@@ -12,15 +12,14 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tillcast.functions.scalars import sanitize_name
 from tillcast.operators.joins import checked_broadcast
 from tillcast.operators.quantiles import quantiles
-from tillcast.operators.ranking import dense_code
+from tillcast.operators.ranking import global_row_number
 from tillcast.session import ensure_checkpoint_dir
 
-MAX_CATEGORIES = 10_000
-
 
 # --------------------------------------------------------------------- robust
 @dataclass
@@ -29,13 +28,16 @@ class RobustParams:
     scale: dict[str, float | None]
 
 
-def fit_robust(df: DataFrame, cols: Sequence[str], method: str = "auto",
-               max_rows: int | None = None) -> RobustParams:
+def fit_robust(df: DataFrame, cols: Sequence[str], method: str = "exact") -> RobustParams:
     """Median and inter-quartile range per column, all in one pass; an IQR
     of 0 scales by 1."""
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method, max_rows=max_rows)
+    return robust_of(quantiles(df, cols, [0.25, 0.5, 0.75], method=method))
+
+
+def robust_of(q: dict[str, list[float] | None]) -> RobustParams:
+    """Parameters from the quartiles of each column."""
     center, scale = {}, {}
-    for c in cols:
+    for c in q:
         if q[c] is None:
             center[c], scale[c] = None, None
             continue
@@ -79,29 +81,54 @@ def onehot_name(col: str, value) -> str:
     return sanitize_name(f"{col}_{'None' if value is None else value}")
 
 
-def _sort_key(v):
-    return (v is None, v if v is not None else 0)
+def ordered(values: Sequence[str | None], numeric: bool) -> list:
+    """Categories in their own order: numbers by value, text by code point,
+    null last."""
+    return sorted(values, key=lambda v: (v is None, (float(v) if numeric else v) if v is not None else 0))
 
 
-def fit_onehot(df: DataFrame, cols: Sequence[str], handle_unknown: str = "error",
-               drop_binary: bool = False, max_categories: int = MAX_CATEGORIES) -> OneHotParams:
-    """Distinct values of all columns in one distributed job; the list is
-    collected only after checking it is within ``max_categories``."""
-    cols = list(cols)
+def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(k, s, w): rows of each value (as text, null too) of each column."""
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols
-    ])).alias("p")).select("p.c", "p.v").distinct()
-    rows = pairs.limit(max_categories * len(cols) + 1).collect()
-    if len(rows) > max_categories * len(cols):
-        raise ValueError("too many categories for a wide one-hot encoding")
+        F.struct(F.lit(i).alias("k"), F.col(c).cast("string").alias("s")) for i, c in enumerate(cols)
+    ])).alias("p")).select("p.k", "p.s")
+    return pairs.groupBy("k", "s").agg(F.count(F.lit(1)).alias("w"))
+
+
+def is_numeric(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, NumericType)
+
+
+def fit_onehot(df: DataFrame, cols: Sequence[str], handle_unknown: str = "error",
+               drop_binary: bool = False, max_categories: int | None = None) -> OneHotParams:
+    """Distinct values of all columns, from one pass.
+
+    The list has an entry for each column of the wide form, so it is as
+    long as the encoded frame is wide; for columns with more categories
+    than a frame should have columns use ``onehot_long``.  Numbers of
+    categories are counted first if ``max_categories`` limits them."""
+    return onehot_of(df, list(cols), category_counts(df, cols), handle_unknown, drop_binary, max_categories)
+
+
+def onehot_of(df: DataFrame, cols: list[str], counts: DataFrame, handle_unknown: str = "error",
+              drop_binary: bool = False, max_categories: int | None = None) -> OneHotParams:
+    """Parameters from the value counts of each column (``category_counts``)."""
+    if max_categories is not None:
+        for r in counts.groupBy("k").count().collect():   # a row for each column
+            if r["count"] > max_categories:
+                raise ValueError(f"column {cols[r['k']]} has {r['count']} categories; use onehot_long")
     cats: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
-        cats[r["c"]].append(r["v"])
-    for c in cols:
-        cats[c].sort(key=_sort_key)
-        if len(cats[c]) > max_categories:
-            raise ValueError(f"column {c} has more than {max_categories} categories")
-    return OneHotParams(cats, handle_unknown, drop_binary)
+    for r in counts.select("k", "s").collect():
+        cats[cols[r["k"]]].append(r["s"])
+    return OneHotParams({c: ordered(v, is_numeric(df, c)) for c, v in cats.items()}, handle_unknown, drop_binary)
+
+
+def onehot_long(df: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """The ones of a one-hot encoding as rows: key, column, category (null is a
+    category).  For any number of categories; nothing is fitted."""
+    return df.select(*key, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in cols])).alias("p")
+    ).select(*key, "p.column", "p.category")
 
 
 def onehot_columns(params: OneHotParams, as_type: str = "double") -> dict[str, Column]:
@@ -124,22 +151,6 @@ def _known(c: str, cats: list) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def check_unknown(df: DataFrame, params: OneHotParams) -> None:
-    """Raise when ``df`` holds a category that was not seen in the fit."""
-    conds = []
-    for c, cats in params.categories.items():
-        s = F.col(c).cast("string")
-        known = [v for v in cats if v is not None]
-        ok = s.isin(known) if known else F.lit(False)
-        if None in cats:
-            ok = ok | s.isNull()
-        conds.append(F.sum(F.when(~F.coalesce(ok, F.lit(False)), 1).otherwise(0)).alias(c))
-    row = df.agg(*conds).first()
-    bad = [c for c in params.categories if row[c]]
-    if bad:
-        raise ValueError(f"unknown categories found in columns {bad}")
-
-
 def apply_onehot(df: DataFrame, params: OneHotParams, drop_original: bool = True,
                  as_type: str = "double") -> DataFrame:
     """Wide 0/1 columns, all in one projection.  With ``handle_unknown =
@@ -168,16 +179,25 @@ class LabelParams:
 
 
 def fit_label(df: DataFrame, cols: Sequence[str]) -> LabelParams:
-    """Sorted distinct values -> 0..n-1 (two-level rank, no single-task
-    window); a null value gets code n (sorted last).  The code tables are
-    fitted parameters: checkpointed once, with their size."""
-    params = LabelParams()
+    """Sorted distinct values -> 0..n-1; a null value gets code n (sorted
+    last).  One pass and one rank for all columns."""
+    return label_of(df, list(cols), category_counts(df, cols))
+
+
+def label_of(df: DataFrame, cols: list[str], counts: DataFrame) -> LabelParams:
+    """Codes from the value counts of each column (``category_counts``): one
+    two-level rank over (column, value), less the rank before the column."""
     ensure_checkpoint_dir(df.sparkSession)
-    for c in cols:
-        codes = dense_code(df, c, out=f"{c}__code", start=0, materialize=True) \
-            .withColumnRenamed(c, f"{c}__value").checkpoint(eager=True)
-        params.maps[c] = codes
-        params.sizes[c] = codes.count()
+    values = counts.select("k", "s").where(F.col("s").isNotNull())
+    number = F.when(F.col("k").isin([i for i, c in enumerate(cols) if is_numeric(df, c)] or [-1]), F.col("s").try_cast("double"))
+    ranked = global_row_number(values.withColumn("v", number), ["k", "v", "s"], out="_rn").checkpoint(eager=True)
+    first = {r["k"]: (r["lo"], r["n"]) for r in ranked.groupBy("k").agg(F.min("_rn").alias("lo"), F.count("*").alias("n")).collect()}
+    params = LabelParams()
+    for i, c in enumerate(cols):
+        low, n = first.get(i, (1, 0))
+        params.maps[c] = ranked.where(F.col("k") == i).select(
+            F.col("s").alias(f"{c}__value"), (F.col("_rn") - F.lit(low)).cast("int").alias(f"{c}__code"))
+        params.sizes[c] = n
     return params
 
 
@@ -188,7 +208,7 @@ def apply_label(df: DataFrame, params: LabelParams) -> DataFrame:
     for c, codes in params.maps.items():
         n = params.sizes[c]
         right = checked_broadcast(codes, max_rows=n)
-        joined = out.join(right, out[c] == right[f"{c}__value"], "left")
+        joined = out.join(right, out[c].cast("string") == right[f"{c}__value"], "left")
         joined = joined.withColumn(
             c, F.when(F.col(c).isNull(), F.lit(n)).otherwise(F.col(f"{c}__code")).cast("int"))
         out = joined.drop(f"{c}__value", f"{c}__code")

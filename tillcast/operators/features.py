@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +20,8 @@ from tillcast import schema as S
 from tillcast.functions import scalars as sc
 from tillcast.functions.calendar import cyclic
 from tillcast.operators import encoders as enc
+from tillcast.operators.quantiles import quantiles_of_counts
+from tillcast.session import ensure_checkpoint_dir
 
 SCALED_YEAR = "CalendarYear_scaled"
 
@@ -60,23 +61,27 @@ class FeatureModel:
         return self.onehot.output_columns()
 
 
-def fit_features(df: DataFrame, quantile_method: str = "auto", handle_unknown: str = "error",
-                 persist: bool = True, max_rows: int | None = None) -> FeatureModel:
-    """Learn scaler / one-hot / label statistics from ``df``.  The prepared
-    rows are persisted for the duration of the fit (several passes)."""
+def fit_features(df: DataFrame, handle_unknown: str = "error") -> FeatureModel:
+    """Learn scaler / one-hot / label statistics from ``df`` in one pass over
+    its rows: the counts of each value of each column are checkpointed, and
+    all three are fitted on these."""
     prepared = prepare_rows(df)
-    rows = max_rows
-    if persist:
-        prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = prepared.count()  # materializes the cache; bounds every distinct count
-    try:
-        robust = enc.fit_robust(prepared, S.ROBUST_SCALE_COLUMNS, method=quantile_method,
-                                max_rows=rows)
-        onehot = enc.fit_onehot(prepared, S.ONE_HOT_COLUMNS, handle_unknown=handle_unknown)
-        labels = enc.fit_label(prepared, S.LABEL_COLUMNS)
-    finally:
-        if persist:
-            prepared.unpersist()
+    ensure_checkpoint_dir(df.sparkSession)
+    numeric, text = list(S.ROBUST_SCALE_COLUMNS), [*S.ONE_HOT_COLUMNS, *S.LABEL_COLUMNS]
+    none, blank = F.lit(None).cast("double"), F.lit(None).cast("string")
+    cells = [F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v"), blank.alias("s")) for i, c in enumerate(numeric)]
+    cells += [F.struct(F.lit(len(numeric) + i).alias("k"), none.alias("v"), F.col(c).cast("string").alias("s")) for i, c in enumerate(text)]
+    counts = (prepared.select(F.explode(F.array(*cells)).alias("p")).select("p.*").groupBy("k", "v", "s")
+              .agg(F.count(F.lit(1)).alias("w")).checkpoint(eager=True))
+    found = quantiles_of_counts(counts.where((F.col("k") < len(numeric)) & F.col("v").isNotNull()).select("k", "v", "w"), [0.25, 0.5, 0.75])
+    robust = enc.robust_of({c: found.get(i) for i, c in enumerate(numeric)})
+
+    def part(first: int, size: int) -> DataFrame:
+        k = F.col("k") - F.lit(first)
+        return counts.where((k >= 0) & (k < size)).select(k.alias("k"), "s", "w")
+
+    onehot = enc.onehot_of(prepared, list(S.ONE_HOT_COLUMNS), part(len(numeric), len(S.ONE_HOT_COLUMNS)), handle_unknown)
+    labels = enc.label_of(prepared, list(S.LABEL_COLUMNS), part(len(numeric) + len(S.ONE_HOT_COLUMNS), len(S.LABEL_COLUMNS)))
     return FeatureModel(robust, onehot, labels)
 
 
@@ -88,15 +93,14 @@ def transform_features(df: DataFrame, model: FeatureModel) -> DataFrame:
     return sc.sanitize_columns(p)
 
 
-def preprocess_features(df: DataFrame, simple: bool = False, quantile_method: str = "auto"
-                        ) -> DataFrame:
+def preprocess_features(df: DataFrame, simple: bool = False) -> DataFrame:
     """Fit on ``df`` and transform it (the one-call form)."""
     if simple:
-        return simple_preprocess(df, quantile_method)
-    return transform_features(df, fit_features(df, quantile_method))
+        return simple_preprocess(df)
+    return transform_features(df, fit_features(df))
 
 
-def simple_preprocess(df: DataFrame, quantile_method: str = "auto") -> DataFrame:
+def simple_preprocess(df: DataFrame, quantile_method: str = "exact") -> DataFrame:
     """Robust-scale every numeric column, pass the others through; each
     value keeps its own column name."""
     cols = sc.numeric_columns(df)

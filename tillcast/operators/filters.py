@@ -60,7 +60,7 @@ def _quantile_bounds(df: DataFrame, col: str, lo_p: float, hi_p: float,
 
 
 def outliers_iqr(df: DataFrame, col: str = "SalesAmount", factor: float = S.IQR_FACTOR,
-                 method: str = "auto") -> DataFrame:
+                 method: str = "exact") -> DataFrame:
     """Rows outside ``[Q1 - f*IQR, Q3 + f*IQR]``."""
     q1, q3 = _quantile_bounds(df, col, 0.25, 0.75, method)
     if q1 is None:
@@ -72,7 +72,7 @@ def outliers_iqr(df: DataFrame, col: str = "SalesAmount", factor: float = S.IQR_
 
 def outliers_quantile(df: DataFrame, col: str = "SalesAmount",
                       bounds: tuple[float, float] = S.QUANTILE_BOUNDS,
-                      method: str = "auto") -> DataFrame:
+                      method: str = "exact") -> DataFrame:
     """Rows below the low or above the high quantile."""
     lo, hi = _quantile_bounds(df, col, bounds[0], bounds[1], method)
     if lo is None:

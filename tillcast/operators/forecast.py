@@ -2,11 +2,15 @@
 
 Each series is one ``applyInPandas`` group (a calendar-aggregated series:
 thousands of points at most), fitted by conditional least squares with
-numpy.  Many series fit in parallel, one task per series.
+numpy.  Many series fit in parallel, one task per series; the keys that
+tell the series apart are required.
 
 Model: y_t = c + b*t + sum_i a_i y_{t-i} + sum_j s_j y_{t-j*m} + e_t on the
 (optionally log-transformed, optionally d-times differenced) series.
-Moving-average terms are not covered.
+Moving-average terms are not covered.  A series is laid out on its calendar
+(``step``: day, week, month or quarter), so a missing, null or (on the log
+scale) non-positive point is a gap: equations that touch it are left out
+of the fit, and lags never slide over it.
 """
 
 from __future__ import annotations
@@ -41,26 +45,32 @@ def _lags(order: ArOrder) -> list[int]:
     return sorted(set(lags))
 
 
-def _design(z: np.ndarray, lags: list[int], trend: bool, t0: int = 0):
-    L = max(lags) if lags else 0
+def _design(z: np.ndarray, lags: list[int], trend: bool, start: int = 0):
+    """Equations from the first point that has all lags, or from ``start`` on;
+    those with a gap are left out."""
+    L = max(max(lags) if lags else 0, start)
     rows = len(z) - L
     if rows <= 0:
         return None, None
     cols = [np.ones(rows)]
     if trend:
-        cols.append(np.arange(L, len(z), dtype=float) + t0)
+        cols.append(np.arange(L, len(z), dtype=float))
     for lag in lags:
         cols.append(z[L - lag:len(z) - lag])
-    return np.column_stack(cols), z[L:]
+    X, target = np.column_stack(cols), z[L:]
+    whole = ~(np.isnan(X).any(axis=1) | np.isnan(target))
+    return X[whole], target[whole]
 
 
-def fit_ar(y: np.ndarray, order: ArOrder) -> dict | None:
-    """Least-squares AR fit; returns coefficients, sigma^2, AIC, n."""
+def fit_ar(y: np.ndarray, order: ArOrder, start: int = 0) -> dict | None:
+    """Least-squares AR fit; returns coefficients, sigma^2, AIC, n.  ``start``:
+    first point (of the differenced series) that is explained, for fits that
+    are to be compared on one sample."""
     z = np.asarray(y, dtype=float)
     for _ in range(order.d):
         z = np.diff(z)
     lags = _lags(order)
-    X, target = _design(z, lags, order.trend)
+    X, target = _design(z, lags, order.trend, start)
     if X is None or len(target) <= X.shape[1]:
         return None
     beta, *_ = np.linalg.lstsq(X, target, rcond=None)
@@ -69,7 +79,16 @@ def fit_ar(y: np.ndarray, order: ArOrder) -> dict | None:
     rss = float(resid @ resid)
     sigma2 = rss / max(n - k, 1)
     aic = n * math.log(rss / n) + 2 * (k + 1) if rss > 0 else -math.inf
-    return {"beta": beta, "sigma2": sigma2, "aic": aic, "n": n, "lags": lags, "z": z}
+    return {"beta": beta, "sigma2": sigma2, "aic": aic, "n": n, "lags": lags, "z": filled(z)}
+
+
+def filled(z: np.ndarray) -> np.ndarray:
+    """Gaps by linear interpolation (only for the lags of a forecast)."""
+    gap = np.isnan(z)
+    if not gap.any() or gap.all():
+        return z
+    at = np.arange(len(z))
+    return np.where(gap, np.interp(at, at[~gap], z[~gap]), z)
 
 
 def _forecast(fit: dict, y: np.ndarray, order: ArOrder, h: int):
@@ -96,7 +115,7 @@ def _forecast(fit: dict, y: np.ndarray, order: ArOrder, h: int):
     se = np.sqrt(fit["sigma2"] * np.cumsum(psi ** 2))
     preds = np.array(preds)
     # undo differencing
-    level = np.asarray(y, dtype=float)
+    level = filled(np.asarray(y, dtype=float))
     for k in range(order.d, 0, -1):
         base = level
         for _ in range(k - 1):
@@ -105,17 +124,34 @@ def _forecast(fit: dict, y: np.ndarray, order: ArOrder, h: int):
     return preds, se
 
 
+STEPS = {"day": "D", "week": "7D", "month": "MS", "quarter": "QS"}
+
+
 def _series_frame(df: DataFrame, keys: Sequence[str], ds: str, y: str) -> tuple[DataFrame, list]:
     """One point per (series, date): rows sharing a date are summed before
     the per-series shuffle (map-side partial aggregation), so a group holds
     at most one row per calendar step however the input rows are spread."""
-    gk = list(keys) if keys else ["series_id"]
-    src = df if keys else df.withColumn("series_id", F.lit("all"))
-    pts = src.where(F.col(ds).isNotNull()).groupBy(*gk, ds).agg(
+    gk = list(keys)
+    if not gk:
+        raise ValueError("name the columns that tell the series apart: each series is one task")
+    pts = df.where(F.col(ds).isNotNull()).groupBy(*gk, ds).agg(
         F.sum(F.col(y).cast("double")).alias("y"))
     return pts, gk
 
 
+def on_calendar(pdf: pd.DataFrame, ds: str, step: str, log: bool = False) -> pd.Series:
+    """The series at every step from its first date to its last, gaps as nan."""
+    s = pd.Series(pdf["y"].to_numpy(dtype=float), index=pd.to_datetime(pdf[ds].to_numpy())).sort_index()
+    s = s.reindex(pd.date_range(s.index[0], s.index[-1], freq=STEPS[step]))
+    if log:
+        s = pd.Series(np.where(s > 0, np.log(np.where(s > 0, s, 1.0)), np.nan), index=s.index)
+    return s
+
+
+def next_dates(last: pd.Timestamp, step: str, n: int) -> list:
+    return [d.date() for d in pd.date_range(last, periods=n + 1, freq=STEPS[step])[1:]]
+
+
 def _key_schema(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields
                      if f.name in keys)
@@ -123,31 +159,28 @@ def _key_schema(df: DataFrame, keys: list[str]) -> str:
 
 def ar_forecast(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
                 keys: Sequence[str] = (), order: ArOrder = ArOrder(), horizon: int = 30,
-                log: bool = False, step_days: int = 1) -> DataFrame:
-    """Fit per series and forecast ``horizon`` steps after the last date,
-    with a 95% interval (exp-transformed back when ``log``)."""
+                log: bool = False, step: str = "day") -> DataFrame:
+    """Fit per series and forecast ``horizon`` calendar steps after the last
+    date, with a 95% interval (exp-transformed back when ``log``).  For steps
+    of a month or quarter ``ds`` is the period's first day."""
     ship_package(df.sparkSession)
     src, gk = _series_frame(df, keys, ds, y)
     schema = (_key_schema(src, gk) + f", {ds} date, step int, yhat double, lo double, hi double,"
               " aic double")
+    cols = [*gk, ds, "step", "yhat", "lo", "hi", "aic"]
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ds)
-        vals = pdf["y"].to_numpy(dtype=float)
-        if log:
-            vals = np.where(vals > 0, np.log(np.where(vals > 0, vals, 1.0)), np.nan)
-        vals = vals[~np.isnan(vals)]
+        s = on_calendar(pdf, ds, step, log)
+        vals = s.to_numpy()
         fit = fit_ar(vals, order)
-        cols = gk + [ds, "step", "yhat", "lo", "hi", "aic"]
         if fit is None:
             return pd.DataFrame(columns=cols)
         preds, se = _forecast(fit, vals, order, horizon)
         lo, hi = preds - Z95 * se, preds + Z95 * se
         if log:
             preds, lo, hi = np.exp(preds), np.exp(lo), np.exp(hi)
-        last = pd.Timestamp(pdf[ds].iloc[-1])
         out = pd.DataFrame({
-            ds: [(last + pd.Timedelta(days=step_days * (i + 1))).date() for i in range(horizon)],
+            ds: next_dates(s.index[-1], step, horizon),
             "step": np.arange(1, horizon + 1, dtype="int32"),
             "yhat": preds, "lo": lo, "hi": hi, "aic": fit["aic"]})
         for k in gk:
@@ -157,25 +190,57 @@ def ar_forecast(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
     return src.groupBy(*gk).applyInPandas(fn, schema)
 
 
+def ar_backtest(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey", keys: Sequence[str] = (),
+                order: ArOrder = ArOrder(), train_frac: float = 0.7, log: bool = False,
+                step: str = "day") -> DataFrame:
+    """Per series: fit on the first part (half-to-even rounding of its length),
+    forecast the rest in one go, and compare on the series' own scale:
+    n_train, n_test, mae, rmse, r2."""
+    ship_package(df.sparkSession)
+    src, gk = _series_frame(df, keys, ds, y)
+    schema = _key_schema(src, gk) + ", n_train int, n_test int, mae double, rmse double, r2 double"
+    cols = [*gk, "n_train", "n_test", "mae", "rmse", "r2"]
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        vals = on_calendar(pdf, ds, step, log).to_numpy()
+        cut = round(len(vals) * train_frac)
+        fit = fit_ar(vals[:cut], order) if cut < len(vals) else None
+        if fit is None:
+            return pd.DataFrame(columns=cols)
+        preds, _ = _forecast(fit, vals[:cut], order, len(vals) - cut)
+        test = vals[cut:]
+        if log:
+            preds, test = np.exp(preds), np.exp(test)
+        known = ~np.isnan(test)
+        e, t = (test - preds)[known], test[known]
+        sst = float(((t - t.mean()) ** 2).sum()) if len(t) else 0.0
+        row = {k: pdf[k].iloc[0] for k in gk}
+        row.update(n_train=cut, n_test=int(known.sum()), mae=float(np.abs(e).mean()) if len(e) else None,
+                   rmse=float(np.sqrt((e ** 2).mean())) if len(e) else None, r2=1 - float((e ** 2).sum()) / sst if sst else None)
+        return pd.DataFrame([row])[cols]
+
+    return src.groupBy(*gk).applyInPandas(fn, schema)
+
+
 def order_search(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
                  keys: Sequence[str] = (), max_p: int = 5, seasonal_ps: Sequence[int] = (0,),
-                 m: int = 0, ds_: Sequence[int] = (0,), trend: bool = True, log: bool = False
-                 ) -> DataFrame:
-    """Fit every candidate order of each series and keep the lowest AIC
-    (ties: the smaller order).  One group per series; the small candidate
-    grid is looped inside the group."""
+                 m: int = 0, ds_: Sequence[int] = (0,), trend: bool = True, log: bool = False,
+                 step: str = "day") -> DataFrame:
+    """Fit every candidate order of each series on one sample (the points that
+    the longest candidate explains) and keep the lowest AIC (ties: the
+    smaller order).  One group per series; the small candidate grid is
+    looped inside the group."""
     ship_package(df.sparkSession)
     src, gk = _series_frame(df, keys, ds, y)
     cands = [(p, d, sp) for p in range(1, max_p + 1) for d in ds_ for sp in seasonal_ps]
+    longest = max(d + max(_lags(ArOrder(p, d, sp, m, trend))) for p, d, sp in cands)
     schema = _key_schema(src, gk) + ", p int, d int, sp int, aic double, n int, candidates int"
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        vals = pdf.sort_values(ds)["y"].to_numpy(dtype=float)
-        if log:
-            vals = np.log(vals[vals > 0])
+        vals = on_calendar(pdf, ds, step, log).to_numpy()
         best = None
         for p, d, sp in cands:
-            fit = fit_ar(vals, ArOrder(p, d, sp, m, trend))
+            fit = fit_ar(vals, ArOrder(p, d, sp, m, trend), start=longest - d)
             if fit is None or not np.isfinite(fit["aic"]):
                 continue
             cand = (fit["aic"], p, d, sp, fit["n"])
@@ -221,17 +286,19 @@ def adf_statistic(y: np.ndarray, lags: int) -> tuple[float, int]:
 
 
 def adf_test(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
-             keys: Sequence[str] = (), lags: int | None = None, diff_first: bool = False
-             ) -> DataFrame:
+             keys: Sequence[str] = (), lags: int | None = None, diff_first: bool = False,
+             step: str = "day") -> DataFrame:
     """Augmented Dickey-Fuller per series with a fixed lag order (default
-    12*(n/100)^(1/4)), and the 1/5/10% critical values."""
+    12*(n/100)^(1/4)), and the 1/5/10% critical values.  Gaps are filled by
+    interpolation; null ends (as of a decomposition's residual) are cut."""
     ship_package(df.sparkSession)
     src, gk = _series_frame(df, keys, ds, y)
     schema = _key_schema(src, gk) + (", adf double, lags int, nobs int, crit_1 double, "
                                      "crit_5 double, crit_10 double, stationary_5 boolean")
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        vals = pdf.sort_values(ds)["y"].dropna().to_numpy(dtype=float)
+        known = pdf[pdf["y"].notna()]
+        vals = filled(on_calendar(known, ds, step).to_numpy()) if len(known) else np.zeros(0)
         if diff_first:
             vals = np.diff(vals)
         k = lags if lags is not None else int(12 * (len(vals) / 100.0) ** 0.25)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,19 +86,65 @@ def left_join_renamed(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
 
 @dataclass(frozen=True)
 class DimSpec:
-    """One hop of a star: dimension frame, join key, columns to keep."""
+    """One hop of a star: dimension, join key, the columns it adds.
+
+    ``frame`` and ``max_rows`` (a proven row bound for the broadcast check)
+    can be functions, called only if the hop is planned.  ``dim_key``: the
+    dimension's name of the key if it differs."""
     name: str
-    frame: DataFrame
+    frame: DataFrame | Callable[[], DataFrame]
     key: str
     columns: Sequence[str] = field(default_factory=tuple)
-    max_rows: int | None = None  # proven row bound for the broadcast check
+    max_rows: int | Callable[[], int] | None = None
+    dim_key: str | None = None
+
+    def projected(self, columns: Sequence[str] | None = None) -> DataFrame:
+        frame = self.frame() if callable(self.frame) else self.frame
+        wanted = self.columns if columns is None else columns
+        key = F.col(self.dim_key or self.key).alias(self.key)
+        return frame.select(key, *[c for c in wanted if c != self.key])
 
-    def projected(self) -> DataFrame:
-        cols = [self.key] + [c for c in self.columns if c != self.key]
-        return self.frame.select(*cols)
+    def rows(self) -> int | None:
+        return self.max_rows() if callable(self.max_rows) else self.max_rows
 
 
 def fold_star(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     """Fold a declarative list of dimensions into chained left joins."""
-    return reduce(lambda acc, d: left_join(acc, d.projected(), d.key, max_rows=d.max_rows),
+    return reduce(lambda acc, d: left_join(acc, d.projected(), d.key, max_rows=d.rows()),
                   dims, fact)
+
+
+def build_star(fact: DataFrame, dims: Sequence[DimSpec], columns: Sequence[str] | None = None,
+               computed: dict[str, tuple[Sequence[str], Column]] | None = None) -> DataFrame:
+    """The wide table of a fact and its dimensions, from the wanted columns.
+
+    Only the hops that the columns need are planned, directly or through
+    the key of a later hop, and of each dimension only the columns that are
+    needed: Spark keeps a left join whose columns nobody reads, since it
+    can't know that the dimension's key is unique.  ``computed``: further
+    columns by name, as (columns that the expression reads, expression).
+    Without ``columns`` everything is joined."""
+    computed = computed or {}
+    if columns is None:
+        columns = [*fact.columns, *[c for d in dims for c in d.columns if c not in fact.columns], *computed]
+        columns = list(dict.fromkeys(columns))
+    needed = set(columns)
+    for name, (reads, _) in reversed(computed.items()):
+        if name in needed:
+            needed |= set(reads)
+    hops: list[tuple[DimSpec, list[str]]] = []
+    for d in reversed(dims):
+        own = [c for c in d.columns if c in needed and c not in fact.columns]
+        if own:
+            hops.append((d, own))
+            needed.add(d.key)
+    out = fact.select(*[c for c in fact.columns if c in needed])
+    for d, own in reversed(hops):
+        out = left_join(out, d.projected(own), d.key, max_rows=d.rows())
+    for name, (_, expr) in computed.items():
+        if name in needed:
+            out = out.withColumn(name, expr)
+    missing = [c for c in columns if c not in out.columns]
+    if missing:
+        raise ValueError(f"no hop of the star has {missing}")
+    return out.select(*columns)

@@ -3,6 +3,7 @@ tree / forest baselines, cross-validation, learning curves, scoring."""
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -44,6 +45,27 @@ def holdout_split(df: DataFrame, test_size: float = 0.1, order: str = "DateKey",
             .drop("_rn", "_n"))
 
 
+def cut_date_at(df: DataFrame, train_frac: float, date_col: str = "DateKey") -> str:
+    """The first date by which at least ``train_frac`` of the rows have come:
+    rows are counted by day, so any number of rows is split."""
+    days = df.groupBy(date_col).count()
+    upto = F.sum("count").over(Window.orderBy(date_col))   # a row for each day
+    total = F.sum("count").over(Window.partitionBy())
+    cut = days.select(date_col, (upto >= F.lit(train_frac) * total).alias("enough")).where("enough").agg(F.min(date_col)).first()[0]
+    return (cut + _dt.timedelta(days=1)).isoformat()
+
+
+def date_folds(df: DataFrame, k: int = 5, date_col: str = "DateKey", out: str = "fold") -> DataFrame:
+    """Contiguous folds of rows in date order, cut between days: a day belongs
+    to the fold that its first row falls into.  The days are counted and the
+    rows join them, so no task orders the rows."""
+    days = df.groupBy(date_col).agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("_c").over(Window.partitionBy())
+    fold = F.least(F.floor(before * k / total), F.lit(k - 1)).cast("int")
+    return df.join(days.select(date_col, fold.alias(out)), date_col)
+
+
 def cut_date_split(df: DataFrame, cut: str, date_col: str = "DateKey",
                    flag: str = "is_train") -> DataFrame:
     return df.withColumn(flag, F.col(date_col) < F.to_date(F.lit(cut)))
@@ -80,21 +102,22 @@ def train_gbt(train: DataFrame, label: str = "SalesAmount", val: DataFrame | Non
               features: Sequence[str] | None = None, max_depth: int = S.GBT_DEFAULTS["max_depth"],
               n_trees: int = S.GBT_DEFAULTS["n_trees"],
               learning_rate: float = S.GBT_DEFAULTS["learning_rate"],
-              patience: int = S.GBT_DEFAULTS["patience"], seed: int = 42) -> GbtResult:
+              patience: int = S.GBT_DEFAULTS["patience"], seed: int = 42, max_bins: int = 64) -> GbtResult:
     """Boosted trees (absolute-error metric for early stopping).
 
     Spark's built-in validation stops at the first flat round, so: fit
     ``n_trees`` rounds, score every round on the validation set with
     ``evaluateEachIteration``, pick the best round with ``patience``, and
     refit with exactly that many rounds (deterministic: no subsampling).
+    ``max_bins``: candidate splits of a feature.
     """
     spark = train.sparkSession
     cols = list(features) if features else feature_columns(train, ("DateKey", label))
-    tr = assemble(train, cols)
+    tr = assemble(train, cols).select(FEATURES, label).persist()   # read by every round
 
     def est(k: int) -> GBTRegressor:
         return GBTRegressor(featuresCol=FEATURES, labelCol=label, maxDepth=max_depth,
-                            maxIter=k, stepSize=learning_rate, seed=seed, maxBins=64)
+                            maxIter=k, stepSize=learning_rate, seed=seed, maxBins=max_bins)
 
     model = est(n_trees).fit(tr)
     train_err = model.evaluateEachIteration(tr, "absolute")
@@ -107,6 +130,7 @@ def train_gbt(train: DataFrame, label: str = "SalesAmount", val: DataFrame | Non
     else:
         val_err = [None] * len(train_err)
         best = n_trees
+    tr.unpersist()
     hist = spark.createDataFrame(
         [(i + 1, float(t), (float(v) if v is not None else None))
          for i, (t, v) in enumerate(zip(train_err, val_err))],
@@ -117,9 +141,12 @@ def train_gbt(train: DataFrame, label: str = "SalesAmount", val: DataFrame | Non
 def predict(model, df: DataFrame, features: Sequence[str], scale: float = 1.0,
             out: str = "prediction") -> DataFrame:
     """Score rows; ``scale`` multiplies predictions (1 / sample ratio).  A
-    feature column absent from ``df`` (e.g. a category never seen in the
-    scored range) scores as 0, like an all-zero one-hot column."""
+    one-hot column absent from ``df`` (a category never seen in the scored
+    range) is 0 in every row; any other absent feature is an error."""
     missing = [c for c in features if c not in df.columns]
+    strange = [c for c in missing if not any(c.startswith(p + "_") for p in S.ONE_HOT_COLUMNS)]
+    if strange:
+        raise ValueError(f"features missing from the scored rows: {strange}")
     if missing:
         df = df.withColumns({c: F.lit(0.0) for c in missing})
     scored = model.transform(assemble(df, features)).drop(FEATURES)
@@ -150,18 +177,12 @@ def _fit(kind: str, train: DataFrame, label: str, features: Sequence[str], **kw)
     raise ValueError(kind)
 
 
-def add_folds(df: DataFrame, k: int = 5, order: str = "DateKey", out: str = "fold") -> DataFrame:
-    """Contiguous folds over the date order (``ntile``), as unshuffled
-    K-fold does; for calendar-aggregated tables."""
-    return df.withColumn(out, F.ntile(k).over(Window.orderBy(order)) - 1)
-
-
 def cross_validate(df: DataFrame, label: str = "SalesAmount", features: Sequence[str] | None = None,
                    k: int = 5, kind: str = "tree", **kw) -> DataFrame:
     """R^2 (and MAE) on each of ``k`` contiguous folds."""
     spark = df.sparkSession
     cols = list(features) if features else feature_columns(df, ("DateKey", label))
-    folded = add_folds(df, k).cache()
+    folded = date_folds(df, k).persist()
     rows = []
     for f in range(k):
         model = _fit(kind, folded.where(F.col("fold") != f), label, cols, **kw)
@@ -176,17 +197,15 @@ def learning_curve(df: DataFrame, label: str = "SalesAmount",
                    features: Sequence[str] | None = None, fractions=(0.1, 0.3, 0.5), k: int = 5,
                    kind: str = "tree", **kw) -> DataFrame:
     """Validation R^2 when training on the first fraction of each training
-    split (per fold)."""
+    split (whole days, per fold)."""
     spark = df.sparkSession
     cols = list(features) if features else feature_columns(df, ("DateKey", label))
-    folded = add_folds(df, k).cache()
+    folded = date_folds(df, k).persist()
     rows = []
     for frac in fractions:
         for f in range(k):
             tr = folded.where(F.col("fold") != f)
-            n = tr.count()
-            part = tr.withColumn("_rn", F.row_number().over(Window.orderBy("DateKey"))) \
-                .where(F.col("_rn") <= max(int(n * frac), 2)).drop("_rn")
+            part = cut_date_split(tr, cut_date_at(tr, frac), flag="_in").where("_in").drop("_in")
             model = _fit(kind, part, label, cols, **kw)
             m = metrics(predict(model, folded.where(F.col("fold") == f), cols), label,
                         "prediction").first()

@@ -4,40 +4,36 @@ normality.  Every operator is one or two distributed aggregates."""
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from collections.abc import Iterator
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.operators.quantiles import MAX_SINGLE_NDV, quantiles
+from tillcast.operators.quantiles import quantiles
 from tillcast.operators.ranking import cumulative_positions
+from tillcast.operators.seasonal import money_mean, money_sum
+from tillcast.session import ship_package
 
 
 def global_stats(df: DataFrame, col: str = "SalesAmount") -> DataFrame:
-    return df.agg(F.sum(col).alias("total"), F.stddev_samp(col).alias("std"),
-                  F.avg(col).alias("mean"))
+    """Total, standard deviation and mean; sums of money are exact."""
+    return df.agg(money_sum(col).alias("total"), F.stddev_samp(col).alias("std"),
+                  money_mean(col).alias("mean"))
 
 
-def describe(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max per column - exact
     quartiles (``df.summary`` quartiles are approximate).  One row per
-    column; the moments and the distinct-count estimate that picks the
-    quantile plan share one pass."""
+    column."""
     spark = df.sparkSession
     base = df.agg(*[e for c in cols for e in (
         F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
         F.stddev_samp(c).alias(f"{c}__std"), F.min(F.col(c).cast("double")).alias(f"{c}__min"),
-        F.max(F.col(c).cast("double")).alias(f"{c}__max"),
-        F.approx_count_distinct(c, 0.05).alias(f"{c}__ndv"))]).first()
-    low = [c for c in cols if base[f"{c}__ndv"] <= MAX_SINGLE_NDV]
-    high = [c for c in cols if c not in low]
-    q = {}
-    if low:
-        q.update(quantiles(df, low, [0.25, 0.5, 0.75], method="single"))
-    if high:
-        q.update(quantiles(df, high, [0.25, 0.5, 0.75], method=method if method != "auto"
-                           else "distributed"))
+        F.max(F.col(c).cast("double")).alias(f"{c}__max"))]).first()
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], method=method)
     rows = []
     for c in cols:
         qs = q[c] or [None, None, None]
@@ -55,8 +51,13 @@ def null_counts(df: DataFrame) -> DataFrame:
     return wide.selectExpr(f"stack({len(df.columns)}, {stack}) AS (column, nulls)")
 
 
-def shape_schema(df: DataFrame) -> dict:
-    return {"rows": df.count(), "columns": len(df.columns), "dtypes": df.dtypes}
+def shape_schema(df: DataFrame) -> DataFrame:
+    """A row for each column: position, name, type, and the frame's numbers of
+    rows and columns."""
+    types = df.sparkSession.createDataFrame([(i, c, t) for i, (c, t) in enumerate(df.dtypes)],
+                                            "position int, column string, dtype string")
+    n = df.agg(F.count(F.lit(1)).alias("rows"))   # one row
+    return types.crossJoin(F.broadcast(n)).withColumn("columns", F.lit(len(df.columns)))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -98,7 +99,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 
 def box_stats(df: DataFrame, col: str = "SalesAmount", factor: float = 1.5,
-              method: str = "auto") -> DataFrame:
+              method: str = "exact") -> DataFrame:
     """Quartiles, whiskers (furthest points within 1.5 IQR) and the
     number of points beyond them."""
     spark = df.sparkSession
@@ -118,14 +119,50 @@ def box_stats(df: DataFrame, col: str = "SalesAmount", factor: float = 1.5,
         F.count_if(c.isNotNull() & ~inside).cast("long").alias("n_outliers"))
 
 
+def _moments(centre: np.ndarray):
+    """Sums of a task's rows for all pairs of columns, as matrix products."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(centre)
+        total = np.zeros((6, size, size))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - centre
+            there = (~np.isnan(x)).astype(float)
+            x = np.where(there > 0, x, 0.0)
+            total += [there.T @ there, x.T @ there, there.T @ x, (x * x).T @ there, there.T @ (x * x), x.T @ x]
+        i, j = np.triu_indices(size, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *[pa.array(t[i, j]) for t in total]],
+                                         names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+    return run
+
+
+def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(i, j, correlation) for all pairs of columns i < j by position, each over
+    the rows that have both; null if one of the two is constant there.  One
+    pass: a task adds its rows up, a pair's sums meet in one group."""
+    num = [F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]
+    flat = df.select(*num)
+    ends = flat.agg(*[((F.min(c) + F.max(c)) / 2).alias(c) for c in flat.columns]).first()
+    # moved to the middle of each column's range: a constant column is exactly 0
+    centre = np.array([ends[c] if ends[c] is not None else 0.0 for c in flat.columns])
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    sums = (flat.mapInArrow(_moments(centre), "i int, j int, " + ", ".join(f"{c} double" for c in names))
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names]))
+    var = lambda s, ss: F.greatest(F.lit(0.0), F.col("n") * F.col(ss) - F.col(s) * F.col(s))
+    r = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(var("sx", "sxx")) * F.sqrt(var("sy", "syy")))
+    return sums.select("i", "j", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("correlation"))
+
+
+def named_pairs(df: DataFrame, cols: Sequence[str], a: str, b: str, out: str) -> DataFrame:
+    """``pearson`` with the columns' names, a row for each pair."""
+    ship_package(df.sparkSession)
+    names = F.array(*[F.lit(c) for c in cols])
+    return pearson(df, cols).select(names[F.col("i")].alias(a), names[F.col("j")].alias(b), F.col("correlation").alias(out))
+
+
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair, in ONE aggregate; rows
-    (var1, var2, correlation, absolute_correlation)."""
-    pairs = list(combinations(cols, 2))
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    stack = ", ".join(f"'{a}', '{b}', p{i}" for i, (a, b) in enumerate(pairs))
-    long = wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (var1, var2, correlation)")
+    """Pearson correlation of every column pair; rows (var1, var2, correlation,
+    absolute_correlation)."""
+    long = named_pairs(df, cols, "var1", "var2", "correlation")
     return long.withColumn("absolute_correlation", F.abs("correlation"))
 
 
@@ -181,7 +218,7 @@ def anderson_darling(df: DataFrame, col: str = "SalesAmount") -> DataFrame:
     pos = cumulative_positions(counts)
     a, b = F.col("r0").cast("double"), F.col("r1").cast("double")
     n = F.col("n").cast("double")
-    z = (F.col("v") - F.col("mu")) / F.col("sd")
+    z = F.try_divide(F.col("v") - F.col("mu"), F.col("sd"))   # null for a constant column
     w = F.col("w").cast("double")
     sum_lo = b * b - (a - 1) * (a - 1)                       # sum of (2i-1) over a..b
     sum_hi = w * (2 * n + 1) - (b * (b + 1) - (a - 1) * a)   # sum of (2n-2i+1)

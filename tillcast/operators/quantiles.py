@@ -1,16 +1,10 @@
 """Exact quantiles (linear interpolation, as ``quantile_cont``).
 
-Two plans:
-
-* ``single`` - ``percentile`` grouped by column (map-side combine, one
-  final merge task per column).  The buffer holds a count per distinct
-  value, so it is used only when the distinct counts are bounded.
-* ``distributed`` - exact at any size: unpivot to (column, value), count
-  per distinct pair (map-side partial aggregation), range-partition the
-  pairs, take running counts inside each partition (Arrow batches),
-  checkpoint, add the per-partition offsets (one row per partition and
-  column), and pick the values whose rank interval covers the target
-  ranks.  No task ever holds more than one range partition.
+One plan at any size: unpivot to (column, value), count per distinct pair
+(combined before the shuffle), range-partition the pairs, take running
+counts inside each partition, add the per-partition offsets, and keep the
+pairs whose rank interval holds a wanted rank.  No task ever holds more
+than one range partition, and a value that many rows share is one pair.
 
 ``approx`` uses ``percentile_approx`` with the given accuracy.
 """
@@ -23,23 +17,9 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.operators.joins import broadcast_limit, estimated_bytes
 from tillcast.operators.ranking import cumulative_positions
 
 
-def _single(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
-    """Exact ``percentile`` per column, grouped by column index: each task
-    combines its values map-side, and every column's final merge runs in
-    its own task (one global aggregate would merge all columns in one)."""
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v"))
-        for i, c in enumerate(cols)])).alias("p")).select("p.k", "p.v")
-    rows = pairs.groupBy("k").agg(F.percentile("v", arr).alias("q")).collect()  # one per column
-    got = {r["k"]: r["q"] for r in rows}
-    return {c: (list(got[i]) if got.get(i) is not None else None) for i, c in enumerate(cols)}
-
-
 def _approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> dict:
     arr = F.array(*[F.lit(float(p)) for p in probs])
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(f"q{i}")
@@ -48,84 +28,53 @@ def _approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy
             for i, c in enumerate(cols)}
 
 
-def _distributed(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                 force_distributed: bool = True) -> dict:
-    spark = df.sparkSession
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(k, v, w): number of rows of each non-null value of each column, by the
+    column's position."""
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v"))
         for i, c in enumerate(cols)])).alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
-    counts = pairs.groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
-    pos = cumulative_positions(counts, force_distributed=force_distributed)
-    n_rows = pos.groupBy("k").agg(F.max("r1").alias("n")).collect()  # one row per column
-    n_by_k = {r["k"]: int(r["n"]) for r in n_rows}
-    targets = []
+    return pairs.groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float]) -> dict[int, list[float]]:
+    """Quantiles of each group ``k`` of weighted values (see ``value_counts``)."""
+    pos = cumulative_positions(counts)
+    n_by_k = {r["k"]: int(r["n"]) for r in pos.groupBy("k").agg(F.max("r1").alias("n")).collect()}
+    wanted = {}
     for k, n in n_by_k.items():
-        for j, p in enumerate(probs):
-            h = (n - 1) * p
-            lo = int(math.floor(h)) + 1
-            targets.append((k, j, "lo", lo))
-            targets.append((k, j, "hi", min(lo + 1, n)))
-    if not targets:
-        return {c: None for c in cols}
-    tdf = spark.createDataFrame(targets, "k int, j int, side string, r long")
-    hits = pos.join(F.broadcast(tdf), "k").where(
-        (F.col("r") >= F.col("r0")) & (F.col("r") <= F.col("r1"))).select(
-        "k", "j", "side", "v").collect()  # exactly one row per target
-    found = {(r["k"], r["j"], r["side"]): r["v"] for r in hits}
-    out: dict = {}
-    for i, c in enumerate(cols):
-        if i not in n_by_k:
-            out[c] = None
-            continue
-        n = n_by_k[i]
-        vals = []
-        for j, p in enumerate(probs):
+        low = [math.floor((n - 1) * p) + 1 for p in probs]
+        wanted[k] = sorted({*low, *[min(x + 1, n) for x in low]})
+    if not wanted:
+        return {}
+    spark = counts.sparkSession
+    # a row for each column, with its few ranks
+    ranks = spark.createDataFrame(list(wanted.items()), "k int, ranks array<long>")
+    inside = F.filter("ranks", lambda r: (r >= F.col("r0")) & (r <= F.col("r1")))
+    hits = (pos.join(F.broadcast(ranks), "k").withColumn("hit", inside).where(F.size("hit") > 0)
+            .select("k", F.explode("hit").alias("r"), "v").collect())   # a row for each rank
+    value = {(h["k"], h["r"]): h["v"] for h in hits}
+    out = {}
+    for k, n in n_by_k.items():
+        out[k] = []
+        for p in probs:
             h = (n - 1) * p
-            a, b = found[(i, j, "lo")], found[(i, j, "hi")]
-            vals.append(a + (h - math.floor(h)) * (b - a))
-        out[c] = vals
+            low = math.floor(h) + 1
+            a, b = value[k, low], value[k, min(low + 1, n)]
+            out[k].append(a + (h - math.floor(h)) * (b - a))
     return out
 
 
-MAX_SINGLE_NDV = 1_000_000  # bounds the percentile buffer per column
-
-
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              method: str = "auto", accuracy: int = 100000,
-              max_single_ndv: int = MAX_SINGLE_NDV, max_rows: int | None = None
-              ) -> dict[str, list[float] | None]:
+              method: str = "exact", accuracy: int = 100000) -> dict[str, list[float] | None]:
     """``{column: [q(p) for p in probs]}`` over non-null values (None when a
-    column has no non-null value).
-
-    ``auto``: a small input (optimizer estimate) uses one ``percentile``
-    aggregate.  Otherwise one HyperLogLog pass splits the columns: those
-    with at most ``max_single_ndv`` distinct values (the size of the
-    ``percentile`` buffer) share one aggregate, the others take the
-    distributed exact path.  A known row bound ``max_rows`` at or below
-    ``max_single_ndv`` bounds every column's distinct count, so the
-    estimate pass is skipped."""
+    column has no non-null value)."""
     cols = list(cols)
     if not cols:
         return {}
-    if method == "auto":
-        size = estimated_bytes(df)
-        if (size is not None and size <= broadcast_limit(df)) or \
-                (max_rows is not None and max_rows <= max_single_ndv):
-            return _single(df, cols, probs)
-        ndv = df.agg(*[F.approx_count_distinct(F.col(c), 0.05).alias(f"n{i}")
-                       for i, c in enumerate(cols)]).first()
-        low = [c for i, c in enumerate(cols) if ndv[f"n{i}"] <= max_single_ndv]
-        high = [c for c in cols if c not in low]
-        out: dict = {}
-        if low:
-            out.update(_single(df, low, probs))
-        if high:
-            out.update(_distributed(df, high, probs))
-        return out
-    if method == "single":
-        return _single(df, cols, probs)
-    if method == "distributed":
-        return _distributed(df, cols, probs)
     if method == "approx":
         return _approx(df, cols, probs, accuracy)
-    raise ValueError(f"unknown quantile method {method!r}")
+    if method != "exact":
+        raise ValueError(f"unknown quantile method {method!r}")
+    found = quantiles_of_counts(value_counts(df, cols), probs)
+    return {c: found.get(i) for i, c in enumerate(cols)}

@@ -31,7 +31,7 @@ def save_run(spark: SparkSession, runs_path: str, context: str, training_set_siz
 
 
 def save_runs(runs: DataFrame, runs_path: str) -> None:
-    """Append many runs in one distributed write.  ``runs`` holds
+    """Append many runs of one moment in one distributed write.  ``runs`` holds
     context, training_set_size, row_count, mae and optionally params; the
     run id is derived from the row's content, the timestamp is the write
     time."""
@@ -61,13 +61,28 @@ def latest_by_name(runs: DataFrame, context: str) -> DataFrame:
     return latest_by_time(runs.where(F.col("context") == context))
 
 
-def save_model(model, root: str) -> str:
+def save_model(model, root: str, features: list[str] | None = None) -> str:
+    """Below a new folder named by the time; with its feature columns in order."""
     stamp = _now().strftime("%Y%m%d-%H%M%S-%f")
     path = f"{root.rstrip('/')}/{stamp}"
+    if features is not None:   # before the model: a folder with a model is complete
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame(list(enumerate(features)), "position int, name string").coalesce(1).write.parquet(f"{root.rstrip('/')}/_features/{stamp}")
     model.write().overwrite().save(path)
     return path
 
 
+def load_features(spark: SparkSession, root: str) -> list[str]:
+    """Feature columns of the newest model under ``root``."""
+    newest = _models(spark, root)[-1]
+    rows = spark.read.parquet(f"{root.rstrip('/')}/_features/{newest}").collect()
+    return [r["name"] for r in sorted(rows, key=lambda r: r["position"])]
+
+
+def _models(spark: SparkSession, root: str) -> list[str]:
+    return [n for n in _list_dirs(spark, root) if not n.startswith("_")]
+
+
 def _list_dirs(spark: SparkSession, root: str) -> list[str]:
     """Child directory names of ``root`` through the Hadoop FileSystem (works
     for any Spark-supported store)."""
@@ -82,7 +97,7 @@ def _list_dirs(spark: SparkSession, root: str) -> list[str]:
 
 def load_latest(spark: SparkSession, root: str, model_cls):
     """Newest model under ``root`` or None."""
-    names = _list_dirs(spark, root)
+    names = _models(spark, root)
     if not names:
         return None
     return model_cls.load(f"{root.rstrip('/')}/{names[-1]}")

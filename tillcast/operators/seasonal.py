@@ -13,6 +13,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tillcast import schema as S
 
@@ -37,6 +38,11 @@ def money_sum(c: str) -> Column:
 SCALED = "decimal(38,12)"
 
 
+def exact_sum(c: str) -> Column:
+    """Sum of scaled values at 12 decimals: the same in any order; 0 over nulls."""
+    return F.coalesce(F.sum(F.col(c).cast(SCALED)), F.lit(0)).cast("double").alias(c)
+
+
 def exact_mean(c: str) -> Column:
     """Mean whose sum does not depend on the summation order: values are
     rounded to 12 decimals, summed as DECIMAL, then divided once."""
@@ -69,13 +75,13 @@ def feature_aggs(df: DataFrame, grain: str, onehot_cols: Sequence[str] | None =
     sums = [c for c in S.SUM_COLUMNS if c in cols]
     if include_total_cost and "TotalCost" in cols:
         sums.append("TotalCost")
-    aggs += [_sum0(c) for c in sums]
+    aggs += [_sum0(c) if c == "SalesQuantity" else exact_sum(c) for c in sums]
     if "SalesAmount" in cols:  # the raw target: an exact money sum
         aggs.append(money_sum("SalesAmount"))
     # means of few-level scaled values can land on exact decimal ties, so
     # they are summed order-independently (DECIMAL) before the division
     aggs += [exact_mean(c) for c in S.MEAN_COLUMNS if c in cols]
-    aggs += [F.avg(c).alias(c) for c in onehot_cols if c in cols]
+    aggs += [F.avg(c).alias(c) for c in onehot_cols if c in cols]   # sums of 0 and 1 are exact
     firsts = ([] if "CalendarYear" in keys else ["CalendarYear"]) + S.CYCLIC_FIRST[grain]
     aggs += [_first(c) for c in firsts if c in cols]
     return aggs
@@ -151,11 +157,12 @@ def seasonal_simple(df: DataFrame, grain: str = "daily", full: bool = False) ->
 
 
 def group_all_sum(df: DataFrame, key: str = "DateKey") -> DataFrame:
-    """Sum of every numeric column by ``key``."""
-    num = [f.name for f in df.schema.fields
-           if f.name != key and f.dataType.typeName() in
-           ("integer", "long", "double", "float", "short", "byte", "decimal")]
-    return _drop_null_keys(df, [key]).groupBy(key).agg(*[_sum0(c) for c in num])
+    """Sum of every numeric column by ``key``; fractions are summed exactly at
+    10 decimals, so that the order of the rows doesn't matter."""
+    num = [f for f in df.schema.fields if f.name != key and isinstance(f.dataType, NumericType)]
+    sums = [F.coalesce(F.sum(F.col(f.name).cast(PRICE)), F.lit(0)).cast("double").alias(f.name)
+            if f.dataType.typeName() in ("double", "float") else _sum0(f.name) for f in num]
+    return _drop_null_keys(df, [key]).groupBy(key).agg(*sums)
 
 
 def grain_of(gid: Column) -> Column:
@@ -185,4 +192,4 @@ def grouped_agg(df: DataFrame, group_cols: Sequence[str] = (), target: str = "Sa
                 key: str = "DateKey") -> DataFrame:
     """Sum of the target by day and any user-given columns."""
     keys = [key, *group_cols]
-    return _drop_null_keys(df, [key]).groupBy(*keys).agg(_sum0(target))
+    return _drop_null_keys(df, [key]).groupBy(*keys).agg(money_sum(target))

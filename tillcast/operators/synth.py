@@ -3,7 +3,10 @@
 Fit (on a calendar-aggregated table, bounded by the number of days):
 * marginals: exact 101-point percentile grids (one aggregate);
 * categorical groups (a fixed combination of columns) become one latent
-  column: observed combinations with their frequencies;
+  column: the fitted rows, sorted by combination, are numbered; a
+  combination's score is the middle of its numbers, and a drawn score is a
+  number that the rows are joined on again.  Any number of combinations
+  works, and a drawn one always occurs in the data;
 * normal scores per row in ``mapInPandas`` (numpy interpolation), then the
   latent correlation with ``Correlation.corr`` (executors aggregate the
   Gramian; only the k x k matrix reaches the driver).
@@ -28,12 +31,16 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tillcast.operators.encoders import category_counts
+from tillcast.operators.profile import named_pairs
 from tillcast.operators.quantiles import quantiles
+from tillcast.operators.ranking import global_row_number
 from tillcast.session import ship_package
+from tillcast.sources.sinks import stored
 
 GRID = [i / 100 for i in range(101)]
 U_EPS = 1e-6
@@ -129,8 +136,7 @@ class CopulaModel:
     decimals: dict[str, int]
     minmax: dict[str, tuple[float, float]]
     groups: list[list[str]] = field(default_factory=list)       # categorical groups
-    combos: list[np.ndarray] = field(default_factory=list)      # m x len(group)
-    cum: list[np.ndarray] = field(default_factory=list)         # cumulative weights
+    numbered: list[DataFrame] = field(default_factory=list)     # (pos, columns of the group)
     onehot: list[list[str]] = field(default_factory=list)
     corr: np.ndarray | None = None
     n_rows: int = 0
@@ -144,7 +150,10 @@ class CopulaModel:
         return self.continuous + [c for g in self.groups for c in g]
 
 
-def _decimals(df: DataFrame, cols: Sequence[str], max_dec: int = 6) -> dict[str, int]:
+MAX_DECIMALS = 6   # to which drawn values are rounded at most
+
+
+def _decimals(df: DataFrame, cols: Sequence[str], max_dec: int = MAX_DECIMALS) -> dict[str, int]:
     aggs = []
     for c in cols:
         for d in range(max_dec + 1):
@@ -164,60 +173,60 @@ def _decimals(df: DataFrame, cols: Sequence[str], max_dec: int = 6) -> dict[str,
 
 def _scores_fn(model: CopulaModel):
     grids = {c: np.asarray(model.grids[c], dtype=float) for c in model.continuous}
-    keys = [{tuple(r): i for i, r in enumerate(cmb.tolist())} for cmb in model.combos]
+    latent, continuous = model.latent, list(model.continuous)
 
     def fn(batches):
         for pdf in batches:
-            out = {}
-            for c in model.continuous:
-                x = pdf[c].to_numpy(dtype=float)
-                out[c] = norm_ppf(_mid_cdf(x, grids[c]))
-            for gi, g in enumerate(model.groups):
-                cum = model.cum[gi]
-                lo = np.concatenate([[0.0], cum[:-1]])
-                idx = np.array([keys[gi].get(tuple(r), 0) for r in
-                                pdf[g].to_numpy(dtype=float).tolist()], dtype=int)
-                out[f"__grp{gi}"] = norm_ppf((lo[idx] + cum[idx]) / 2)
-            yield pd.DataFrame(out)[model.latent]
+            out = {c: norm_ppf(_mid_cdf(pdf[c].to_numpy(dtype=float), grids[c])) for c in continuous}
+            for c in latent[len(continuous):]:
+                out[c] = norm_ppf(pdf[c].to_numpy(dtype=float))
+            yield pd.DataFrame(out)[latent]
     return fn
 
 
+def with_group_scores(src: DataFrame, model: CopulaModel) -> DataFrame:
+    """``src`` with the middle position (0 to 1) of each group's combination.
+    A combination that the fitted rows don't have fails the job."""
+    out = src
+    for gi, (g, numbered) in enumerate(zip(model.groups, model.numbered)):
+        mid = numbered.groupBy(*g).agg(((F.min("pos") + F.max("pos") - 1) / F.lit(2.0 * model.n_rows)).alias(f"__grp{gi}"))
+        mid = mid.select(*[F.col(c).alias(f"__{c}") for c in g], f"__grp{gi}")
+        same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in g]
+        cond = same[0]
+        for s in same[1:]:
+            cond = cond & s
+        miss = F.raise_error(F.concat(F.lit(f"combination of {g} that was not fitted: "), F.to_json(F.struct(*g))))
+        out = out.join(mid, cond, "left").withColumn(f"__grp{gi}", F.coalesce(f"__grp{gi}", miss.cast("double"))).drop(*[f"__{c}" for c in g])
+    return out
+
+
 def fit_copula(df: DataFrame, columns: Sequence[str] | None = None,
                groups: Sequence[Sequence[str]] = (), onehot: Sequence[Sequence[str]] = (),
-               max_combos: int = 100_000) -> CopulaModel:
-    ship_package(df.sparkSession)
-    grouped = {c for g in groups for c in g}
+               max_decimals: int = MAX_DECIMALS) -> CopulaModel:
+    spark = df.sparkSession
+    ship_package(spark)
+    grouped = [c for g in groups for c in g]
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     cols = [c for c in (columns or num) if c not in grouped]
-    # the fit input is calendar-aggregated (bounded by days): few partitions
-    src = df.select(*cols, *grouped).na.drop().coalesce(
-        df.sparkSession.sparkContext.defaultParallelism)
+    # written once: the passes below and the combinations read the same values
+    src = stored(df.select(*cols, *grouped).na.drop(), "copula")
     q = quantiles(src, cols, GRID)
     mm = src.agg(*[e for c in cols for e in (F.min(c).alias(f"{c}__lo"),
                                               F.max(c).alias(f"{c}__hi"))]).first()
     model = CopulaModel(
-        continuous=cols, grids={c: q[c] for c in cols}, decimals=_decimals(src, cols),
+        continuous=cols, grids={c: q[c] for c in cols}, decimals=_decimals(src, cols, max_decimals),
         minmax={c: (float(mm[f"{c}__lo"]), float(mm[f"{c}__hi"])) for c in cols},
-        onehot=[list(g) for g in onehot])
-    for g in groups:
-        g = list(g)
-        freq = src.groupBy(*g).count()
-        rows = freq.orderBy(F.desc("count"), *g).limit(max_combos + 1).collect()
-        if len(rows) > max_combos:
-            raise ValueError(f"too many combinations for {g}")
-        vals = np.array([[float(r[c]) for c in g] for r in rows])
-        w = np.array([r["count"] for r in rows], dtype=float)
-        model.groups.append(g)
-        model.combos.append(vals)
-        model.cum.append(np.cumsum(w) / w.sum())
+        groups=[list(g) for g in groups], onehot=[list(g) for g in onehot], n_rows=src.count())
+    for g in model.groups:
+        order = [F.col(c) for c in g]
+        model.numbered.append(stored(global_row_number(src.select(*g), order, out="pos").select("pos", *g), "combinations"))
     latent_schema = ", ".join(f"`{c}` double" for c in model.latent)
-    scores = src.mapInPandas(_scores_fn(model), latent_schema)
+    scores = with_group_scores(src, model).mapInPandas(_scores_fn(model), latent_schema)
     vec = VectorAssembler(inputCols=model.latent, outputCol="z").transform(scores)
     corr = Correlation.corr(vec, "z", "pearson").first()[0].toArray()
     corr = np.nan_to_num(corr, nan=0.0)
     np.fill_diagonal(corr, 1.0)
     model.corr = corr
-    model.n_rows = src.count()
     return model
 
 
@@ -228,29 +237,54 @@ def _psd_cholesky(m: np.ndarray) -> np.ndarray:
     return np.linalg.cholesky(fixed + 1e-12 * np.eye(len(m)))
 
 
-def _decode(model: CopulaModel, z: np.ndarray) -> dict[str, np.ndarray]:
-    """Latent normals (n x k, latent order) -> output columns."""
-    out = {}
-    u = norm_cdf(z)
-    probs = np.asarray(GRID)
-    for j, c in enumerate(model.continuous):
-        x = np.interp(u[:, j], probs, np.asarray(model.grids[c], dtype=float))
-        lo, hi = model.minmax[c]
-        out[c] = np.round(np.clip(x, lo, hi), model.decimals[c])
-    base = len(model.continuous)
-    for gi, g in enumerate(model.groups):
-        idx = np.searchsorted(model.cum[gi], u[:, base + gi], side="left")
-        idx = np.clip(idx, 0, len(model.cum[gi]) - 1)
-        vals = model.combos[gi][idx]
-        for k, c in enumerate(g):
-            out[c] = vals[:, k]
-    for g in model.onehot:
-        present = [c for c in g if c in out]
-        if len(present) == len(g):
-            arg = np.argmax(np.column_stack([out[c] for c in g]), axis=1)
-            for k, c in enumerate(g):
-                out[c] = (arg == k).astype(float)
-    return out
+@dataclass
+class _Decoder:
+    """What tasks need to turn latent normals into columns."""
+    continuous: list[str]
+    grids: list[np.ndarray]
+    minmax: list[tuple[float, float]]
+    decimals: list[int]
+    onehot: list[list[str]]
+    n_groups: int
+    n_rows: int
+
+    @classmethod
+    def of(cls, m: CopulaModel) -> _Decoder:
+        return cls(m.continuous, [np.asarray(m.grids[c], dtype=float) for c in m.continuous], [m.minmax[c] for c in m.continuous],
+                   [m.decimals[c] for c in m.continuous], m.onehot, len(m.groups), m.n_rows)
+
+    def __call__(self, z: np.ndarray) -> dict[str, np.ndarray]:
+        """Latent normals (n x k, latent order) -> columns; of a group the position
+        among the fitted rows."""
+        out = {}
+        u = norm_cdf(z)
+        probs = np.asarray(GRID)
+        for j, c in enumerate(self.continuous):
+            lo, hi = self.minmax[j]
+            out[c] = np.round(np.clip(np.interp(u[:, j], probs, self.grids[j]), lo, hi), self.decimals[j])
+        for gi in range(self.n_groups):
+            at = np.floor(u[:, len(self.continuous) + gi] * self.n_rows) + 1
+            out[f"__pos{gi}"] = np.clip(at, 1, self.n_rows).astype(np.int64)
+        for g in self.onehot:
+            if all(c in out for c in g):
+                arg = np.argmax(np.column_stack([out[c] for c in g]), axis=1)
+                for k, c in enumerate(g):
+                    out[c] = (arg == k).astype(float)
+        return out
+
+
+def _with_groups(drawn: DataFrame, model: CopulaModel, columns: Sequence[str]) -> DataFrame:
+    """Positions replaced by the combinations that stand there."""
+    for gi, (g, numbered) in enumerate(zip(model.groups, model.numbered)):
+        drawn = drawn.join(numbered.withColumnRenamed("pos", f"__pos{gi}"), f"__pos{gi}", "left")
+    return drawn.select(*columns)
+
+
+def _positions(model: CopulaModel) -> str:
+    return "".join(f", __pos{gi} long" for gi in range(len(model.groups)))
+
+
+ROWS_PER_TASK = 1 << 20   # that a task draws, at most
 
 
 def sample_copula(spark: SparkSession, model: CopulaModel, rows: int | None = None,
@@ -259,18 +293,18 @@ def sample_copula(spark: SparkSession, model: CopulaModel, rows: int | None = No
     ship_package(spark)
     n = (rows if rows is not None else model.n_rows) * factor
     L = _psd_cholesky(model.corr)
-    k = len(model.latent)
-    schema = ", ".join(["sample_id long"] + [f"`{c}` double" for c in model.output])
+    k, decode = len(model.latent), _Decoder.of(model)
+    continuous = list(model.continuous)
+    schema = "sample_id long" + "".join(f", `{c}` double" for c in continuous) + _positions(model)
 
     def gen(batches):
         for pdf in batches:
             ids = pdf["id"].to_numpy()
-            z = hashed_normals(ids, k, seed) @ L.T
-            cols = _decode(model, z)
-            yield pd.DataFrame({"sample_id": ids, **{c: cols[c] for c in model.output}})
+            yield pd.DataFrame({"sample_id": ids, **decode(hashed_normals(ids, k, seed) @ L.T)})
 
-    parts = partitions or spark.sparkContext.defaultParallelism
-    return spark.range(0, n, 1, parts).mapInPandas(gen, schema)
+    parts = partitions or max(spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK))
+    drawn = spark.range(0, n, 1, parts).mapInPandas(gen, schema)
+    return _with_groups(drawn, model, ["sample_id", *model.output])
 
 
 def sample_with_facts(model: CopulaModel, facts: DataFrame, id_col: str = "DateKey",
@@ -289,11 +323,11 @@ def sample_with_facts(model: CopulaModel, facts: DataFrame, id_col: str = "DateK
     A = Suk @ np.linalg.pinv(Skk)
     Lc = _psd_cholesky(Suu - A @ Suk.T)
     grids = {c: np.asarray(model.grids[c], dtype=float) for c in known}
-    out_cols = [c for c in model.output if c not in known]
+    new = [c for c in model.continuous if c not in known]
     id_type = dict(facts.dtypes)[id_col]
-    schema = ", ".join([f"`{id_col}` {id_type}"] + [f"`{c}` double" for c in known]
-                       + [f"`{c}` double" for c in out_cols])
-    k = len(model.latent)
+    schema = (f"`{id_col}` {id_type}" + "".join(f", `{c}` double" for c in [*known, *new]) + _positions(model))
+    k, decode = len(model.latent), _Decoder.of(model)
+    names = [f"__pos{gi}" for gi in range(len(model.groups))]
     src = facts.select(id_col, *known, F.xxhash64(id_col).alias("__rid"))
 
     def gen(batches):
@@ -305,15 +339,16 @@ def sample_with_facts(model: CopulaModel, facts: DataFrame, id_col: str = "DateK
             z = np.zeros((len(pdf), k))
             z[:, known_idx] = zk
             z[:, unknown_idx] = zu
-            dec = _decode(model, z)
+            dec = decode(z)
             data = {id_col: pdf[id_col].to_numpy()}
             for c in known:
                 data[c] = pdf[c].to_numpy(dtype=float)
-            for c in out_cols:
+            for c in [*new, *names]:
                 data[c] = dec[c]
             yield pd.DataFrame(data)
 
-    return src.mapInPandas(gen, schema)
+    drawn = src.mapInPandas(gen, schema)
+    return _with_groups(drawn, model, [id_col, *known, *[c for c in model.output if c not in known]])
 
 
 def detect_metadata(df: DataFrame, forced: Sequence[str] = (), exclude: Sequence[str] = (),
@@ -333,23 +368,30 @@ def detect_metadata(df: DataFrame, forced: Sequence[str] = (), exclude: Sequence
 # ------------------------------------------------------------ quality scores
 def diagnostic(real: DataFrame, synth: DataFrame, numeric: Sequence[str],
                categorical: Sequence[str] = ()) -> DataFrame:
-    """Validity per column: present in both, share of synthetic values within
-    the real [min, max] (numeric) or among the real categories."""
+    """Per column: whether both frames have it, whether its type is the same,
+    and the share of synthetic values within the real [min, max] (numeric) or
+    among the real categories; the share of a missing column is null."""
     spark = real.sparkSession
-    rows = []
-    if numeric:
-        rng = real.agg(*[e for c in numeric for e in (F.min(c).alias(f"{c}__lo"),
-                                                       F.max(c).alias(f"{c}__hi"))])
+    types, others = dict(real.dtypes), dict(synth.dtypes)
+    both = lambda c: c in types and c in others
+    rows = {c: ("numeric", None) for c in numeric} | {c: ("categorical", None) for c in categorical}
+    there = [c for c in numeric if both(c)]
+    if there:
+        rng = real.agg(*[e for c in there for e in (F.min(c).alias(f"{c}__lo"), F.max(c).alias(f"{c}__hi"))])
         inside = synth.crossJoin(F.broadcast(rng)).agg(*[
             F.avg(F.when((F.col(c) >= F.col(f"{c}__lo")) & (F.col(c) <= F.col(f"{c}__hi")),
-                         1.0).otherwise(0.0)).alias(c) for c in numeric]).first()
-        rows += [(c, "numeric", c in synth.columns, float(inside[c])) for c in numeric]
-    for c in categorical:
-        known = real.select(c).distinct()
-        share = synth.select(c).join(known, c, "left_semi").count() / max(synth.count(), 1)
-        rows.append((c, "categorical", c in synth.columns, float(share)))
-    return spark.createDataFrame(rows, "column string, kind string, present boolean, "
-                                       "valid_share double")
+                         1.0).otherwise(0.0)).alias(c) for c in there]).first()
+        rows |= {c: ("numeric", inside[c]) for c in there}
+    there = [c for c in categorical if both(c)]
+    if there:
+        known = category_counts(real, there).select("k", "s").withColumn("known", F.lit(1.0))
+        drawn = category_counts(synth, there)
+        shares = (drawn.join(known, (drawn.k == known.k) & drawn.s.eqNullSafe(known.s), "left")
+                  .groupBy(drawn.k).agg((F.sum(F.coalesce("known", F.lit(0.0)) * F.col("w")) / F.sum("w")).alias("share")))
+        rows |= {there[r["k"]]: ("categorical", r["share"]) for r in shares.collect()}   # one for each column
+    return spark.createDataFrame(
+        [(c, kind, both(c), both(c) and types[c] == others[c], share) for c, (kind, share) in rows.items()],
+        "column string, kind string, present boolean, same_type boolean, valid_share double")
 
 
 def ks_complement(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -373,57 +415,84 @@ def ks_complement(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> Dat
     cdf = cum.join(F.broadcast(tot), "k")
     names = F.create_map(*[x for c in cols for x in (F.lit(idx[c]), F.lit(c))])
     return cdf.groupBy("k").agg((F.lit(1.0) - F.max(F.abs(
-        F.col("cr") / F.col("tr") - F.col("cs") / F.col("ts")))).alias("ks_complement")) \
+        F.try_divide("cr", "tr") - F.try_divide("cs", "ts")))).alias("ks_complement")) \
         .select(names[F.col("k")].alias("column"), "ks_complement")
 
 
-def _freq(df: DataFrame, cols: Sequence[str], tag: str) -> DataFrame:
-    n = df.agg(F.count(F.lit(1)).alias("__n"))  # one row
-    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__c")).crossJoin(F.broadcast(n))
-            .select(*cols, (F.col("__c") / F.col("__n")).alias(tag)))
+def _shares(real: DataFrame, synth: DataFrame, cells: Sequence[Column]) -> DataFrame:
+    """(k, s, p, q): share of each category of each cell in either frame.  Both
+    frames are read once for all cells; null is a category."""
+    def counted(df: DataFrame, side: str) -> DataFrame:
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("k"), c.alias("s")) for i, c in enumerate(cells)])).alias("c"))
+        return pairs.select("c.k", "c.s", F.lit(side).alias("side"))
+    both = counted(real, "p").unionByName(counted(synth, "q"))
+    n = both.groupBy("k", "s").agg(F.count_if(F.col("side") == "p").alias("p"), F.count_if(F.col("side") == "q").alias("q"))
+    total = n.groupBy("k").agg(F.sum("p").alias("np"), F.sum("q").alias("nq"))   # a row for each cell
+    return n.join(F.broadcast(total), "k").select("k", "s", F.try_divide("p", "np").alias("p"), F.try_divide("q", "nq").alias("q"))
 
 
-def _null_safe_full(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join of two frequency tables where null is a category."""
-    ra = a.select(*[F.col(k).alias(f"__a_{k}") for k in keys], "p")
-    rb = b.select(*[F.col(k).alias(f"__b_{k}") for k in keys], "q")
-    cond = None
-    for k in keys:
-        c = F.col(f"__a_{k}").eqNullSafe(F.col(f"__b_{k}"))
-        cond = c if cond is None else cond & c
-    return ra.join(rb, cond, "full").na.fill(0.0, ["p", "q"])
+def _overlap(real: DataFrame, synth: DataFrame, cells: Sequence[Column], names: Sequence[dict[str, str]], out: str) -> DataFrame:
+    """1 - 1/2 sum |p - q| of the categories of each cell, with its names."""
+    told = real.sparkSession.createDataFrame([(i, *x.values()) for i, x in enumerate(names)],
+                                             "k int, " + ", ".join(f"{c} string" for c in names[0]))
+    score = _shares(real, synth, cells).groupBy("k").agg((F.lit(1.0) - F.lit(0.5) * F.sum(F.abs(F.col("p") - F.col("q")))).alias(out))
+    return told.join(score, "k").drop("k")
 
 
 def tv_complement(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> DataFrame:
     """1 - 1/2 sum |p - q| of category frequencies, per column (null is a
     category of its own)."""
-    spark = real.sparkSession
-    out = None
-    for c in cols:
-        j = _null_safe_full(_freq(real, [c], "p"), _freq(synth, [c], "q"), [c])
-        one = j.agg((F.lit(1.0) - F.lit(0.5) * F.sum(F.abs(F.col("p") - F.col("q"))))
-                    .alias("tv_complement")).select(F.lit(c).alias("column"), "tv_complement")
-        out = one if out is None else out.unionByName(one)
-    return out if out is not None else spark.createDataFrame([], "column string, "
-                                                                 "tv_complement double")
+    return _overlap(real, synth, [F.col(c).cast("string") for c in cols], [{"column": c} for c in cols], "tv_complement")
 
 
-def contingency_similarity(real: DataFrame, synth: DataFrame, a: str, b: str) -> DataFrame:
-    j = _null_safe_full(_freq(real, [a, b], "p"), _freq(synth, [a, b], "q"), [a, b])
-    return j.agg((F.lit(1.0) - F.lit(0.5) * F.sum(F.abs(F.col("p") - F.col("q"))))
-                 .alias("contingency_similarity")).select(
-        F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), "contingency_similarity")
+def contingency_similarity(real: DataFrame, synth: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """The same over the pairs of values of each pair of columns."""
+    cells = [F.to_json(F.struct(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))) for a, b in pairs]
+    return _overlap(real, synth, cells, [{"col_a": a, "col_b": b} for a, b in pairs], "contingency_similarity")
+
+
+def quality_report(real: DataFrame, synth: DataFrame, numeric: Sequence[str], categorical: Sequence[str], bins: int = 10) -> DataFrame:
+    """All column shapes and pair trends by type, and their means:
+    (section, name, metric, score).
+
+    Shapes: KS complement of numeric columns, TV complement of categorical
+    ones.  Trends: correlation similarity of two numeric columns, else
+    contingency similarity, a numeric column in ``bins`` equal parts of the
+    real range.  ``overall`` is the mean of the two section means; scores
+    that aren't defined (a constant column's correlation) are left out."""
+    parts = []
+    if numeric:
+        parts.append(ks_complement(real, synth, numeric).select(F.lit("shape").alias("section"), F.col("column").alias("name"),
+                                                                F.lit("ks_complement").alias("metric"), F.col("ks_complement").alias("score")))
+    if categorical:
+        parts.append(tv_complement(real, synth, categorical).select(F.lit("shape"), "column", F.lit("tv_complement"), "tv_complement"))
+    if len(numeric) > 1:
+        parts.append(correlation_similarity(real, synth, numeric).select(F.lit("trend"), F.concat_ws("~", "col_a", "col_b"),
+                                                                         F.lit("correlation_similarity"), "correlation_similarity"))
+    mixed = [(a, b) for a in numeric for b in categorical] + [(a, b) for i, a in enumerate(categorical) for b in categorical[i + 1:]]
+    if mixed:
+        rng = real.agg(*[e for c in numeric for e in (F.min(c).alias(f"{c}__lo"), F.max(c).alias(f"{c}__hi"))]).first() if numeric else None
+
+        def binned(df: DataFrame) -> DataFrame:
+            part = {c: F.floor(F.try_divide(F.col(c) - F.lit(float(rng[f"{c}__lo"])), F.lit(float(rng[f"{c}__hi"]) - float(rng[f"{c}__lo"]))) * bins)
+                    for c in numeric if rng[f"{c}__lo"] is not None}
+            return df.select(*categorical, *[F.greatest(F.lit(0), F.least(v, F.lit(bins - 1))).alias(c) for c, v in part.items()],
+                             *[F.lit(None).cast("int").alias(c) for c in numeric if c not in part])
+
+        parts.append(contingency_similarity(binned(real), binned(synth), mixed).select(
+            F.lit("trend"), F.concat_ws("~", "col_a", "col_b"), F.lit("contingency_similarity"), "contingency_similarity"))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.union(x)
+    out = stored(out.where(F.col("score").isNotNull() & ~F.isnan("score")), "quality")
+    sections = out.groupBy("section").agg(F.avg("score").alias("score"))
+    means = sections.select(F.lit("mean").alias("section"), F.col("section").alias("name"), F.lit("mean").alias("metric"), "score")
+    overall = sections.agg(F.avg("score").alias("score")).select(F.lit("mean").alias("section"), F.lit("overall").alias("name"), F.lit("mean").alias("metric"), "score")
+    return out.union(means).union(overall)
 
 
 def correlation_similarity(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """1 - |rho_real - rho_synth| / 2 per column pair (one aggregate each)."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-
-    def corr_long(df, tag):
-        wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}")
-                        for i, (a, b) in enumerate(pairs)])
-        stack = ", ".join(f"'{a}', '{b}', p{i}" for i, (a, b) in enumerate(pairs))
-        return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, {tag})")
-    j = corr_long(real, "r").join(corr_long(synth, "s"), ["col_a", "col_b"])
+    """1 - |rho_real - rho_synth| / 2 per column pair (one pass each)."""
+    j = named_pairs(real, cols, "col_a", "col_b", "r").join(named_pairs(synth, cols, "col_a", "col_b", "s"), ["col_a", "col_b"])
     return j.select("col_a", "col_b", (F.lit(1.0) - F.abs(F.col("r") - F.col("s")) / F.lit(2.0))
                     .alias("correlation_similarity"))

@@ -20,7 +20,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.operators.ranking import global_row_number
 from tillcast.session import ship_package
 
 
@@ -43,24 +42,13 @@ def lag_baseline(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
     return r2_by(pred, y, "y_pred", keys)
 
 
-def lag_rows(df: DataFrame, y: str, order: Sequence[str | Column]) -> DataFrame:
-    """Row-level lag over a global total order without a single-partition
-    window: number rows (two-level rank), then join row n to row n-1."""
-    ranked = global_row_number(df, order, out="_rn")
-    prev = ranked.select((F.col("_rn") + 1).alias("_rn"), F.col(y).alias("y_pred"))
-    return ranked.join(prev, "_rn", "inner").drop("_rn")
-
-
 def r2_by(df: DataFrame, y: str, yhat: str, keys: Sequence[str] = ()) -> DataFrame:
     """R^2 = 1 - SS_res / SS_tot per group (SS_tot around the group mean;
-    null when SS_tot is 0)."""
-    keys = list(keys)
-    mean = df.groupBy(*keys).agg(F.avg(y).alias("_mu"))
-    joined = df.join(F.broadcast(mean), keys) if keys else df.crossJoin(F.broadcast(mean))
-    return joined.groupBy(*keys).agg(
+    null when SS_tot is 0), in one pass."""
+    return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        (F.lit(1.0) - F.sum((F.col(y) - F.col(yhat)) ** 2)
-         / F.nullif(F.sum((F.col(y) - F.col("_mu")) ** 2), F.lit(0.0))).alias("r2"))
+        (F.lit(1.0) - F.try_divide(F.sum((F.col(y) - F.col(yhat)) ** 2),
+                                   F.var_pop(y) * F.count(y))).alias("r2"))
 
 
 def diff(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey", keys: Sequence[str] = (),
@@ -99,7 +87,8 @@ def decompose(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
     """Classical decomposition: centred moving-average trend (null where
     the window is incomplete; half-weighted ends for even periods),
     seasonal = mean detrended value per phase, centred (to 0 or to 1),
-    residual.  ``money``: window sums are exact DECIMAL(18,4) sums."""
+    residual.  ``money``: window sums are exact DECIMAL(18,4) sums.  A
+    division by zero (multiplicative, trend or seasonal 0) gives null."""
     w = _w(keys, ds)
     half = period // 2
     out = df.withColumn("rn", F.row_number().over(w))
@@ -115,23 +104,24 @@ def decompose(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
                        (s - ends / F.lit(2)).cast("double") / F.lit(float(period)))
     out = out.withColumn("trend", trend)
     mult = model.startswith("m")
-    detr = F.col(y) / F.col("trend") if mult else F.col(y) - F.col("trend")
+    detr = F.try_divide(F.col(y), F.col("trend")) if mult else F.col(y) - F.col("trend")
     out = out.withColumn("_detr", detr).withColumn("phase", (F.col("rn") - 1) % period)
     per_phase = out.groupBy(*keys, "phase").agg(F.avg("_detr").alias("_pm"))
     centre = per_phase.groupBy(*keys).agg(F.avg("_pm").alias("_c"))
-    per_phase = (per_phase.join(centre, list(keys)) if keys else per_phase.crossJoin(centre))
-    per_phase = per_phase.select(*keys, "phase", (F.col("_pm") / F.col("_c") if mult
+    # without keys both have a bounded number of rows: one, and the period
+    per_phase = (per_phase.join(centre, list(keys)) if keys else per_phase.crossJoin(F.broadcast(centre)))
+    per_phase = per_phase.select(*keys, "phase", (F.try_divide(F.col("_pm"), F.col("_c")) if mult
                                                   else F.col("_pm") - F.col("_c"))
                                  .alias("seasonal"))
-    out = out.join(F.broadcast(per_phase), [*keys, "phase"], "left")
-    resid = (F.col(y) / (F.col("trend") * F.col("seasonal")) if mult
+    out = out.join(per_phase if keys else F.broadcast(per_phase), [*keys, "phase"], "left")
+    resid = (F.try_divide(F.col(y), F.col("trend") * F.col("seasonal")) if mult
              else F.col(y) - F.col("trend") - F.col("seasonal"))
     return out.withColumn("resid", resid).drop("_detr")
 
 
 def deseasonalize(decomposed: DataFrame, y: str = "SalesAmount", model: str = "multiplicative"
                   ) -> DataFrame:
-    adj = F.col(y) / F.col("seasonal") if model.startswith("m") else F.col(y) - F.col("seasonal")
+    adj = F.try_divide(F.col(y), F.col("seasonal")) if model.startswith("m") else F.col(y) - F.col("seasonal")
     return decomposed.withColumn("deseasonalized", adj)
 
 
@@ -139,19 +129,23 @@ def deseasonalize(decomposed: DataFrame, y: str = "SalesAmount", model: str = "m
 def acf(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey", keys: Sequence[str] = (),
         nlags: int = 30) -> DataFrame:
     """acf(k) = sum_t (y_t - m)(y_{t+k} - m) / sum_t (y_t - m)^2, k = 0..nlags;
-    the lagged pairs come from an equi-join on the position (no window)."""
-    pos = with_position(df, ds, keys).select(*keys, "rn", F.col(y).cast("double").alias("y"))
-    mean = pos.groupBy(*keys).agg(F.avg("y").alias("m"))
-    cen = (pos.join(F.broadcast(mean), list(keys)) if keys else pos.crossJoin(F.broadcast(mean)))
-    cen = cen.select(*keys, "rn", (F.col("y") - F.col("m")).alias("e"))
-    left = cen.select(*keys, "rn", "e", F.explode(F.sequence(F.lit(0), F.lit(nlags)))
-                      .alias("lag")).select(
-        *keys, "lag", (F.col("rn") + F.col("lag")).alias("rn"), F.col("e").alias("e0"))
-    pairs = left.join(cen.withColumnRenamed("e", "e1"), [*keys, "rn"], "inner")
-    num = pairs.groupBy(*keys, "lag").agg(F.sum(F.col("e0") * F.col("e1")).alias("num"))
-    den = num.where(F.col("lag") == 0).select(*keys, F.col("num").alias("den"))
-    out = num.join(F.broadcast(den), list(keys)) if keys else num.crossJoin(F.broadcast(den))
-    return out.select(*keys, "lag", (F.col("num") / F.col("den")).alias("acf"))
+    null for a constant series.  The lagged values come from one window per
+    series."""
+    keys = list(keys)
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    e = (F.col(y).cast("double") - F.avg(F.col(y).cast("double")).over(whole)).alias("e")
+    cen = df.select(*keys, ds, e)
+    w = _w(keys, ds)
+    led = cen.select(*keys, "e", *[F.lead("e", k).over(w).alias(f"e{k}") for k in range(nlags + 1)])
+    sums = led.groupBy(*keys).agg(*[F.sum(F.col("e") * F.col(f"e{k}")).alias(f"s{k}") for k in range(nlags + 1)])
+    lags = F.array(*[F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"s{k}"), F.col("s0")).alias("acf")) for k in range(nlags + 1)])
+    # a series shorter than a lag has no pair there
+    return sums.select(*keys, F.inline(F.filter(lags, lambda x: x["acf"].isNotNull() | F.coalesce(F.col("s0") == 0, F.lit(False)))))
+
+
+def exp_restore(df: DataFrame, *cols: str) -> DataFrame:
+    """Columns on the ln scale back on their own scale."""
+    return df.withColumns({c: F.exp(c) for c in cols})
 
 
 def _durbin_levinson(r: np.ndarray) -> np.ndarray:

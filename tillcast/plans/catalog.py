@@ -7,6 +7,7 @@ tables (or data Spark derives from them).  Floating outputs are rounded
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,8 +19,11 @@ from tillcast.operators import seasonal as sea
 from tillcast.functions.calendar import with_cyclic
 from tillcast.functions.scalars import select_facts
 from tillcast.plans.frames import round_doubles
-from tillcast.plans.star import denorm_dashboard, denorm_ml, fact_measures, join_bushy
-from tillcast.sources.tables import date_range
+from tillcast.operators.joins import build_star
+from tillcast.plans.star import (denorm_dashboard, denorm_ml, fact_measures, get_dashboard, get_ml, hops,
+                                 join_bushy)
+from tillcast.sources import standin as st
+from tillcast.sources.tables import data_version, date_range
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +38,11 @@ def query(name: str):
     return deco
 
 
+def ml(spark: SparkSession, d: str, *columns: str, **kw) -> DataFrame:
+    """Columns of the ML star; only the joins that they need are planned."""
+    return denorm_ml(spark, d, columns=columns, **kw)
+
+
 # --------------------------------------------------------------- 2.1 / 2.4
 @query("denorm_ml")
 def q_denorm_ml(spark, d):
@@ -50,27 +59,50 @@ def q_join_bushy(spark, d):
     return join_bushy(spark, d)
 
 
+@query("get_ml")
+def q_get_ml(spark, d):
+    return get_ml(spark, d, *MINIMAL_RANGE)
+
+
+@query("get_dashboard")
+def q_get_dashboard(spark, d):
+    return get_dashboard(spark, d, *MINIMAL_RANGE)
+
+
+@query("join_promotion")
+def q_join_promotion(spark, d):
+    """The fact with a promotion table (given as a table, not projected)."""
+    return build_star(st.fact_sales(spark, d), [hops(spark, d)["promotion"]],
+                      ["SalesKey", "PromotionKey", "DiscountPercent", "PromotionName", "PromotionType"])
+
+
+@query("join_date")
+def q_join_date(spark, d):
+    """The fact with a calendar table (given as a table, not projected)."""
+    return build_star(st.fact_sales(spark, d), [hops(spark, d)["date"]],
+                      ["SalesKey", "DateKey", "CalendarYear", "CalendarQuarterLabel", "CalendarWeekLabel",
+                       "MonthNumber", "CalendarDayOfWeekNumber", "IsWorkDay"])
+
+
 @query("date_range")
 def q_date_range(spark, d):
-    return date_range(denorm_ml(spark, d), *MINIMAL_RANGE).select(
-        "SalesKey", "DateKey", "SalesAmount")
+    return date_range(ml(spark, d, "SalesKey", "DateKey", "SalesAmount"), *MINIMAL_RANGE)
 
 
 @query("sample_rows")
 def q_sample_rows(spark, d):
-    return denorm_ml(spark, d, ratio=0.5, seed=42).select("SalesKey", "DateKey", "SalesAmount")
+    return ml(spark, d, "SalesKey", "DateKey", "SalesAmount", ratio=0.5, seed=42)
 
 
 @query("select_facts")
 def q_select_facts(spark, d):
-    return select_facts(denorm_ml(spark, d), with_datekey=True)
+    return select_facts(ml(spark, d, "DateKey", *S.FACT_COLUMNS), with_datekey=True)
 
 
 # --------------------------------------------------------------------- 2.3
 @query("clean_outliers")
 def q_clean_outliers(spark, d):
-    return flt.clean_outliers(denorm_ml(spark, d), stats_df=fact_measures(spark, d)).select(
-        "SalesKey", "DateKey", "SalesAmount")
+    return flt.clean_outliers(ml(spark, d, "SalesKey", "DateKey", "SalesAmount"), stats_df=fact_measures(spark, d))
 
 
 # ------------------------------------------------------------ minimal slice
@@ -78,7 +110,8 @@ def daily_revenue(spark: SparkSession, d: str, lo: str = MINIMAL_RANGE[0],
                   hi: str = MINIMAL_RANGE[1]) -> DataFrame:
     """Daily revenue features for a date range: star -> range -> 2.5 sigma
     filter -> cyclic month -> daily aggregate."""
-    star = denorm_ml(spark, d, min_date=lo, max_date=hi)
+    star = ml(spark, d, "DateKey", "SalesAmount", "SalesQuantity", "DiscountAmount", "IsWorkDay",
+              "MonthNumber", min_date=lo, max_date=hi)
     clean = flt.clean_outliers(star, stats_df=fact_measures(spark, d, min_date=lo, max_date=hi))
     feats = with_cyclic(clean, "MonthNumber", S.MONTHS_IN_YEAR)
     daily = feats.groupBy("DateKey").agg(
@@ -115,49 +148,48 @@ def _prepared(spark, d):
 
 @query("impute_const")
 def q_impute_const(spark, d):
-    return scl.impute_const(denorm_ml(spark, d)).select("SalesKey", *S.IMPUTE_ZERO_COLUMNS)
+    return scl.impute_const(ml(spark, d, "SalesKey", *S.IMPUTE_ZERO_COLUMNS))
 
 
 @query("fill_na_label")
 def q_fill_na_label(spark, d):
-    return scl.fill_na_label(denorm_ml(spark, d)).select("SalesKey", "BrandName")
+    return scl.fill_na_label(ml(spark, d, "SalesKey", "BrandName"))
 
 
 @query("strip_strings")
 def q_strip_strings(spark, d):
-    star = denorm_ml(spark, d)
-    return scl.strip_strings(star).select("SalesKey", "BrandName", "StoreType", "CityName",
-                                          "WeightUnitMeasureID", "IsWorkDay")
+    return scl.strip_strings(ml(spark, d, "SalesKey", "BrandName", "StoreType", "CityName",
+                                "WeightUnitMeasureID", "IsWorkDay"))
 
 
 @query("promo_flag")
 def q_promo_flag(spark, d):
-    return denorm_ml(spark, d).select("SalesKey", scl.promo_flag(F.col("PromotionKey"))
+    return ml(spark, d, "SalesKey", "PromotionKey").select("SalesKey", scl.promo_flag(F.col("PromotionKey"))
                                       .alias("PromotionKey"))
 
 
 @query("stock_swap")
 def q_stock_swap(spark, d):
-    return denorm_ml(spark, d).select("SalesKey", scl.stock_swap(F.col("StockTypeID"))
+    return ml(spark, d, "SalesKey", "StockTypeID").select("SalesKey", scl.stock_swap(F.col("StockTypeID"))
                                       .alias("StockTypeID"))
 
 
 @query("weight_to_grams")
 def q_weight_to_grams(spark, d):
-    star = denorm_ml(spark, d)
+    star = ml(spark, d, "SalesKey", "Weight", "WeightUnitMeasureID")
     return round_doubles(star.select("SalesKey", scl.weight_to_grams(
         F.col("Weight"), F.col("WeightUnitMeasureID")).alias("Weight_grams")))
 
 
 @query("quarter_number")
 def q_quarter_number(spark, d):
-    return denorm_ml(spark, d).select(
+    return ml(spark, d, "SalesKey", "CalendarQuarterLabel").select(
         "SalesKey", scl.quarter_number(F.col("CalendarQuarterLabel")).alias("quarter"))
 
 
 def _cyclic_query(col_expr, period: int, name: str):
     def fn(spark, d):
-        star = denorm_ml(spark, d)
+        star = ml(spark, d, "SalesKey", name)
         s, c = cyclic(col_expr(), period)
         return round_doubles(star.select("SalesKey", s.alias(f"sin_{name}"),
                                          c.alias(f"cos_{name}")))
@@ -184,12 +216,12 @@ def q_prepare_rows(spark, d):
 
 @query("date_spine")
 def q_date_spine(spark, d):
-    return date_spine_of(denorm_ml(spark, d).select("DateKey"))
+    return date_spine_of(ml(spark, d, "DateKey"))
 
 
 @query("create_facts")
 def q_create_facts(spark, d):
-    return round_doubles(create_facts(date_spine_of(denorm_ml(spark, d).select("DateKey"))))
+    return round_doubles(create_facts(date_spine_of(ml(spark, d, "DateKey"))))
 
 
 @query("drop_nulls")
@@ -199,20 +231,17 @@ def q_drop_nulls(spark, d):
 
 @query("nonzero_filter")
 def q_nonzero_filter(spark, d):
-    return flt.nonzero_filter(denorm_ml(spark, d), "ReturnAmount").select(
-        "SalesKey", "ReturnAmount")
+    return flt.nonzero_filter(ml(spark, d, "SalesKey", "ReturnAmount"), "ReturnAmount")
 
 
 @query("threshold_count")
 def q_threshold_count(spark, d):
-    star = denorm_ml(spark, d).select("SalesKey", "DateKey", "SalesAmount", "BrandName",
-                                      "ClassID", "WeightUnitMeasureID")
-    return flt.threshold_count(star, "SalesAmount", 90000.0)
+    return flt.threshold_count(denorm_ml(spark, d), "SalesAmount", 90000.0)
 
 
 @query("key_value_filter")
 def q_key_value_filter(spark, d):
-    star = denorm_ml(spark, d)
+    star = ml(spark, d, "SalesKey", "DateKey", "SalesAmount", "StoreType", "channelKey")
     return flt.key_value_filter(star, ["StoreType", "channelKey"], ["BUILDING", "2"]).select(
         "SalesKey", "DateKey", "SalesAmount")
 
@@ -238,6 +267,53 @@ def q_one_hot(spark, d):
     return out.select("SalesKey", *params.output_columns())
 
 
+@query("one_hot_ignore")
+def q_one_hot_ignore(spark, d):
+    """Categories of 1996 applied to all rows: unseen ones are all zero."""
+    p = _prepared(spark, d)
+    params = enc.fit_onehot(p.where("CalendarYear = 1996 AND ProductKey % 7 = 0"), ["BrandName", "StoreType"], handle_unknown="ignore")
+    names = params.output_columns()
+    out = enc.apply_onehot(p, params)
+    return out.select("SalesKey", F.coalesce(sum(F.col(c) for c in names), F.lit(0.0)).alias("ones"))
+
+
+@query("one_hot_long")
+def q_one_hot_long(spark, d):
+    return enc.onehot_long(ml(spark, d, "SalesKey", "BrandName", "CityName"), ["SalesKey"], ["BrandName", "CityName"])
+
+
+@query("rename_column")
+def q_rename_column(spark, d):
+    return scl.rename_column(ml(spark, d, "SalesKey", "SalesAmount"), "SalesAmount", "Revenue")
+
+
+@query("parse_date")
+def q_parse_date(spark, d):
+    """Text to date, by the format of the text."""
+    text = ml(spark, d, "SalesKey", "DateKey").withColumn("text", F.date_format("DateKey", "yyyy/MM/dd"))
+    return text.select("SalesKey", scl.parse_date(F.col("text"), "yyyy/MM/dd").alias("DateKey"))
+
+
+@query("select_numeric")
+def q_select_numeric(spark, d):
+    return scl.select_numeric(denorm_ml(spark, d))
+
+
+@query("preprocess_features")
+def q_preprocess_features(spark, d):
+    """The one-call form on the rows of the star; a sum of each scaled or coded
+    column by day, so that every row counts."""
+    rows = fea.preprocess_features(denorm_ml(spark, d))
+    return round_doubles(sea.seasonalize(rows, "monthly"))
+
+
+@query("ln_exp")
+def q_ln_exp(spark, d):
+    """The series on the ln scale and back."""
+    split = ts.chrono_split_series(daily_series(spark, d), as_log=True)
+    return round_doubles(ts.exp_restore(split.select("DateKey", "log_y"), "log_y"), 0)
+
+
 @query("label_encode")
 def q_label_encode(spark, d):
     p = _prepared(spark, d)
@@ -247,9 +323,7 @@ def q_label_encode(spark, d):
 
 @query("simple_preprocess")
 def q_simple_preprocess(spark, d):
-    star = denorm_ml(spark, d).select("SalesKey", "UnitPrice", "SalesQuantity", "TotalCost",
-                                      "StoreType")
-    return round_doubles(fea.simple_preprocess(star))
+    return round_doubles(fea.simple_preprocess(denorm_ml(spark, d)))
 
 
 # --------------------------------------------------------- 2.5 grain aggregates
@@ -262,6 +336,10 @@ def features(spark: SparkSession, d: str, min_date: str | None = None,
     return fea.transform_features(star, model)
 
 
+def keys_of(grain: str) -> list[str]:
+    return list(dict.fromkeys(["DateKey", *S.GRAIN_KEYS[grain]]))
+
+
 def _seasonalize_query(grain: str):
     def fn(spark, d):
         return round_doubles(sea.seasonalize(features(spark, d), grain))
@@ -270,13 +348,15 @@ def _seasonalize_query(grain: str):
 
 def _seasonalize_y_query(grain: str):
     def fn(spark, d):
-        return sea.seasonalize_y(denorm_ml(spark, d), grain)
+        return sea.seasonalize_y(ml(spark, d, *keys_of(grain), "SalesAmount"), grain)
     return fn
 
 
 def _seasonal_simple_query(grain: str, full: bool = False):
     def fn(spark, d):
-        return round_doubles(sea.seasonal_simple(denorm_ml(spark, d), grain, full=full),
+        spec = {**sea.SIMPLE_AGGS, **(sea.FULL_EXTRA_AGGS if full else {})}
+        star = ml(spark, d, *keys_of(grain), *[c for c in spec if c in S.ML_COLUMNS])
+        return round_doubles(sea.seasonal_simple(star, grain, full=full),
                              exclude=sea.MONEY_COLUMNS)
     return fn
 
@@ -290,42 +370,41 @@ QUERIES["seasonal_full_daily"] = _seasonal_simple_query("daily", full=True)
 
 @query("multi_grain")
 def q_multi_grain(spark, d):
-    return round_doubles(sea.multi_grain(denorm_ml(spark, d)), exclude=sea.MONEY_COLUMNS)
+    return round_doubles(sea.multi_grain(ml(spark, d, *sea.ALL_GRAIN_KEYS, *sea.SIMPLE_AGGS)), exclude=sea.MONEY_COLUMNS)
 
 
 @query("grouped_forecast_agg")
 def q_grouped_forecast_agg(spark, d):
-    return round_doubles(sea.grouped_agg(denorm_ml(spark, d), ["StoreType"]))
+    return round_doubles(sea.grouped_agg(ml(spark, d, "DateKey", "StoreType", "SalesAmount"), ["StoreType"]))
 
 
 @query("group_all_sum")
 def q_group_all_sum(spark, d):
-    star = denorm_ml(spark, d).select("DateKey", "SalesQuantity", "ReturnQuantity",
-                                      "DiscountQuantity", "StoreKey")
-    return sea.group_all_sum(star, "DateKey")
+    return round_doubles(sea.group_all_sum(denorm_ml(spark, d), "DateKey"), 4)
 
 
 # ------------------------------------------------------------ 2.5 profiling
 from tillcast.operators import profile as prof  # noqa: E402
 from tillcast.operators import timeseries as ts  # noqa: E402
-from tillcast.operators.ranking import every_nth  # noqa: E402
+from tillcast.operators.ranking import every_nth, lag_rows  # noqa: E402
 
-PROFILE_COLS = ["SalesAmount", "UnitPrice", "SalesQuantity", "DiscountAmount", "UnitCost",
-                "ReturnAmount"]
+# The numeric columns of the ML star.
+NUMERIC = ["channelKey", "StoreKey", "ProductKey", "PromotionKey", "UnitCost", "UnitPrice", "SalesQuantity",
+           "ReturnQuantity", "ReturnAmount", "DiscountQuantity", "DiscountAmount", "TotalCost", "SalesAmount",
+           "DiscountPercent", "CalendarYear", "MonthNumber", "CalendarDayOfWeekNumber", "ProductSubcategoryKey",
+           "ClassID", "StyleID", "ColorID", "Weight", "StockTypeID", "ProductCategoryKey", "GeographyKey",
+           "EmployeeCount", "SellingAreaSize"]
 
 
 @query("global_stats")
 def q_global_stats(spark, d):
-    star = denorm_ml(spark, d)
-    return star.agg(sea.money_sum("SalesAmount").alias("total"),
-                    F.round(F.stddev_samp("SalesAmount"), 4).alias("std"),
-                    sea.money_mean("SalesAmount").alias("mean"))
+    return prof.global_stats(ml(spark, d, "SalesAmount")).withColumn("std", F.round("std", 4))
 
 
 @query("describe")
 def q_describe(spark, d):
-    out = prof.describe(denorm_ml(spark, d), ["SalesAmount", "UnitPrice", "SalesQuantity",
-                                              "DiscountAmount"])
+    star = ml(spark, d, *NUMERIC)
+    out = prof.describe(star, NUMERIC)
     return out.withColumns({c: F.round(c, 4) for c in ("mean", "std")}).transform(round_doubles)
 
 
@@ -337,79 +416,74 @@ def q_null_counts(spark, d):
 @query("shape_schema")
 def q_shape_schema(spark, d):
     """Row count, column count and type of every column of the ML star."""
-    star = denorm_ml(spark, d)
-    n = star.agg(F.count(F.lit(1)).alias("rows"))
-    types = spark.createDataFrame([(i, c, t) for i, (c, t) in enumerate(star.dtypes)],
-                                  "position int, column string, dtype string")
-    return types.crossJoin(F.broadcast(n)).withColumn("columns", F.lit(len(star.columns)))
+    return prof.shape_schema(denorm_ml(spark, d))
 
 
 @query("value_counts")
 def q_value_counts(spark, d):
-    return prof.value_counts(denorm_ml(spark, d), "StoreType")
+    return prof.value_counts(ml(spark, d, "StoreType"), "StoreType")
 
 
 @query("distinct_values")
 def q_distinct_values(spark, d):
-    return prof.distinct_values(denorm_ml(spark, d), "BrandName")
+    return prof.distinct_values(ml(spark, d, "BrandName"), "BrandName")
 
 
 @query("count_distinct")
 def q_count_distinct(spark, d):
-    return prof.count_distinct(denorm_ml(spark, d), "DateKey")
+    return prof.count_distinct(ml(spark, d, "DateKey"), "DateKey")
 
 
 @query("min_value")
 def q_min_value(spark, d):
-    return prof.min_value(denorm_ml(spark, d), "SalesAmount")
+    return prof.min_value(ml(spark, d, "SalesAmount"), "SalesAmount")
 
 
 @query("histogram")
 def q_histogram(spark, d):
-    return round_doubles(prof.histogram(denorm_ml(spark, d), "SalesAmount", 30))
+    return round_doubles(prof.histogram(ml(spark, d, "SalesAmount"), "SalesAmount", 30))
 
 
 @query("box_stats")
 def q_box_stats(spark, d):
-    return round_doubles(prof.box_stats(denorm_ml(spark, d), "SalesAmount"))
+    return round_doubles(prof.box_stats(ml(spark, d, "SalesAmount"), "SalesAmount"))
 
 
 @query("outliers_zscore")
 def q_outliers_zscore(spark, d):
-    return round_doubles(flt.zscore_summary(denorm_ml(spark, d), "SalesAmount"))
+    return round_doubles(flt.zscore_summary(ml(spark, d, "SalesAmount"), "SalesAmount"))
 
 
 @query("outliers_iqr")
 def q_outliers_iqr(spark, d):
-    return flt.outliers_iqr(denorm_ml(spark, d), "SalesAmount").select("SalesKey", "SalesAmount")
+    return flt.outliers_iqr(ml(spark, d, "SalesKey", "DiscountAmount"), "DiscountAmount")
 
 
 @query("outliers_quantile")
 def q_outliers_quantile(spark, d):
-    return flt.outliers_quantile(denorm_ml(spark, d), "SalesAmount").select(
-        "SalesKey", "SalesAmount")
+    return flt.outliers_quantile(ml(spark, d, "SalesKey", "SalesAmount"), "SalesAmount")
 
 
 @query("correlation_pairs")
 def q_correlation_pairs(spark, d):
-    return round_doubles(prof.correlation_pairs(denorm_ml(spark, d), PROFILE_COLS))
+    return round_doubles(prof.correlation_pairs(ml(spark, d, *NUMERIC), NUMERIC))
 
 
 @query("top_correlated_pairs")
 def q_top_correlated_pairs(spark, d):
-    return round_doubles(prof.top_correlated_pairs(denorm_ml(spark, d), PROFILE_COLS, 5))
+    return round_doubles(prof.top_correlated_pairs(ml(spark, d, *NUMERIC), NUMERIC, 10))
 
 
 @query("anderson_darling")
 def q_anderson_darling(spark, d):
-    out = prof.anderson_darling(denorm_ml(spark, d), "SalesAmount")
+    out = prof.anderson_darling(ml(spark, d, "SalesAmount"), "SalesAmount")
     return out.withColumn("statistic", F.round("statistic", 4)).transform(round_doubles)
 
 
 # ------------------------------------------------- 2.6 time-series operators
 def daily_series(spark: SparkSession, d: str) -> DataFrame:
     """(DateKey, SalesAmount): the daily revenue series of the whole star."""
-    star = denorm_ml(spark, d).select("DateKey", "SalesAmount")
+    star = ml(spark, d, "DateKey", "SalesAmount")
     # one row per day (calendar-bounded): few partitions for the windows
     return star.groupBy("DateKey").agg(sea.money_sum("SalesAmount")).coalesce(
         spark.sparkContext.defaultParallelism)
@@ -422,8 +496,8 @@ def q_lag_baseline(spark, d):
 
 @query("lag_baseline_rows")
 def q_lag_baseline_rows(spark, d):
-    star = denorm_ml(spark, d).select("SalesKey", "SalesAmount")
-    pred = ts.lag_rows(star, "SalesAmount", ["SalesKey"])
+    star = ml(spark, d, "SalesKey", "SalesAmount")
+    pred = lag_rows(star, "SalesAmount", ["SalesKey"])
     return round_doubles(ts.r2_by(pred, "SalesAmount", "y_pred"))
 
 
@@ -450,7 +524,7 @@ def q_log_split(spark, d):
 
 @query("every_nth")
 def q_every_nth(spark, d):
-    star = denorm_ml(spark, d).select("SalesKey", "SalesAmount")
+    star = ml(spark, d, "SalesKey", "SalesAmount")
     return every_nth(star, ["SalesKey"], 500)
 
 
@@ -479,7 +553,7 @@ def q_acf(spark, d):
 
 @query("pacf")
 def q_pacf(spark, d):
-    return round_doubles(ts.pacf(daily_series(spark, d), nlags=30))
+    return round_doubles(ts.pacf(panel(spark, d, "week"), ds="ds", keys=PANEL, nlags=30))
 
 
 @query("sort_by_date")
@@ -560,6 +634,17 @@ def q_attach_target(spark, d):
                                                          "SalesQuantity", "SalesAmount"))
 
 
+def trained(spark: SparkSession, d: str) -> tuple[pl.Processed, pl.Trained]:
+    """Daily table and model of all days up to TRAIN_END: the newest saved
+    model, or a new one if none is saved for these tables."""
+    proc = processed(spark, d, None, TRAIN_END)
+    version = data_version(spark, d, ["lineitem", "orders", "part", "supplier", "customer"])
+    root = sinks.warehouse_dir(spark) + "/models-" + sinks.cache_key(d, version, TRAIN_END, Q_TREES, Q_DEPTH)
+    found = pl.train_or_load(proc.daily, root, n_trees=Q_TREES, max_depth=Q_DEPTH)
+    assert found is not None
+    return proc, found
+
+
 @query("train_gbt")
 def q_train_gbt(spark, d):
     daily = processed(spark, d).daily
@@ -572,30 +657,24 @@ def q_train_gbt(spark, d):
 
 @query("predict")
 def q_predict(spark, d):
-    proc = processed(spark, d, None, TRAIN_END)
-    res = mdl.train_gbt(proc.daily, "SalesAmount", None, n_trees=Q_TREES, max_depth=Q_DEPTH)
-    return pl.pipeline_predict(spark, d, proc, res.model, res.features, TEST_START, TEST_END)
+    proc, m = trained(spark, d)
+    return pl.pipeline_predict(spark, d, proc, m.model, m.features, TEST_START, TEST_END)
 
 
 @query("forecast_past")
 def q_forecast_past(spark, d):
-    proc = processed(spark, d, None, TRAIN_END)
-    res = mdl.train_gbt(proc.daily, "SalesAmount", None, n_trees=Q_TREES, max_depth=Q_DEPTH)
-    return pl.forecast_past(spark, d, proc, res.model, res.features, TEST_START, TEST_END,
-                            scale=2.0)
+    proc, m = trained(spark, d)
+    return pl.forecast_past(spark, d, proc, m.model, m.features, TEST_START, TEST_END)
 
 
 @query("forecast")
 def q_forecast(spark, d):
     """Past days from actual features, days after the last actual date from
     synthetic features (straddling range)."""
-    proc = processed(spark, d, None, TRAIN_END)
-    daily = proc.daily.persist()
-    res = mdl.train_gbt(daily, "SalesAmount", None, n_trees=Q_TREES, max_depth=Q_DEPTH)
-    cop = pl.fit_synthesizer(daily)
-    last = daily.agg(F.max("DateKey")).first()[0].isoformat()
-    return pl.forecast(spark, d, proc, res.model, res.features, cop, "2000-12-01",
-                       "2001-01-31", last)
+    proc, m = trained(spark, d)
+    cop = pl.fit_synthesizer(proc.daily)
+    last = proc.daily.agg(F.max("DateKey")).first()[0].isoformat()
+    return pl.forecast(spark, d, proc, m.model, m.features, cop, "2000-12-01", "2001-01-31", last)
 
 
 @query("pipeline_train")
@@ -609,105 +688,135 @@ def q_pipeline_train(spark, d):
 
 @query("pipeline_evaluate")
 def q_pipeline_evaluate(spark, d):
+    """Metrics of the newest model on the year after the days that it was
+    trained on."""
     root = sinks.warehouse_dir(spark) + "/registry-" + sinks.cache_key(d)
-    proc = processed(spark, d)
-    res = mdl.train_gbt(proc.daily, "SalesAmount", None, n_trees=Q_TREES, max_depth=Q_DEPTH)
-    path = reg.save_model(res.model, root + "/models")
-    latest = reg.load_latest(spark, root + "/models", mdl.GBTRegressionModel)
-    assert latest is not None and path
-    return _round_metrics(pl.pipeline_evaluate(proc.daily, latest, res.features, TEST_START,
+    proc, m = trained(spark, d)
+    test = pl.daily_features(denorm_ml(spark, d, min_date=TEST_START, max_date=TEST_END), proc.features)
+    target = sea.seasonalize_y(ml(spark, d, "DateKey", "SalesAmount", min_date=TEST_START, max_date=TEST_END), "daily", ordered=False)
+    return _round_metrics(pl.pipeline_evaluate(test.join(target, "DateKey"), m.model, m.features, TEST_START,
                                                TEST_END, runs_path=root + "/runs"))
 
 
+def _train_rows(spark, d) -> DataFrame:
+    """Row features of the cleaned sales, with the target."""
+    rows = flt.clean_outliers(denorm_ml(spark, d), stats_df=fact_measures(spark, d))
+    feats = fea.transform_features(rows, fea.fit_features(rows))
+    return sinks.stored(feats.select("DateKey", *mdl.feature_columns(feats), "SalesAmount"), "rows")
+
+
 @query("cross_validate")
 def q_cross_validate(spark, d):
-    return mdl.cross_validate(processed(spark, d).daily, k=5, kind="tree", max_depth=8)
+    """Trees of depth 10 on the sales rows, contiguous folds in date order."""
+    return mdl.cross_validate(_train_rows(spark, d), k=5, kind="tree", max_depth=10)
 
 
 @query("learning_curve")
 def q_learning_curve(spark, d):
     return mdl.learning_curve(processed(spark, d).daily, fractions=(0.1, 0.3, 0.5), k=5,
-                              kind="tree", max_depth=8)
+                              kind="tree", max_depth=10)
 
 
 @query("train_forest")
 def q_train_forest(spark, d):
     return mdl.cross_validate(processed(spark, d).daily, k=5, kind="forest", n_trees=10,
-                              max_depth=8)
+                              max_depth=10)
 
 
 @query("latest_by_time")
 def q_latest_by_time(spark, d):
-    """Evaluation runs of the previous-day baseline, one per year of the
-    daily series, appended to a runs table in one write; then the newest
-    run overall and the newest of one context."""
-    root = sinks.warehouse_dir(spark) + "/runs-" + sinks.cache_key("baseline", d)
+    """Evaluation runs of the previous-day baseline, one for each year of the
+    daily series in the order of the years, each saved by itself; then the
+    newest run overall and the newest of one context."""
+    root = f"{sinks.warehouse_dir(spark)}/runs-{uuid.uuid4().hex}"
     s = daily_series(spark, d).withColumn(
         "prediction", F.lag("SalesAmount").over(Window.orderBy("DateKey")))
     by_year = metrics(s.where(F.col("prediction").isNotNull())
                       .withColumn("year", F.year("DateKey")), "SalesAmount", "prediction",
                       ["year"])
-    reg.save_runs(by_year.select(
-        F.concat(F.lit("baseline_"), F.col("year").cast("string")).alias("context"),
-        F.lit(1.0).alias("training_set_size"), F.col("n").alias("row_count"), "mae",
-        F.to_json(F.struct("year", "rmse", "r2")).alias("params")), root)
+    for r in sorted(by_year.collect(), key=lambda r: r["year"]):   # a row for each year
+        reg.save_run(spark, root, f"baseline_{r['year']}", 1.0, r["n"], r["mae"], {"rmse": r["rmse"], "r2": r["r2"]})
     runs = reg.read_runs(spark, root)
     newest = reg.latest_by_time(runs).select(F.lit("latest").alias("pick"), "context",
                                              "row_count", "mae")
     named = reg.latest_by_name(runs, "baseline_1996").select(
         F.lit("baseline_1996").alias("pick"), "context", "row_count", "mae")
-    return newest.unionByName(named)
+    return newest.unionByName(named).withColumn("mae", F.round("mae", 2))
 
 
 # ------------------------------------------------------ 2.6 forecasting (P3)
+PANEL = ["StoreType", "ContinentName"]
+
+
+def panel(spark: SparkSession, d: str, step: str) -> DataFrame:
+    """Revenue of each store type and continent by week, month or quarter
+    (``ds``: the period's first day); periods that the data's first and last
+    day cut are left out."""
+    star = ml(spark, d, "DateKey", *PANEL, "SalesAmount").where("StoreType IS NOT NULL AND ContinentName IS NOT NULL")
+    ends = ml(spark, d, "DateKey").agg(F.min("DateKey").alias("lo"), F.max("DateKey").alias("hi"))   # one row
+    start = F.date_trunc(step, "DateKey").cast("date")
+    after = {"week": F.date_add("ds", 7), "month": F.add_months("ds", 1), "quarter": F.add_months("ds", 3)}[step]
+    sums = star.groupBy(*PANEL, start.alias("ds")).agg(sea.money_sum("SalesAmount"))
+    return sums.crossJoin(F.broadcast(ends)).where((F.col("ds") >= F.col("lo")) & (after <= F.date_add("hi", 1))).drop("lo", "hi")
+
+
 @query("ar_forecast")
 def q_ar_forecast(spark, d):
-    return fc.ar_forecast(daily_series(spark, d), order=fc.ArOrder(p=3, trend=True), horizon=30)
+    return fc.ar_forecast(panel(spark, d, "week"), ds="ds", keys=PANEL, order=fc.ArOrder(p=3, trend=True), horizon=8, step="week")
 
 
-@query("seasonal_ar_forecast")
-def q_seasonal_ar_forecast(spark, d):
-    monthly = sea.seasonalize_y(denorm_ml(spark, d), "monthly", ordered=False).withColumn(
-        "ds", F.make_date("CalendarYear", "MonthNumber", F.lit(1)))
-    return fc.ar_forecast(monthly, ds="ds", order=fc.ArOrder(p=1, seasonal_p=1, m=12, d=0),
-                          horizon=6, log=True, step_days=31)
+@query("ar1_forecast")
+def q_ar1_forecast(spark, d):
+    """Order 1 without a trend: the closed form is simple regression."""
+    out = fc.ar_forecast(panel(spark, d, "month"), ds="ds", keys=PANEL, order=fc.ArOrder(p=1, trend=False), horizon=3, step="month")
+    return out.select(*PANEL, "ds", "step", F.round("yhat", 2).alias("yhat"))
 
 
-def _grain_series(spark, d, grain: str) -> DataFrame:
-    """Revenue per calendar period with the period's first date as ``ds``."""
-    keys = S.GRAIN_KEYS[grain]
-    star = denorm_ml(spark, d)
-    return star.groupBy(*keys).agg(sea.money_sum("SalesAmount"),
-                                   F.min("DateKey").alias("ds"))
+@query("seasonal_ar_forecast")
+def q_seasonal_ar_forecast(spark, d):
+    return fc.ar_forecast(panel(spark, d, "month"), ds="ds", keys=PANEL, order=fc.ArOrder(p=1, seasonal_p=1, m=12, d=0),
+                          horizon=6, log=True, step="month")
 
 
 @query("seasonal_ar_forecast_weekly")
 def q_seasonal_ar_forecast_weekly(spark, d):
-    return fc.ar_forecast(_grain_series(spark, d, "weekly"), ds="ds",
-                          order=fc.ArOrder(p=1, seasonal_p=1, m=52), horizon=8, log=True,
-                          step_days=7)
+    return fc.ar_forecast(panel(spark, d, "week"), ds="ds", keys=PANEL,
+                          order=fc.ArOrder(p=1, seasonal_p=1, m=52), horizon=8, log=True, step="week")
 
 
 @query("seasonal_ar_forecast_quarterly")
 def q_seasonal_ar_forecast_quarterly(spark, d):
-    return fc.ar_forecast(_grain_series(spark, d, "quarterly"), ds="ds",
-                          order=fc.ArOrder(p=1, seasonal_p=1, m=4, trend=False), horizon=4,
-                          log=True, step_days=91)
+    return fc.ar_forecast(panel(spark, d, "quarter"), ds="ds", keys=PANEL,
+                          order=fc.ArOrder(p=1, seasonal_p=1, m=4, trend=False), horizon=4, log=True, step="quarter")
+
+
+@query("ar_backtest")
+def q_ar_backtest(spark, d):
+    """Fit on the first 70 % of the months (differenced, ln), compared with the
+    rest on the revenue's own scale."""
+    return fc.ar_backtest(panel(spark, d, "month"), ds="ds", keys=PANEL, order=fc.ArOrder(p=2, d=1, trend=False), log=True, step="month")
 
 
 @query("order_search")
 def q_order_search(spark, d):
-    return fc.order_search(daily_series(spark, d), max_p=6, seasonal_ps=(0, 1), m=7)
+    return fc.order_search(panel(spark, d, "week"), ds="ds", keys=PANEL, max_p=6, seasonal_ps=(0, 1), m=52, step="week")
 
 
 @query("adf_test")
 def q_adf_test(spark, d):
-    return fc.adf_test(daily_series(spark, d))
+    """Of each series, of its first difference and of its residual after
+    decomposition."""
+    s = panel(spark, d, "week")
+    raw = fc.adf_test(s, ds="ds", keys=PANEL, step="week").withColumn("series", F.lit("raw"))
+    diff = fc.adf_test(s, ds="ds", keys=PANEL, diff_first=True, step="week").withColumn("series", F.lit("difference"))
+    resid = ts.decompose(s, ds="ds", keys=PANEL, period=52)
+    resid = fc.adf_test(resid, y="resid", ds="ds", keys=PANEL, step="week").withColumn("series", F.lit("residual"))
+    return raw.unionByName(diff).unionByName(resid)
 
 
 # ------------------------------------------------------------ 2.13 synthesis
 def _copula_daily(spark, d):
-    daily = processed(spark, d).daily.persist()
+    daily = processed(spark, d).daily
     return daily, pl.fit_synthesizer(daily)
 
 
@@ -739,24 +848,22 @@ def q_union_actual_synth(spark, d):
 
 @query("synthetic_quality")
 def q_synthetic_quality(spark, d):
+    """The full report of drawn days against actual ones: every column, every
+    pair, the total."""
     daily, cop = _copula_daily(spark, d)
     synth = syn.sample_copula(spark, cop, seed=11)
-    cols = ["SalesAmount", "UnitCost", "UnitPrice", "SalesQuantity"]
-    ks = syn.ks_complement(daily, synth, cols)
-    corr = syn.correlation_similarity(daily, synth, cols)
-    return ks.select("column", F.col("ks_complement").alias("score"),
-                     F.lit("ks_complement").alias("metric")).unionByName(
-        corr.select(F.concat_ws("~", "col_a", "col_b").alias("column"),
-                    F.col("correlation_similarity").alias("score"),
-                    F.lit("correlation_similarity").alias("metric")))
+    flags = [c for c in cop.output if c.startswith(tuple(f"{p}_" for p in S.ONE_HOT_COLUMNS))]
+    numeric = [c for c in cop.output if c not in flags]
+    work = [c for c in flags if c.startswith("IsWorkDay_")]   # of a daily table the other flags are shares
+    return syn.quality_report(daily, synth, [*numeric, *[c for c in flags if c not in work]], work)
 
 
 @query("diagnostic")
 def q_diagnostic(spark, d):
     daily, cop = _copula_daily(spark, d)
     synth = syn.sample_copula(spark, cop, seed=5)
-    return syn.diagnostic(daily, synth, ["SalesAmount", "UnitCost", "SalesQuantity"],
-                          ["DiscountPercent"])
+    triple = [c for g in cop.groups for c in g]
+    return syn.diagnostic(daily, synth, [c for c in cop.output if c not in triple], triple)
 
 
 @query("synthetic_backtest")
@@ -767,38 +874,53 @@ def q_synthetic_backtest(spark, d):
 # Similarity scores between two real halves (SQL-checkable).
 def _halves(spark, d):
     """The raw daily aggregates split into 1995-1997 and 1998 onwards."""
-    s = sea.seasonal_simple(denorm_ml(spark, d), "daily")
+    s = sea.seasonal_simple(ml(spark, d, "DateKey", *sea.SIMPLE_AGGS), "daily")
     return s.where(F.year("DateKey") <= 1997), s.where(F.year("DateKey") >= 1998)
 
 
+DAILY_NUMERIC = ["UnitCost", "UnitPrice", "ReturnQuantity", "ReturnAmount", "DiscountQuantity", "DiscountAmount",
+                 "TotalCost", "SalesQuantity", "SalesAmount"]
+STAR_TEXT = ["CalendarQuarterLabel", "CalendarWeekLabel", "IsWorkDay", "BrandName", "WeightUnitMeasureID", "StoreType",
+             "GeographyType", "ContinentName", "CityName", "StateProvinceName", "RegionCountryName"]
+
+
 @query("ks_complement")
 def q_ks_complement(spark, d):
     a, b = _halves(spark, d)
-    return round_doubles(syn.ks_complement(a, b, ["SalesAmount", "UnitCost", "SalesQuantity"]))
+    return round_doubles(syn.ks_complement(a, b, DAILY_NUMERIC))
 
 
 @query("correlation_similarity")
 def q_correlation_similarity(spark, d):
     a, b = _halves(spark, d)
-    return round_doubles(syn.correlation_similarity(a, b, ["SalesAmount", "UnitCost",
-                                                           "SalesQuantity"]))
+    return round_doubles(syn.correlation_similarity(a, b, DAILY_NUMERIC))
 
 
 def _star_halves(spark, d):
-    star = denorm_ml(spark, d)
+    star = ml(spark, d, "CalendarYear", *STAR_TEXT)
     return star.where(F.col("CalendarYear") <= 1997), star.where(F.col("CalendarYear") >= 1998)
 
 
 @query("tv_complement")
 def q_tv_complement(spark, d):
     a, b = _star_halves(spark, d)
-    return round_doubles(syn.tv_complement(a, b, ["StoreType", "BrandName", "IsWorkDay"]))
+    return round_doubles(syn.tv_complement(a, b, STAR_TEXT))
 
 
 @query("contingency_similarity")
 def q_contingency_similarity(spark, d):
     a, b = _star_halves(spark, d)
-    return round_doubles(syn.contingency_similarity(a, b, "StoreType", "IsWorkDay"))
+    pairs = [(x, y) for i, x in enumerate(STAR_TEXT) for y in STAR_TEXT[i + 1:]]
+    return round_doubles(syn.contingency_similarity(a, b, pairs))
+
+
+@query("quality_report")
+def q_quality_report(spark, d):
+    """Shapes, trends and total between two real halves of the daily table."""
+    a, b = _halves(spark, d)
+    flag = F.when(F.weekday("DateKey") < 5, "WorkDay").otherwise("WeekEnd").alias("IsWorkDay")
+    a, b = (x.select(*DAILY_NUMERIC, flag) for x in (a, b))
+    return round_doubles(syn.quality_report(a, b, DAILY_NUMERIC, ["IsWorkDay"]), 4)
 
 
 @query("detect_metadata")
@@ -826,28 +948,26 @@ def q_write_table(spark, d):
     path = sinks.warehouse_dir(spark) + "/table-" + sinks.cache_key(d)
     sinks.write_table(daily_series(spark, d).withColumn("year", F.year("DateKey")), path,
                       truncate=True, partition_by=["year"])
-    return spark.read.parquet(path).where(F.col("year") == 1996).drop("year")
+    return spark.read.parquet(path).drop("year")
 
 
 @query("write_clustered")
 def q_write_clustered(spark, d):
-    """The ML star written date-clustered (year directories), read back for
-    one year: directory pruning plus pushed date bounds."""
+    """The ML star written date-clustered (year directories) and read back."""
     path = sinks.warehouse_dir(spark) + "/star-" + sinks.cache_key(d)
-    sinks.write_clustered(denorm_ml(spark, d).select("SalesKey", "DateKey", "SalesAmount",
-                                                     "StoreType"), path)
-    return sinks.read_clustered(spark, path, "1996-01-01", "1996-12-31")
+    sinks.write_clustered(ml(spark, d, "SalesKey", "DateKey", "SalesAmount", "StoreType"), path)
+    return sinks.read_clustered(spark, path, None, None)
 
 
 @query("materialize")
 def q_materialize(spark, d):
-    key = sinks.cache_key("daily_series", d)
+    key = sinks.cache_key("daily_series", d, data_version(spark, d, ["lineitem"]))
     return sinks.materialize(spark, key, lambda: daily_series(spark, d))
 
 
 @query("materialize_filtered")
 def q_materialize_filtered(spark, d):
-    key = sinks.cache_key("daily_series", d)
+    key = sinks.cache_key("daily_series", d, data_version(spark, d, ["lineitem"]))
     return sinks.materialize_filtered(spark, key, lambda: daily_series(spark, d),
                                       "1996-01-01", "1996-12-31")
 
@@ -859,6 +979,4 @@ def q_read_table_ordered(spark, d):
 
 @query("select_except")
 def q_select_except(spark, d):
-    return select_except(denorm_ml(spark, d).select("SalesKey", "DateKey", "SalesAmount",
-                                                    "StoreKey"),
-                         "StoreKey")
+    return select_except(ml(spark, d, "SalesKey", "DateKey", "SalesAmount", "StoreKey"), "StoreKey")

@@ -26,6 +26,14 @@ sql("denorm_dashboard", with_sales(f"SELECT {DASH_COLS} FROM sales"))
 sql("join_bushy", with_sales(
     "SELECT SalesKey, DateKey, StoreKey, SalesAmount, StoreName, RegionCountryName, "
     "ContinentName FROM sales"))
+_YEAR = date_where("1996-01-01", "1996-12-31")
+sql("get_ml", with_sales(f"SELECT {ML_COLS} FROM sales", where=_YEAR))
+sql("get_dashboard", with_sales(f"SELECT {DASH_COLS} FROM sales", where=_YEAR))
+sql("join_promotion", with_sales("SELECT SalesKey, PromotionKey, DiscountPercent, PromotionName, PromotionType FROM sales"))
+sql("join_date", with_sales("SELECT SalesKey, DateKey, CalendarYear, CalendarQuarterLabel, CalendarWeekLabel, MonthNumber, "
+                            "CalendarDayOfWeekNumber, IsWorkDay FROM sales"))
+sql("rename_column", with_sales("SELECT SalesKey, SalesAmount AS Revenue FROM sales"))
+sql("parse_date", with_sales("SELECT SalesKey, DateKey FROM sales"))
 sql("date_range", with_sales("SELECT SalesKey, DateKey, SalesAmount FROM sales",
                              where=date_where("1996-01-01", "1996-12-31")))
 sql("sample_rows", with_sales("SELECT SalesKey, DateKey, SalesAmount FROM sales",
@@ -50,10 +58,10 @@ GROUP BY DateKey""", where=date_where("1996-01-01", "1996-12-31")))
 
 
 # ------------------------------------------------------------------ scalars
-from tillcast import schema as S  # noqa: E402
+from tillcast.plans import oracle_values as V  # noqa: E402
 from tillcast.plans import oracle_features as OF  # noqa: E402
 
-_IMP = ", ".join(f"coalesce({c}, 0) AS {c}" for c in S.IMPUTE_ZERO_COLUMNS)
+_IMP = ", ".join(f"coalesce({c}, 0) AS {c}" for c in V.IMPUTE_ZERO)
 sql("impute_const", with_sales(f"SELECT SalesKey, {_IMP} FROM sales"))
 sql("fill_na_label", with_sales("SELECT SalesKey, coalesce(BrandName, 'N/A') AS BrandName "
                                 "FROM sales"))
@@ -100,13 +108,12 @@ sql("create_facts", with_sales(
     "FROM sales) b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) g(d)) s"))
 sql("drop_nulls", with_sales(
     "SELECT SalesKey, BrandName, ClassID FROM sales WHERE " + " AND ".join(
-        f"{c} IS NOT NULL" for c in S.ML_COLUMNS)))
+        f"{c} IS NOT NULL" for c in V.ML)))
 sql("nonzero_filter", with_sales("SELECT SalesKey, ReturnAmount FROM sales "
                                  "WHERE ReturnAmount <> 0"))
 sql("threshold_count", with_sales(
-    "SELECT " + ", ".join(f"count({c}) AS {c}" for c in (
-        "SalesKey", "DateKey", "SalesAmount", "BrandName", "ClassID", "WeightUnitMeasureID"))
-    + " FROM sales WHERE SalesAmount >= 90000.0"))
+    "SELECT " + ", ".join(f"count({c}) AS {c}" for c in V.ML) + " FROM sales WHERE SalesAmount >= 90000.0"))
+sql("select_numeric", with_sales("SELECT " + ", ".join(V.NUMERIC) + " FROM sales"))
 sql("key_value_filter", with_sales(
     "SELECT SalesKey, DateKey, SalesAmount FROM sales WHERE StoreType = 'BUILDING' "
     "AND channelKey = 2"))
@@ -114,7 +121,7 @@ sql("key_value_filter", with_sales(
 # ------------------------------------------------------------------ encoders
 _SCALED = ", ".join(
     f"ROUND({OF.scaled_expr(c)}, 6) AS {'CalendarYear_scaled' if c == 'CalendarYear' else c}"
-    for c in S.ROBUST_SCALE_COLUMNS)
+    for c in V.ROBUST_SCALE)
 sql("robust_scale", with_sales(f"SELECT SalesKey, {_SCALED} FROM prep, rstats",
                                extra_ctes=OF.PREP + ",\n" + OF._stats_cte()))
 sql("one_hot", with_sales("SELECT SalesKey, " + ", ".join(OF.onehot_exprs()) + " FROM prep",
@@ -122,25 +129,31 @@ sql("one_hot", with_sales("SELECT SalesKey, " + ", ".join(OF.onehot_exprs()) + "
 sql("label_encode", with_sales(
     "SELECT prep.SalesKey, "
     + ", ".join(f"CAST(CASE WHEN prep.{c} IS NULL THEN (SELECT count(*) FROM lab_{c}) "
-                f"ELSE lab_{c}.code END AS INTEGER) AS {c}" for c in S.LABEL_COLUMNS)
+                f"ELSE lab_{c}.code END AS INTEGER) AS {c}" for c in V.LABELS)
     + " FROM prep " + " ".join(f"LEFT JOIN lab_{c} ON prep.{c} = lab_{c}.v"
-                               for c in S.LABEL_COLUMNS),
+                               for c in V.LABELS),
     extra_ctes=OF.PREP + ",\n" + OF.label_ctes()))
 sql("simple_preprocess", with_sales(
-    "SELECT SalesKey, "
-    + ", ".join(f"ROUND((CAST({c} AS DOUBLE) - {c}__m) / CASE WHEN {c}__i = 0 THEN 1.0 "
-                f"ELSE {c}__i END, 6) AS {c}" for c in ("UnitPrice", "SalesQuantity", "TotalCost"))
-    + ", StoreType FROM sales, (SELECT "
+    "SELECT " + ", ".join(
+        f"ROUND((CAST({c} AS DOUBLE) - {c}__m) / CASE WHEN {c}__i = 0 THEN 1.0 ELSE {c}__i END, 6) AS {c}"
+        if c in V.NUMERIC else c for c in V.ML)
+    + " FROM sales, (SELECT "
     + ", ".join(f"quantile_cont({c}, 0.5) AS {c}__m, quantile_cont({c}, 0.75) - "
-                f"quantile_cont({c}, 0.25) AS {c}__i"
-                for c in ("UnitPrice", "SalesQuantity", "TotalCost")) + " FROM sales) st"))
+                f"quantile_cont({c}, 0.25) AS {c}__i" for c in V.NUMERIC) + " FROM sales) st"))
+_SOME = ("few AS (SELECT DISTINCT BrandName, StoreType FROM prep WHERE CalendarYear = 1996 AND ProductKey % 7 = 0)")
+sql("one_hot_ignore", with_sales(
+    "SELECT SalesKey, CAST((BrandName IN (SELECT BrandName FROM few)) AS DOUBLE) + "
+    "CAST((StoreType IN (SELECT StoreType FROM few)) AS DOUBLE) AS ones FROM prep",
+    extra_ctes=OF.PREP + ",\n" + _SOME))
+sql("one_hot_long", with_sales(" UNION ALL ".join(
+    f"SELECT SalesKey, '{c}' AS \"column\", {c} AS category FROM sales" for c in ("BrandName", "CityName"))))
 
 # ------------------------------------------------------------- grain aggregates
-for _g in S.GRAINS:
+for _g in V.GRAIN_KEYS:
     sql(f"seasonalize_{_g}", with_sales(OF.grain_select(_g),
                                         extra_ctes=OF.features_ctes()))
-    _keys = ", ".join(S.GRAIN_KEYS[_g])
-    _nn = " AND ".join(f"{k} IS NOT NULL" for k in S.GRAIN_KEYS[_g])
+    _keys = ", ".join(V.GRAIN_KEYS[_g])
+    _nn = " AND ".join(f"{k} IS NOT NULL" for k in V.GRAIN_KEYS[_g])
     sql(f"seasonalize_y_{_g}", with_sales(
         f"SELECT {_keys}, CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) AS DOUBLE) "
         f"AS SalesAmount FROM sales WHERE {_nn} GROUP BY {_keys}"))
@@ -174,9 +187,9 @@ def _simple_aggs(full: bool) -> str:
     return ", ".join(parts)
 
 
-for _g in S.GRAINS:
-    _keys = ", ".join(S.GRAIN_KEYS[_g])
-    _nn = " AND ".join(f"{k} IS NOT NULL" for k in S.GRAIN_KEYS[_g])
+for _g in V.GRAIN_KEYS:
+    _keys = ", ".join(V.GRAIN_KEYS[_g])
+    _nn = " AND ".join(f"{k} IS NOT NULL" for k in V.GRAIN_KEYS[_g])
     sql(f"seasonal_simple_{_g}", with_sales(
         f"SELECT {_keys}, {_simple_aggs(False)} FROM sales WHERE {_nn} GROUP BY {_keys}"))
 sql("seasonal_full_daily", with_sales(
@@ -192,16 +205,21 @@ sql("multi_grain", with_sales(
     "GROUP BY GROUPING SETS ((DateKey), (CalendarYear, CalendarWeekLabel), "
     "(CalendarYear, MonthNumber), (CalendarYear, CalendarQuarterLabel), (CalendarYear))"))
 sql("grouped_forecast_agg", with_sales(
-    "SELECT DateKey, StoreType, ROUND(coalesce(SUM(SalesAmount), 0), 6) AS SalesAmount "
+    "SELECT DateKey, StoreType, CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) AS DOUBLE) AS SalesAmount "
     "FROM sales WHERE DateKey IS NOT NULL GROUP BY DateKey, StoreType"))
 sql("group_all_sum", with_sales(
-    "SELECT DateKey, " + ", ".join(f"CAST(coalesce(SUM({c}), 0) AS BIGINT) AS {c}" for c in (
-        "SalesQuantity", "ReturnQuantity", "DiscountQuantity", "StoreKey"))
+    "SELECT DateKey, " + ", ".join(
+        f"ROUND(CAST(coalesce(SUM(CAST({c} AS DECIMAL(28,10))), 0) AS DOUBLE), 4) AS {c}" if V.ML[c] == "double"
+        else f"CAST(coalesce(SUM({c}), 0) AS BIGINT) AS {c}" for c in V.NUMERIC)
     + " FROM sales WHERE DateKey IS NOT NULL GROUP BY DateKey"))
+sql("preprocess_features", with_sales(OF.grain_select("monthly"), extra_ctes=OF.features_ctes()))
 
 
 # ---------------------------------------------------------------- profiling
-_PC = ["SalesAmount", "UnitPrice", "SalesQuantity", "DiscountAmount", "UnitCost", "ReturnAmount"]
+_PC = V.NUMERIC
+sql("shape_schema", with_sales(
+    "SELECT t.*, (SELECT COUNT(*) FROM sales) AS rows, 40 AS columns FROM (VALUES "
+    + ", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(V.ML.items())) + ') t(position, "column", dtype)'))
 sql("global_stats", with_sales(
     "SELECT CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) AS DOUBLE) AS total, "
     "ROUND(stddev_samp(SalesAmount), 4) AS std, "
@@ -212,10 +230,10 @@ sql("describe", with_sales(" UNION ALL ".join(
     f"ROUND(stddev_samp({c}), 4) AS std, ROUND(MIN(CAST({c} AS DOUBLE)), 6) AS min, "
     f"ROUND(quantile_cont({c}, 0.25), 6) AS q25, ROUND(quantile_cont({c}, 0.5), 6) AS q50, "
     f"ROUND(quantile_cont({c}, 0.75), 6) AS q75, ROUND(MAX(CAST({c} AS DOUBLE)), 6) AS max "
-    f"FROM sales" for c in ("SalesAmount", "UnitPrice", "SalesQuantity", "DiscountAmount"))))
+    f"FROM sales" for c in V.NUMERIC)))
 sql("null_counts", with_sales(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", COUNT(*) - COUNT({c}) AS nulls FROM sales"
-    for c in S.ML_COLUMNS)))
+    for c in V.ML)))
 sql("value_counts", with_sales("SELECT StoreType, COUNT(*) AS count FROM sales "
                                "GROUP BY StoreType"))
 sql("distinct_values", with_sales("SELECT DISTINCT BrandName FROM sales"))
@@ -252,9 +270,9 @@ SELECT COUNT(*) AS total,
         / COUNT(*), 6) AS pct_outliers
 FROM sales CROSS JOIN (SELECT AVG(SalesAmount) AS mu, stddev_pop(SalesAmount) AS sd FROM sales) m"""))
 sql("outliers_iqr", with_sales("""
-SELECT SalesKey, SalesAmount FROM sales CROSS JOIN (SELECT quantile_cont(SalesAmount, 0.25) AS q1,
-  quantile_cont(SalesAmount, 0.75) AS q3 FROM sales) q
-WHERE SalesAmount < q.q1 - 1.5 * (q.q3 - q.q1) OR SalesAmount > q.q3 + 1.5 * (q.q3 - q.q1)"""))
+SELECT SalesKey, DiscountAmount FROM sales CROSS JOIN (SELECT quantile_cont(DiscountAmount, 0.25) AS q1,
+  quantile_cont(DiscountAmount, 0.75) AS q3 FROM sales) q
+WHERE DiscountAmount < q.q1 - 1.5 * (q.q3 - q.q1) OR DiscountAmount > q.q3 + 1.5 * (q.q3 - q.q1)"""))
 sql("outliers_quantile", with_sales("""
 SELECT SalesKey, SalesAmount FROM sales CROSS JOIN (SELECT quantile_cont(SalesAmount, 0.01) AS lo,
   quantile_cont(SalesAmount, 0.99) AS hi FROM sales) q
@@ -269,7 +287,7 @@ sql("correlation_pairs", with_sales(
 sql("top_correlated_pairs", with_sales(
     f"SELECT var1, var2, ROUND(correlation, 6) AS correlation, "
     f"ROUND(abs(correlation), 6) AS absolute_correlation FROM ({_CORR}) t "
-    f"WHERE correlation IS NOT NULL ORDER BY abs(correlation) DESC, var1, var2 LIMIT 5"))
+    f"WHERE correlation IS NOT NULL ORDER BY abs(correlation) DESC, var1, var2 LIMIT 10"))
 
 
 def _erfc_sql(x: str) -> str:
@@ -334,6 +352,8 @@ sql("chrono_split", with_sales(f"SELECT DateKey, rn, is_train FROM ({_SPLIT}) t"
 sql("log_split", with_sales(
     f"SELECT DateKey, ROUND(CASE WHEN SalesAmount > 0 THEN ln(SalesAmount) END, 6) AS log_y, "
     f"is_train FROM ({_SPLIT}) t", extra_ctes=DAILY))
+sql("ln_exp", with_sales("SELECT DateKey, ROUND(CASE WHEN SalesAmount > 0 THEN SalesAmount END, 0) AS log_y FROM daily",
+                         extra_ctes=DAILY))
 sql("every_nth", with_sales(
     "SELECT SalesKey, SalesAmount, rn FROM (SELECT SalesKey, SalesAmount, "
     "row_number() OVER (ORDER BY SalesKey) AS rn FROM sales) t WHERE (rn - 1) % 500 = 0"))
@@ -417,10 +437,7 @@ sql("attach_target", with_sales(
     + ") t", extra_ctes=_CLEANED + ",\n" + OF.features_ctes(base="cleaned")))
 
 # -------------------------------------------------------- similarity scores
-_SIMPLE_DAILY = ("simple AS (SELECT DateKey, ROUND(AVG(UnitCost), 6) AS UnitCost, "
-                 "CAST(SUM(SalesQuantity) AS BIGINT) AS SalesQuantity, "
-                 "CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) AS DOUBLE) "
-                 "AS SalesAmount FROM sales GROUP BY DateKey), "
+_SIMPLE_DAILY = (f"simple AS (SELECT DateKey, {_simple_aggs(False)} FROM sales GROUP BY DateKey), "
                  "ha AS (SELECT * FROM simple WHERE year(DateKey) <= 1997), "
                  "hb AS (SELECT * FROM simple WHERE year(DateKey) >= 1998)")
 
@@ -436,9 +453,8 @@ def _ks(c: str) -> str:
 
 
 sql("ks_complement", with_sales(" UNION ALL ".join(
-    _ks(c) for c in ("SalesAmount", "UnitCost", "SalesQuantity")), extra_ctes=_SIMPLE_DAILY))
-_SIM_PAIRS = [("SalesAmount", "UnitCost"), ("SalesAmount", "SalesQuantity"),
-              ("UnitCost", "SalesQuantity")]
+    _ks(c) for c in V.DAILY_NUMERIC), extra_ctes=_SIMPLE_DAILY))
+_SIM_PAIRS = [(a, b) for i, a in enumerate(V.DAILY_NUMERIC) for b in V.DAILY_NUMERIC[i + 1:]]
 sql("correlation_similarity", with_sales(" UNION ALL ".join(
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, ROUND(1.0 - abs((SELECT corr(CAST({a} AS DOUBLE), "
     f"CAST({b} AS DOUBLE)) FROM ha) - (SELECT corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) "
@@ -459,15 +475,14 @@ def _tv(cols: list[str], name: str) -> str:
 
 sql("tv_complement", with_sales(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", tv_complement FROM ({_tv([c], 'tv_complement')}) t"
-    for c in ("StoreType", "BrandName", "IsWorkDay")), extra_ctes=_STAR_HALVES))
-sql("contingency_similarity", with_sales(
-    f"SELECT 'StoreType' AS col_a, 'IsWorkDay' AS col_b, contingency_similarity FROM "
-    f"({_tv(['StoreType', 'IsWorkDay'], 'contingency_similarity')}) t", extra_ctes=_STAR_HALVES))
+    for c in V.STAR_TEXT), extra_ctes=_STAR_HALVES))
+sql("contingency_similarity", with_sales(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, contingency_similarity FROM ({_tv([a, b], 'contingency_similarity')}) t"
+    for i, a in enumerate(V.STAR_TEXT) for b in V.STAR_TEXT[i + 1:]), extra_ctes=_STAR_HALVES))
 
 # ------------------------------------------------------------ sources/sinks
 sql("write_csv", with_sales("SELECT DateKey, SalesAmount FROM daily", extra_ctes=DAILY))
-sql("write_table", with_sales("SELECT DateKey, SalesAmount FROM daily WHERE year(DateKey) = 1996",
-                              extra_ctes=DAILY))
+sql("write_table", with_sales("SELECT DateKey, SalesAmount FROM daily", extra_ctes=DAILY))
 sql("materialize", with_sales("SELECT DateKey, SalesAmount FROM daily", extra_ctes=DAILY))
 sql("materialize_filtered", with_sales(
     "SELECT DateKey, SalesAmount FROM daily WHERE DateKey BETWEEN DATE '1996-01-01' AND "
@@ -480,10 +495,10 @@ sql("select_except", with_sales("SELECT SalesKey, DateKey, SalesAmount FROM sale
 
 # ------------------------------------------------------------- metadata
 def _daily_columns() -> list[str]:
-    sums = list(S.SUM_COLUMNS) + ["TotalCost", "SalesAmount"]
-    onehots = [OF.sanitize_name(f"{c}_{v}") for c, cats in OF.ONEHOT_CATEGORIES.items()
+    sums = list(V.SUMS) + ["TotalCost", "SalesAmount"]
+    onehots = [V.column_name(c, v) for c, cats in OF.ONEHOT_CATEGORIES.items()
                for v in cats]
-    return sums + ["DiscountPercent"] + onehots + ["CalendarYear"] + S.CYCLIC_FIRST["daily"]
+    return sums + ["DiscountPercent"] + onehots + ["CalendarYear"] + V.CYCLIC_FIRST["daily"]
 
 
 _FORCED = ("DiscountAmount", "DiscountPercent", "DiscountQuantity", "GeographyType_City")
@@ -493,5 +508,43 @@ sql("detect_metadata", with_sales(" UNION ALL ".join(
     f"THEN 'categorical' ELSE 'numerical' END AS sdtype FROM pp" for c in _daily_columns()),
     extra_ctes=_CLEANED + ",\n" + OF.features_ctes(base="cleaned") + ",\npp AS ("
     + OF.grain_select("daily") + ")"))
-sql("write_clustered", with_sales("SELECT SalesKey, DateKey, SalesAmount, StoreType FROM sales",
-                                  where=date_where("1996-01-01", "1996-12-31")))
+sql("write_clustered", with_sales("SELECT SalesKey, DateKey, SalesAmount, StoreType FROM sales"))
+
+
+# ------------------------------------------------------------------- panel
+def _panel(step: str) -> str:
+    """Revenue of each store type and continent by whole weeks or months."""
+    after = {"week": "ds + 7", "month": "ds + INTERVAL 1 MONTH"}[step]
+    return (f"panel AS (SELECT * FROM (SELECT StoreType, ContinentName, CAST(date_trunc('{step}', DateKey) AS DATE) AS ds, "
+            "CAST(SUM(CAST(SalesAmount AS DECIMAL(18,4))) AS DOUBLE) AS y FROM sales "
+            "WHERE StoreType IS NOT NULL AND ContinentName IS NOT NULL GROUP BY ALL) "
+            f"WHERE ds >= (SELECT min(DateKey) FROM sales) AND {after} <= (SELECT max(DateKey) FROM sales) + 1)")
+
+
+sql("pacf", with_sales("""
+SELECT StoreType, ContinentName, k AS lag, ROUND(a, 6) AS pacf FROM dl""", extra_ctes=_panel("week") + """,
+cen AS (SELECT StoreType, ContinentName, row_number() OVER w AS rn, y - avg(y) OVER (PARTITION BY StoreType, ContinentName) AS e
+        FROM panel WINDOW w AS (PARTITION BY StoreType, ContinentName ORDER BY ds)),
+cov AS (SELECT x.StoreType, x.ContinentName, z.rn - x.rn AS lag, SUM(x.e * z.e) AS s
+        FROM cen x JOIN cen z ON x.StoreType = z.StoreType AND x.ContinentName = z.ContinentName AND z.rn BETWEEN x.rn AND x.rn + 30
+        GROUP BY ALL),
+rho AS (SELECT StoreType, ContinentName, list(s / s0 ORDER BY lag) AS r
+        FROM (SELECT *, max(s) FILTER (lag = 0) OVER (PARTITION BY StoreType, ContinentName) AS s0 FROM cov) GROUP BY ALL),
+dl AS (
+  SELECT StoreType, ContinentName, r, 0 AS k, []::DOUBLE[] AS phi, 1.0::DOUBLE AS v, 1.0::DOUBLE AS a FROM rho
+  UNION ALL
+  SELECT StoreType, ContinentName, r, k + 1,
+         list_append(list_transform(range(1, k + 1), lambda i: phi[i] - n * phi[k + 1 - i]), n), v * (1 - n * n), n
+  FROM (SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda i: phi[i] * r[k + 2 - i])), 0)) / v AS n
+        FROM dl WHERE k < 30) t)""").replace("WITH ", "WITH RECURSIVE ", 1))
+sql("ar1_forecast", with_sales("""
+SELECT StoreType, ContinentName, CAST(last + to_months(CAST(step AS INTEGER)) AS DATE) AS ds, CAST(step AS INTEGER) AS step,
+  ROUND(CASE step WHEN 1 THEN c + a * y0 WHEN 2 THEN c + a * (c + a * y0) ELSE c + a * (c + a * (c + a * y0)) END, 2) AS yhat
+FROM (SELECT StoreType, ContinentName, regr_slope(y, x) AS a, regr_intercept(y, x) AS c, max(ds) AS last, arg_max(y, ds) AS y0
+      FROM (SELECT *, lag(y) OVER (PARTITION BY StoreType, ContinentName ORDER BY ds) AS x FROM panel) GROUP BY ALL), range(1, 4) s(step)""",
+    extra_ctes=_panel("month")))
+sql("latest_by_time", with_sales("""
+SELECT CASE WHEN y = 1996 THEN 'baseline_1996' ELSE 'latest' END AS pick, 'baseline_' || y AS context, n AS row_count, ROUND(mae, 2) AS mae
+FROM (SELECT year(DateKey) AS y, COUNT(*) AS n, AVG(abs(SalesAmount - p)) AS mae
+      FROM (SELECT *, LAG(SalesAmount) OVER (ORDER BY DateKey) AS p FROM daily) WHERE p IS NOT NULL GROUP BY 1)
+WHERE y = 1996 OR y = (SELECT max(year(DateKey)) FROM daily)""", extra_ctes=DAILY))

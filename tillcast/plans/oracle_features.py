@@ -3,8 +3,7 @@ label codes) over the ``sales`` star CTE, plus grain aggregation."""
 
 from __future__ import annotations
 
-from tillcast import schema as S
-from tillcast.functions.scalars import sanitize_name
+from tillcast.plans import oracle_values as V
 
 # Category sets of the sf0.01 test tables, by rule (for the SQL twin only).
 ONEHOT_CATEGORIES = {
@@ -58,7 +57,7 @@ PREP = prep_cte("sales")
 
 def _stats_cte(src: str = "prep") -> str:
     parts = []
-    for c in S.ROBUST_SCALE_COLUMNS:
+    for c in V.ROBUST_SCALE:
         parts.append(f"quantile_cont({c}, 0.5) AS {c}__med")
         parts.append(f"quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}__iqr")
     return f"rstats AS (SELECT {', '.join(parts)} FROM {src})"
@@ -74,14 +73,14 @@ def onehot_exprs(agg: str | None = None) -> list[str]:
     for c, cats in ONEHOT_CATEGORIES.items():
         for v in cats:
             e = f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE)"
-            name = sanitize_name(f"{c}_{v}")
+            name = V.column_name(c, v)
             out.append(f'{agg}({e}) AS "{name}"' if agg else f'{e} AS "{name}"')
     return out
 
 
 def label_ctes() -> str:
     ctes = []
-    for c in S.LABEL_COLUMNS:
+    for c in V.LABELS:
         ctes.append(f"lab_{c} AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) "
                     f"AS code FROM (SELECT DISTINCT {c} AS v FROM prep WHERE {c} IS NOT NULL))")
     return ",\n".join(ctes)
@@ -90,7 +89,7 @@ def label_ctes() -> str:
 def features_ctes(src: str = "prep", base: str = "sales") -> str:
     """prep (over ``base``), rstats, feat (scaled + one-hot + raw grain keys)."""
     scaled = []
-    for c in S.ROBUST_SCALE_COLUMNS:
+    for c in V.ROBUST_SCALE:
         name = "CalendarYear_scaled" if c == "CalendarYear" else c
         scaled.append(f"{scaled_expr(c)} AS {name}")
     keep = ["SalesKey", "DateKey", "CalendarYear", "CalendarWeekLabel", "MonthNumber",
@@ -101,19 +100,19 @@ def features_ctes(src: str = "prep", base: str = "sales") -> str:
 
 
 def grain_select(grain: str, include_total_cost: bool = True) -> str:
-    keys = S.GRAIN_KEYS[grain]
-    sums = list(S.SUM_COLUMNS) + (["TotalCost"] if include_total_cost else [])
+    keys = V.GRAIN_KEYS[grain]
+    sums = list(V.SUMS) + (["TotalCost"] if include_total_cost else [])
     r = "ROUND({0}, 6)"
     parts = [(f"CAST(coalesce(SUM({c}), 0) AS BIGINT) AS {c}" if c == "SalesQuantity"
-              else f"{r.format(f'coalesce(SUM({c}), 0)')} AS {c}") for c in sums]
+              else f"{r.format(f'CAST(coalesce(SUM(CAST({c} AS DECIMAL(38,12))), 0) AS DOUBLE)')} AS {c}") for c in sums]
     parts.append("ROUND(CAST(coalesce(SUM(CAST(SalesAmount AS DECIMAL(18,4))), 0) AS DOUBLE), 6)"
                  " AS SalesAmount")
     parts += [f"{r.format('CAST(SUM(CAST(DiscountPercent AS DECIMAL(38,12))) AS DOUBLE) / COUNT(DiscountPercent)')} AS DiscountPercent"]
     for c, cats in ONEHOT_CATEGORIES.items():
         for v in cats:
-            name = sanitize_name(f"{c}_{v}")
+            name = V.column_name(c, v)
             parts.append(f'{r.format(f"AVG({chr(34)}{name}{chr(34)})")} AS "{name}"')
-    firsts = ([] if "CalendarYear" in keys else ["CalendarYear"]) + S.CYCLIC_FIRST[grain]
+    firsts = ([] if "CalendarYear" in keys else ["CalendarYear"]) + V.CYCLIC_FIRST[grain]
     for c in firsts:
         val = f"arg_min({c}, DateKey)"
         parts.append(f"{val if c == 'CalendarYear' else r.format(val)} AS {c}")

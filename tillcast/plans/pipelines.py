@@ -2,15 +2,14 @@
 synthetic back-test.
 
 Each is one lazy plan per stage plus the small fit jobs of the encoders
-and the model; inputs are read once per stage and the large intermediate
-(the cleaned star) is persisted while several fit passes read it.
+and the model.  The cleaned star runs twice, for the fit and for the daily
+table; the daily table is written once and read by all that follows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ from tillcast.operators import seasonal as sea
 from tillcast.operators import synth as syn
 from tillcast.operators.metrics import mean_baseline, metrics
 from tillcast.plans.star import denorm_ml, fact_measures
-from tillcast.sources.sinks import write_table
+from tillcast.sources.sinks import stored, write_table
 from tillcast.sources.tables import date_range
 
 
@@ -32,6 +31,7 @@ from tillcast.sources.tables import date_range
 class Processed:
     daily: DataFrame            # DateKey, daily features, SalesAmount
     features: fea.FeatureModel  # fitted encoders (reused for new data)
+    ratio: float = 1.0          # share of the sales that was read
 
 
 def daily_features(rows: DataFrame, model: fea.FeatureModel) -> DataFrame:
@@ -42,26 +42,23 @@ def daily_features(rows: DataFrame, model: fea.FeatureModel) -> DataFrame:
 
 def pipeline_preprocess(spark: SparkSession, sf_dir: str, min_date: str | None = None,
                         max_date: str | None = None, ratio: float | None = None,
-                        out_path: str | None = None, quantile_method: str = "auto",
-                        clean: bool = True) -> Processed:
-    """Range read -> 2.5 sigma clean -> daily target -> row features (fit on
-    the cleaned rows) -> daily features -> join target on DateKey ->
-    optional overwrite of the processed table."""
+                        out_path: str | None = None, clean: bool = True) -> Processed:
+    """Range read -> 2.5 sigma clean -> row features (fit on the cleaned rows)
+    -> daily features and daily target -> optional overwrite of the
+    processed table."""
     star = denorm_ml(spark, sf_dir, ratio=ratio, min_date=min_date, max_date=max_date)
     stats = fact_measures(spark, sf_dir, ratio=ratio, min_date=min_date, max_date=max_date)
     rows = flt.clean_outliers(star, stats_df=stats) if clean else star
-    clean = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    n_rows = clean.count()  # materializes the cache once for every fit pass
-    y = sea.seasonalize_y(clean, "daily", ordered=False)
-    model = fea.fit_features(clean.drop("SalesAmount"), quantile_method=quantile_method,
-                             persist=False, max_rows=n_rows)
-    daily = daily_features(clean, model).join(y, "DateKey", "inner")
+    model = fea.fit_features(rows)
+    # the target goes with the features in one aggregate: no join on the date
+    daily = sea.seasonalize(fea.transform_features(rows, model), "daily")
+    daily = daily.select(*[c for c in daily.columns if c != "SalesAmount"], "SalesAmount")
     # one row per day: a calendar-bounded table, kept in few partitions so
     # the small downstream fits (copula, boosting, per-series) run few tasks
-    daily = daily.coalesce(spark.sparkContext.defaultParallelism)
+    daily = stored(daily.coalesce(spark.sparkContext.defaultParallelism), "daily")
     if out_path:
         write_table(daily, out_path, truncate=True)
-    return Processed(daily, model)
+    return Processed(daily, model, ratio or 1.0)
 
 
 @dataclass
@@ -84,18 +81,36 @@ def pipeline_train(processed: DataFrame, split_ratio: float = 0.1, runs_path: st
     train = split.where("is_train").drop("is_train")
     val = split.where(~F.col("is_train")).drop("is_train")
     res = mdl.train_gbt(train, "SalesAmount", val, n_trees=n_trees, max_depth=max_depth)
-    val_mae = res.history.agg(F.min("val_mae")).first()[0]
+    kept = res.history.where(F.col("iteration") == res.best_iter).first()   # the round of the saved model
+    val_mae = kept["val_mae"]
     run_id = path = None
     if runs_path:
         run_id = reg.save_run(processed.sparkSession, runs_path, "train", training_set_size,
                               train.count(), val_mae, {"n_trees": n_trees, "depth": max_depth,
                                                        "best_iter": res.best_iter})
     if model_root:
-        path = reg.save_model(res.model, model_root)
+        path = reg.save_model(res.model, model_root, res.features)
     split.unpersist()
     return TrainResult(res, val_mae, run_id, path)
 
 
+@dataclass
+class Trained:
+    model: mdl.GBTRegressionModel
+    features: list[str]
+
+
+def train_or_load(processed: DataFrame, model_root: str, forcenew: bool = False, **kw) -> Trained | None:
+    """The newest saved model; if there is none, or with ``forcenew``, one that
+    is trained now (by ``pipeline_train``) and saved.  None when the table
+    has too few rows to train on."""
+    spark = processed.sparkSession
+    if not forcenew and (found := reg.load_latest(spark, model_root, mdl.GBTRegressionModel)) is not None:
+        return Trained(found, reg.load_features(spark, model_root))
+    done = pipeline_train(processed, model_root=model_root, **kw)
+    return None if done is None else Trained(done.gbt.model, done.gbt.features)
+
+
 def pipeline_evaluate(processed: DataFrame, model, features: list[str], min_date: str,
                       max_date: str, runs_path: str | None = None,
                       training_set_size: float = 1.0) -> DataFrame | None:
@@ -113,25 +128,32 @@ def pipeline_evaluate(processed: DataFrame, model, features: list[str], min_date
 
 
 def pipeline_predict(spark: SparkSession, sf_dir: str, proc: Processed, model,
-                     features: list[str], min_date: str, max_date: str) -> DataFrame:
-    """Features of a date range (fitted encoders reused) -> daily -> score."""
+                     features: list[str], min_date: str, max_date: str, clean: bool = False) -> DataFrame:
+    """Features of a date range (fitted encoders reused) -> daily -> score.
+
+    By default all rows of the range are used, as in the original, although
+    the model was trained on rows without outliers; ``clean`` drops them
+    here too."""
     star = denorm_ml(spark, sf_dir, min_date=min_date, max_date=max_date)
+    if clean:
+        star = flt.clean_outliers(star, stats_df=fact_measures(spark, sf_dir, min_date=min_date, max_date=max_date))
     daily = daily_features(star, proc.features)
     return mdl.predict(model, daily, features).select("DateKey", "prediction")
 
 
 def forecast_past(spark: SparkSession, sf_dir: str, proc: Processed, model, features: list[str],
-                  min_date: str, max_date: str, scale: float = 1.0) -> DataFrame:
-    """Score existing days, rescale, and key every day of the range (a day
-    without sales gets a null, never a shifted value)."""
+                  min_date: str, max_date: str, scale: float | None = None) -> DataFrame:
+    """Score existing days, rescale by 1 / the sampled share (or ``scale``),
+    and key every day of the range (a day without sales gets a null, never a
+    shifted value)."""
     pred = pipeline_predict(spark, sf_dir, proc, model, features, min_date, max_date)
-    pred = pred.withColumn("prediction", F.col("prediction") * F.lit(float(scale)))
+    pred = pred.withColumn("prediction", F.col("prediction") * F.lit(1 / proc.ratio if scale is None else float(scale)))
     return date_spine(spark, min_date, max_date).join(pred, "DateKey", "left")
 
 
 def forecast(spark: SparkSession, sf_dir: str, proc: Processed, model, features: list[str],
              copula: syn.CopulaModel, min_date: str, max_date: str, last_actual: str,
-             scale: float = 1.0, seed: int = 42) -> DataFrame:
+             scale: float | None = None, seed: int = 42) -> DataFrame:
     """Days up to ``last_actual`` are scored from actual features, later days
     from synthetic features drawn given their calendar facts; both parts
     are unioned by name and keyed on a calendar spine."""
@@ -151,7 +173,7 @@ def forecast(spark: SparkSession, sf_dir: str, proc: Processed, model, features:
     for p in parts[1:]:
         both = both.unionByName(p, allowMissingColumns=True)
     scored = mdl.predict(model, both, features)
-    scored = scored.withColumn("prediction", F.col("prediction") * F.lit(float(scale)))
+    scored = scored.withColumn("prediction", F.col("prediction") * F.lit(1 / proc.ratio if scale is None else float(scale)))
     return spine.join(scored.select("DateKey", "prediction", "source"), "DateKey", "left")
 
 
@@ -178,7 +200,7 @@ def synthetic_backtest(spark: SparkSession, sf_dir: str, train_end: str, test_st
     calendar facts; score them against the actual daily revenue and
     against the training-mean baseline."""
     proc = pipeline_preprocess(spark, sf_dir, None, train_end, clean=False)
-    daily = proc.daily.persist()
+    daily = proc.daily
     res = mdl.train_gbt(daily, "SalesAmount", None, n_trees=n_trees, max_depth=max_depth)
     copula = fit_synthesizer(daily)
     spine = date_spine(spark, test_start, test_end)

@@ -34,7 +34,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TILLCAST_DRIVER_MEM", "16g"))
         .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.files.maxPartitionBytes", str(64 * 1024 * 1024))
+        .config("spark.sql.files.maxPartitionBytes", str(4 * 1024 * 1024))   # small test files on all cores
     )
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
@@ -55,8 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and we use
-    it as is.  Only when it is unset (local tests) do we create a scratch
-    folder of our own.
+    it as is.  A local master gets a scratch folder of its own when it is
+    unset (tests); on a cluster that is an error, since executors don't see
+    each other's disks.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -67,7 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     jdir = sc._jsc.getCheckpointDir()
     if jdir.isPresent():
         return jdir.get()
-    path = tempfile.mkdtemp(prefix="tillcast-ckpt-", dir="/tmp")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = tempfile.mkdtemp(prefix="tillcast-ckpt-")
     sc.setCheckpointDir(path)
     return path
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,13 +52,14 @@ def write_clustered(df: DataFrame, path: str, date_col: str = "DateKey",
     """Date-clustered Parquet: range-partition on the date (balanced by
     sampling, so no task holds a whole year), sort inside each task, and
     lay directories out by year.  Date ranges then prune directories
-    (PartitionFilters) and row groups (min/max statistics)."""
+    (PartitionFilters) and row groups (min/max statistics).  Without
+    ``files`` adaptive execution sizes the tasks by the bytes they get."""
     from pyspark.sql import functions as F
 
-    n = files or df.sparkSession.sparkContext.defaultParallelism
     out = df.withColumn(partition_col, F.year(date_col)) if partition_col not in df.columns \
         else df
-    (out.repartitionByRange(n, date_col).sortWithinPartitions(date_col)
+    ranged = out.repartitionByRange(files, date_col) if files else out.repartitionByRange(date_col)
+    (ranged.sortWithinPartitions(date_col)
      .write.mode("overwrite").partitionBy(partition_col).parquet(path))
 
 
@@ -75,6 +77,14 @@ def read_clustered(spark: SparkSession, path: str, min_date: str | None, max_dat
     return date_range(df, min_date, max_date, date_col).drop(partition_col)
 
 
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """Written below the warehouse and read again: later passes read the rows
+    instead of computing them, on any executor."""
+    path = f"{warehouse_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cache_key(*parts) -> str:
     text = "|".join(str(p) for p in parts)
     slug = re.sub(r"[^A-Za-z0-9_.-]+", "_", text)[:80]

@@ -5,14 +5,15 @@ its size grows with them.  The mapping (one expression per star column)
 is the stand-in documented in FIXTURES.md section C.
 
 Physical notes for scale:
+* The star plans the hops that its columns need, no others.
 * ``lineitem`` x ``orders`` is the one big join (both sides grow with the
   data): it is a sort-merge join on the order key unless the orders side
   is small.  ``orders`` is joined with ``customer`` first (bushy), so the
   fact is shuffled once for the order hop.
-* Product / store / geography dimensions go through ``checked_broadcast``:
+* Dimensions go through ``checked_broadcast`` with their own counted rows:
   broadcast while small, sort-merge beyond the bound.
 * Date and promotion attributes are pure functions of fact columns and
-  are projected, never joined.
+  are projected; ``dim_date`` and ``dim_promotion`` are the same as tables.
 """
 
 from __future__ import annotations
@@ -20,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.functions.calendar import calendar_parts
+from tillcast.functions.calendar import calendar_parts, date_spine_of
 from tillcast.operators.joins import checked_broadcast
 from tillcast.operators.ranking import dense_code
-from tillcast.sources.tables import read_table, spread_small, table_rows
+from tillcast.sources.tables import counted_rows, read_table
 
 # Fixed values of the stand-in mapping.
 WEIGHT_UNIT_BY_MOD4 = {0: "pounds", 1: "ounces", 2: "grams"}
@@ -61,7 +62,7 @@ def orders_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     the attributes the fact needs (channel, channel name, store type)."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"])
     customer = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
-    joined = orders.join(checked_broadcast(customer, table_rows(spark, sf_dir, "customer")),
+    joined = orders.join(checked_broadcast(customer, counted_rows(spark, sf_dir, "customer")),
                          orders.o_custkey == customer.c_custkey, "left")
     return joined.select(
         "o_orderkey",
@@ -72,8 +73,9 @@ def orders_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_sales(spark: SparkSession, sf_dir: str, min_date: str | None = None,
-               max_date: str | None = None, with_order_attrs: bool = True) -> DataFrame:
-    """FactSales stand-in: one row per line item, star keys and measures.
+               max_date: str | None = None) -> DataFrame:
+    """FactSales stand-in: one row per line item, star keys (``l_orderkey``
+    leads to the order's attributes) and measures.
 
     ``UnitCost``/``TotalCost`` come from the product dimension and are
     added by the star after that join.
@@ -84,7 +86,6 @@ def fact_sales(spark: SparkSession, sf_dir: str, min_date: str | None = None,
     cond = ship_date_bounds(min_date, max_date)
     if cond is not None:
         li = li.where(cond)
-    li = spread_small(li)
     ship = F.col("l_shipdate").cast("date")
     qty = F.col("l_quantity").cast("bigint")
     price = F.col("l_extendedprice")
@@ -106,17 +107,14 @@ def fact_sales(spark: SparkSession, sf_dir: str, min_date: str | None = None,
         (price * disc).alias("DiscountAmount"),
         (price * (F.lit(1) - disc)).alias("SalesAmount"),
     )
-    if not with_order_attrs:
-        return fact.drop("l_orderkey")
-    oc = checked_broadcast(orders_channel(spark, sf_dir), table_rows(spark, sf_dir, "orders"))
-    return (fact.join(oc, fact.l_orderkey == oc.o_orderkey, "left")
-            .drop("l_orderkey", "o_orderkey"))
+    return fact
 
 
 def dim_subcategory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ProductSubcategory: dense code of the part type, category = code % 3."""
-    part = read_table(spark, sf_dir, "part", ["p_type"])
-    codes = dense_code(part, "p_type", out="ProductSubcategoryKey")
+    types = read_table(spark, sf_dir, "part", ["p_type"]).where("p_type IS NOT NULL").distinct()
+    codes = dense_code(types, "p_type", out="ProductSubcategoryKey",
+                       max_rows=counted_rows(spark, sf_dir, "part", "types", types))
     return codes.select(
         "ProductSubcategoryKey",
         F.col("p_type").alias("ProductSubcategoryName"),
@@ -137,7 +135,7 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
                       ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
     sub = checked_broadcast(dim_subcategory(spark, sf_dir).select(
         F.col("ProductSubcategoryName").alias("_ptype"), "ProductSubcategoryKey"),
-        table_rows(spark, sf_dir, "part"))
+        dim_rows(spark, sf_dir, "subcategory"))
     k = F.col("p_partkey")
     unit = F.when(k % 4 == 0, F.lit(WEIGHT_UNIT_BY_MOD4[0])) \
         .when(k % 4 == 1, F.lit(WEIGHT_UNIT_BY_MOD4[1])) \
@@ -175,7 +173,7 @@ def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    g = n.join(checked_broadcast(r, table_rows(spark, sf_dir, "region")),
+    g = n.join(checked_broadcast(r, counted_rows(spark, sf_dir, "region")),
                n.n_regionkey == r.r_regionkey, "left")
     return g.select(
         F.col("n_nationkey").alias("GeographyKey"),
@@ -211,11 +209,33 @@ def date_attrs(date_col: str = "DateKey") -> dict[str, Column]:
     return calendar_parts(date_col)
 
 
-# Proven row bounds of each dimension: the table it is derived from by
-# projection, distinct or unique-key left joins.
-DIM_SOURCE = {"product": "part", "subcategory": "part", "category": "part",
-              "store": "supplier", "geography": "nation", "channel": "orders"}
+def dim_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Promotion dimension as a table: a row for each key that occurs."""
+    keys = fact_sales(spark, sf_dir).select("PromotionKey").distinct()
+    return keys.select("PromotionKey", *[c.alias(k) for k, c in promotion_attrs(F.col("PromotionKey")).items()])
+
+
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date dimension as a table: a row for each day from the first sale to the
+    last."""
+    spine = date_spine_of(fact_sales(spark, sf_dir).select("DateKey"))
+    return spine.select("DateKey", *[c.alias(k) for k, c in calendar_parts("DateKey").items()])
+
+
+# Row bounds of the dimensions.  A dimension that has a row for each row of a
+# table is bounded by that table's count; one that is made of distinct values
+# is counted itself, since its table can be as large as the fact.
+DIM_SOURCE = {"product": "part", "store": "supplier", "geography": "nation", "orders": "orders"}
+COUNTED = {"subcategory": ("part", "types", lambda s, d: read_table(s, d, "part", ["p_type"]).where("p_type IS NOT NULL").distinct()),
+           "channel": ("orders", "channels", lambda s, d: read_table(s, d, "orders", ["o_orderpriority"]).distinct()),
+           "promotion": ("lineitem", "promotions", dim_promotion),
+           "date": ("lineitem", "days", dim_date)}
 
 
 def dim_rows(spark: SparkSession, sf_dir: str, dim: str) -> int:
-    return table_rows(spark, sf_dir, DIM_SOURCE[dim])
+    if dim == "category":
+        return min(CATEGORY_MOD, dim_rows(spark, sf_dir, "subcategory"))
+    if dim in COUNTED:
+        name, what, make = COUNTED[dim]
+        return counted_rows(spark, sf_dir, name, what, make(spark, sf_dir))
+    return counted_rows(spark, sf_dir, DIM_SOURCE[dim])

@@ -20,43 +20,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Round-robin an input that arrives in fewer partitions than the
-    session's parallelism (a small file with few row groups), so later
-    stages use every core.  Large inputs (many splits) are returned
-    unchanged: no shuffle is added at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:
-        return df
-    return df.repartition(target) if n < target else df
-
-
-_ROWS: dict[str, int] = {}
-
-
-DIMENSION_TABLES = ["region", "nation", "customer", "supplier", "part", "orders"]
-
-
-def table_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Row count of a Parquet table (cached per path).  The first call for a
-    folder counts all dimension tables in one job (count(*) over Parquet
-    reads no column data)."""
-    base = sf_dir.rstrip("/")
-    path = f"{base}/{name}.parquet"
-    if path not in _ROWS:
-        names = [t for t in DIMENSION_TABLES if f"{base}/{t}.parquet" not in _ROWS]
-        if name not in names:
-            names.append(name)
-        parts = [spark.read.parquet(f"{base}/{t}.parquet").agg(F.count(F.lit(1)).alias("n"))
-                 .select(F.lit(t).alias("t"), "n") for t in names]
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        for r in union.collect():  # one row per table
-            _ROWS[f"{base}/{r['t']}.parquet"] = int(r["n"])
-    return _ROWS[path]
+def table_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Bytes, files and modification time of a table: changes when rows are
+    appended or replaced."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    total = fs.getContentSummary(p)
+    return total.getLength(), total.getFileCount(), fs.getFileStatus(p).getModificationTime()
+
+
+def data_version(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> str:
+    """One string for the state of several tables (part of cache keys)."""
+    return "-".join(str(table_version(spark, f"{sf_dir.rstrip('/')}/{n}.parquet")) for n in names)
+
+
+_ROWS: dict[tuple, int] = {}
+
+
+def counted_rows(spark: SparkSession, sf_dir: str, name: str, what: str = "",
+                 frame: DataFrame | None = None) -> int:
+    """Rows of a table, or of a ``frame`` called ``what`` that is derived from
+    it, counted once for each state of the table's files."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (path, table_version(spark, path), what)
+    if key not in _ROWS:
+        _ROWS[key] = (spark.read.parquet(path) if frame is None else frame).count()
+    return _ROWS[key]
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str,
