@@ -9,7 +9,6 @@ still turn it into a broadcast once the real shuffle sizes are known.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -73,16 +72,6 @@ def left_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
     return fact.join(right, on=on, how="left")
 
 
-def left_join_renamed(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                      rename_to: str | None = None, max_rows: int | None = None) -> DataFrame:
-    """Left join where the key names differ (``f.a == d.b``); the dim key
-    is dropped and the fact key optionally renamed afterwards."""
-    right = checked_broadcast(dim, max_rows)
-    out = fact.join(right, fact[fact_key] == right[dim_key], "left").drop(right[dim_key])
-    if rename_to and rename_to != fact_key:
-        out = out.withColumnRenamed(fact_key, rename_to)
-    return out
-
 
 @dataclass(frozen=True)
 class DimSpec:
@@ -108,11 +97,6 @@ class DimSpec:
         return self.max_rows() if callable(self.max_rows) else self.max_rows
 
 
-def fold_star(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
-    """Fold a declarative list of dimensions into chained left joins."""
-    return reduce(lambda acc, d: left_join(acc, d.projected(), d.key, max_rows=d.rows()),
-                  dims, fact)
-
 
 def build_star(fact: DataFrame, dims: Sequence[DimSpec], columns: Sequence[str] | None = None,
                computed: dict[str, tuple[Sequence[str], Column]] | None = None) -> DataFrame:

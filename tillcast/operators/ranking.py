@@ -94,15 +94,6 @@ def every_nth(df: DataFrame, order: Sequence[str | Column], n: int,
     return ranked.where((F.col(rn) - 1) % n == 0)
 
 
-def chrono_split(df: DataFrame, order: Sequence[str | Column], train_frac: float = 0.7,
-                 rn: str = "rn", flag: str = "is_train") -> DataFrame:
-    """Flag the first ``round(frac*n)`` rows (half-to-even, as numpy) as
-    train; the rest is test.  No shuffle of rows."""
-    ranked = global_row_number(df, order, out=rn)
-    n = df.count()
-    cut = F.bround(F.lit(float(n)) * F.lit(train_frac), 0)
-    return ranked.withColumn(flag, F.col(rn) <= cut)
-
 
 def _running_sums(weights):
     """Rows arrive sorted by (k, v) inside one range partition: running sum

@@ -30,22 +30,6 @@ def save_run(spark: SparkSession, runs_path: str, context: str, training_set_siz
     return run_id
 
 
-def save_runs(runs: DataFrame, runs_path: str) -> None:
-    """Append many runs of one moment in one distributed write.  ``runs`` holds
-    context, training_set_size, row_count, mae and optionally params; the
-    run id is derived from the row's content, the timestamp is the write
-    time."""
-    cols = set(runs.columns)
-    out = runs.select(
-        F.md5(F.to_json(F.struct(*runs.columns))).alias("run_id"),
-        F.current_timestamp().cast("timestamp").alias("ts"),
-        F.col("context").cast("string"),
-        F.col("training_set_size").cast("double"),
-        F.col("row_count").cast("long"),
-        F.col("mae").cast("double"),
-        (F.col("params").cast("string") if "params" in cols else F.lit("{}")).alias("params"))
-    out.write.mode("append").parquet(runs_path)
-
 
 def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
     return spark.read.schema(RUNS_SCHEMA).parquet(runs_path)

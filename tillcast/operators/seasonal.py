@@ -105,11 +105,7 @@ def seasonalize_y(df: DataFrame, grain: str = "daily", target: str = "SalesAmoun
     return out.orderBy(*keys) if ordered else out
 
 
-SIMPLE_AGGS = {"UnitCost": "mean", "UnitPrice": "mean", "ReturnQuantity": "sum",
-               "ReturnAmount": "sum", "DiscountQuantity": "sum", "DiscountAmount": "sum",
-               "TotalCost": "sum", "SalesQuantity": "sum", "SalesAmount": "sum"}
-FULL_EXTRA_AGGS = {"DiscountPercent": "mean", "IsWorkDay": "mean", "IsHoliday": "mean",
-                   "Weight": "sum", "EmployeeCount": "mean", "SellingAreaSize": "mean"}
+SIMPLE_AGGS, FULL_EXTRA_AGGS = S.SIMPLE_AGGS, S.FULL_EXTRA_AGGS
 
 
 # Columns whose values are exact at 4 decimals: summed as DECIMAL, and

@@ -45,7 +45,6 @@ DEFAULT_MIN_DATE = "2007-01-01"
 DEFAULT_MAX_DATE = "2009-12-31"
 FUTURE_START = "2010-01-01"
 GBT_DEFAULTS = {"max_depth": 10, "n_trees": 500, "learning_rate": 0.1, "patience": 5}
-# ---------------------------------------------------------------------------
 
 # Cyclic columns kept ("first") per grain; the scaled CalendarYear copy is
 # a feature, the raw year is the grain key.
@@ -69,8 +68,6 @@ GRAIN_KEYS = {
     "quarterly": ["CalendarYear", "CalendarQuarterLabel"],
     "yearly": ["CalendarYear"],
 }
-GRAINS = list(GRAIN_KEYS)
-
 # The 40-column ML wide table, in order.
 ML_COLUMNS = [
     "SalesKey", "DateKey", "channelKey", "StoreKey", "ProductKey", "PromotionKey",
@@ -98,3 +95,13 @@ DASHBOARD_COLUMNS = [
 # Columns the business knows in advance for a future day.
 FACT_COLUMNS = ["CalendarQuarterLabel", "CalendarWeekLabel", "IsWorkDay", "MonthNumber",
                 "CalendarDayOfWeekNumber"]
+
+# Aggregates of the raw measures by grain, and the further ones of the full form.
+SIMPLE_AGGS = {"UnitCost": "mean", "UnitPrice": "mean", "ReturnQuantity": "sum",
+               "ReturnAmount": "sum", "DiscountQuantity": "sum", "DiscountAmount": "sum",
+               "TotalCost": "sum", "SalesQuantity": "sum", "SalesAmount": "sum"}
+FULL_EXTRA_AGGS = {"DiscountPercent": "mean", "IsWorkDay": "mean", "Weight": "sum",
+                   "EmployeeCount": "mean", "SellingAreaSize": "mean"}
+# ---------------------------------------------------------------------------
+
+GRAINS = list(GRAIN_KEYS)

@@ -54,9 +54,6 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str,
     return spark.read.schema(schema).option("header", header).csv(path)
 
 
-def scan_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.select(*columns)
-
 
 def date_range(df: DataFrame, min_date: str | None, max_date: str | None,
                date_col: str = "DateKey") -> DataFrame:
