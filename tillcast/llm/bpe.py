@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tillcast.llm.common import numbered, place, ready
 
 CACHE_WORDS = 200_000   # words a Python worker remembers between batches
-CHUNK_CHARS = 4 << 20   # texts are encoded in chunks of about this size
+CHUNK_CHARS = 1 << 20   # texts are encoded in chunks of about this size
 
 # The normaliser and pre-tokenizer of the vocabulary file.
 WHITE = r"\p{White_Space}+"

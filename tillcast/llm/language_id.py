@@ -26,7 +26,7 @@ from tillcast.llm.common import numbered, pick, place, ready
 SAMPLE_CHARS = 256_000   # of labelled text, all languages together
 SAMPLE_DOCS = 64         # labelled documents that a language's sample is drawn from, about
 BLOCK = 256              # characters that are parsed in one go
-CHUNK = 2 << 20          # characters that a task walks at a time
+CHUNK = 1 << 19          # characters that a task walks at a time
 NO_LANGUAGE = "und"
 
 STATE_BITS = 28
