@@ -87,14 +87,14 @@ class Grams:
     def __init__(self, texts: list[str]) -> None:
         pad = BEGIN * (ORDER - 1)
         flat = np.frombuffer("".join(pad + t for t in texts).encode("utf-32-le"), np.uint32)
-        points, char = np.unique(flat, return_inverse=True)
+        char, points = distinct(flat, int(flat.max()) + 1 if len(flat) else 0)
         size = np.array([len(t) + ORDER - 1 for t in texts], np.int64)
         self.first = np.cumsum(size) - size
         self.size = size - (ORDER - 1)
         char = char.astype(np.int64)
-        rank, many = char, len(points)
+        rank, many = char, points
         for k in range(1, ORDER):
-            rank, many = distinct(rank[:len(flat) - k].astype(np.int64) * len(points) + char[k:], many * len(points)) if len(flat) > k else (np.zeros(0, np.int32), 0)
+            rank, many = distinct(rank[:len(flat) - k].astype(np.int64) * points + char[k:], many * points) if len(flat) > k else (np.zeros(0, np.int32), 0)
         inside = np.ones(len(flat), bool)   # positions whose ORDER characters end in a character of a text
         for k in range(ORDER - 1):
             inside[self.first + k] = False
@@ -210,7 +210,7 @@ def _entries(shards: int):
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, id, lang, mark, text) to (block, lang, compressed ids, marks and texts)."""
-    packer = zstandard.ZstdCompressor(level=9)
+    packer = zstandard.ZstdCompressor(level=5)
     held: dict[tuple[int, str], tuple[list, list, list]] = {}
     chars = 0
 
@@ -284,14 +284,15 @@ def look_up(chars: np.ndarray, lang: str, keys: np.ndarray, values: np.ndarray)
         at[at == len(keys)] = 0
         return np.where(keys[at] == key, values[at], np.nan) if len(keys) else np.full(len(key), np.nan)
 
-    out, weight, open_ = np.full(len(chars), np.nan), np.zeros(len(chars)), np.ones(len(chars), bool)
+    out, weight, todo = np.full(len(chars), np.nan), np.zeros(len(chars)), np.arange(len(chars))
     for k in range(ORDER, -1, -1):
-        p = find(chars[:, ORDER - k:], 0)
-        hit = open_ & ~np.isnan(p)
-        out[hit] = weight[hit] + p[hit]
-        open_ &= ~hit
-        if k and open_.any():
-            weight += np.nan_to_num(find(chars[:, ORDER - k:ORDER - 1], 1))
+        part = chars[todo]
+        p = find(part[:, ORDER - k:], 0)
+        hit = ~np.isnan(p)
+        out[todo[hit]] = weight[todo[hit]] + p[hit]
+        todo, part = todo[~hit], part[~hit]
+        if k and len(todo):
+            weight[todo] += np.nan_to_num(find(part[:, ORDER - k:ORDER - 1], 1))
     return out
 
 
