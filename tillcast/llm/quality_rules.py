@@ -26,7 +26,7 @@ KEEP = 0.5               # probability of good quality from which a text is kept
 MIN_WORDS = 20
 MAX_REPEAT = (30, 100)   # repeated words of all words
 WINDOW = 8
-CHUNK = 2 << 20          # characters that are scored at a time
+CHUNK = 1 << 19          # characters that are scored at a time
 
 # The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -169,18 +169,28 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def logistic(keys: list[np.ndarray], shares: list[np.ndarray], label: np.ndarray, size: int) -> tuple[np.ndarray, float]:
-    """Adam on the full batch; both classes have the same weight altogether."""
-    first = np.r_[0, np.cumsum([len(k) for k in keys])]
-    flat, value = np.concatenate(keys), np.concatenate(shares).astype(np.float64)
-    used, flat = np.unique(flat, return_inverse=True)
-    row = np.repeat(np.arange(len(keys)), np.diff(first))
+    """Adam on the full batch; both classes have the same weight altogether.
+    The sample is held twice, by row and by feature, as four-byte numbers."""
+    many = np.array([len(k) for k in keys])
+    flat, value = np.concatenate(keys), np.concatenate(shares)
+    seen = np.bincount(flat, minlength=size)
+    used = np.flatnonzero(seen)
+    flat = (np.cumsum(seen > 0, dtype=np.int32) - 1)[flat]
+    order = np.argsort(flat, kind="stable").astype(np.int32)
+    row = np.repeat(np.arange(len(keys), dtype=np.int32), many)[order]
+    by_feature = value[order]
+    del order
+    some, row_at, feature_at = many > 0, (np.cumsum(many) - many)[many > 0], np.r_[0, np.cumsum(seen[used])[:-1]]
     weight = np.where(label > 0, 0.5 / max(1, label.sum()), 0.5 / max(1, (1 - label).sum()))
-    w, bias = np.zeros(len(used)), 0.0
-    m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
+    w, bias = np.zeros(len(used), np.float32), 0.0
+    m, v, mb, vb = np.zeros(len(used), np.float32), np.zeros(len(used), np.float32), 0.0, 0.0
     for t in range(1, ROUNDS + 1):
-        margin = np.bincount(row, value * w[flat], minlength=len(keys)) + bias
+        margin = np.full(len(keys), bias)
+        if len(flat):
+            margin[some] += np.add.reduceat(value * w[flat], row_at)
         error = weight * (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - label)
-        g, gb = np.bincount(flat, value * error[row], minlength=len(used)) + RIDGE * w, error.sum()
+        gb = error.sum()
+        g = RIDGE * w + (np.add.reduceat(by_feature * error.astype(np.float32)[row], feature_at) if len(flat) else 0)
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g, 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         w -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         bias -= RATE * (mb / (1 - 0.9 ** t)) / (np.sqrt(vb / (1 - 0.999 ** t)) + 1e-8)
