@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tillcast.llm.common import SPACE, SPACE_BYTES, pick, ready
 
-SAMPLE_ROWS = 2000       # labelled rows of each class that the classifier learns from, about
+SAMPLE_ROWS = 1500       # labelled rows of each class that the classifier learns from, about
 BUCKETS = 1 << 18
 KEEP = 0.5               # probability of good quality from which a text is kept
 MIN_WORDS = 20
@@ -173,7 +173,7 @@ def logistic(keys: list[np.ndarray], shares: list[np.ndarray], label: np.ndarray
     The sample is held twice, by row and by feature, as four-byte numbers."""
     many = np.array([len(k) for k in keys])
     flat, value = np.concatenate(keys), np.concatenate(shares)
-    seen = np.bincount(flat, minlength=size)
+    seen = np.bincount(flat, minlength=size).astype(np.int32)
     used = np.flatnonzero(seen)
     flat = (np.cumsum(seen > 0, dtype=np.int32) - 1)[flat]
     order = np.argsort(flat, kind="stable").astype(np.int32)
@@ -239,12 +239,14 @@ def train_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     seen = rows.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "label").mapInArrow(_features, "doc_id long, label int, keys binary, shares binary").collect()
     seen.sort(key=lambda r: (r.doc_id, r["keys"]))
     label = np.array([r.label for r in seen], np.float64)
+    ids = np.array([r.doc_id for r in seen], np.int64)
     if len(set(label.tolist())) < 2:
         return None
     keys, shares = [np.frombuffer(r["keys"], np.int32) for r in seen], [np.frombuffer(r.shares, np.float32) for r in seen]
-    apart = mixed(np.array([r.doc_id for r in seen], np.int64).view(np.uint64)) % np.uint64(4) == 0   # a quarter is for the calibration
+    del seen
+    apart = mixed(ids.view(np.uint64)) % np.uint64(4) == 0   # a quarter is for the calibration
     if len(set(label[apart].tolist())) < 2 or len(set(label[~apart].tolist())) < 2:
-        apart = np.zeros(len(seen), bool)
+        apart = np.zeros(len(ids), bool)
     learn = np.flatnonzero(~apart)
     model = Classifier()
     flat, model.bias = logistic([keys[i] for i in learn], [shares[i] for i in learn], label[learn], model.weights.size)
