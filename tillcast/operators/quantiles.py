@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.operators.ranking import cumulative_positions
+from tillcast.session import ensure_checkpoint_dir
 
 
 def _approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> dict:
@@ -76,5 +77,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         return _approx(df, cols, probs, accuracy)
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
-    found = quantiles_of_counts(value_counts(df, cols), probs)
+    ensure_checkpoint_dir(df.sparkSession)
+    # checkpointed: range partitioning samples its input before it reads it
+    found = quantiles_of_counts(value_counts(df, cols).checkpoint(eager=True), probs)
     return {c: found.get(i) for i, c in enumerate(cols)}

@@ -105,7 +105,7 @@ def _running_sums(weights):
                 continue
             out = pdf.copy()
             for w in weights:
-                base = pdf["k"].map(lambda k, w=w: carry[w].get(k, 0)).astype("int64")
+                base = pdf["k"].map(carry[w]).fillna(0).astype("int64")
                 out[f"{w}_cum"] = pdf.groupby("k", sort=False)[w].cumsum().astype("int64") + base
                 carry[w].update(out.groupby("k", sort=False)[f"{w}_cum"].last().to_dict())
             yield out[["pid", "k", "v", *weights, *[f"{w}_cum" for w in weights]]]
