@@ -160,3 +160,16 @@ def test_folds_cut_between_days(spark):
     assert sorted(r["count"] for r in folded.groupBy("fold").count().collect()) == [70] * 5
     cut = mdl.cut_date_at(df, 0.7)
     assert mdl.cut_date_split(df, cut).where("is_train").count() == 245
+
+
+def test_curve_and_forest_fit_the_sales_rows(spark, monkeypatch):
+    from tillcast.plans import catalog
+    got = []
+    for name in ("learning_curve", "cross_validate"):
+        monkeypatch.setattr(mdl, name, lambda df, **kw: got.append((df, kw["kind"])))
+    d = "/root/testdata/sf0.001"
+    catalog.q_learning_curve(spark, d)
+    catalog.q_train_forest(spark, d)
+    assert [kind for _, kind in got] == ["tree", "forest"]
+    for df, _ in got:
+        assert df.count() > 2 * df.select("DateKey").distinct().count()
