@@ -9,14 +9,18 @@ from pyspark.sql import functions as F
 
 from tillcast.llm.bpe import bpe_digest, bpe_encode
 from tillcast.llm.common import table
+from tillcast.llm.conversation_repair import repair_report
 from tillcast.llm.exact_dedup import exact_dedup
+from tillcast.llm.jaccard_join import jaccard_components
 from tillcast.llm.kneser_ney import kneser_ney_quality
 from tillcast.llm.language_id import language_id
+from tillcast.llm.lexical_search import ranked_search
 from tillcast.llm.line_dedup import line_dedup
 from tillcast.llm.mixing import mix_to_weights
 from tillcast.llm.quality_rules import quality_rules
 from tillcast.llm.simhash import simhash_components
 from tillcast.llm.substring_dedup import substring_dedup
+from tillcast.llm.twins import JACCARD_SQL, REPAIR_SQL, SEARCH_SQL
 from tillcast.llm.warc import archive_pages
 
 
@@ -90,6 +94,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _fill(level: str, parent: str, above: str) -> str:
     """One level of water filling: nodes of ``level`` share the pool of their
     parent in the table ``above``."""
@@ -153,6 +169,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_jaccard_join": op12_jaccard_join,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE = {
@@ -203,4 +222,7 @@ SELECT doc_id, keep_id, group_size,
        (doc_id IS NOT DISTINCT FROM keep_id AND chars = keep_chars) AS kept,
        sha256(body) AS text_sha256
 FROM g""",
+    "op11_conversation_repair": REPAIR_SQL,
+    "op12_jaccard_join": JACCARD_SQL,
+    "op13_ranked_search": SEARCH_SQL,
 }
