@@ -265,35 +265,64 @@ ADF_CRITICAL = {
 }
 
 
-def adf_statistic(y: np.ndarray, lags: int) -> tuple[float, int]:
-    """t-value of y_{t-1} in dy_t = a + g*y_{t-1} + sum_i c_i dy_{t-i} + e."""
-    y = np.asarray(y, dtype=float)
+# MacKinnon (1994) p-value surface of the same test: normal
+# quantile as a polynomial of the statistic, below and above the break.
+ADF_RANGE = (-18.83, -1.61, 2.74)
+ADF_BELOW = (2.1659, 1.4412, 0.038269)
+ADF_ABOVE = (1.7339, 0.93202, -0.12745, -0.010368)
+
+
+def adf_p_value(stat: float) -> float:
+    low, middle, high = ADF_RANGE
+    if math.isnan(stat) or stat > high:
+        return 1.0 if stat > high else float("nan")
+    if stat < low:
+        return 0.0
+    z = sum(c * stat ** i for i, c in enumerate(ADF_BELOW if stat <= middle else ADF_ABOVE))
+    return 0.5 * math.erfc(-z / math.sqrt(2))
+
+
+def _adf_fit(y: np.ndarray, lags: int, start: int) -> tuple[float, float, int]:
+    """t-value of y_{t-1} in dy_t = a + g*y_{t-1} + sum_i c_i dy_{t-i} + e,
+    over the differences from number ``start`` on; AIC; equations."""
     dy = np.diff(y)
-    rows = len(dy) - lags
+    rows = len(dy) - start
     if rows <= lags + 3:
-        return float("nan"), 0
-    X = [np.ones(rows), y[lags:-1]]
-    for i in range(1, lags + 1):
-        X.append(dy[lags - i:len(dy) - i])
-    X = np.column_stack(X)
-    target = dy[lags:]
+        return float("nan"), math.inf, 0
+    X = np.column_stack([np.ones(rows), y[start:-1]] + [dy[start - i:len(dy) - i] for i in range(1, lags + 1)])
+    target = dy[start:]
     beta, *_ = np.linalg.lstsq(X, target, rcond=None)
     resid = target - X @ beta
-    dof = rows - X.shape[1]
-    s2 = float(resid @ resid) / dof
-    cov = s2 * np.linalg.pinv(X.T @ X)
-    return float(beta[1] / math.sqrt(cov[1, 1])), rows
+    rss = float(resid @ resid)
+    cov = rss / (rows - X.shape[1]) * np.linalg.pinv(X.T @ X)
+    stat = float(beta[1] / math.sqrt(cov[1, 1])) if cov[1, 1] > 0 else float("nan")
+    return stat, rows * math.log(rss / rows) + 2 * X.shape[1] if rss > 0 else -math.inf, rows
+
+
+def adf_statistic(y: np.ndarray, lags: int) -> tuple[float, int]:
+    """The statistic with that many lagged differences, and its equations."""
+    stat, _, rows = _adf_fit(np.asarray(y, dtype=float), lags, lags)
+    return stat, rows
+
+
+def adf_lag(y: np.ndarray, most: int) -> int:
+    """The number of lagged differences with the lowest AIC, all on the sample
+    of the largest one (ties: the fewer)."""
+    y = np.asarray(y, dtype=float)
+    most = max(0, min(most, (len(y) - 1) // 2 - 2))
+    return min((_adf_fit(y, k, most)[1], k) for k in range(most + 1))[1]
 
 
 def adf_test(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
              keys: Sequence[str] = (), lags: int | None = None, diff_first: bool = False,
-             step: str = "day") -> DataFrame:
-    """Augmented Dickey-Fuller per series with a fixed lag order (default
-    12*(n/100)^(1/4)), and the 1/5/10% critical values.  Gaps are filled by
+             step: str = "day", max_lags: int | None = None) -> DataFrame:
+    """Augmented Dickey-Fuller per series: statistic, p-value and the 1/5/10 %
+    critical values.  The lag order is ``lags``, else the one of the lowest
+    AIC up to ``max_lags`` (default 12*(n/100)^(1/4)).  Gaps are filled by
     interpolation; null ends (as of a decomposition's residual) are cut."""
     ship_package(df.sparkSession)
     src, gk = _series_frame(df, keys, ds, y)
-    schema = _key_schema(src, gk) + (", adf double, lags int, nobs int, crit_1 double, "
+    schema = _key_schema(src, gk) + (", adf double, p_value double, lags int, nobs int, crit_1 double, "
                                      "crit_5 double, crit_10 double, stationary_5 boolean")
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -301,14 +330,17 @@ def adf_test(df: DataFrame, y: str = "SalesAmount", ds: str = "DateKey",
         vals = filled(on_calendar(known, ds, step).to_numpy()) if len(known) else np.zeros(0)
         if diff_first:
             vals = np.diff(vals)
-        k = lags if lags is not None else int(12 * (len(vals) / 100.0) ** 0.25)
+        k = lags
+        if k is None:
+            most = max_lags if max_lags is not None else math.ceil(12 * (len(vals) / 100.0) ** 0.25)
+            k = adf_lag(vals, most) if len(vals) > 8 else 0
         stat, nobs = adf_statistic(vals, k)
         crit = {}
         for name, (t, c1, c2, c3) in ADF_CRITICAL.items():
             T = max(nobs, 1)
             crit[name] = t + c1 / T + c2 / T ** 2 + c3 / T ** 3
         row = {g: pdf[g].iloc[0] for g in gk}
-        row.update(adf=stat, lags=k, nobs=nobs, crit_1=crit["1%"], crit_5=crit["5%"],
+        row.update(adf=stat, p_value=adf_p_value(stat), lags=k, nobs=nobs, crit_1=crit["1%"], crit_5=crit["5%"],
                    crit_10=crit["10%"], stationary_5=bool(stat < crit["5%"]))
         return pd.DataFrame([row])
 
