@@ -28,10 +28,10 @@ class RobustParams:
     scale: dict[str, float | None]
 
 
-def fit_robust(df: DataFrame, cols: Sequence[str], method: str = "exact") -> RobustParams:
-    """Median and inter-quartile range per column, all in one pass; an IQR
-    of 0 scales by 1."""
-    return robust_of(quantiles(df, cols, [0.25, 0.5, 0.75], method=method))
+def fit_robust(df: DataFrame, cols: Sequence[str], method: str = "exact", store: bool = False) -> RobustParams:
+    """Median and inter-quartile range per column, all at once; an IQR of 0
+    scales by 1.  ``store``: see ``quantiles``."""
+    return robust_of(quantiles(df, cols, [0.25, 0.5, 0.75], method=method, store=store))
 
 
 def robust_of(q: dict[str, list[float] | None]) -> RobustParams:

@@ -20,8 +20,8 @@ from tillcast import schema as S
 from tillcast.functions import scalars as sc
 from tillcast.functions.calendar import cyclic
 from tillcast.operators import encoders as enc
-from tillcast.operators.quantiles import quantiles_of_counts
 from tillcast.session import ensure_checkpoint_dir
+from tillcast.sources.sinks import stored
 
 SCALED_YEAR = "CalendarYear_scaled"
 
@@ -62,26 +62,21 @@ class FeatureModel:
 
 
 def fit_features(df: DataFrame, handle_unknown: str = "error") -> FeatureModel:
-    """Learn scaler / one-hot / label statistics from ``df`` in one pass over
-    its rows: the counts of each value of each column are checkpointed, and
-    all three are fitted on these."""
-    prepared = prepare_rows(df)
-    ensure_checkpoint_dir(df.sparkSession)
+    """Learn scaler / one-hot / label statistics from ``df``.  Its rows are
+    prepared once and the columns that are fitted are written; the quartiles
+    and the counts of each category read those."""
     numeric, text = list(S.ROBUST_SCALE_COLUMNS), [*S.ONE_HOT_COLUMNS, *S.LABEL_COLUMNS]
-    none, blank = F.lit(None).cast("double"), F.lit(None).cast("string")
-    cells = [F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v"), blank.alias("s")) for i, c in enumerate(numeric)]
-    cells += [F.struct(F.lit(len(numeric) + i).alias("k"), none.alias("v"), F.col(c).cast("string").alias("s")) for i, c in enumerate(text)]
-    counts = (prepared.select(F.explode(F.array(*cells)).alias("p")).select("p.*").groupBy("k", "v", "s")
-              .agg(F.count(F.lit(1)).alias("w")).checkpoint(eager=True))
-    found = quantiles_of_counts(counts.where((F.col("k") < len(numeric)) & F.col("v").isNotNull()).select("k", "v", "w"), [0.25, 0.5, 0.75])
-    robust = enc.robust_of({c: found.get(i) for i, c in enumerate(numeric)})
+    ensure_checkpoint_dir(df.sparkSession)
+    prepared = stored(prepare_rows(df).select(*dict.fromkeys([*numeric, *text])), "prepared")
+    robust = enc.fit_robust(prepared, numeric)
+    counts = enc.category_counts(prepared, text).checkpoint(eager=True)
 
     def part(first: int, size: int) -> DataFrame:
         k = F.col("k") - F.lit(first)
         return counts.where((k >= 0) & (k < size)).select(k.alias("k"), "s", "w")
 
-    onehot = enc.onehot_of(prepared, list(S.ONE_HOT_COLUMNS), part(len(numeric), len(S.ONE_HOT_COLUMNS)), handle_unknown)
-    labels = enc.label_of(prepared, list(S.LABEL_COLUMNS), part(len(numeric) + len(S.ONE_HOT_COLUMNS), len(S.LABEL_COLUMNS)))
+    onehot = enc.onehot_of(prepared, list(S.ONE_HOT_COLUMNS), part(0, len(S.ONE_HOT_COLUMNS)), handle_unknown)
+    labels = enc.label_of(prepared, list(S.LABEL_COLUMNS), part(len(S.ONE_HOT_COLUMNS), len(S.LABEL_COLUMNS)))
     return FeatureModel(robust, onehot, labels)
 
 
@@ -104,5 +99,5 @@ def simple_preprocess(df: DataFrame, quantile_method: str = "exact") -> DataFram
     """Robust-scale every numeric column, pass the others through; each
     value keeps its own column name."""
     cols = sc.numeric_columns(df)
-    params = enc.fit_robust(df, cols, method=quantile_method)
+    params = enc.fit_robust(df, cols, method=quantile_method, store=True)
     return enc.apply_robust(df, params)

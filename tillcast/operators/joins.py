@@ -1,8 +1,8 @@
 """Join helpers: left equi-joins with a size-checked broadcast.
 
-A side is broadcast only when the optimizer's size estimate of that side
-is below a bound (``tillcast.broadcast.maxBytes``, default 64 MiB).  Above
-the bound nothing is forced: Spark plans a sort-merge join, and AQE may
+A side is broadcast only when its rows, known or counted, are within a bound
+(``tillcast.broadcast.maxBytes``, default 64 MiB).  Above the bound nothing
+is forced: Spark plans a sort-merge join, and AQE may
 still turn it into a broadcast once the real shuffle sizes are known.
 """
 
@@ -17,17 +17,6 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan, or None when unavailable.
-
-    Without column statistics Spark estimates a join as the product of its
-    inputs, so for join-derived frames prefer ``bounded_bytes``."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # Spark Connect or an unexpected plan: no estimate
-        return None
-
-
 _TYPE_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
                "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "decimal": 16}
 
@@ -57,12 +46,12 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
 
     ``max_rows`` is a proven row bound (e.g. the row count of the table
     the dimension is derived from by projection / unique-key left joins);
-    without it the optimizer's estimate is used."""
+    without one the frame's rows are counted, no further than the limit."""
     limit = broadcast_limit(df) if max_bytes is None else max_bytes
-    size = bounded_bytes(df, max_rows) if max_rows is not None else estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
+    if max_rows is None:
+        most = limit // row_width(df)
+        max_rows = df.limit(most + 1).count()
+    return F.broadcast(df) if bounded_bytes(df, max_rows) <= limit else df
 
 
 def left_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,

@@ -10,12 +10,13 @@ from typing import Sequence
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressionModel, GBTRegressor,
                                    RandomForestRegressor)
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tillcast import schema as S
 from tillcast.operators.metrics import metrics
+from tillcast.session import ensure_checkpoint_dir
 
 FEATURES = "features"
 
@@ -27,10 +28,22 @@ def feature_columns(df: DataFrame, exclude: Sequence[str] = ("DateKey", "SalesAm
             if isinstance(f.dataType, NumericType) and f.name not in skip]
 
 
-def assemble(df: DataFrame, cols: Sequence[str], out: str = FEATURES) -> DataFrame:
-    """Vector column from numeric features (nulls -> 0)."""
-    filled = df.na.fill(0, subset=list(cols))
-    return VectorAssembler(inputCols=list(cols), outputCol=out).transform(filled)
+def assemble(df: DataFrame, cols: Sequence[str], out: str = FEATURES, nulls: str = "zero") -> DataFrame:
+    """Vector column from numeric features.  ``nulls``: a null feature is 0
+    (``zero``, as the impute step of the chain has it), its row is left out
+    (``drop``), or it fails the job (``error``).  ``null_features`` counts
+    them."""
+    if nulls not in ("zero", "drop", "error"):
+        raise ValueError(f"nulls is zero, drop or error, not {nulls!r}")
+    df = df.na.fill(0, subset=list(cols)) if nulls == "zero" else df.na.drop(subset=list(cols)) if nulls == "drop" else df
+    return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
+
+
+def null_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Nulls and nan of each feature: column, nulls."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in cols])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in cols)
+    return counts.selectExpr(f"stack({len(list(cols))}, {pairs}) AS (column, nulls)")
 
 
 def holdout_split(df: DataFrame, test_size: float = 0.1, order: str = "DateKey",
@@ -98,6 +111,26 @@ def _early_stop(values: list[float], patience: int) -> int:
     return best_i + 1
 
 
+ROUNDS_FIRST = 32     # rounds that are fitted before the stopping rule is asked
+
+
+def first_trees(model: GBTRegressionModel, k: int) -> GBTRegressionModel:
+    """The ensemble of a fitted ensemble's first ``k`` trees: what a fit of ``k``
+    rounds gives, since a round depends on those before it only."""
+    return _ensemble(model, list(model._java_obj.trees())[:k], list(model.treeWeights)[:k])
+
+
+def _ensemble(like: GBTRegressionModel, trees: list, weights: list[float]) -> GBTRegressionModel:
+    sc = SparkSession.getActiveSession().sparkContext
+    gateway, jvm = sc._gateway, sc._jvm
+    tree_array = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
+    weight_array = gateway.new_array(jvm.double, len(trees))
+    for i, (t, w) in enumerate(zip(trees, weights, strict=True)):
+        tree_array[i], weight_array[i] = t, float(w)
+    made = jvm.org.apache.spark.ml.regression.GBTRegressionModel(like.uid, tree_array, weight_array, like.numFeatures)
+    return GBTRegressionModel(made)
+
+
 def train_gbt(train: DataFrame, label: str = "SalesAmount", val: DataFrame | None = None,
               features: Sequence[str] | None = None, max_depth: int = S.GBT_DEFAULTS["max_depth"],
               n_trees: int = S.GBT_DEFAULTS["n_trees"],
@@ -105,32 +138,33 @@ def train_gbt(train: DataFrame, label: str = "SalesAmount", val: DataFrame | Non
               patience: int = S.GBT_DEFAULTS["patience"], seed: int = 42, max_bins: int = 64) -> GbtResult:
     """Boosted trees (absolute-error metric for early stopping).
 
-    Spark's built-in validation stops at the first flat round, so: fit
-    ``n_trees`` rounds, score every round on the validation set with
-    ``evaluateEachIteration``, pick the best round with ``patience``, and
-    refit with exactly that many rounds (deterministic: no subsampling).
+    Spark's built-in validation stops at the first flat round, so rounds are
+    fitted in growing numbers (32, 64, ... up to ``n_trees``) until the
+    validation error hasn't fallen for ``patience`` rounds; the model is the
+    ensemble cut after its best round.  Rounds are deterministic (no
+    subsampling), so this is the model of ``n_trees`` rounds with that rule,
+    and no more than about twice the rounds that it looks at are fitted.
     ``max_bins``: candidate splits of a feature.
     """
     spark = train.sparkSession
     cols = list(features) if features else feature_columns(train, ("DateKey", label))
     tr = assemble(train, cols).select(FEATURES, label).persist()   # read by every round
-
-    def est(k: int) -> GBTRegressor:
-        return GBTRegressor(featuresCol=FEATURES, labelCol=label, maxDepth=max_depth,
-                            maxIter=k, stepSize=learning_rate, seed=seed, maxBins=max_bins)
-
-    model = est(n_trees).fit(tr)
+    va = assemble(val, cols).select(FEATURES, label).persist() if val is not None else None
+    k = n_trees if va is None else min(ROUNDS_FIRST, n_trees)
+    while True:
+        model = GBTRegressor(featuresCol=FEATURES, labelCol=label, maxDepth=max_depth, maxIter=k,
+                             stepSize=learning_rate, seed=seed, maxBins=max_bins).fit(tr)
+        val_err = model.evaluateEachIteration(va, "absolute") if va is not None else [None] * k
+        best = _early_stop(val_err, patience) if va is not None else k
+        if k == n_trees or best + patience <= k:
+            break
+        k = min(2 * k, n_trees)
     train_err = model.evaluateEachIteration(tr, "absolute")
-    if val is not None:
-        va = assemble(val, cols)
-        val_err = model.evaluateEachIteration(va, "absolute")
-        best = _early_stop(val_err, patience)
-        if best < n_trees:
-            model = est(best).fit(tr)
-    else:
-        val_err = [None] * len(train_err)
-        best = n_trees
-    tr.unpersist()
+    if best < k:
+        model = first_trees(model, best)
+    for held in (tr, va):
+        if held is not None:
+            held.unpersist()
     hist = spark.createDataFrame(
         [(i + 1, float(t), (float(v) if v is not None else None))
          for i, (t, v) in enumerate(zip(train_err, val_err))],
@@ -138,6 +172,30 @@ def train_gbt(train: DataFrame, label: str = "SalesAmount", val: DataFrame | Non
     return GbtResult(model, best, hist, cols)
 
 
+def continue_gbt(model: GBTRegressionModel, train: DataFrame, rounds: int, features: Sequence[str],
+                 label: str = "SalesAmount", max_depth: int = S.GBT_DEFAULTS["max_depth"],
+                 learning_rate: float = S.GBT_DEFAULTS["learning_rate"], seed: int = 42, max_bins: int = 64) -> GBTRegressionModel:
+    """Boosting continued from a saved model by ``rounds`` trees, on the same or on
+    new rows: each tree fits the squared error's negative gradient at the
+    ensemble so far, as a round of the first fit does.  The running
+    prediction is checkpointed every ten rounds."""
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    trees, weights = list(model._java_obj.trees()), list(model.treeWeights)
+    now = model.transform(assemble(train, features)).select(FEATURES, F.col(label).cast("double").alias("_y"), F.col("prediction").alias("_f"))
+    now = now.checkpoint(eager=True)
+    for i in range(rounds):
+        step = now.withColumn("_r", 2 * (F.col("_y") - F.col("_f")))
+        tree = DecisionTreeRegressor(featuresCol=FEATURES, labelCol="_r", predictionCol="_t", maxDepth=max_depth,
+                                     seed=seed + len(trees), maxBins=max_bins).fit(step)
+        trees.append(tree._java_obj)
+        weights.append(learning_rate)
+        now = tree.transform(now).select(FEATURES, "_y", (F.col("_f") + learning_rate * F.col("_t")).alias("_f"))
+        if i % 10 == 9 and i + 1 < rounds:
+            now = now.checkpoint(eager=True)
+    return _ensemble(model, trees, weights)
+
+
 def predict(model, df: DataFrame, features: Sequence[str], scale: float = 1.0,
             out: str = "prediction") -> DataFrame:
     """Score rows; ``scale`` multiplies predictions (1 / sample ratio).  A

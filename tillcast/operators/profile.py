@@ -16,6 +16,7 @@ from tillcast.operators.quantiles import quantiles
 from tillcast.operators.ranking import cumulative_positions
 from tillcast.operators.seasonal import money_mean, money_sum
 from tillcast.session import ship_package
+from tillcast.sources.sinks import stored
 
 
 def global_stats(df: DataFrame, col: str = "SalesAmount") -> DataFrame:
@@ -29,6 +30,7 @@ def describe(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataF
     quartiles (``df.summary`` quartiles are approximate).  One row per
     column."""
     spark = df.sparkSession
+    df = stored(df.select(*cols), "described")     # read by the moments and the quartiles
     base = df.agg(*[e for c in cols for e in (
         F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
         F.stddev_samp(c).alias(f"{c}__std"), F.min(F.col(c).cast("double")).alias(f"{c}__min"),

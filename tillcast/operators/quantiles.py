@@ -1,10 +1,12 @@
-"""Exact quantiles (linear interpolation, as ``quantile_cont``).
+"""Exact quantiles (linear interpolation, as ``quantile_cont``) by selection.
 
-One plan at any size: unpivot to (column, value), count per distinct pair
-(combined before the shuffle), range-partition the pairs, take running
-counts inside each partition, add the per-partition offsets, and keep the
-pairs whose rank interval holds a wanted rank.  No task ever holds more
-than one range partition, and a value that many rows share is one pair.
+One aggregate over the rows builds a mergeable sketch of each column, which
+brackets each wanted rank between two values close to it.  A second aggregate
+counts the values below, at and between the two, and brings the few between
+them.  The counts decide where the rank lies, so the result is exact whatever
+the sketch says; a bracket that is still too wide is narrowed by the same two
+steps inside it.  Nothing is unpivoted, shuffled or sorted but the brought
+values, and a value that many rows share costs nothing.
 
 ``approx`` uses ``percentile_approx`` with the given accuracy.
 """
@@ -12,13 +14,18 @@ than one range partition, and a value that many rows share is one pair.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.operators.ranking import cumulative_positions
-from tillcast.session import ensure_checkpoint_dir
+from tillcast.sources.sinks import stored
+
+ACCURACY = 5_000        # of the sketches: a rank is off by n / ACCURACY at most
+KEEP = 20_000           # values of a bracket that are brought to the driver
+SMALL_VALUES = 300_000  # of all columns, up to which they are brought instead
+BRACKETS = 240          # in one aggregate
 
 
 def _approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> dict:
@@ -29,55 +36,126 @@ def _approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy
             for i, c in enumerate(cols)}
 
 
-def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(k, v, w): number of rows of each non-null value of each column, by the
-    column's position."""
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("v"))
-        for i, c in enumerate(cols)])).alias("p")).select("p.k", "p.v").where(F.col("v").isNotNull())
-    return pairs.groupBy("k", "v").agg(F.count(F.lit(1)).alias("w"))
-
-
-def quantiles_of_counts(counts: DataFrame, probs: Sequence[float]) -> dict[int, list[float]]:
-    """Quantiles of each group ``k`` of weighted values (see ``value_counts``)."""
-    pos = cumulative_positions(counts)
-    n_by_k = {r["k"]: int(r["n"]) for r in pos.groupBy("k").agg(F.max("r1").alias("n")).collect()}
-    wanted = {}
-    for k, n in n_by_k.items():
-        low = [math.floor((n - 1) * p) + 1 for p in probs]
-        wanted[k] = sorted({*low, *[min(x + 1, n) for x in low]})
-    if not wanted:
-        return {}
-    spark = counts.sparkSession
-    # a row for each column, with its few ranks
-    ranks = spark.createDataFrame(list(wanted.items()), "k int, ranks array<long>")
-    inside = F.filter("ranks", lambda r: (r >= F.col("r0")) & (r <= F.col("r1")))
-    hits = (pos.join(F.broadcast(ranks), "k").withColumn("hit", inside).where(F.size("hit") > 0)
-            .select("k", F.explode("hit").alias("r"), "v").collect())   # a row for each rank
-    value = {(h["k"], h["r"]): h["v"] for h in hits}
-    out = {}
-    for k, n in n_by_k.items():
-        out[k] = []
-        for p in probs:
-            h = (n - 1) * p
-            low = math.floor(h) + 1
-            a, b = value[k, low], value[k, min(low + 1, n)]
-            out[k].append(a + (h - math.floor(h)) * (b - a))
-    return out
+@dataclass
+class _Bracket:
+    """Ranks of a column that lie among the ``size`` values inside an open
+    interval, ``base`` values being at or below its lower end."""
+    col: int
+    ranks: list[int]
+    base: int
+    size: int
+    low: float | None = None
+    high: float | None = None
+
+    def inside(self, v: Column) -> Column:
+        cond = F.lit(True)
+        if self.low is not None:
+            cond = cond & (v > self.low)
+        if self.high is not None:
+            cond = cond & (v < self.high)
+        return cond
+
+    def split(self, x: float, y: float, lt: int, at_x: int, mid: int, at_y: int, held: list[float] | None,
+              found: dict[tuple[int, int], float]) -> list[_Bracket]:
+        """What the counts around [x, y] tell: ranks that are found, and narrower
+        brackets of the others.  The counts are of values inside this one."""
+        runs = [(lt, None), (at_x, x), (mid, held and sorted(held)), (at_y, y), (self.size - lt - at_x - mid - at_y, None)]
+        ends = [(self.low, x), None, (x, y), None, (y, self.high)]
+        rest, base = [], self.base
+        for (many, value), end in zip(runs, ends, strict=True):
+            here = [r for r in self.ranks if base < r <= base + many]
+            if here and isinstance(value, list):
+                found.update({(self.col, r): value[r - base - 1] for r in here})
+            elif here and value is not None:
+                found.update({(self.col, r): value for r in here})
+            elif here:
+                rest.append(_Bracket(self.col, here, base, many, *end))
+            base += many
+        return rest
+
 
+def _value(df: DataFrame, col: str) -> Column:
+    """The column as double without nan, which counts as the largest value."""
+    v = F.col(col).cast("double")
+    return F.when(~F.isnan(v), v) if dict(df.dtypes)[col] in ("double", "float") else v
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              method: str = "exact", accuracy: int = 100000) -> dict[str, list[float] | None]:
+
+def _round(df: DataFrame, values: list[Column], brackets: list[_Bracket], found: dict[tuple[int, int], float],
+           ends: list[list[float]] | None = None) -> list[_Bracket]:
+    """One narrowing of all brackets: a sketch (unless its points are given)
+    and the counts."""
+    if ends is None:
+        exprs = []
+        for i, b in enumerate(brackets):
+            near = [(b.ranks[0] - b.base) / b.size, (b.ranks[-1] - b.base) / b.size]
+            exprs.append(F.percentile_approx(F.when(b.inside(values[b.col]), values[b.col]), _points(*near), ACCURACY).alias(f"e{i}"))
+        row = df.agg(*exprs).first()
+        ends = [row[f"e{i}"] for i in range(len(brackets))]
+    exprs = []
+    for i, (b, (x, y)) in enumerate(zip(brackets, ends, strict=True)):
+        v, inside = values[b.col], b.inside(values[b.col])
+        exprs += [F.count_if(inside & (v < x)).alias(f"lt{i}"), F.count_if(inside & (v == x)).alias(f"x{i}"),
+                  F.count_if(inside & (v > x) & (v < y)).alias(f"m{i}"), F.count_if(inside & (v > x) & (v == y)).alias(f"y{i}")]
+        span = b.ranks[-1] - b.ranks[0] + 1
+        if span + 8 * b.size / ACCURACY <= KEEP:      # the sketch bounds what lies between
+            exprs.append(F.collect_list(F.when(inside & (v > x) & (v < y), v)).alias(f"h{i}"))
+    row = df.agg(*exprs).first().asDict()
+    return [n for i, (b, (x, y)) in enumerate(zip(brackets, ends, strict=True))
+            for n in b.split(x, y, row[f"lt{i}"], row[f"x{i}"], row[f"m{i}"], row[f"y{i}"], row.get(f"h{i}"), found)]
+
+
+def _points(low: float, high: float) -> Column:
+    return F.array(F.lit(max(0.0, low - 3 / ACCURACY)), F.lit(min(1.0, high + 3 / ACCURACY)))
+
+
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method: str = "exact",
+              accuracy: int = 100000, store: bool = False) -> dict[str, list[float] | None]:
     """``{column: [q(p) for p in probs]}`` over non-null values (None when a
-    column has no non-null value)."""
-    cols = list(cols)
+    column has no non-null value).  The rows are read two or three times;
+    ``store`` writes the columns first, for frames that are costly to read."""
+    cols, probs = list(cols), [float(p) for p in probs]
     if not cols:
         return {}
     if method == "approx":
         return _approx(df, cols, probs, accuracy)
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
-    ensure_checkpoint_dir(df.sparkSession)
-    # checkpointed: range partitioning samples its input before it reads it
-    found = quantiles_of_counts(value_counts(df, cols).checkpoint(eager=True), probs)
-    return {c: found.get(i) for i, c in enumerate(cols)}
+    df = df.select(*cols)
+    if store:
+        df = stored(df, "columns")
+    values = [_value(df, c) for c in cols]
+    sketch = [F.percentile_approx(v, F.concat(*[_points(p, p) for p in probs]), ACCURACY).alias(f"e{i}") for i, v in enumerate(values)]
+    seen = df.agg(*sketch, *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)],
+                  *[F.count(c).alias(f"all{i}") for i, c in enumerate(cols)]).first()
+    counts = [seen[f"all{i}"] for i in range(len(cols))]
+    known = [seen[f"n{i}"] for i in range(len(cols))]
+    pairs = [[(low, min(low + 1, n)) for low in (math.floor((n - 1) * p) + 1 for p in probs)] if n else [] for n in counts]
+    found: dict[tuple[int, int], float] = {}
+    wanted = [sorted({r for pair in p for r in pair if r <= k}) for p, k in zip(pairs, known, strict=True)]
+    if sum(known) <= SMALL_VALUES:
+        row = df.agg(*[F.collect_list(v).alias(f"v{i}") for i, v in enumerate(values)]).first()
+        for i, w in enumerate(wanted):
+            inside = sorted(row[f"v{i}"])
+            found.update({(i, r): inside[r - 1] for r in w})
+    else:
+        open_ = []
+        for i, p in enumerate(pairs):
+            for j, pair in enumerate(p):
+                ranks = sorted({r for r in pair if r <= known[i]})
+                if ranks:
+                    open_.append((_Bracket(i, ranks, 0, known[i]), seen[f"e{i}"][2 * j:2 * j + 2]))
+        rest: list[_Bracket] = []
+        for at in range(0, len(open_), BRACKETS):
+            part = open_[at:at + BRACKETS]
+            rest += _round(df, values, [b for b, _ in part], found, [e for _, e in part])
+        while rest:
+            rest = [b for at in range(0, len(rest), BRACKETS) for b in _round(df, values, rest[at:at + BRACKETS], found)]
+    out: dict[str, list[float] | None] = {}
+    for i, (c, n) in enumerate(zip(cols, counts, strict=True)):
+        out[c] = None if not n else []
+        for p, (low, up) in zip(probs, pairs[i], strict=True) if n else ():
+            a, b = (found.get((i, r), math.nan) for r in (low, up))      # ranks above all numbers are nan
+            h = (n - 1) * p
+            part = h - math.floor(h)
+            out[c].append(a if part == 0 or a == b else a + part * (b - a))
+    return out

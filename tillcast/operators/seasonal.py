@@ -1,8 +1,8 @@
 """Calendar-grain aggregation (daily, weekly, monthly, quarterly, yearly).
 
 One ``groupBy().agg()`` per grain (partial + final hash aggregate, one
-shuffle on the grain key), or all five grains in one pass with GROUPING
-SETS.  Null rules follow the original pipeline: a sum over only nulls is
+shuffle on the grain key), or all five grains rolled up from one state per
+day.  Null rules follow the original pipeline: a sum over only nulls is
 0, means skip nulls, "first" takes the value on the period's earliest
 date, rows with a null group key are dropped.
 """
@@ -172,15 +172,39 @@ def grain_of(gid: Column) -> Column:
     return expr
 
 
+def _states(df: DataFrame, spec: dict[str, str]) -> list[tuple[dict[str, Column], Column]]:
+    """For each aggregate of a {column: "sum"|"mean"} map: states of rows that
+    add up over days, and the aggregate from their sums."""
+    out = []
+    for c, how in spec.items():
+        if c not in df.columns:
+            continue
+        val, total, count = F.col(c), f"{c}__sum", f"{c}__count"
+        money = c in MONEY_COLUMNS
+        if c == "IsWorkDay" and dict(df.dtypes)[c] == "string":
+            val = F.when(val == "WorkDay", 1.0).when(val.isNotNull(), 0.0)
+        if how == "mean":
+            exact = val.cast(PRICE if c in PRICE_COLUMNS else MONEY) if money else val.cast("double")
+            out.append(({total: F.sum(exact), count: F.count(val)},
+                        F.try_divide(F.sum(total).cast("double"), F.sum(count)).alias(c)))
+        elif money and c not in PRICE_COLUMNS:
+            out.append(({total: F.sum(val.cast(MONEY))}, F.coalesce(F.sum(total), F.lit(0)).cast("double").alias(c)))
+        else:
+            out.append(({total: F.sum(val)}, F.coalesce(F.sum(total), F.lit(0)).alias(c)))
+    return out
+
+
 def multi_grain(df: DataFrame, spec: dict[str, str] | None = None,
                 grains: Sequence[str] = S.GRAINS) -> DataFrame:
-    """All requested grains in ONE pass (GROUPING SETS): a ``grain`` column
-    plus the grain keys (null where not part of the grain)."""
-    spec = spec or SIMPLE_AGGS
+    """All requested grains: a ``grain`` column plus the grain keys (null where
+    not part of the grain).  The rows are aggregated once, to a state per
+    day; the grains are rolled up from the days, whose number the calendar
+    bounds."""
+    states = _states(df, spec or SIMPLE_AGGS)
     src = df.where(F.col("DateKey").isNotNull() & F.col("CalendarYear").isNotNull())
+    days = src.groupBy(*ALL_GRAIN_KEYS).agg(*[e.alias(n) for s, _ in states for n, e in s.items()])
     sets = [S.GRAIN_KEYS[g] for g in grains]
-    aggs = _agg_from_map(df, spec) + [F.grouping_id().alias("_gid")]
-    out = src.groupingSets(sets, *ALL_GRAIN_KEYS).agg(*aggs)
+    out = days.groupingSets(sets, *ALL_GRAIN_KEYS).agg(*[last for _, last in states], F.grouping_id().alias("_gid"))
     return out.withColumn("grain", grain_of(F.col("_gid"))).drop("_gid")
 
 

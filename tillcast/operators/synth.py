@@ -1,7 +1,8 @@
 """Synthetic rows for days not yet observed: a Gaussian copula.
 
 Fit (on a calendar-aggregated table, bounded by the number of days):
-* marginals: exact 101-point percentile grids (one aggregate);
+* marginals: exact 101-point percentile grids, or fitted families
+  (``marginals``: truncated normal, gamma, beta) where they are asked for;
 * categorical groups (a fixed combination of columns) become one latent
   column: the fitted rows, sorted by combination, are numbered; a
   combination's score is the middle of its numbers, and a drawn score is a
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tillcast.operators.encoders import category_counts
+from tillcast.operators.marginals import Marginal, fit_marginals
 from tillcast.operators.profile import named_pairs
 from tillcast.operators.quantiles import quantiles
 from tillcast.operators.ranking import global_row_number
@@ -140,6 +142,7 @@ class CopulaModel:
     onehot: list[list[str]] = field(default_factory=list)
     corr: np.ndarray | None = None
     n_rows: int = 0
+    marginals: dict[str, Marginal] = field(default_factory=dict)   # of columns with a fitted family
 
     @property
     def latent(self) -> list[str]:
@@ -171,13 +174,20 @@ def _decimals(df: DataFrame, cols: Sequence[str], max_dec: int = MAX_DECIMALS) -
     return out
 
 
-def _scores_fn(model: CopulaModel):
+def _scorer(model: CopulaModel):
+    """Normal scores of a column's values, by its marginal."""
     grids = {c: np.asarray(model.grids[c], dtype=float) for c in model.continuous}
+    fitted = dict(model.marginals)
+    return lambda c, x: norm_ppf(fitted[c].cdf(x) if c in fitted else _mid_cdf(x, grids[c]))
+
+
+def _scores_fn(model: CopulaModel):
+    score = _scorer(model)
     latent, continuous = model.latent, list(model.continuous)
 
     def fn(batches):
         for pdf in batches:
-            out = {c: norm_ppf(_mid_cdf(pdf[c].to_numpy(dtype=float), grids[c])) for c in continuous}
+            out = {c: score(c, pdf[c].to_numpy(dtype=float)) for c in continuous}
             for c in latent[len(continuous):]:
                 out[c] = norm_ppf(pdf[c].to_numpy(dtype=float))
             yield pd.DataFrame(out)[latent]
@@ -202,7 +212,11 @@ def with_group_scores(src: DataFrame, model: CopulaModel) -> DataFrame:
 
 def fit_copula(df: DataFrame, columns: Sequence[str] | None = None,
                groups: Sequence[Sequence[str]] = (), onehot: Sequence[Sequence[str]] = (),
-               max_decimals: int = MAX_DECIMALS) -> CopulaModel:
+               max_decimals: int = MAX_DECIMALS, families: dict[str, str] | None = None,
+               default_family: str | None = None) -> CopulaModel:
+    """``families``: the family of a column's marginal (truncnorm, gamma, beta, or
+    ``nearest`` for the one with the least KS distance), ``default_family``
+    that of the other columns; None keeps the percentile grid."""
     spark = df.sparkSession
     ship_package(spark)
     grouped = [c for g in groups for c in g]
@@ -217,6 +231,11 @@ def fit_copula(df: DataFrame, columns: Sequence[str] | None = None,
         continuous=cols, grids={c: q[c] for c in cols}, decimals=_decimals(src, cols, max_decimals),
         minmax={c: (float(mm[f"{c}__lo"]), float(mm[f"{c}__hi"])) for c in cols},
         groups=[list(g) for g in groups], onehot=[list(g) for g in onehot], n_rows=src.count())
+    wanted = {c: f for c in cols if (f := (families or {}).get(c, default_family)) is not None}
+    if wanted:
+        named = {c: f for c, f in wanted.items() if f != "nearest"}
+        fits = fit_marginals(src, list(wanted), named, grids={c: q[c] for c in wanted})
+        model.marginals = {c: m for c, (m, _) in fits.items()}
     for g in model.groups:
         order = [F.col(c) for c in g]
         model.numbered.append(stored(global_row_number(src.select(*g), order, out="pos").select("pos", *g), "combinations"))
@@ -247,11 +266,13 @@ class _Decoder:
     onehot: list[list[str]]
     n_groups: int
     n_rows: int
+    fitted: list[Marginal | None]
 
     @classmethod
     def of(cls, m: CopulaModel) -> _Decoder:
         return cls(m.continuous, [np.asarray(m.grids[c], dtype=float) for c in m.continuous], [m.minmax[c] for c in m.continuous],
-                   [m.decimals[c] for c in m.continuous], m.onehot, len(m.groups), m.n_rows)
+                   [m.decimals[c] for c in m.continuous], m.onehot, len(m.groups), m.n_rows,
+                   [m.marginals.get(c) for c in m.continuous])
 
     def __call__(self, z: np.ndarray) -> dict[str, np.ndarray]:
         """Latent normals (n x k, latent order) -> columns; of a group the position
@@ -261,6 +282,9 @@ class _Decoder:
         probs = np.asarray(GRID)
         for j, c in enumerate(self.continuous):
             lo, hi = self.minmax[j]
+            if self.fitted[j] is not None:
+                out[c] = np.round(self.fitted[j].ppf(u[:, j]), self.decimals[j])
+                continue
             out[c] = np.round(np.clip(np.interp(u[:, j], probs, self.grids[j]), lo, hi), self.decimals[j])
         for gi in range(self.n_groups):
             at = np.floor(u[:, len(self.continuous) + gi] * self.n_rows) + 1
@@ -322,7 +346,7 @@ def sample_with_facts(model: CopulaModel, facts: DataFrame, id_col: str = "DateK
     Suu = S[np.ix_(unknown_idx, unknown_idx)]
     A = Suk @ np.linalg.pinv(Skk)
     Lc = _psd_cholesky(Suu - A @ Suk.T)
-    grids = {c: np.asarray(model.grids[c], dtype=float) for c in known}
+    score = _scorer(model)
     new = [c for c in model.continuous if c not in known]
     id_type = dict(facts.dtypes)[id_col]
     schema = (f"`{id_col}` {id_type}" + "".join(f", `{c}` double" for c in [*known, *new]) + _positions(model))
@@ -332,8 +356,7 @@ def sample_with_facts(model: CopulaModel, facts: DataFrame, id_col: str = "DateK
 
     def gen(batches):
         for pdf in batches:
-            zk = np.column_stack([norm_ppf(_mid_cdf(pdf[c].to_numpy(dtype=float), grids[c]))
-                                  for c in known]) if known else np.zeros((len(pdf), 0))
+            zk = np.column_stack([score(c, pdf[c].to_numpy(dtype=float)) for c in known]) if known else np.zeros((len(pdf), 0))
             eps = hashed_normals(pdf["__rid"].to_numpy(), len(unknown_idx), seed)
             zu = zk @ A.T + eps @ Lc.T
             z = np.zeros((len(pdf), k))

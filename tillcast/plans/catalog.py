@@ -207,11 +207,7 @@ QUERIES["cyclic_quarter"] = _cyclic_query(
 
 @query("prepare_rows")
 def q_prepare_rows(spark, d):
-    p = _prepared(spark, d)
-    return round_doubles(p.select(
-        "SalesKey", "PromotionKey", "StockTypeID", "Weight_grams", "CalendarQuarterLabel",
-        "BrandName", "ClassID", "ProductSubcategoryKey", "sin_CalendarDayOfWeekNumber",
-        "cos_CalendarQuarterLabel"))
+    return round_doubles(_prepared(spark, d))
 
 
 @query("date_spine")
@@ -226,7 +222,7 @@ def q_create_facts(spark, d):
 
 @query("drop_nulls")
 def q_drop_nulls(spark, d):
-    return flt.drop_nulls(denorm_ml(spark, d)).select("SalesKey", "BrandName", "ClassID")
+    return flt.drop_nulls(denorm_ml(spark, d))
 
 
 @query("nonzero_filter")
@@ -253,7 +249,7 @@ from tillcast.operators import encoders as enc  # noqa: E402
 @query("robust_scale")
 def q_robust_scale(spark, d):
     p = _prepared(spark, d)
-    params = enc.fit_robust(p, S.ROBUST_SCALE_COLUMNS)
+    params = enc.fit_robust(p, S.ROBUST_SCALE_COLUMNS, store=True)
     out = enc.apply_robust(p, params, rename={"CalendarYear": fea.SCALED_YEAR})
     cols = [fea.SCALED_YEAR if c == "CalendarYear" else c for c in S.ROBUST_SCALE_COLUMNS]
     return round_doubles(out.select("SalesKey", *cols))
@@ -269,12 +265,11 @@ def q_one_hot(spark, d):
 
 @query("one_hot_ignore")
 def q_one_hot_ignore(spark, d):
-    """Categories of 1996 applied to all rows: unseen ones are all zero."""
+    """Categories of a year without one store type applied to all rows: the unseen
+    type is all zero."""
     p = _prepared(spark, d)
-    params = enc.fit_onehot(p.where("CalendarYear = 1996 AND ProductKey % 7 = 0"), ["BrandName", "StoreType"], handle_unknown="ignore")
-    names = params.output_columns()
-    out = enc.apply_onehot(p, params)
-    return out.select("SalesKey", F.coalesce(sum(F.col(c) for c in names), F.lit(0.0)).alias("ones"))
+    params = enc.fit_onehot(p.where("CalendarYear = 1996 AND StoreType <> 'BUILDING'"), ["BrandName", "StoreType"], handle_unknown="ignore")
+    return enc.apply_onehot(p, params).select("SalesKey", *params.output_columns())
 
 
 @query("one_hot_long")
@@ -525,7 +520,7 @@ def q_log_split(spark, d):
 @query("every_nth")
 def q_every_nth(spark, d):
     star = ml(spark, d, "SalesKey", "SalesAmount")
-    return every_nth(star, ["SalesKey"], 500)
+    return every_nth(star, ["SalesKey"], 5000)
 
 
 def _decompose_query(model: str):
@@ -578,16 +573,16 @@ def q_zip_dates(spark, d):
 # ---------------------------------------------------- 2.12 models, metrics
 from tillcast.operators import forecast as fc  # noqa: E402
 from tillcast.operators import model as mdl  # noqa: E402
+from tillcast.operators import marginals as mar  # noqa: E402
+from tillcast.operators import neighbours as knn  # noqa: E402
 from tillcast.operators import registry as reg  # noqa: E402
+from tillcast.operators import sarima as sar  # noqa: E402
 from tillcast.operators import synth as syn  # noqa: E402
 from tillcast.operators.metrics import mean_baseline, metrics  # noqa: E402
 from tillcast.plans import pipelines as pl  # noqa: E402
 from tillcast.sources import sinks  # noqa: E402
 from tillcast.sources.tables import read_range, scan_csv, select_except  # noqa: E402
 
-# Boosting size of the registered model queries (the library default is
-# the original 500 rounds of depth 10; see README).
-Q_TREES, Q_DEPTH = 20, 5
 TRAIN_END, TEST_START, TEST_END = "2000-12-31", "2001-01-01", "2001-11-04"
 
 
@@ -639,8 +634,8 @@ def trained(spark: SparkSession, d: str) -> tuple[pl.Processed, pl.Trained]:
     model, or a new one if none is saved for these tables."""
     proc = processed(spark, d, None, TRAIN_END)
     version = data_version(spark, d, ["lineitem", "orders", "part", "supplier", "customer"])
-    root = sinks.warehouse_dir(spark) + "/models-" + sinks.cache_key(d, version, TRAIN_END, Q_TREES, Q_DEPTH)
-    found = pl.train_or_load(proc.daily, root, n_trees=Q_TREES, max_depth=Q_DEPTH)
+    root = sinks.warehouse_dir(spark) + "/models-" + sinks.cache_key(d, version, TRAIN_END)
+    found = pl.train_or_load(proc.daily, root)
     assert found is not None
     return proc, found
 
@@ -650,8 +645,7 @@ def q_train_gbt(spark, d):
     daily = processed(spark, d).daily
     split = mdl.holdout_split(daily, 0.1)
     res = mdl.train_gbt(split.where("is_train").drop("is_train"), "SalesAmount",
-                        split.where(~F.col("is_train")).drop("is_train"),
-                        n_trees=Q_TREES, max_depth=Q_DEPTH)
+                        split.where(~F.col("is_train")).drop("is_train"))
     return res.history.withColumn("best_iter", F.lit(res.best_iter))
 
 
@@ -680,10 +674,9 @@ def q_forecast(spark, d):
 @query("pipeline_train")
 def q_pipeline_train(spark, d):
     root = sinks.warehouse_dir(spark) + "/registry-" + sinks.cache_key(d)
-    out = pl.pipeline_train(processed(spark, d).daily, 0.1, runs_path=root + "/runs",
-                            model_root=root + "/models", n_trees=Q_TREES, max_depth=Q_DEPTH)
+    pl.pipeline_train(processed(spark, d).daily, 0.1, runs_path=root + "/runs", model_root=root + "/models")
     return reg.latest_by_name(reg.read_runs(spark, root + "/runs"), "train").select(
-        "context", "row_count", F.lit(out.val_mae).alias("val_mae"))
+        "context", "row_count", F.col("mae").alias("val_mae"))
 
 
 @query("pipeline_evaluate")
@@ -725,6 +718,30 @@ def q_train_forest(spark, d):
                               max_depth=10)
 
 
+KNN_FEATURES = ["UnitCost", "UnitPrice", "TotalCost", "ReturnQuantity", "ReturnAmount", "DiscountQuantity", "DiscountAmount",
+                "DiscountPercent", "Weight_grams", "EmployeeCount", "SellingAreaSize"]
+
+
+@query("bagged_knn")
+def q_bagged_knn(spark, d):
+    """Three bagged regressors of the five nearest sales on the scaled measures,
+    trained on the first tenth and the first 30 % of the days and scored on
+    the last fifth; ``share`` of the pairs whose distance was computed."""
+    rows = sinks.stored(_train_rows(spark, d).select("DateKey", *KNN_FEATURES, "SalesAmount").withColumn("id", F.monotonically_increasing_id()), "knn")
+    test = rows.where(F.col("DateKey") >= F.to_date(F.lit(mdl.cut_date_at(rows, 0.8))))
+    parts = []
+    for part in (0.1, 0.3):
+        train = rows.where(F.col("DateKey") < F.to_date(F.lit(mdl.cut_date_at(rows, part))))
+        scored = test.join(knn.bagged_knn(train, test, KNN_FEATURES, "SalesAmount").withColumnRenamed("query", "id"), "id")
+        scored = sinks.stored(scored.select("SalesAmount", "prediction", "compared"), "knn-scored")
+        size = train.agg(F.count("*").alias("n_train"))       # one row
+        work = scored.agg(F.sum("compared").alias("compared"))
+        parts.append(_round_metrics(metrics(scored, "SalesAmount", "prediction")).crossJoin(F.broadcast(size)).crossJoin(F.broadcast(work))
+                     .select(F.lit(part).alias("fraction"), "n_train", "n", "mae", "r2",
+                             F.round(F.col("compared") / (3 * F.col("n") * F.col("n_train")), 3).alias("share")))
+    return parts[0].union(parts[1])
+
+
 @query("latest_by_time")
 def q_latest_by_time(spark, d):
     """Evaluation runs of the previous-day baseline, one for each year of the
@@ -804,10 +821,48 @@ def q_order_search(spark, d):
     return fc.order_search(panel(spark, d, "week"), ds="ds", keys=PANEL, max_p=6, seasonal_ps=(0, 1), m=52, step="week")
 
 
+REVENUE = {"ds": "ds", "keys": PANEL}
+
+
+@query("sarima_forecast")
+def q_sarima_forecast(spark, d):
+    """ARIMA(1,1,2) of the logarithm, with a 95 % interval, eight weeks ahead."""
+    return sar.sarima_forecast(panel(spark, d, "week"), **REVENUE, order=sar.Order(1, 1, 2, trend="n"), horizon=8, log=True, step="week")
+
+
+@query("sarima_seasonal_forecast")
+def q_sarima_seasonal_forecast(spark, d):
+    """Seasonal ARIMA (1,0,1)(1,0,1) over twelve months, half a year ahead."""
+    return sar.sarima_forecast(panel(spark, d, "month"), **REVENUE, order=sar.Order(1, 0, 1, 1, 0, 1, 12), horizon=6, log=True, step="month")
+
+
+@query("sarima_search")
+def q_sarima_search(spark, d):
+    """Stepwise search of p, d, q and a constant on the logarithm, weekly, and of
+    the seasonal orders too by quarter."""
+    weekly = sar.sarima_search(panel(spark, d, "week"), **REVENUE, log=True, step="week", max_d=3)
+    quarterly = sar.sarima_search(panel(spark, d, "quarter"), **REVENUE, log=True, step="quarter", max_p=2, max_q=2, max_P=1, max_Q=1, m=4)
+    return weekly.withColumn("step", F.lit("week")).unionByName(quarterly.withColumn("step", F.lit("quarter")))
+
+
+@query("sarima_backtest")
+def q_sarima_backtest(spark, d):
+    """ARIMA(1,1,2) of the logarithm fitted on the first 70 % of the weeks, compared
+    with the rest on the revenue's own scale."""
+    return sar.sarima_backtest(panel(spark, d, "week"), **REVENUE, order=sar.Order(1, 1, 2, trend="n"), log=True, step="week")
+
+
+@query("adf_statistic")
+def q_adf_statistic(spark, d):
+    """The statistic with one lagged difference, monthly."""
+    out = fc.adf_test(panel(spark, d, "month"), ds="ds", keys=PANEL, lags=1, step="month")
+    return out.select(*PANEL, F.round("adf", 4).alias("adf"), "nobs")
+
+
 @query("adf_test")
 def q_adf_test(spark, d):
     """Of each series, of its first difference and of its residual after
-    decomposition."""
+    decomposition; the lag order is the one of the lowest AIC."""
     s = panel(spark, d, "week")
     raw = fc.adf_test(s, ds="ds", keys=PANEL, step="week").withColumn("series", F.lit("raw"))
     diff = fc.adf_test(s, ds="ds", keys=PANEL, diff_first=True, step="week").withColumn("series", F.lit("difference"))
@@ -817,11 +872,21 @@ def q_adf_test(spark, d):
 
 
 # ------------------------------------------------------------ 2.13 synthesis
+MEASURES = ["UnitCost", "UnitPrice", "SalesQuantity", "ReturnAmount", "DiscountAmount", "TotalCost", "SalesAmount"]
+
+
 def _copula_daily(spark, d):
     daily = processed(spark, d).daily
     return daily, pl.fit_synthesizer(daily)
 
 
+@query("fit_marginals")
+def q_fit_marginals(spark, d):
+    """The nearest of truncated normal, gamma and beta for each measure of the
+    sales rows, its parameters and its distance from the percentiles."""
+    return mar.marginals_table(ml(spark, d, *MEASURES), MEASURES)
+
+
 @query("sample_copula")
 def q_sample_copula(spark, d):
     _daily, cop = _copula_daily(spark, d)

@@ -86,12 +86,11 @@ for _name, _expr, _p, _col in (
     sql(_name, with_sales(
         f"SELECT SalesKey, ROUND(sin(2 * pi() * {_expr} / {_p}.0), 6) AS sin_{_col}, "
         f"ROUND(cos(2 * pi() * {_expr} / {_p}.0), 6) AS cos_{_col} FROM sales"))
-sql("prepare_rows", with_sales(
-    "SELECT SalesKey, PromotionKey, StockTypeID, ROUND(Weight_grams, 6) AS Weight_grams, "
-    "CalendarQuarterLabel, BrandName, ClassID, ProductSubcategoryKey, "
-    "ROUND(sin_CalendarDayOfWeekNumber, 6) AS sin_CalendarDayOfWeekNumber, "
-    "ROUND(cos_CalendarQuarterLabel, 6) AS cos_CalendarQuarterLabel FROM prep",
-    extra_ctes=OF.PREP))
+_ROUNDED = {"UnitCost", "UnitPrice", "ReturnAmount", "DiscountAmount", "TotalCost", "SalesAmount", "DiscountPercent", "Weight_grams",
+            "EmployeeCount", "SellingAreaSize", "sin_MonthNumber", "cos_MonthNumber", "sin_CalendarDayOfWeekNumber",
+            "cos_CalendarDayOfWeekNumber", "sin_CalendarQuarterLabel", "cos_CalendarQuarterLabel"}
+sql("prepare_rows", with_sales("SELECT * REPLACE (" + ", ".join(f"{R6.format(c)} AS {c}" for c in sorted(_ROUNDED)) + ") FROM prep",
+                               extra_ctes=OF.PREP))
 sql("date_spine", with_sales(
     "SELECT CAST(d AS DATE) AS DateKey FROM (SELECT min(DateKey) AS lo, max(DateKey) AS hi "
     "FROM sales) b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) g(d)"))
@@ -107,7 +106,7 @@ sql("create_facts", with_sales(
     "FROM (SELECT CAST(d AS DATE) AS DateKey FROM (SELECT min(DateKey) AS lo, max(DateKey) AS hi "
     "FROM sales) b, generate_series(b.lo, b.hi, INTERVAL 1 DAY) g(d)) s"))
 sql("drop_nulls", with_sales(
-    "SELECT SalesKey, BrandName, ClassID FROM sales WHERE " + " AND ".join(
+    f"SELECT {ML_COLS} FROM sales WHERE " + " AND ".join(
         f"{c} IS NOT NULL" for c in V.ML)))
 sql("nonzero_filter", with_sales("SELECT SalesKey, ReturnAmount FROM sales "
                                  "WHERE ReturnAmount <> 0"))
@@ -140,11 +139,10 @@ sql("simple_preprocess", with_sales(
     + " FROM sales, (SELECT "
     + ", ".join(f"quantile_cont({c}, 0.5) AS {c}__m, quantile_cont({c}, 0.75) - "
                 f"quantile_cont({c}, 0.25) AS {c}__i" for c in V.NUMERIC) + " FROM sales) st"))
-_SOME = ("few AS (SELECT DISTINCT BrandName, StoreType FROM prep WHERE CalendarYear = 1996 AND ProductKey % 7 = 0)")
 sql("one_hot_ignore", with_sales(
-    "SELECT SalesKey, CAST((BrandName IN (SELECT BrandName FROM few)) AS DOUBLE) + "
-    "CAST((StoreType IN (SELECT StoreType FROM few)) AS DOUBLE) AS ones FROM prep",
-    extra_ctes=OF.PREP + ",\n" + _SOME))
+    "SELECT SalesKey, " + ", ".join(
+        f"CAST(CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS \"{V.column_name(c, v)}\""
+        for c in ("BrandName", "StoreType") for v in OF.FEW_CATEGORIES[c]) + " FROM prep", extra_ctes=OF.PREP))
 sql("one_hot_long", with_sales(" UNION ALL ".join(
     f"SELECT SalesKey, '{c}' AS \"column\", {c} AS category FROM sales" for c in ("BrandName", "CityName"))))
 
@@ -356,7 +354,7 @@ sql("ln_exp", with_sales("SELECT DateKey, ROUND(CASE WHEN SalesAmount > 0 THEN S
                          extra_ctes=DAILY))
 sql("every_nth", with_sales(
     "SELECT SalesKey, SalesAmount, rn FROM (SELECT SalesKey, SalesAmount, "
-    "row_number() OVER (ORDER BY SalesKey) AS rn FROM sales) t WHERE (rn - 1) % 500 = 0"))
+    "row_number() OVER (ORDER BY SalesKey) AS rn FROM sales) t WHERE (rn - 1) % 5000 = 0"))
 
 
 def _decompose_sql(mult: bool, select: str) -> str:
@@ -543,6 +541,16 @@ SELECT StoreType, ContinentName, CAST(last + to_months(CAST(step AS INTEGER)) AS
 FROM (SELECT StoreType, ContinentName, regr_slope(y, x) AS a, regr_intercept(y, x) AS c, max(ds) AS last, arg_max(y, ds) AS y0
       FROM (SELECT *, lag(y) OVER (PARTITION BY StoreType, ContinentName ORDER BY ds) AS x FROM panel) GROUP BY ALL), range(1, 4) s(step)""",
     extra_ctes=_panel("month")))
+sql("adf_statistic", with_sales("""
+SELECT StoreType, ContinentName, ROUND(g / sqrt((sww - g * sxw - c * szw) / (n - 3) * szz / det), 4) AS adf, CAST(n AS INTEGER) AS nobs
+FROM (SELECT *, (sxw * szz - szw * sxz) / det AS g, (szw * sxx - sxw * sxz) / det AS c
+  FROM (SELECT *, sxx * szz - sxz * sxz AS det
+    FROM (SELECT StoreType, ContinentName, count(*) AS n, regr_sxx(w, x) AS sxx, regr_syy(w, x) AS sww, regr_sxy(w, x) AS sxw,
+                 regr_sxx(w, z) AS szz, regr_sxy(w, z) AS szw, regr_sxy(z, x) AS sxz
+          FROM (SELECT *, x - lag(x) OVER t AS z, y - x AS w
+                FROM (SELECT *, lag(y) OVER (PARTITION BY StoreType, ContinentName ORDER BY ds) AS x FROM panel)
+                WINDOW t AS (PARTITION BY StoreType, ContinentName ORDER BY ds))
+          WHERE z IS NOT NULL GROUP BY ALL)))""", extra_ctes=_panel("month")))
 sql("latest_by_time", with_sales("""
 SELECT CASE WHEN y = 1996 THEN 'baseline_1996' ELSE 'latest' END AS pick, 'baseline_' || y AS context, n AS row_count, ROUND(mae, 2) AS mae
 FROM (SELECT year(DateKey) AS y, COUNT(*) AS n, AVG(abs(SalesAmount - p)) AS mae

@@ -191,17 +191,21 @@ def fit_synthesizer(daily: DataFrame) -> syn.CopulaModel:
     cols = cols + (["SalesAmount"] if "SalesAmount" in daily.columns and
                    "SalesAmount" not in cols else [])
     return syn.fit_copula(daily, cols, groups=[DISCOUNT_GROUP],
-                          onehot=[["IsWorkDay_WeekEnd", "IsWorkDay_WorkDay"]])
+                          onehot=[["IsWorkDay_WeekEnd", "IsWorkDay_WorkDay"]],
+                          families=S.MARGINAL_FAMILIES, default_family=S.MARGINAL_DEFAULT)
 
 
 def synthetic_backtest(spark: SparkSession, sf_dir: str, train_end: str, test_start: str,
-                       test_end: str, n_trees: int = 20, max_depth: int = 5) -> DataFrame:
-    """Train on days up to ``train_end``; synthesise the test days from their
+                       test_end: str, n_trees: int = S.GBT_DEFAULTS["n_trees"],
+                       max_depth: int = S.GBT_DEFAULTS["max_depth"], split_ratio: float = 0.1) -> DataFrame:
+    """Train on days up to ``train_end`` (early stopping on their tail); synthesise the test days from their
     calendar facts; score them against the actual daily revenue and
     against the training-mean baseline."""
     proc = pipeline_preprocess(spark, sf_dir, None, train_end, clean=False)
     daily = proc.daily
-    res = mdl.train_gbt(daily, "SalesAmount", None, n_trees=n_trees, max_depth=max_depth)
+    split = mdl.holdout_split(daily, split_ratio)
+    res = mdl.train_gbt(split.where("is_train").drop("is_train"), "SalesAmount", split.where(~F.col("is_train")).drop("is_train"),
+                        n_trees=n_trees, max_depth=max_depth)
     copula = fit_synthesizer(daily)
     spine = date_spine(spark, test_start, test_end)
     synth = syn.sample_with_facts(copula, create_facts(spine), "DateKey") \

@@ -41,6 +41,9 @@ SUM_COLUMNS = [
     "DiscountAmount", "Weight_grams", "SalesQuantity",
 ]
 MEAN_COLUMNS = ["DiscountPercent"]
+MARGINAL_FAMILIES = {"UnitCost": "truncnorm", "UnitPrice": "truncnorm", "SalesQuantity": "gamma",
+                     "ReturnAmount": "truncnorm", "SalesAmount": "truncnorm"}
+MARGINAL_DEFAULT = "beta"
 DEFAULT_MIN_DATE = "2007-01-01"
 DEFAULT_MAX_DATE = "2009-12-31"
 FUTURE_START = "2010-01-01"

@@ -13,10 +13,22 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: Iterable[str] | None = None) -> DataFrame:
-    """Parquet scan; a column subset is pruned into the scan's ReadSchema."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+SPREAD_BYTES = 1 << 20     # of a table from which a small input is spread
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Iterable[str] | None = None,
+               min_partitions: int | None = None) -> DataFrame:
+    """Parquet scan; a column subset is pruned into the scan's ReadSchema.
+
+    A file of one row group is read by one task however it is split.
+    ``min_partitions`` (else the session's ``tillcast.scan.minPartitions``,
+    off by default) deals the rows of such small tables out to more tasks; on
+    a cluster, where a table has more row groups than cores, leave it off."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    wanted = min_partitions or int(spark.conf.get("tillcast.scan.minPartitions", "0"))
+    if wanted > 1 and table_version(spark, path)[0] >= SPREAD_BYTES:
+        df = df.repartition(wanted)
     return df.select(*columns) if columns else df
 
 
