@@ -32,6 +32,35 @@ def test_gbt_beats_mean_baseline(spark):
     assert m.mae < b.mae and m.r2 > 0.5
 
 
+def test_first_trees_are_a_shorter_fit(spark):
+    df = _signal(spark, 200)
+    long, short = (mdl.train_gbt(df, "SalesAmount", None, n_trees=k, max_depth=3) for k in (7, 4))
+    cut = mdl.first_trees(long.model, 4)
+    assert cut.getNumTrees == 4
+    score = lambda m: [r.prediction for r in mdl.predict(m, df, long.features).orderBy("DateKey").collect()]
+    assert score(cut) == score(short.model)
+    more = mdl.continue_gbt(short.model, df, 3, long.features, max_depth=3)
+    assert more.getNumTrees == 7 and np.allclose(score(more), score(long.model), atol=1e-9)
+
+
+def test_rounds_grow_until_the_rule_stops(spark, monkeypatch):
+    monkeypatch.setattr(mdl, "ROUNDS_FIRST", 4)
+    df = mdl.holdout_split(_signal(spark), 0.3)
+    tr, te = df.where("is_train").drop("is_train"), df.where(~F.col("is_train")).drop("is_train")
+    grown = mdl.train_gbt(tr, "SalesAmount", te, n_trees=20, max_depth=2, patience=3)
+    monkeypatch.setattr(mdl, "ROUNDS_FIRST", 20)
+    whole = mdl.train_gbt(tr, "SalesAmount", te, n_trees=20, max_depth=2, patience=3)
+    assert grown.best_iter == whole.best_iter and grown.model.getNumTrees == whole.best_iter
+
+
+def test_null_features(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0), (float("nan"), None)], "a double, b double")
+    assert {r.column: r.nulls for r in mdl.null_features(df, ["a", "b"]).collect()} == {"a": 2, "b": 1}
+    assert mdl.assemble(df, ["a", "b"]).count() == 3 and mdl.assemble(df, ["a", "b"], nulls="drop").count() == 1
+    with pytest.raises(ValueError, match="zero, drop or error"):
+        mdl.assemble(df, ["a"], nulls="mean")
+
+
 def test_early_stop_patience():
     assert mdl._early_stop([5, 4, 3, 3.5, 3.6, 3.7, 3.8, 3.9, 2.0], 5) == 3
     assert mdl._early_stop([5, 4, 3, 2], 5) == 4

@@ -94,3 +94,24 @@ def test_star_over_given_tables(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "T7"), (2, "T8"), (3, None)]
     assert build_star(fact, dims).columns == ["id", "shop", "amount", "town", "label", "name"]
     assert "Join" not in _plan(build_star(fact, dims, ["id", "amount"]))
+
+
+def test_grains_are_rolled_up_from_days(spark):
+    """The rows are aggregated once; grouping sets expand days only."""
+    from tillcast.operators import seasonal as sea
+    rows = [(f"2000-01-{1 + i % 28:02d}", 2000, f"Week {i % 4}", 1, "Q1", float(i), 1 + i % 3) for i in range(90)]
+    df = spark.createDataFrame(rows, "d string, CalendarYear int, CalendarWeekLabel string, MonthNumber int, CalendarQuarterLabel string, SalesAmount double, SalesQuantity long")
+    df = df.selectExpr("to_date(d) AS DateKey", "*").drop("d")
+    out = sea.multi_grain(df, {"SalesAmount": "mean", "SalesQuantity": "sum"})
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2 and plan.index("Expand") < plan.rindex("Aggregate [")
+    year = [r for r in out.collect() if r.grain == "yearly"]
+    assert len(year) == 1 and year[0].SalesAmount == sum(range(90)) / 90 and year[0].SalesQuantity == 180
+
+
+def test_broadcast_counts_a_frame_without_a_bound(spark):
+    from tillcast.operators.joins import checked_broadcast, row_width
+    df = spark.range(1000).selectExpr("id % 10 AS k")
+    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(checked_broadcast(df, max_bytes=1000 * row_width(df)))
+    assert not hinted(checked_broadcast(df, max_bytes=999 * row_width(df)))

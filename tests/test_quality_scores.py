@@ -34,7 +34,8 @@ def test_tv_and_contingency_with_null_category(spark):
     assert abs(cs - (1 - 0.5 * sum(abs(pj.get(k, 0) - qj.get(k, 0)) for k in kj))) < 1e-12
 
 
-def test_running_sums_match_a_window(spark):
+def test_running_sums_match_a_window(spark, monkeypatch):
+    from tillcast.operators import ranking
     from pyspark.sql import Window
     from pyspark.sql import functions as F
     from tillcast.operators.ranking import cumulative_sums
@@ -43,7 +44,9 @@ def test_running_sums_match_a_window(spark):
     df = spark.createDataFrame(rows, "k int, v double, a long, b long")
     w = Window.partitionBy("k").orderBy("v")
     want = {(r.k, r.v): (r.x, r.y) for r in df.select("k", "v", F.sum("a").over(w).alias("x"), F.sum("b").over(w).alias("y")).collect()}
-    assert {(r.k, r.v): (r.a_cum, r.b_cum) for r in cumulative_sums(df, ["a", "b"]).collect()} == want
+    for small in (ranking.SMALL_PAIRS, 0):      # one window for each k, and sums by range
+        monkeypatch.setattr(ranking, "SMALL_PAIRS", small)
+        assert {(r.k, r.v): (r.a_cum, r.b_cum) for r in cumulative_sums(df, ["a", "b"]).collect()} == want
 
 
 def test_diagnostic_reports_missing_and_odd_columns(spark):

@@ -181,13 +181,14 @@ def continue_gbt(model: GBTRegressionModel, train: DataFrame, rounds: int, featu
     prediction is checkpointed every ten rounds."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
-    trees, weights = list(model._java_obj.trees()), list(model.treeWeights)
+    trees, weights, held = list(model._java_obj.trees()), list(model.treeWeights), []
     now = model.transform(assemble(train, features)).select(FEATURES, F.col(label).cast("double").alias("_y"), F.col("prediction").alias("_f"))
     now = now.checkpoint(eager=True)
     for i in range(rounds):
         step = now.withColumn("_r", 2 * (F.col("_y") - F.col("_f")))
         tree = DecisionTreeRegressor(featuresCol=FEATURES, labelCol="_r", predictionCol="_t", maxDepth=max_depth,
                                      seed=seed + len(trees), maxBins=max_bins).fit(step)
+        held.append(tree)      # a wrapper that is dropped lets go of its tree
         trees.append(tree._java_obj)
         weights.append(learning_rate)
         now = tree.transform(now).select(FEATURES, "_y", (F.col("_f") + learning_rate * F.col("_t")).alias("_f"))

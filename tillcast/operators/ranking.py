@@ -95,43 +95,27 @@ def every_nth(df: DataFrame, order: Sequence[str | Column], n: int,
 
 
 
-def _running_sums(weights):
-    """Rows arrive sorted by (k, v) inside one range partition: running sum
-    of each weight per ``k``, carried across Arrow batches."""
-    def fn(batches):
-        carry: dict = {w: {} for w in weights}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            out = pdf.copy()
-            for w in weights:
-                base = pdf["k"].map(carry[w]).fillna(0).astype("int64")
-                out[f"{w}_cum"] = pdf.groupby("k", sort=False)[w].cumsum().astype("int64") + base
-                carry[w].update(out.groupby("k", sort=False)[f"{w}_cum"].last().to_dict())
-            yield out[["pid", "k", "v", *weights, *[f"{w}_cum" for w in weights]]]
-    return fn
+SMALL_PAIRS = 1_000_000     # (k, v) pairs up to which a group's running sums are one window
 
 
 def cumulative_sums(counts: DataFrame, weights: Sequence[str]) -> DataFrame:
     """Running sums of several non-negative integer weights over distinct
     ``(k, v)`` ordered by ``v`` within ``k``: adds ``<w>_cum`` per weight.
-    Two levels at any size: range partitions, running sums in each,
-    checkpoint, partition offsets."""
-    from tillcast.session import ship_package
 
+    The pairs are checkpointed and counted.  A few make one window for each
+    ``k``; more are range-partitioned, summed inside each range, and the sums
+    of the ranges before are added, so that no task holds a whole ``k``."""
     weights = list(weights)
-    spark = counts.sparkSession
-    ensure_checkpoint_dir(spark)
-    ship_package(spark)
-    vtype = dict(counts.dtypes)["v"]
-    ktype = dict(counts.dtypes)["k"]
-    ranged = (counts.select("k", "v", *[F.col(w).cast("long").alias(w) for w in weights])
-              .repartitionByRange("k", "v").sortWithinPartitions("k", "v")
-              .select(F.spark_partition_id().alias("pid"), "k", "v", *weights))
-    schema = ", ".join([f"pid int, k {ktype}, v {vtype}"] + [f"{w} long" for w in weights]
-                       + [f"{w}_cum long" for w in weights])
-    local = ranged.mapInPandas(_running_sums(weights), schema).checkpoint(eager=True)
-    totals = local.groupBy("pid", "k").agg(*[F.max(f"{w}_cum").alias(f"{w}_t") for w in weights])
+    ensure_checkpoint_dir(counts.sparkSession)
+    pairs = counts.select("k", "v", *[F.col(w).cast("long").alias(w) for w in weights]).checkpoint(eager=True)
+    if pairs.count() <= SMALL_PAIRS:
+        upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        return pairs.withColumns({f"{w}_cum": F.sum(w).over(upto) for w in weights})
+    ranged = (pairs.repartitionByRange("k", "v").select(F.spark_partition_id().alias("pid"), "k", "v", *weights)
+              .checkpoint(eager=True))
+    inside = Window.partitionBy("pid", "k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumns({f"{w}_cum": F.sum(w).over(inside) for w in weights})
+    totals = ranged.groupBy("pid", "k").agg(*[F.sum(w).alias(f"{w}_t") for w in weights])
     before = Window.partitionBy("k").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("pid", "k", *[F.coalesce(F.sum(f"{w}_t").over(before), F.lit(0))
                                           .alias(f"{w}_off") for w in weights])

@@ -88,11 +88,11 @@ def feature_aggs(df: DataFrame, grain: str, onehot_cols: Sequence[str] | None =
 
 
 def seasonalize(df: DataFrame, grain: str = "daily", onehot_cols: Sequence[str] | None = None,
-                include_total_cost: bool = True) -> DataFrame:
-    """Aggregate the feature table to ``grain``."""
+                include_total_cost: bool = True, extra: Sequence[str] = ()) -> DataFrame:
+    """Aggregate the feature table to ``grain``, and by the ``extra`` columns."""
     keys = S.GRAIN_KEYS[grain]
     src = _drop_null_keys(df, keys)
-    return src.groupBy(*keys).agg(*feature_aggs(df, grain, onehot_cols, include_total_cost))
+    return src.groupBy(*keys, *extra).agg(*feature_aggs(df, grain, onehot_cols, include_total_cost))
 
 
 def seasonalize_y(df: DataFrame, grain: str = "daily", target: str = "SalesAmount",

@@ -671,6 +671,49 @@ def q_forecast(spark, d):
     return pl.forecast(spark, d, proc, m.model, m.features, cop, "2000-12-01", "2001-01-31", last)
 
 
+def _grouped_past(spark, d):
+    proc, m = trained(spark, d)
+    return pl.forecast_past(spark, d, proc, m.model, m.features, TEST_START, TEST_END, filters={"channelKey": 2}, groups=["StoreType"])
+
+
+@query("forecast_past_grouped")
+def q_forecast_past_grouped(spark, d):
+    """Of one channel's sales, for each store type and day."""
+    return _grouped_past(spark, d)
+
+
+@query("forecast_past_keys")
+def q_forecast_past_keys(spark, d):
+    """The days of each group, and which of them have a prediction."""
+    return _grouped_past(spark, d).select("DateKey", "StoreType", F.col("prediction").isNotNull().alias("predicted"))
+
+
+def _grouped_forecast(spark, d):
+    proc, m = trained(spark, d)
+    last = proc.daily.agg(F.max("DateKey")).first()[0].isoformat()
+    return pl.forecast(spark, d, proc, m.model, m.features, pl.fit_synthesizer(proc.daily), "2000-12-01", "2001-01-31", last,
+                       filters={"channelKey": 2}, groups=["StoreType", "ContinentName"])
+
+
+@query("forecast_grouped")
+def q_forecast_grouped(spark, d):
+    """Of one channel's sales, for each store type and continent, past and
+    synthetic days."""
+    return _grouped_forecast(spark, d)
+
+
+@query("forecast_keys")
+def q_forecast_keys(spark, d):
+    """The days of each group and where their prediction comes from."""
+    return _grouped_forecast(spark, d).select("DateKey", "StoreType", "ContinentName", "source")
+
+
+@query("pipeline_train_run")
+def q_pipeline_train_run(spark, d):
+    """The run that a training saves: its context and its rows."""
+    return q_pipeline_train(spark, d).select("context", "row_count")
+
+
 @query("pipeline_train")
 def q_pipeline_train(spark, d):
     root = sinks.warehouse_dir(spark) + "/registry-" + sinks.cache_key(d)
@@ -933,6 +976,15 @@ def q_diagnostic(spark, d):
     return syn.diagnostic(daily, synth, [c for c in cop.output if c not in triple], triple)
 
 
+@query("diagnostic_halves")
+def q_diagnostic_halves(spark, d):
+    """Of the sales of 1998 onwards against those before: measures by range,
+    labels by category."""
+    star = ml(spark, d, "CalendarYear", *MEASURES, *STAR_TEXT)
+    a, b = star.where(F.col("CalendarYear") <= 1997), star.where(F.col("CalendarYear") >= 1998)
+    return round_doubles(syn.diagnostic(a, b, MEASURES, STAR_TEXT))
+
+
 @query("synthetic_backtest")
 def q_synthetic_backtest(spark, d):
     return pl.synthetic_backtest(spark, d, TRAIN_END, TEST_START, TEST_END)

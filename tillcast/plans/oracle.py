@@ -556,3 +556,30 @@ SELECT CASE WHEN y = 1996 THEN 'baseline_1996' ELSE 'latest' END AS pick, 'basel
 FROM (SELECT year(DateKey) AS y, COUNT(*) AS n, AVG(abs(SalesAmount - p)) AS mae
       FROM (SELECT *, LAG(SalesAmount) OVER (ORDER BY DateKey) AS p FROM daily) WHERE p IS NOT NULL GROUP BY 1)
 WHERE y = 1996 OR y = (SELECT max(year(DateKey)) FROM daily)""", extra_ctes=DAILY))
+
+_MEASURES = ["UnitCost", "UnitPrice", "SalesQuantity", "ReturnAmount", "DiscountAmount", "TotalCost", "SalesAmount"]
+sql("diagnostic_halves", with_sales(" UNION ALL ".join(
+    [f"SELECT '{c}' AS \"column\", 'numeric' AS kind, true AS present, true AS same_type, "
+     f"ROUND((SELECT AVG(CASE WHEN {c} >= lo AND {c} <= hi THEN 1.0 ELSE 0.0 END) FROM sales WHERE CalendarYear >= 1998), 6) AS valid_share "
+     f"FROM (SELECT min({c}) AS lo, max({c}) AS hi FROM sales WHERE CalendarYear <= 1997)" for c in _MEASURES]
+    + [f"SELECT '{c}', 'categorical', true, true, ROUND(AVG(CASE WHEN {c} IN (SELECT {c} FROM sales WHERE CalendarYear <= 1997 AND {c} IS NOT NULL) "
+       f"OR ({c} IS NULL AND EXISTS (SELECT 1 FROM sales WHERE CalendarYear <= 1997 AND {c} IS NULL)) THEN 1.0 ELSE 0.0 END), 6) "
+       f"FROM sales WHERE CalendarYear >= 1998" for c in V.STAR_TEXT])))
+_SPINE = "(SELECT CAST(x AS DATE) AS DateKey FROM generate_series(DATE '{0}', DATE '{1}', INTERVAL 1 DAY) t(x))"
+sql("forecast_past_keys", with_sales(f"""
+SELECT s.DateKey, g.StoreType, t.n IS NOT NULL AS predicted
+FROM (SELECT DISTINCT StoreType FROM sales WHERE channelKey = 2 AND DateKey BETWEEN DATE '2001-01-01' AND DATE '2001-11-04') g
+CROSS JOIN {_SPINE.format('2001-01-01', '2001-11-04')} s
+LEFT JOIN (SELECT DateKey, StoreType, count(*) AS n FROM sales WHERE channelKey = 2 GROUP BY ALL) t
+  ON t.DateKey = s.DateKey AND t.StoreType IS NOT DISTINCT FROM g.StoreType"""))
+sql("forecast_keys", with_sales(f"""
+SELECT s.DateKey, g.StoreType, g.ContinentName, CASE WHEN s.DateKey > DATE '2000-12-31' THEN CASE WHEN g.lately THEN 'synthetic' END
+  WHEN t.n IS NOT NULL THEN 'actual' END AS source
+FROM (SELECT StoreType, ContinentName, bool_or(true) AS lately FROM sales
+      WHERE channelKey = 2 AND DateKey BETWEEN DATE '2000-01-02' AND DATE '2000-12-31' GROUP BY ALL) g
+CROSS JOIN {_SPINE.format('2000-12-01', '2001-01-31')} s
+LEFT JOIN (SELECT DateKey, StoreType, ContinentName, count(*) AS n FROM sales WHERE channelKey = 2 GROUP BY ALL) t
+  ON t.DateKey = s.DateKey AND t.StoreType IS NOT DISTINCT FROM g.StoreType AND t.ContinentName IS NOT DISTINCT FROM g.ContinentName"""))
+sql("pipeline_train_run", with_sales("""
+SELECT 'train' AS context, CAST(floor(count(*) * 0.9) AS BIGINT) AS row_count
+FROM (SELECT DISTINCT DateKey FROM sales WHERE SalesAmount <= 2.5 * (SELECT stddev_samp(SalesAmount) FROM sales))"""))

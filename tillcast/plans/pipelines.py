@@ -8,7 +8,9 @@ table; the daily table is written once and read by all that follows.
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +36,37 @@ class Processed:
     ratio: float = 1.0          # share of the sales that was read
 
 
-def daily_features(rows: DataFrame, model: fea.FeatureModel) -> DataFrame:
-    """Row features (target dropped) aggregated by day."""
-    x = rows.drop("SalesAmount")
-    return sea.seasonalize(fea.transform_features(x, model), "daily")
+def daily_features(rows: DataFrame, model: fea.FeatureModel, groups: Sequence[str] = ()) -> DataFrame:
+    """Row features (target dropped) aggregated by day, and by the raw values
+    of the ``groups`` columns, which become ``group_<column>``."""
+    x = rows.drop("SalesAmount").withColumns({f"group_{g}": F.col(g) for g in groups})
+    return sea.seasonalize(fea.transform_features(x, model), "daily", extra=[f"group_{g}" for g in groups])
+
+
+def where_equal(df: DataFrame, filters: dict[str, object] | None) -> DataFrame:
+    """Rows whose columns have the given values (a null value: is null)."""
+    for key, value in (filters or {}).items():
+        df = df.where(F.col(key).eqNullSafe(F.lit(value)))
+    return df
+
+
+def group_spine(spark: SparkSession, days: DataFrame, min_date: str, max_date: str, groups: Sequence[str]) -> DataFrame:
+    """Every day of the range, or every day for each group of ``days``."""
+    if not groups:
+        return date_spine(spark, min_date, max_date)
+    every = F.sequence(F.to_date(F.lit(min_date)), F.to_date(F.lit(max_date)))
+    return days.select(*groups).distinct().withColumn("DateKey", F.explode(every))
+
+
+def on_spine(spine: DataFrame, scored: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """``scored`` on every day of the spine; null groups meet too."""
+    if not groups:
+        return spine.join(scored, "DateKey", "left")
+    right = scored.select(*[F.col(c).alias(f"_{c}" if c in ("DateKey", *groups) else c) for c in scored.columns])
+    same = F.col("DateKey") == F.col("_DateKey")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return spine.join(right, same, "left").drop("_DateKey", *[f"_{g}" for g in groups])
 
 
 def pipeline_preprocess(spark: SparkSession, sf_dir: str, min_date: str | None = None,
@@ -128,53 +157,78 @@ def pipeline_evaluate(processed: DataFrame, model, features: list[str], min_date
 
 
 def pipeline_predict(spark: SparkSession, sf_dir: str, proc: Processed, model,
-                     features: list[str], min_date: str, max_date: str, clean: bool = False) -> DataFrame:
+                     features: list[str], min_date: str, max_date: str, clean: bool = False,
+                     filters: dict[str, object] | None = None, groups: Sequence[str] = ()) -> DataFrame:
     """Features of a date range (fitted encoders reused) -> daily -> score.
 
     By default all rows of the range are used, as in the original, although
     the model was trained on rows without outliers; ``clean`` drops them
-    here too."""
-    star = denorm_ml(spark, sf_dir, min_date=min_date, max_date=max_date)
+    here too.  ``filters`` keeps the sales with these column values,
+    ``groups`` gives a prediction for each day and group of sales."""
+    star = where_equal(denorm_ml(spark, sf_dir, min_date=min_date, max_date=max_date), filters)
     if clean:
         star = flt.clean_outliers(star, stats_df=fact_measures(spark, sf_dir, min_date=min_date, max_date=max_date))
-    daily = daily_features(star, proc.features)
-    return mdl.predict(model, daily, features).select("DateKey", "prediction")
+    daily = daily_features(star, proc.features, groups)
+    scored = mdl.predict(model, daily, features)
+    return scored.select("DateKey", *[F.col(f"group_{g}").alias(g) for g in groups], "prediction")
 
 
 def forecast_past(spark: SparkSession, sf_dir: str, proc: Processed, model, features: list[str],
-                  min_date: str, max_date: str, scale: float | None = None) -> DataFrame:
+                  min_date: str, max_date: str, scale: float | None = None,
+                  filters: dict[str, object] | None = None, groups: Sequence[str] = ()) -> DataFrame:
     """Score existing days, rescale by 1 / the sampled share (or ``scale``),
     and key every day of the range (a day without sales gets a null, never a
-    shifted value)."""
-    pred = pipeline_predict(spark, sf_dir, proc, model, features, min_date, max_date)
+    shifted value); with ``groups``, every day of each group that has sales
+    in the range.  ``filters``: see ``pipeline_predict``."""
+    pred = pipeline_predict(spark, sf_dir, proc, model, features, min_date, max_date, filters=filters, groups=groups)
     pred = pred.withColumn("prediction", F.col("prediction") * F.lit(1 / proc.ratio if scale is None else float(scale)))
-    return date_spine(spark, min_date, max_date).join(pred, "DateKey", "left")
+    if groups:
+        pred = stored(pred, "predicted")      # read for its groups and its values
+    return on_spine(group_spine(spark, pred, min_date, max_date, groups), pred, groups)
 
 
 def forecast(spark: SparkSession, sf_dir: str, proc: Processed, model, features: list[str],
              copula: syn.CopulaModel, min_date: str, max_date: str, last_actual: str,
-             scale: float | None = None, seed: int = 42) -> DataFrame:
+             scale: float | None = None, seed: int = 42, filters: dict[str, object] | None = None,
+             groups: Sequence[str] = (), share_days: int = 365) -> DataFrame:
     """Days up to ``last_actual`` are scored from actual features, later days
     from synthetic features drawn given their calendar facts; both parts
-    are unioned by name and keyed on a calendar spine."""
-    spine = date_spine(spark, min_date, max_date)
+    are unioned by name and keyed on a calendar spine.
+
+    Synthetic days stand for all sales.  With ``filters`` or ``groups`` their
+    prediction is dealt out by the share of revenue that the filtered sales,
+    or each group of them, had in the ``share_days`` up to ``last_actual``."""
+    spine_of = lambda days: group_spine(spark, days, min_date, max_date, groups)
+    factor = 1 / proc.ratio if scale is None else float(scale)
     past_end = min(max_date, last_actual)
+    names = ["DateKey", *groups, "prediction", "source"]
     parts = []
     if min_date <= last_actual:
-        star = denorm_ml(spark, sf_dir, min_date=min_date, max_date=past_end)
-        parts.append(daily_features(star, proc.features).withColumn("source", F.lit("actual")))
+        past = pipeline_predict(spark, sf_dir, proc, model, features, min_date, past_end, filters=filters, groups=groups)
+        parts.append(past.withColumn("source", F.lit("actual")).select(*names))
     if max_date > last_actual:
-        fut = spine.where(F.col("DateKey") > F.to_date(F.lit(last_actual)))
-        facts = create_facts(fut)
-        synth = syn.sample_with_facts(copula, facts, "DateKey", seed=seed) \
+        fut = date_spine(spark, min_date, max_date).where(F.col("DateKey") > F.to_date(F.lit(last_actual)))
+        synth = syn.sample_with_facts(copula, create_facts(fut), "DateKey", seed=seed) \
             .withColumn("CalendarYear", F.year("DateKey"))
-        parts.append(synth.withColumn("source", F.lit("synthetic")))
+        scored = mdl.predict(model, synth, features).select("DateKey", "prediction")
+        if filters or groups:
+            first = (_dt.date.fromisoformat(last_actual) - _dt.timedelta(days=share_days - 1)).isoformat()
+            lately = denorm_ml(spark, sf_dir, min_date=first, max_date=last_actual)
+            total = lately.agg(sea.money_sum("SalesAmount").alias("_total"))                  # one row
+            shares = where_equal(lately, filters).groupBy(*groups).agg(sea.money_sum("SalesAmount").alias("_part"))
+            shares = shares.crossJoin(F.broadcast(total)).select(*groups, F.try_divide("_part", "_total").alias("_share"))
+            # each group's row gets the synthetic days, of which there are as many as the calendar has
+            days = scored.agg(F.collect_list(F.struct("DateKey", F.col("prediction").alias("p"))).alias("_days"))
+            scored = shares.crossJoin(F.broadcast(days)).select(*groups, "_share", F.inline("_days"))
+            scored = scored.withColumn("prediction", F.col("p") * F.col("_share"))
+        parts.append(scored.withColumn("source", F.lit("synthetic")).select(*names))
     both = parts[0]
     for p in parts[1:]:
-        both = both.unionByName(p, allowMissingColumns=True)
-    scored = mdl.predict(model, both, features)
-    scored = scored.withColumn("prediction", F.col("prediction") * F.lit(1 / proc.ratio if scale is None else float(scale)))
-    return spine.join(scored.select("DateKey", "prediction", "source"), "DateKey", "left")
+        both = both.unionByName(p)
+    both = both.withColumn("prediction", F.col("prediction") * F.lit(factor))
+    if groups:
+        both = stored(both, "forecast")
+    return on_spine(spine_of(both), both, groups)
 
 
 FACTS = ["IsWorkDay_WeekEnd", "IsWorkDay_WorkDay", "sin_MonthNumber", "cos_MonthNumber",
