@@ -40,11 +40,11 @@ def test_wrong_sketches_only_cost_rounds(spark, monkeypatch):
     right = Q._round
     given = []
 
-    def wrong(df, values, brackets, found, ends=None):
+    def wrong(df, brackets, found, ends=None):
         if ends is not None:
             given.append(len(ends))
             ends = [[5.0, 5.0]] * len(ends)
-        return right(df, values, brackets, found, ends)
+        return right(df, brackets, found, ends)
 
     monkeypatch.setattr(Q, "_round", wrong)
     assert Q.quantiles(df, ["normal"], [0.5])["normal"] == [float(np.sort(cols["normal"])[249:251].mean())] and given

@@ -6,7 +6,9 @@ counts the values below, at and between the two, and brings the few between
 them.  The counts decide where the rank lies, so the result is exact whatever
 the sketch says; a bracket that is still too wide is narrowed by the same two
 steps inside it.  Nothing is unpivoted, shuffled or sorted but the brought
-values, and a value that many rows share costs nothing.
+values, and a value that many rows share costs nothing.  The second step
+counts in numpy over Arrow batches: as one aggregate it has hundreds of
+expressions, which take longer to plan than to run.
 
 ``approx`` uses ``percentile_approx`` with the given accuracy.
 """
@@ -14,12 +16,16 @@ values, and a value that many rows share costs nothing.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.session import ship_package
 from tillcast.sources.sinks import stored
 
 ACCURACY = 5_000        # of the sketches: a rank is off by n / ACCURACY at most
@@ -80,28 +86,50 @@ def _value(df: DataFrame, col: str) -> Column:
     return F.when(~F.isnan(v), v) if dict(df.dtypes)[col] in ("double", "float") else v
 
 
-def _round(df: DataFrame, values: list[Column], brackets: list[_Bracket], found: dict[tuple[int, int], float],
+def _counted(brackets: list[_Bracket], ends: list[list[float]], keep: list[bool]):
+    """A row for each bracket, of one task: how many values inside it are below,
+    at, between and at the two ends, and those between if they are kept.
+    Columns are double, in the order of the brackets' ``col``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(brackets), 4), np.int64)
+        held: list[list[np.ndarray]] = [[] for _ in brackets]
+        for batch in batches:
+            cols = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in {b.col for b in brackets}}
+            for i, (b, (x, y)) in enumerate(zip(brackets, ends, strict=True)):
+                v = cols[b.col]
+                if b.low is not None or b.high is not None:
+                    v = v[(v > (-np.inf if b.low is None else b.low)) & (v < (np.inf if b.high is None else b.high))]
+                counts[i, 0] += np.count_nonzero(v < x)
+                counts[i, 1] += np.count_nonzero(v == x)
+                if x < y:
+                    between = v[(v > x) & (v < y)]
+                    counts[i, 2] += len(between)
+                    counts[i, 3] += np.count_nonzero(v == y)
+                    if keep[i] and len(between):
+                        held[i].append(between)
+        lists = [np.concatenate(h) if h else np.zeros(0) for h in held]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(brackets), dtype=np.int32)), *[pa.array(counts[:, k]) for k in range(4)],
+                                          pa.array(lists, pa.list_(pa.float64()))], names=["i", "lt", "x", "mid", "y", "held"])
+    return run
+
+
+def _round(df: DataFrame, brackets: list[_Bracket], found: dict[tuple[int, int], float],
            ends: list[list[float]] | None = None) -> list[_Bracket]:
-    """One narrowing of all brackets: a sketch (unless its points are given)
-    and the counts."""
+    """One narrowing of all brackets over the double columns v0, v1, ...: a sketch
+    (unless its points are given) and the counts."""
     if ends is None:
         exprs = []
         for i, b in enumerate(brackets):
             near = [(b.ranks[0] - b.base) / b.size, (b.ranks[-1] - b.base) / b.size]
-            exprs.append(F.percentile_approx(F.when(b.inside(values[b.col]), values[b.col]), _points(*near), ACCURACY).alias(f"e{i}"))
+            v = F.col(f"v{b.col}")
+            exprs.append(F.percentile_approx(F.when(b.inside(v), v), _points(*near), ACCURACY).alias(f"e{i}"))
         row = df.agg(*exprs).first()
         ends = [row[f"e{i}"] for i in range(len(brackets))]
-    exprs = []
-    for i, (b, (x, y)) in enumerate(zip(brackets, ends, strict=True)):
-        v, inside = values[b.col], b.inside(values[b.col])
-        exprs += [F.count_if(inside & (v < x)).alias(f"lt{i}"), F.count_if(inside & (v == x)).alias(f"x{i}"),
-                  F.count_if(inside & (v > x) & (v < y)).alias(f"m{i}"), F.count_if(inside & (v > x) & (v == y)).alias(f"y{i}")]
-        span = b.ranks[-1] - b.ranks[0] + 1
-        if span + 8 * b.size / ACCURACY <= KEEP:      # the sketch bounds what lies between
-            exprs.append(F.collect_list(F.when(inside & (v > x) & (v < y), v)).alias(f"h{i}"))
-    row = df.agg(*exprs).first().asDict()
-    return [n for i, (b, (x, y)) in enumerate(zip(brackets, ends, strict=True))
-            for n in b.split(x, y, row[f"lt{i}"], row[f"x{i}"], row[f"m{i}"], row[f"y{i}"], row.get(f"h{i}"), found)]
+    # the sketch bounds what lies between its two values
+    keep = [b.ranks[-1] - b.ranks[0] + 1 + 8 * b.size / ACCURACY <= KEEP for b in brackets]
+    parts = df.mapInArrow(_counted(brackets, ends, keep), "i int, lt long, x long, mid long, y long, held array<double>")
+    rows = parts.groupBy("i").agg(*[F.sum(c).alias(c) for c in ("lt", "x", "mid", "y")], F.flatten(F.collect_list("held")).alias("held")).collect()
+    return [n for r in rows for n in brackets[r.i].split(*ends[r.i], r.lt, r.x, r.mid, r.y, r.held if keep[r.i] else None, found)]
 
 
 def _points(low: float, high: float) -> Column:
@@ -120,13 +148,17 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method
         return _approx(df, cols, probs, accuracy)
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
+    ship_package(df.sparkSession)
     df = df.select(*cols)
     if store:
         df = stored(df, "columns")
-    values = [_value(df, c) for c in cols]
+    df = df.select(*cols, *[_value(df, c).alias(f"v{i}") for i, c in enumerate(cols)])
+    names = [f"v{i}" for i in range(len(cols))]
+    values = [F.col(v) for v in names]
+    df = df.toDF(*[f"c{i}" for i in range(len(cols))], *names)
     sketch = [F.percentile_approx(v, F.concat(*[_points(p, p) for p in probs]), ACCURACY).alias(f"e{i}") for i, v in enumerate(values)]
     seen = df.agg(*sketch, *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)],
-                  *[F.count(c).alias(f"all{i}") for i, c in enumerate(cols)]).first()
+                  *[F.count(f"c{i}").alias(f"all{i}") for i in range(len(cols))]).first()
     counts = [seen[f"all{i}"] for i in range(len(cols))]
     known = [seen[f"n{i}"] for i in range(len(cols))]
     pairs = [[(low, min(low + 1, n)) for low in (math.floor((n - 1) * p) + 1 for p in probs)] if n else [] for n in counts]
@@ -147,9 +179,9 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], method
         rest: list[_Bracket] = []
         for at in range(0, len(open_), BRACKETS):
             part = open_[at:at + BRACKETS]
-            rest += _round(df, values, [b for b, _ in part], found, [e for _, e in part])
+            rest += _round(df.select(*names), [b for b, _ in part], found, [e for _, e in part])
         while rest:
-            rest = [b for at in range(0, len(rest), BRACKETS) for b in _round(df, values, rest[at:at + BRACKETS], found)]
+            rest = [b for at in range(0, len(rest), BRACKETS) for b in _round(df.select(*names), rest[at:at + BRACKETS], found)]
     out: dict[str, list[float] | None] = {}
     for i, (c, n) in enumerate(zip(cols, counts, strict=True)):
         out[c] = None if not n else []

@@ -207,7 +207,8 @@ QUERIES["cyclic_quarter"] = _cyclic_query(
 
 @query("prepare_rows")
 def q_prepare_rows(spark, d):
-    return round_doubles(_prepared(spark, d))
+    """All columns; only those that the chain computes are rounded."""
+    return round_doubles(_prepared(spark, d), exclude=S.ML_COLUMNS)
 
 
 @query("date_spine")

@@ -86,8 +86,7 @@ for _name, _expr, _p, _col in (
     sql(_name, with_sales(
         f"SELECT SalesKey, ROUND(sin(2 * pi() * {_expr} / {_p}.0), 6) AS sin_{_col}, "
         f"ROUND(cos(2 * pi() * {_expr} / {_p}.0), 6) AS cos_{_col} FROM sales"))
-_ROUNDED = {"UnitCost", "UnitPrice", "ReturnAmount", "DiscountAmount", "TotalCost", "SalesAmount", "DiscountPercent", "Weight_grams",
-            "EmployeeCount", "SellingAreaSize", "sin_MonthNumber", "cos_MonthNumber", "sin_CalendarDayOfWeekNumber",
+_ROUNDED = {"Weight_grams", "sin_MonthNumber", "cos_MonthNumber", "sin_CalendarDayOfWeekNumber",
             "cos_CalendarDayOfWeekNumber", "sin_CalendarQuarterLabel", "cos_CalendarQuarterLabel"}
 sql("prepare_rows", with_sales("SELECT * REPLACE (" + ", ".join(f"{R6.format(c)} AS {c}" for c in sorted(_ROUNDED)) + ") FROM prep",
                                extra_ctes=OF.PREP))
