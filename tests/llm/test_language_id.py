@@ -35,6 +35,47 @@ def test_phrases_against_find():
         assert [brute_phrases(t, samples[k]) for k in parser.langs] == counts[:, i].tolist(), t
 
 
+def test_large_alphabets():
+    """Two languages of 400 Han letters each: no letter falls together with
+    another, by phrases of digits against str.find."""
+    rnd = random.Random(6)
+    han = [chr(0x4E00 + i) for i in range(800)]
+    one, two = han[:400], han[400:]
+    parser = L.Parser({"xx": "".join(rnd.choices(one, k=3000)), "yy": "".join(rnd.choices(two, k=3000))})
+    assert parser.digits == 2 and len({tuple(v) for v in parser.code.values()}) == len(parser.code)
+    texts = ["".join(rnd.choices(src, k=40)) for src in (one, two, one[300:], two[300:])] + ["abc " + one[5], "zzz"]
+    assert [x for x, _ in parser.predict(texts)][:4] == ["xx", "yy", "xx", "yy"]
+    counts, length = parser.phrases(texts)
+    write = lambda t: "".join(chr(1000 + x) for c in L.plain(t) for x in ([0] if c == " " else parser.code.get(c, [parser.width - 2])))
+    for k, name in enumerate(parser.langs):
+        sample = write(parser.samples[name])
+        for i, t in enumerate(texts):
+            part, at, n = write(t), 0, 0
+            while at < len(part):
+                size = 1
+                while at + size <= len(part) and part[at:at + size] in sample:
+                    size += 1
+                at, n = at + max(1, size - 1), n + 1
+            assert counts[k, i] == n and length[i] == len(L.plain(t))
+
+
+def test_one_long_document_is_no_sample(spark):
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choices(["alpha", "beta", "gamma"], k=40)), "en") for i in range(40)] + [(i, "zzz " * 300_000, "en") for i in range(40, 44)]
+    parser = L.fit_parser(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_chars=8000)
+    assert "alpha" in parser.samples["en"] and parser.samples["en"].count("zzz") * 4 <= 4 * 1000 + 4
+
+
+def test_known_language(spark):
+    rows = [(i, "the thing of shell", "en") for i in range(30)] + [(i, "le chose avec être", "fr") for i in range(30, 60)]
+    rows += [(60, "12 %", "en"), (61, None, "fr"), (62, "le chose avec", "en"), (63, "the thing", None)]
+    df = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, lang string, n int")
+    got = {r.doc_id: r.lang for r in L.known_language(df).collect()}
+    assert got == {i: "en" for i in range(30)} | {i: "fr" for i in range(30, 60)} | {62: "fr", 63: "en"}
+    plain = L.known_language(df.withColumn("lang", F.lit(None).cast("string")))
+    assert plain.columns == df.columns and {r.doc_id: r.lang for r in plain.collect()} == {i: None for i in [*range(60), 62, 63]}
+
+
 def test_frame(spark):
     rnd = random.Random(2)
     words = {"en": ["the", "of", "thing", "shell", "with"], "fr": ["le", "être", "chose", "école", "avec"]}

@@ -1,13 +1,20 @@
+import math
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm import test_line_dedup, test_mixing, test_simhash
 from tests.llm.test_bpe import real
+from tests.llm.test_language_id import brute_phrases
+from tillcast.llm.language_id import fit_parser, held_out
 from tillcast.llm.queries import DOMAIN_WEIGHTS, DOMAINS, LANG_WEIGHTS, OTHER_DOMAIN, SOURCE_WEIGHTS
 
 
-def brute(rows):
+def brute(rows, parser):
     rows = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
+    cost = lambda text, k: brute_phrases(text, parser.samples[k]) * math.log2(max(2, len(parser.samples[k])))
+    rows = [(i, t, min(parser.langs, key=lambda k: cost(t, k)), s) for i, t, _, s in rows]
     left = {i: t for i, t, _, _ in test_line_dedup.brute([(i, t) for i, t, *_ in rows])}
     rows = [(i, left[i], *r) for i, _, *r in rows]
     first = {i: c for i, _, c in test_simhash.brute_components([(i, t) for i, t, *_ in rows])}
@@ -32,7 +39,11 @@ def test_run(spark, tmp_path):
     df = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
     df.write.parquet(f"{tmp_path}/documents.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path))
-    assert sorted((r.doc_id, r.ids) for r in got.collect()) == brute(rows)
+    parser = fit_parser(df.filter(~held_out("doc_id")))
+    assert sorted((r.doc_id, r.ids) for r in got.collect()) == brute(rows, parser)
+    # without a label the documents stay
+    bare = df.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.language_id(spark, bare, str(tmp_path)).count() == sum(any(c.isalpha() for c in r[1] or "") for r in rows)
     docs = df
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))

@@ -25,6 +25,8 @@ from tillcast.llm.common import numbered, pick, place, ready
 
 SAMPLE_CHARS = 256_000   # of labelled text, all languages together
 SAMPLE_DOCS = 64         # labelled documents that a language's sample is drawn from, about
+DOC_PART = 8             # a document is at most one part in so many of its language's sample
+SYMBOLS = 250            # of the automata's alphabet, besides space, unknown and padding
 BLOCK = 256              # characters that are parsed in one go
 CHUNK = 1 << 19          # characters that a task walks at a time
 NO_LANGUAGE = "und"
@@ -100,27 +102,37 @@ def plain(text: str) -> str:
 
 
 class Parser:
-    """Automata of all languages over one alphabet."""
+    """Automata of all languages over one alphabet.
+
+    A letter is one symbol as long as the samples have no more than SYMBOLS
+    letters.  With more, a letter is written with two digits, or three, each
+    from a share of the symbols of its own, so that the tables stay narrow
+    and no two letters fall together."""
 
     def __init__(self, samples: dict[str, str]) -> None:
         self.langs = sorted(samples)
-        texts = [plain(samples[k]) for k in self.langs]
-        chars = sorted(set("".join(texts)) - {" "})[:250]
-        self.width = len(chars) + 3   # space, letters, unknown, padding
-        code = {" ": 0} | {c: i + 1 for i, c in enumerate(chars)}
-        self.tables = [walk_table(suffix_automaton([code.get(c, self.width - 2) for c in t]), self.width) for t in texts]
-        self.weight = np.array([np.log2(max(2, len(t))) for t in texts])
-        self.codes = np.zeros(0x110000, np.uint8)
+        self.samples = {k: plain(samples[k]) for k in self.langs}
+        chars = sorted(set("".join(self.samples.values())) - {" "})
+        self.digits = next(d for d in (1, 2, 3, 4) if (SYMBOLS // d) ** d >= len(chars))
+        base = SYMBOLS // self.digits if self.digits > 1 else len(chars)
+        self.width = base * self.digits + 3   # space, symbols, unknown, padding
+        unknown = self.width - 2
+        self.code = {c: [1 + d * base + i // base ** d % base for d in range(self.digits)] if self.digits > 1 else [i + 1] for i, c in enumerate(chars)}
+        symbols = {" ": [0]} | self.code
+        self.tables = [walk_table(suffix_automaton([x for c in self.samples[k] for x in symbols[c]]), self.width) for k in self.langs]
+        self.weight = np.array([np.log2(max(2, len(self.samples[k]))) for k in self.langs])
+        self.codes = np.zeros((self.digits, 0x110000), np.uint8)   # first digit 0: no letter
         for point in range(0x110000):
             if (c := letter(chr(point))) is not None:
-                self.codes[point] = code.get(c, self.width - 2)
+                digits = self.code.get(c, [unknown])
+                self.codes[:len(digits), point] = digits
 
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases by language and text, and the characters parsed of each text
         (0 if it has no letter)."""
         sizes = np.array([len(t or "") for t in texts], np.int64)
         raw = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le", "replace"), np.uint32)
-        codes = self.codes[raw]
+        codes = self.codes[0][raw]
         owner = np.repeat(np.arange(len(texts)), sizes)
         ends = np.cumsum(sizes)
         # a space stays if a letter of the same text stands before it
@@ -129,8 +141,13 @@ class Parser:
         keep = (codes > 0) | (before > 0)
         has = np.bincount(owner[codes > 0], minlength=len(texts)) > 0
         codes, owner = codes[keep], owner[keep]
-        length = np.bincount(owner, minlength=len(texts))
-        length = np.where(has, length, 0)
+        chars = np.where(has, np.bincount(owner, minlength=len(texts)), 0)
+        if self.digits > 1:
+            raw = raw[keep]
+            many = np.where((codes > 0) & (codes < self.width - 2), self.digits, 1)
+            at = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+            codes, owner = self.codes[at, np.repeat(raw, many)], np.repeat(owner, many)
+        length = np.where(has, np.bincount(owner, minlength=len(texts)), 0)
         blocks = -(-length // BLOCK)
         first = np.r_[0, np.cumsum(blocks)]
         lanes = np.full((first[-1], BLOCK), self.width - 1, np.uint8)
@@ -149,7 +166,7 @@ class Parser:
                 state &= MASK
             ended += state > 0
             counts[k] = np.bincount(lane_owner, ended, minlength=len(texts))
-        return counts, length
+        return counts, chars
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         counts, length = self.phrases(texts)
@@ -167,22 +184,22 @@ class Parser:
 
 
 def fit_parser(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_docs: int = SAMPLE_DOCS) -> Parser | None:
-    """From (doc_id, text, lang): whole documents in the order of a hash of
-    doc_id, about ``sample_docs`` a language, cut where the language's share
-    of ``sample_chars`` is full.  None if there is nothing to learn from.
-    Rows with null text, lang or doc_id teach nothing."""
-    rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return None
+    """From (doc_id, text, lang): documents in the order of a hash of doc_id,
+    about ``sample_docs`` a language, until the language's share of
+    ``sample_chars`` is full; of a document at most one part in DOC_PART of
+    the share, so that no single one is a language's sample.  None if there
+    is nothing to learn from.  Rows with null text, lang or doc_id teach
+    nothing."""
+    rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text", "lang")
     top = 1 << 30
-    limit = F.lit(-1)
-    for lang, n in counts.items():
-        limit = F.when(F.col("lang") == lang, min(top, top * sample_docs // n)).otherwise(limit)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    langs = counts.count()
+    if not langs:
+        return None
     order = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(top))
-    share = max(1, sample_chars // len(counts))
-    drawn = (rows.withColumn("at", order).filter(F.col("at") <= limit)
-             .select("lang", "at", "doc_id", F.substring("text", 1, share).alias("text")))
+    share = max(1, sample_chars // langs)
+    drawn = (rows.withColumn("at", order).join(counts, "lang").filter(F.col("at") <= F.least(F.lit(float(top)), F.lit(float(top * sample_docs)) / F.col("n")))
+             .select("lang", "at", "doc_id", F.substring("text", 1, max(1, share // DOC_PART)).alias("text")))
     samples: dict[str, str] = {}
     for r in sorted(drawn.collect(), key=lambda r: (r.at, r.doc_id, r.text)):
         if len(samples.setdefault(r.lang, "")) < share:
@@ -243,12 +260,16 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` whose text is in a language (lang_pred isn't
-    ``und``), with all columns: rows with null text and texts without a
-    letter go."""
+    """The rows of ``docs`` whose text is in a language, with all columns:
+    ``lang_col`` becomes the predicted language.  Rows with null text and
+    texts without a letter go.  Where no row has a label to learn from,
+    nothing is predicted: those rows go, the others stay as they are."""
     rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
     parser = fit_parser(rows.filter(~held_out("doc_id")))
-    at = f"c{place(docs, text_col)}"
-    flat = numbered(docs).withColumnRenamed(at, "text")
-    found = predict_language(flat, parser).filter(F.col("lang_pred") != NO_LANGUAGE).drop("lang_pred", "score")
-    return found.toDF(*docs.columns)
+    at, lang = f"c{place(docs, text_col)}", f"c{place(docs, lang_col)}"
+    flat = numbered(docs)
+    if parser is None:
+        return flat.filter(F.col(at).rlike("\\p{L}")).toDF(*docs.columns)
+    found = predict_language(flat.withColumnRenamed(at, "text"), parser).filter(F.col("lang_pred") != NO_LANGUAGE)
+    kind = docs.schema[place(docs, lang_col)].dataType
+    return found.withColumn(lang, F.col("lang_pred").cast(kind)).drop("lang_pred", "score").toDF(*docs.columns)
