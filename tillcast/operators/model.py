@@ -111,7 +111,13 @@ def _early_stop(values: list[float], patience: int) -> int:
     return best_i + 1
 
 
-ROUNDS_FIRST = 32     # rounds that are fitted before the stopping rule is asked
+ROUNDS_FIRST = 16     # rounds that are fitted before the stopping rule is asked
+ROWS_PER_TASK = 10_000   # a level of a tree is a job: fewer rows than this aren't worth a task
+
+
+def _compact(df: DataFrame) -> DataFrame:
+    """A persisted frame in no more partitions than its rows are worth."""
+    return df.coalesce(df.count() // ROWS_PER_TASK + 1)
 
 
 def first_trees(model: GBTRegressionModel, k: int) -> GBTRegressionModel:
@@ -139,7 +145,7 @@ def train_gbt(train: DataFrame, label: str = "SalesAmount", val: DataFrame | Non
     """Boosted trees (absolute-error metric for early stopping).
 
     Spark's built-in validation stops at the first flat round, so rounds are
-    fitted in growing numbers (32, 64, ... up to ``n_trees``) until the
+    fitted in growing numbers (16, 32, ... up to ``n_trees``) until the
     validation error hasn't fallen for ``patience`` rounds; the model is the
     ensemble cut after its best round.  Rounds are deterministic (no
     subsampling), so this is the model of ``n_trees`` rounds with that rule,
@@ -150,16 +156,17 @@ def train_gbt(train: DataFrame, label: str = "SalesAmount", val: DataFrame | Non
     cols = list(features) if features else feature_columns(train, ("DateKey", label))
     tr = assemble(train, cols).select(FEATURES, label).persist()   # read by every round
     va = assemble(val, cols).select(FEATURES, label).persist() if val is not None else None
+    rows, held_out = _compact(tr), _compact(va) if va is not None else None
     k = n_trees if va is None else min(ROUNDS_FIRST, n_trees)
     while True:
         model = GBTRegressor(featuresCol=FEATURES, labelCol=label, maxDepth=max_depth, maxIter=k,
-                             stepSize=learning_rate, seed=seed, maxBins=max_bins).fit(tr)
-        val_err = model.evaluateEachIteration(va, "absolute") if va is not None else [None] * k
+                             stepSize=learning_rate, seed=seed, maxBins=max_bins).fit(rows)
+        val_err = model.evaluateEachIteration(held_out, "absolute") if va is not None else [None] * k
         best = _early_stop(val_err, patience) if va is not None else k
         if k == n_trees or best + patience <= k:
             break
         k = min(2 * k, n_trees)
-    train_err = model.evaluateEachIteration(tr, "absolute")
+    train_err = model.evaluateEachIteration(rows, "absolute")
     if best < k:
         model = first_trees(model, best)
     for held in (tr, va):
