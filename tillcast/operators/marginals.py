@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.operators.quantiles import quantiles
+from tillcast.sources.sinks import stored
 
 FAMILIES = ("truncnorm", "gamma", "beta")
 PAD = 1e-6              # of the range, added at both ends
@@ -276,7 +277,9 @@ def fit_marginals(df: DataFrame, cols: Sequence[str], families: dict[str, str] |
         raise ValueError(f"unknown families {bad}, there are {FAMILIES}")
     if not cols:
         return {}
-    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    # written once: the passes below read the columns alone
+    df = stored(df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols]), "marginals")
+    value = {c: F.col(c) for c in cols}
     ends = df.agg(*[e for i, c in enumerate(cols) for e in (F.min(value[c]).alias(f"lo{i}"), F.max(value[c]).alias(f"hi{i}"))]).first()
     span = {c: (ends[f"lo{i}"], ends[f"hi{i}"]) for i, c in enumerate(cols) if ends[f"lo{i}"] is not None}
     wide = [c for c, (lo, hi) in span.items() if hi > lo]
@@ -286,7 +289,7 @@ def fit_marginals(df: DataFrame, cols: Sequence[str], families: dict[str, str] |
         x = F.when(value[c].isNotNull(), F.greatest(F.lit(PAD / 2), F.least((value[c] - lo) / (hi - lo), F.lit(1 - PAD / 2))))
         exprs += [F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}"), F.avg(F.ln(x)).alias(f"l{i}"), F.avg(F.log1p(-x)).alias(f"r{i}")]
     row = df.agg(*exprs).first() if exprs else None
-    grids = grids if grids is not None else quantiles(df.select(*[v.alias(c) for c, v in value.items()]), cols, GRID)
+    grids = grids if grids is not None else quantiles(df, cols, GRID)
     out = {}
     for c, (lo, hi) in span.items():
         if c not in wide:

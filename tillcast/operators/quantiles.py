@@ -30,7 +30,7 @@ from tillcast.sources.sinks import stored
 
 ACCURACY = 2_000        # of the sketches: a rank is off by n / ACCURACY at most
 KEEP = 20_000           # values of a bracket that are brought to the driver
-SMALL_VALUES = 300_000  # of all columns, up to which they are brought instead
+SMALL_VALUES = 1_000_000  # of all columns, up to which they are brought instead
 BRACKETS = 240          # in one aggregate
 
 

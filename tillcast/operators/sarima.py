@@ -243,7 +243,7 @@ def least(f, x: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
             rho = 1.0 / (s @ y)
             left = np.eye(k) - rho * np.outer(s, y)
             H = left @ H @ left.T + rho * np.outer(s, s)
-        if before - now < 1e-9 * (1 + abs(now)) and float(np.abs(g).max()) < 1e-4:
+        if before - now < 1e-8 * (1 + abs(now)):
             break
     return x
 

@@ -885,11 +885,11 @@ def q_sarima_seasonal_forecast(spark, d):
 
 @query("sarima_search")
 def q_sarima_search(spark, d):
-    """Stepwise search of p, d, q and a constant on the logarithm, weekly, and of
+    """Stepwise search of p, d, q and a constant on the logarithm, monthly, and of
     the seasonal orders too by quarter."""
-    weekly = sar.sarima_search(panel(spark, d, "week"), **REVENUE, log=True, step="week", max_d=3)
+    monthly = sar.sarima_search(panel(spark, d, "month"), **REVENUE, log=True, step="month", max_d=3)
     quarterly = sar.sarima_search(panel(spark, d, "quarter"), **REVENUE, log=True, step="quarter", max_p=2, max_q=2, max_P=1, max_Q=1, m=4)
-    return weekly.withColumn("step", F.lit("week")).unionByName(quarterly.withColumn("step", F.lit("quarter")))
+    return monthly.withColumn("step", F.lit("month")).unionByName(quarterly.withColumn("step", F.lit("quarter")))
 
 
 @query("sarima_backtest")
