@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.llm.common import numbered, pick, place, ready
+from tillcast.operators.joins import checked_broadcast
 
 SAMPLE_CHARS = 256_000   # of labelled text, all languages together
 SAMPLE_DOCS = 64         # labelled documents that a language's sample is drawn from, about
@@ -198,8 +199,9 @@ def fit_parser(labelled: DataFrame, sample_chars: int = SAMPLE_CHARS, sample_doc
         return None
     order = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(top))
     share = max(1, sample_chars // langs)
-    drawn = (rows.withColumn("at", order).join(counts, "lang").filter(F.col("at") <= F.least(F.lit(float(top)), F.lit(float(top * sample_docs)) / F.col("n")))
-             .select("lang", "at", "doc_id", F.substring("text", 1, max(1, share // DOC_PART)).alias("text")))
+    short = rows.select("doc_id", "lang", order.alias("at"), F.substring("text", 1, max(1, share // DOC_PART)).alias("text"))
+    drawn = (short.join(checked_broadcast(counts, max_rows=langs), "lang").filter(F.col("at") <= F.least(F.lit(float(top)), F.lit(float(top * sample_docs)) / F.col("n")))
+             .select("lang", "at", "doc_id", "text"))
     samples: dict[str, str] = {}
     for r in sorted(drawn.collect(), key=lambda r: (r.at, r.doc_id, r.text)):
         if len(samples.setdefault(r.lang, "")) < share:
