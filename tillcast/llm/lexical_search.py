@@ -30,7 +30,8 @@ from tillcast.llm.common import pick, ready, stored
 
 TOP = 20
 ITEM_BYTES = 4 << 20          # of item text in a block of items
-BLOCK_POSTINGS = 1_000_000    # of a block of documents
+BLOCK_POSTINGS = 250_000      # of a block of documents: its tables take about 150 bytes for each
+BLOCK_ROWS = 256              # documents added to a block at once
 WAVE = 64                     # intervals split at once
 PIECE = 1 << 20               # bytes of a text taken apart at once
 NO_ID = (1 << 63) - 1         # stands for a null id: last among ties
@@ -191,12 +192,14 @@ def searched(shared, top: int):
                 best[i] = block.search(term, many, best[i], top)
 
         for batch in batches:
-            part = batch.column("terms").to_pylist()
-            rows.append((batch.column("doc_id").fill_null(NO_ID).to_numpy(), batch.column("n").to_numpy(), part, batch.column("tfs").to_pylist()))
-            held += sum(map(len, part)) // 4
-            if held >= BLOCK_POSTINGS:
-                close()
-                rows, held = [], 0
+            for at in range(0, batch.num_rows, BLOCK_ROWS):      # a batch can hold several blocks
+                some = batch.slice(at, BLOCK_ROWS)
+                part = some.column("terms").to_pylist()
+                rows.append((some.column("doc_id").fill_null(NO_ID).to_numpy(), some.column("n").to_numpy(), part, some.column("tfs").to_pylist()))
+                held += sum(map(len, part)) // 4
+                if held >= BLOCK_POSTINGS:
+                    close()
+                    rows, held = [], 0
         if held:
             close()
         number = np.repeat(np.arange(len(items)), [len(s) for s, _ in best])
