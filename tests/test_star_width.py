@@ -16,7 +16,7 @@ def _plan(df):
 def test_orders_join_is_shuffled_before_the_fact_is_computed(spark, monkeypatch):
     monkeypatch.setattr(joins, "GROWING_BYTES", 0)
     optimized, physical = _plan(denorm_ml(spark, SF001))
-    assert "ShuffledHashJoin" in physical
+    assert "SortMergeJoin" in physical
     lines = optimized.splitlines()
     join = next(i for i, line in enumerate(lines) if re.search(r"Join LeftOuter, \(l_orderkey", line))
     assert not any("concat_ws" in line for line in lines[join:])      # the sales key
