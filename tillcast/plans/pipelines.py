@@ -2,8 +2,9 @@
 synthetic back-test.
 
 Each is one lazy plan per stage plus the small fit jobs of the encoders
-and the model.  The cleaned star runs twice, for the fit and for the daily
-table; the daily table is written once and read by all that follows.
+and the model.  The cleaned star runs once: its prepared rows are written,
+for the fit and for the daily table; the daily table is written once and
+read by all that follows.
 """
 
 from __future__ import annotations
@@ -78,9 +79,9 @@ def pipeline_preprocess(spark: SparkSession, sf_dir: str, min_date: str | None =
     star = denorm_ml(spark, sf_dir, ratio=ratio, min_date=min_date, max_date=max_date)
     stats = fact_measures(spark, sf_dir, ratio=ratio, min_date=min_date, max_date=max_date)
     rows = flt.clean_outliers(star, stats_df=stats) if clean else star
-    model = fea.fit_features(rows)
+    model, feats = fea.fit_transform(rows, drop=["SalesKey"])
     # the target goes with the features in one aggregate: no join on the date
-    daily = sea.seasonalize(fea.transform_features(rows, model), "daily")
+    daily = sea.seasonalize(feats, "daily")
     daily = daily.select(*[c for c in daily.columns if c != "SalesAmount"], "SalesAmount")
     # one row per day: a calendar-bounded table, kept in few partitions so
     # the small downstream fits (copula, boosting, per-series) run few tasks
