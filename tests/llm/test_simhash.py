@@ -54,6 +54,13 @@ def test_every_pair_within_four_bits_meets():
             assert len(set(reach.tolist())) == len(reach)
 
 
+def test_replicas_are_not_broadcast(spark):
+    """However small the fingerprints are, their homes and replicas aren't broadcast."""
+    prints = np.random.default_rng(5).integers(-1 << 62, 1 << 62, 40).tolist()
+    plan = S.links(spark.createDataFrame([(x,) for x in prints], "fp long"))._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_links_of_dense_groups(spark):
     rng = np.random.default_rng(3)
     prints = set()

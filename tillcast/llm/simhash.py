@@ -162,12 +162,14 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     homes = prints.mapInArrow(_homes, "anchor long, fp long")
     least = homes.groupBy("anchor").agg(F.min("fp").alias("hub"))
     hub = F.when(near("fp", "hub", max_bits), F.col("hub")).otherwise(F.col("fp"))
-    hubs = homes.join(least, "anchor").groupBy("fp").agg(F.min(hub).alias("hub"))
+    # Spark sizes what comes out of mapInArrow as the rows that go in, though each fingerprint has three homes
+    # and some 190 replicas: without the hints it broadcasts them
+    hubs = homes.hint("merge").join(least, "anchor").groupBy("fp").agg(F.min(hub).alias("hub"))
     hubs = stored(hubs, "hubs")
     x = hubs.mapInArrow(_homes, "anchor long, fp long, hub long")
     y = hubs.mapInArrow(_replicas, "anchor long, fp long, hub long")
     y = y.select("anchor", F.col("fp").alias("fp2"), F.col("hub").alias("hub2"))
-    met = x.join(y, (x.anchor == y.anchor) & (x.hub != y.hub2) & near("fp", "fp2", max_bits))
+    met = x.hint("merge").join(y, (x.anchor == y.anchor) & (x.hub != y.hub2) & near("fp", "fp2", max_bits))
     return (met.select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
             .union(hubs.filter("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))))
 
