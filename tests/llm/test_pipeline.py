@@ -7,6 +7,7 @@ import corpus_pipeline
 from tests.llm import test_line_dedup, test_mixing, test_simhash
 from tests.llm.test_bpe import real
 from tests.llm.test_language_id import brute_phrases
+from tillcast.llm import simhash
 from tillcast.llm.language_id import fit_parser, held_out
 from tillcast.llm.queries import DOMAIN_WEIGHTS, DOMAINS, LANG_WEIGHTS, OTHER_DOMAIN, SOURCE_WEIGHTS
 
@@ -51,3 +52,16 @@ def test_run(spark, tmp_path):
     empty = f"{tmp_path}/empty"
     df.limit(0).write.parquet(f"{empty}/documents.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_near_dedup_broadcasts_no_replicas(spark, tmp_path, monkeypatch):
+    plans, plain = [], simhash.components
+
+    def spy(edges):
+        plans.append(edges._jdf.queryExecution().sparkPlan().toString())
+        return plain(edges)
+
+    monkeypatch.setattr(simhash, "components", spy)
+    df = spark.createDataFrame([(i, f"some words of text {i} and of text {i * i}", "en", "src1", 40) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.near_dedup(spark, df, str(tmp_path)).count() > 0
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
