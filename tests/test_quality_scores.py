@@ -69,3 +69,29 @@ def test_quality_report_of_equal_frames_is_one(spark):
     other = df.withColumn("x", df.x + 100)
     worse = {(r.section, r.name): r.score for r in syn.quality_report(df, other, ["x", "y", "k"], ["c", "n"]).collect()}
     assert worse["shape", "x"] == 0 and worse["mean", "overall"] < 1
+
+
+def test_pairs_of_values_are_counted_by_block(spark, monkeypatch):
+    """Not a row for each row and pair: each pair's values once a block, whichever
+    way they are counted, and the same score as by hand."""
+    from collections import Counter
+
+    rng = np.random.default_rng(3)
+    draw = lambda n: [(None if rng.random() < .1 else f"x{rng.integers(4)}", int(rng.integers(300)), rng.choice(["", "null", '"', None])) for _ in range(n)]
+    real, other = draw(900), draw(500)
+    ra, sb = (spark.createDataFrame(x, "a string, b int, c string").repartition(2) for x in (real, other))
+    names = [("a", "b"), ("a", "c"), ("c", "b")]
+    at = {"a": 0, "b": 1, "c": 2}
+    for rows in (syn.BLOCK_ROWS, 100):
+        monkeypatch.setattr(syn, "BLOCK_ROWS", rows)
+        scores = syn.contingency_similarity(ra, sb, names)
+        assert "Generate" not in scores._jdf.queryExecution().toString()
+        got = {(r.col_a, r.col_b): r.contingency_similarity for r in scores.collect()}
+        for x, y in names:
+            p, q = (Counter((r[at[x]], r[at[y]]) for r in t) for t in (real, other))
+            want = 1 - 0.5 * sum(abs(p[k] / len(real) - q[k] / len(other)) for k in p | q)
+            assert abs(got[x, y] - want) < 1e-12
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pylist([{"a": a, "b": str(b), "c": c} for a, b, c in real])
+    made = list(syn._pair_counts([(0, 2)])(iter([batch])))
+    assert sum(b.num_rows for b in made) == len({(r[0], r[2]) for r in real}) and sum(n for b in made for n in b.column("n").to_pylist()) == len(real)

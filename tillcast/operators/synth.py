@@ -26,10 +26,11 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
-from typing import Sequence
+from typing import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -449,29 +450,88 @@ def _shares(real: DataFrame, synth: DataFrame, cells: Sequence[Column]) -> DataF
         pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("k"), c.alias("s")) for i, c in enumerate(cells)])).alias("c"))
         return pairs.select("c.k", "c.s", F.lit(side).alias("side"))
     both = counted(real, "p").unionByName(counted(synth, "q"))
-    n = both.groupBy("k", "s").agg(F.count_if(F.col("side") == "p").alias("p"), F.count_if(F.col("side") == "q").alias("q"))
-    total = n.groupBy("k").agg(F.sum("p").alias("np"), F.sum("q").alias("nq"))   # a row for each cell
-    return n.join(F.broadcast(total), "k").select("k", "s", F.try_divide("p", "np").alias("p"), F.try_divide("q", "nq").alias("q"))
+    return _of_totals(both.groupBy("k", "s").agg(F.count_if(F.col("side") == "p").alias("p"), F.count_if(F.col("side") == "q").alias("q")))
 
 
-def _overlap(real: DataFrame, synth: DataFrame, cells: Sequence[Column], names: Sequence[dict[str, str]], out: str) -> DataFrame:
+def _of_totals(n: DataFrame) -> DataFrame:
+    """The counts p and q as shares of their totals by k."""
+    total = n.groupBy("k").agg(F.sum("p").alias("np"), F.sum("q").alias("nq"))   # a row for each cell
+    return n.join(F.broadcast(total), "k").withColumns({"p": F.try_divide("p", "np"), "q": F.try_divide("q", "nq")}).drop("np", "nq")
+
+
+BLOCK_ROWS, BLOCK_BYTES = 1 << 17, 64 << 20   # rows whose pairs of values a task counts at a time
+
+
+def _pair_counts(pairs: Sequence[tuple[int, int]]):
+    """Of text columns: (k, a, b, n), the rows of each block by the values of
+    each pair of columns.  Values are numbered once a block for all pairs; a
+    block gives no more rows than it has for a pair."""
+    def counts(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        codes, values = [], []
+        for col in table.columns:
+            coded = col.cast(pa.large_string()).combine_chunks().dictionary_encode("encode")
+            codes.append(coded.indices.to_numpy().astype(np.int64))
+            values.append(coded.dictionary)
+        for k, (a, b) in enumerate(pairs):
+            wide = len(values[b])
+            cell = codes[a] * wide + codes[b]
+            if len(values[a]) * wide <= 4 * table.num_rows:
+                n = np.bincount(cell)
+                cell = np.flatnonzero(n)
+                n = n[cell]
+            else:
+                cell, n = np.unique(cell, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cell), k, np.int32)), values[a].take(pa.array(cell // wide)).cast(pa.string()),
+                                              values[b].take(pa.array(cell % wide)).cast(pa.string()), pa.array(n.astype(np.int64))], names=["k", "a", "b", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(x.num_rows for x in held) >= BLOCK_ROWS or sum(x.nbytes for x in held) >= BLOCK_BYTES:
+                yield from counts(held)
+                held = []
+        if held:
+            yield from counts(held)
+    return run
+
+
+def _pair_shares(real: DataFrame, synth: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(k, a, b, p, q): share of each pair of values, as text, of each pair of
+    columns in either frame; null is a value."""
+    ship_package(real.sparkSession)
+    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
+    at = [(cols.index(a), cols.index(b)) for a, b in pairs]
+
+    def counted(df: DataFrame) -> DataFrame:
+        texts = df.select(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
+        return texts.mapInArrow(_pair_counts(at), "k int, a string, b string, n long")
+    zero = F.lit(0).cast("long")
+    both = counted(real).select("k", "a", "b", F.col("n").alias("p"), zero.alias("q")).union(
+        counted(synth).select("k", "a", "b", zero.alias("p"), F.col("n").alias("q")))
+    # stored, as the totals read the counts again
+    return _of_totals(stored(both.groupBy("k", "a", "b").agg(F.sum("p").alias("p"), F.sum("q").alias("q")), "pairs"))
+
+
+def _overlap(real: DataFrame, shares: DataFrame, names: Sequence[dict[str, str]], out: str) -> DataFrame:
     """1 - 1/2 sum |p - q| of the categories of each cell, with its names."""
     told = real.sparkSession.createDataFrame([(i, *x.values()) for i, x in enumerate(names)],
                                              "k int, " + ", ".join(f"{c} string" for c in names[0]))
-    score = _shares(real, synth, cells).groupBy("k").agg((F.lit(1.0) - F.lit(0.5) * F.sum(F.abs(F.col("p") - F.col("q")))).alias(out))
+    score = shares.groupBy("k").agg((F.lit(1.0) - F.lit(0.5) * F.sum(F.abs(F.col("p") - F.col("q")))).alias(out))
     return told.join(score, "k").drop("k")
 
 
 def tv_complement(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> DataFrame:
     """1 - 1/2 sum |p - q| of category frequencies, per column (null is a
     category of its own)."""
-    return _overlap(real, synth, [F.col(c).cast("string") for c in cols], [{"column": c} for c in cols], "tv_complement")
+    return _overlap(real, _shares(real, synth, [F.col(c).cast("string") for c in cols]), [{"column": c} for c in cols], "tv_complement")
 
 
 def contingency_similarity(real: DataFrame, synth: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """The same over the pairs of values of each pair of columns."""
-    cells = [F.to_json(F.struct(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b"))) for a, b in pairs]
-    return _overlap(real, synth, cells, [{"col_a": a, "col_b": b} for a, b in pairs], "contingency_similarity")
+    return _overlap(real, _pair_shares(real, synth, pairs), [{"col_a": a, "col_b": b} for a, b in pairs], "contingency_similarity")
 
 
 def quality_report(real: DataFrame, synth: DataFrame, numeric: Sequence[str], categorical: Sequence[str], bins: int = 10) -> DataFrame:
